@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_folders: dict[str, str] = {}
 
@@ -47,7 +47,14 @@ def write_through(df: DataFrame, name: str = "table") -> DataFrame:
     The result has no lineage, survives the loss of executors and has an exact size on
     disk, so Spark's own ``autoBroadcastJoinThreshold`` can decide on a broadcast.
     """
+    return measured_write(df, name)[0]
+
+
+def measured_write(df: DataFrame, name: str = "table", **metrics: Column) -> tuple[DataFrame, dict]:
+    """``write_through`` and aggregates over the written rows, all from the same job."""
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/qaspark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    watched = df.observe(seen, *[c.alias(n) for n, c in metrics.items()]) if metrics else df
+    watched.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), (seen.get if metrics else {})
