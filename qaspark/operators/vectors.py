@@ -35,8 +35,8 @@ def sparse_rows(weights: DataFrame, positions: DataFrame) -> DataFrame:
     return rows.select(
         "language",
         "doc_id",
-        F.transform("_p", lambda x: x["position"]).alias("positions"),
-        F.transform("_p", lambda x: x["weight"]).alias("values"),
+        F.col("_p.position").alias("positions"),
+        F.col("_p.weight").alias("values"),
     )
 
 
