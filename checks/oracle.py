@@ -168,6 +168,45 @@ TRIM = f"""{NODES}, chosen AS ({ranked("*", "full_nodes", "language", "degree_ce
 inner_edges AS (SELECT language, source, target, weight FROM edges
   WHERE (language, source) IN (SELECT (language, id) FROM chosen) AND (language, target) IN (SELECT (language, id) FROM chosen))"""
 
+
+def shortest_paths(weight: str, rounds: int = 12) -> str:
+    """Betweenness of every node of the graph: distances and path counts over at most ``rounds`` hops.
+
+    Rounds are written out one after the other; paths through v are those with
+    d(s, v) + d(v, t) = d(s, t).
+    """
+    steps = [f"links AS (SELECT language, source AS u, target AS v, CAST({weight} AS DOUBLE) AS w FROM edges UNION ALL "
+             f"SELECT language, target, source, CAST({weight} AS DOUBLE) FROM edges)",
+             "d0 AS (SELECT language, id AS s, id AS v, CAST(0 AS DOUBLE) AS d FROM nodes)"]
+    for i in range(rounds):
+        steps.append(f"""d{i + 1} AS MATERIALIZED (SELECT language, s, v, min(d) AS d FROM (SELECT * FROM d{i} UNION ALL
+  SELECT x.language, x.s, l.v, x.d + l.w FROM d{i} x JOIN links l ON l.language = x.language AND l.u = x.v) GROUP BY 1, 2, 3)""")
+    steps.append(f"""tight AS MATERIALIZED (SELECT a.language, a.s, a.v AS u, b.v FROM d{rounds} a
+  JOIN links l ON l.language = a.language AND l.u = a.v
+  JOIN d{rounds} b ON b.language = a.language AND b.s = a.s AND b.v = l.v WHERE a.d + l.w = b.d)""")
+    steps.append("p0 AS (SELECT language, id AS s, id AS v, CAST(1 AS DOUBLE) AS n FROM nodes)")
+    for i in range(rounds):
+        steps.append(f"""p{i + 1} AS MATERIALIZED (SELECT t.language, t.s, t.v, sum(n) AS n FROM p{i} p
+  JOIN tight t ON t.language = p.language AND t.s = p.s AND t.u = p.v GROUP BY 1, 2, 3)""")
+    counted = " UNION ALL ".join(f"SELECT * FROM p{i}" for i in range(rounds + 1))
+    steps.append(f"""paths AS MATERIALIZED (SELECT language, s, v, sum(n) AS n, any_value(d) AS d FROM ({counted})
+  JOIN d{rounds} USING (language, s, v) GROUP BY 1, 2, 3)""")
+    steps.append("""through AS (SELECT a.language, a.v AS id, sum(a.n * b.n / c.n) AS total FROM paths a
+  JOIN paths b ON b.language = a.language AND b.s = a.v JOIN paths c ON c.language = a.language AND c.s = a.s AND c.v = b.v
+  WHERE a.s <> a.v AND b.s <> b.v AND a.s <> b.v AND a.d + b.d = c.d GROUP BY 1, 2)""")
+    steps.append("sizes AS (SELECT language, count(*) AS n FROM nodes GROUP BY 1)")
+    steps.append("""between_nodes AS (SELECT x.language, x.id,
+  round_even(coalesce(total, 0) * CASE WHEN n > 2 THEN 1.0 / ((n - 1) * (n - 2)) ELSE 0 END, 4) AS betweenness_centrality
+  FROM nodes x JOIN sizes s USING (language) LEFT JOIN through t ON t.language = x.language AND t.id = x.id)""")
+    return ", ".join(steps)
+
+
+NEAR = """pairs AS MATERIALIZED (SELECT a.vec_id, b.vec_id AS nbr,
+  list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS d
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+near AS MATERIALIZED (SELECT vec_id, nbr, d, rk FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, nbr) AS rk FROM pairs) WHERE rk <= 3),
+cores AS (SELECT vec_id, d AS core FROM near WHERE rk = 3)"""
+
 # --- patterns -------------------------------------------------------------------------
 
 CQ = """cq AS (SELECT doc_id AS question_id, lang AS language, source AS cluster_id, n_chars AS score,
@@ -330,6 +369,24 @@ ORACLE = {
           0.5 + (weight - 1) / (max(weight) OVER (PARTITION BY language) - 1) * 3.5 FROM edges
         UNION ALL SELECT language, source || ' - ' || target, 'length', greatest(55, 90 - weight * 1.5) FROM edges)
         SELECT language, item, scale, round_even(CAST(value AS DOUBLE), 6) AS value FROM s""",
+    "betweenness": f"WITH {GRAPH}, {shortest_paths('weight')} SELECT * FROM between_nodes",
+    "betweenness_unweighted": f"WITH {GRAPH}, {shortest_paths('1')} SELECT * FROM between_nodes",
+    "network_centrality": f"""WITH {DEGREE}, {shortest_paths('weight')} SELECT language, id AS tag, frequency,
+        CAST(0 AS INTEGER) AS community, degree_centrality, betweenness_centrality
+        FROM nodes JOIN degree USING (language, id) JOIN between_nodes USING (language, id)""",
+    "modularity": f"""WITH {GRAPH}, s AS (SELECT language, ascii(id) % 4 AS c, ascii(other) % 4 AS o, weight
+          FROM sides JOIN (SELECT language, source AS id, target AS other, weight FROM edges
+            UNION ALL SELECT language, target, source, weight FROM edges) USING (language, id, other)),
+        m AS (SELECT language, c, sum(weight) AS degree, sum(CASE WHEN c = o THEN weight ELSE 0 END) AS inner_weight,
+          sum(sum(weight)) OVER (PARTITION BY language) AS two_m FROM s GROUP BY 1, 2)
+        SELECT language, round_even(sum(inner_weight / two_m - (degree / two_m) * (degree / two_m)), 9) AS modularity FROM m GROUP BY 1""",
+    "l2_normalize": """WITH x AS (SELECT vec_id AS doc_id, unnest(CAST(embedding AS DOUBLE[])) AS value,
+          generate_subscripts(embedding, 1) - 1 AS position FROM embeddings)
+        SELECT doc_id, CAST(position AS INTEGER) AS position,
+          round_even(value / sqrt(sum(value * value) OVER (PARTITION BY doc_id)), 9) AS value FROM x""",
+    "core_distance": f"WITH {NEAR} SELECT vec_id, round_even(core, 9) AS core FROM cores",
+    "mutual_reachability": f"""WITH {NEAR} SELECT n.vec_id, nbr, round_even(greatest(a.core, b.core, d), 9) AS reachability
+        FROM near n JOIN cores a ON a.vec_id = n.vec_id JOIN cores b ON b.vec_id = n.nbr""",
     "top_patterns": f"WITH {PATTERNS} SELECT * FROM patterns",
     "representatives": f"WITH {CQ}, {EXAMPLES} SELECT * FROM examples",
     "pattern_summary": f"""WITH {PATTERNS} SELECT language, arg_min(label, rank) AS largest, arg_min(size, rank) AS largest_size,

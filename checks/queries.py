@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from qaspark.functions import text
 from qaspark.functions.numbers import round_even
-from qaspark.operators import cleaning, graph, patterns, payload, profile, tfidf, trend
+from qaspark.operators import centrality, cleaning, communities as community, density, graph, neighbors as near, patterns
+from qaspark.operators import payload, profile, tfidf, trend, vectors
+from qaspark.plans.micro import text_clusters as cluster_texts
 from qaspark.session import write_through
 from qaspark.sources import adapters as a
 from qaspark.sources.responses import latest_within_ttl
@@ -371,6 +373,85 @@ def display_scales(spark, d):
     return radius.unionByName(links).withColumn("value", round_even("value", 6))
 
 
+def betweenness(spark, d):
+    return centrality.betweenness_centrality(_graph(spark, d)[1])
+
+
+def betweenness_unweighted(spark, d):
+    return centrality.betweenness_centrality(_graph(spark, d)[1], weighted=False)
+
+
+def modularity(spark, d):
+    nodes, edges = _graph(spark, d)
+    labels = nodes.select("language", "id", (F.ascii("id") % 4).alias("community"))
+    return community.modularity(edges, labels).withColumn("modularity", round_even("modularity", 9))
+
+
+def communities(spark, d):
+    return community.communities(_graph(spark, d)[1])
+
+
+def network_centrality(spark, d):
+    nodes, edges = _graph(spark, d)
+    full = graph.network_nodes(
+        nodes, community.communities(edges, "none"), graph.degree_centrality(edges), centrality.betweenness_centrality(edges)
+    )
+    return graph.network_centrality(full)
+
+
+# --- vectors ---------------------------------------------------------------------
+
+def _embeddings(spark, d):
+    return a.table(spark, d, "embeddings").select(
+        F.lit("all").alias("language"), F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("vector")
+    )
+
+
+def l2_normalize(spark, d):
+    unit = _embeddings(spark, d).select("doc_id", F.posexplode(vectors.l2_normalize("vector")).alias("position", "value"))
+    return unit.withColumn("value", round_even("value", 9))
+
+
+def _near(spark, d):
+    points = write_through(density.distinct_points(_embeddings(spark, d)), "points")
+    found = near.nearest_neighbors(near.lay_out(points), 3)
+    return found, write_through(near.core_distances(points, found, 3), "cores")
+
+
+def core_distance(spark, d):
+    return _near(spark, d)[1].select(F.col("pid").alias("vec_id"), round_even("core", 9).alias("core"))
+
+
+def mutual_reachability(spark, d):
+    """The three nearest neighbours of each vector with their mutual reachability distance."""
+    found, cores = _near(spark, d)
+    other = cores.select(F.col("pid").alias("nbr"), F.col("core").alias("other_core"))
+    joined = found.join(cores.select("pid", "core"), "pid").join(other, "nbr")
+    reach = round_even(F.greatest("core", "other_core", "d"), 9)
+    return joined.select(F.col("pid").alias("vec_id"), "nbr", reach.alias("reachability"))
+
+
+def mst(spark, d):
+    points = write_through(density.distinct_points(_embeddings(spark, d)), "points")
+    layout = near.lay_out(points)
+    found = near.nearest_neighbors(layout, 3)
+    return near.spanning_tree(layout, found, write_through(near.core_distances(points, found, 3), "cores"))
+
+
+def density_clusters(spark, d):
+    return density.density_clusters(_embeddings(spark, d), min_cluster_size=10)
+
+
+def svd_energy(spark, d):
+    vocab, weights = tfidf.fit(a.documents(spark, d))
+    return vectors.svd_energy(write_through(weights, "weights"), vocab)
+
+
+def text_clusters(spark, d):
+    """Documents of each language in clusters of similar text."""
+    return cluster_texts(a.documents(spark, d).select("language", "doc_id", "text"), min_cluster_size=5)[0]
+
+
 # --- patterns --------------------------------------------------------------------
 
 def _patterns(spark, d):
@@ -427,7 +508,8 @@ QUERIES = {
         extract_errors, tokenize, removed_words, top_words, term_counts, vocabulary, tfidf_transform, cluster_labels,
         tag_frequency, top_tags, top_cotags, tag_pairs, cooccurrence_nodes, cooccurrence_edges, degree_centrality,
         neighbors, network_nodes, top_nodes, trim_network, network_summary, community_profile, network_payload,
-        display_scales,
+        display_scales, betweenness, betweenness_unweighted, modularity, communities, network_centrality,
+        l2_normalize, core_distance, mutual_reachability, mst, density_clusters, svd_energy, text_clusters,
         top_patterns, representatives, pattern_summary, patterns_payload, clean_label, display_columns,
     )
 }
