@@ -129,7 +129,7 @@ def cleaning_report(spark, d):
 
 def clean_titles(spark, d):
     title = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
-    return cleaning.clean_titles(a.table(spark, d, "pages").select("page_id", title.alias("title")))
+    return cleaning.clean_titles(a.pages(spark, d).select("page_id", title.alias("title")))
 
 
 def epoch_to_ts(spark, d):
@@ -152,12 +152,12 @@ def dedupe_first(spark, d):
 
 
 def html_to_text(spark, d):
-    return a.table(spark, d, "pages").select("page_id", text.html_to_text("html").alias("text"))
+    return a.pages(spark, d).select("page_id", text.html_to_text("html").alias("text"))
 
 
 def clean_body(spark, d):
     body = F.concat(F.lit("  "), F.col("html"), F.lit("\n<p>&amp;lt;</p>\t"))
-    return a.table(spark, d, "pages").select("page_id", text.clean_body(body).alias("text"))
+    return a.pages(spark, d).select("page_id", text.clean_body(body).alias("text"))
 
 
 def text_combined(spark, d):

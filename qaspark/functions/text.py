@@ -68,7 +68,10 @@ def _decode_number(piece: Column) -> Column:
 
 def _decode_piece(piece: Column) -> Column:
     names = _literal_map(html.entities.html5)
-    exact = F.try_element_at(names, F.substring(piece, 2, 64))
+    common = _literal_map({n: html.entities.html5[n] for n in ("amp;", "lt;", "gt;", "quot;", "nbsp;")})
+    # A map is searched from its start: most entities are found in the short one.
+    name = F.substring(piece, 2, 64)
+    exact = F.coalesce(F.try_element_at(common, name), F.try_element_at(names, name))
     prefix = F.regexp_extract(piece, f"^&({'|'.join(_OPEN_NAMES)})", 1)
     by_prefix = F.concat(
         F.try_element_at(names, prefix),

@@ -43,9 +43,12 @@ def modularity(edges: DataFrame, labels: DataFrame, by: list[str] | None = None)
     )
 
 
-def _turn(level: int, number: int) -> Column:
-    """Half of the nodes by hash in even rounds, the other half in the odd round after it."""
-    return F.pmod(F.xxhash64("language", "node", F.lit(level), F.lit(number // 2)), F.lit(2)) == number % 2
+def _turn() -> Column:
+    """Half of the nodes by hash in even rounds, the other half in the odd round after it.
+
+    The round is a column, so that the rounds share their compiled code.
+    """
+    return F.pmod(F.xxhash64("language", "node", F.floor(F.col("round") / 2)), F.lit(2)) == F.col("round") % 2
 
 
 def _local_moves(links: DataFrame, level: int, max_rounds: int) -> DataFrame:
@@ -57,10 +60,10 @@ def _local_moves(links: DataFrame, level: int, max_rounds: int) -> DataFrame:
     strength = links.groupBy(*_KEY).agg(F.sum("weight").alias("k"))
     total = strength.groupBy("language").agg(F.sum("k").alias("two_m"))
     state = write_through(
-        strength.join(total, "language").select(*_KEY, F.col("node").alias("c"), "k", "two_m"), "communities"
+        strength.join(total, "language").select(*_KEY, F.col("node").alias("c"), "k", "two_m", F.lit(level * 100).alias("round")), "communities"
     )
     outward = links.where(F.col("node") != F.col("other"))
-    for number in range(max_rounds):
+    for _ in range(max_rounds):
         communities = state.groupBy("language", "c").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("size"))
         there = state.select("language", F.col("node").alias("other"), "c")
         seen_links = outward.join(there, ["language", "other"]).select(*_KEY, "c", "weight")
@@ -71,11 +74,12 @@ def _local_moves(links: DataFrame, level: int, max_rounds: int) -> DataFrame:
         options = inward.join(own, _KEY).join(communities, ["language", "c"])
         is_own = F.col("c") == F.col("own")
         gain = F.round(F.col("k_in") - F.col("k") * (F.col("tot") - F.when(is_own, F.col("k")).otherwise(0.0)) / F.col("two_m"), 9)
-        options = options.select(*_KEY, "c", "own", "k", "two_m", "size", is_own.alias("is_own"), gain.alias("gain"))
+        options = options.select(*_KEY, "c", "own", "k", "two_m", "round", "size", is_own.alias("is_own"), gain.alias("gain"))
         best = options.groupBy(*_KEY).agg(
             F.first("own").alias("own"),
             F.first("k").alias("k"),
             F.first("two_m").alias("two_m"),
+            F.first("round").alias("round"),
             F.max(F.when(F.col("is_own"), F.col("gain"))).alias("own_gain"),
             F.max(F.when(F.col("is_own"), F.col("size"))).alias("own_size"),
             F.min_by(F.struct("c", "gain", "size"), F.struct(-F.col("gain"), F.col("c"))).alias("best"),
@@ -84,8 +88,8 @@ def _local_moves(links: DataFrame, level: int, max_rounds: int) -> DataFrame:
         swap = (F.col("own_size") == 1) & (F.col("best.size") == 1) & (F.col("best.c") > F.col("own"))
         wants = (F.col("best.gain") > F.col("own_gain") + F.lit(_TOLERANCE)) & ~swap
         best = best.withColumn("wants", wants)
-        moved = F.when(F.col("wants") & _turn(level, number), F.col("best.c")).otherwise(F.col("own"))
-        step = best.select(*_KEY, moved.alias("c"), "k", "two_m", "wants")
+        moved = F.when(F.col("wants") & _turn(), F.col("best.c")).otherwise(F.col("own"))
+        step = best.select(*_KEY, moved.alias("c"), "k", "two_m", (F.col("round") + 1).alias("round"), "wants")
         state, seen = measured_write(step, "communities", wanting=F.count_if("wants"))
         state = state.drop("wants")
         if not seen["wanting"]:

@@ -2,7 +2,7 @@
 
 ``median`` and ``percentile`` keep all distinct values of a group in one task. Here the
 distinct values stay spread over the cluster: they are counted per value, laid out in at
-most ``BUCKETS`` buckets between the group's minimum and maximum, and only the buckets that
+most ``MAX_BUCKETS`` buckets between the group's minimum and maximum, and only the buckets that
 hold a wanted rank are sorted. Buckets grow with the logarithm of the value, so long tails
 do not crowd into one. The counted values are shuffled once; Spark reuses that exchange.
 """
@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 16384
+MAX_BUCKETS = 65536
+_PER_BUCKET = 64
 
 
 def _spread(v: Column) -> Column:
@@ -37,10 +38,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str,
     counted = values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c"))
     span = counted.groupBy(*group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
     share = F.try_divide(_spread(F.col("_v")) - _spread(F.col("_lo")), _spread(F.col("_hi")) - _spread(F.col("_lo")))
-    bucket = F.coalesce(F.floor(share * F.lit(float(BUCKETS - 1))), F.lit(0)).cast("int")
+    buckets = F.least(F.lit(MAX_BUCKETS), F.ceil(F.col("_n") / _PER_BUCKET))
+    bucket = F.coalesce(F.floor(share * (buckets - 1)), F.lit(0)).cast("int")
     placed = counted.join(span, group).withColumn("_b", bucket)
 
-    # At most BUCKETS rows per group from here to the running total.
+    # At most MAX_BUCKETS rows per group from here to the running total.
     histogram = placed.groupBy(*group, "_b").agg(F.sum("_c").alias("_h"), F.first("_n").alias("_n"))
     running = Window.partitionBy(*group).orderBy("_b")
     histogram = histogram.withColumn("_before", F.sum("_h").over(running) - F.col("_h"))

@@ -13,8 +13,13 @@ _DOC = ["language", "doc_id"]
 
 
 def term_counts(df: DataFrame, column: str = "text", stopwords: list[str] | None = None) -> DataFrame:
-    """Occurrences of words and neighbour pairs in every document."""
-    rows = df.select(*_DOC, text.kept_words(column, stopwords).alias("_w")).where(F.size("_w") > 0)
+    """Occurrences of words and neighbour pairs in every document.
+
+    The texts are shuffled by document before they are cut up: that moves less than their words
+    and pairs would, and the count needs no other shuffle.
+    """
+    spread = df.select(*_DOC, column).repartition(*_DOC)
+    rows = spread.select(*_DOC, text.kept_words(column, stopwords).alias("_w")).where(F.size("_w") > 0)
     return (
         rows.select(*_DOC, F.explode(text.with_pairs("_w")).alias("term"))
         .groupBy(*_DOC, "term")
@@ -68,9 +73,10 @@ def fit(
 ) -> tuple[DataFrame, DataFrame]:
     """``(vocabulary, weights)`` of the documents.
 
+    The counts are stored because both results need them and cutting up texts is the dear part.
     The vocabulary has at most ``max_features`` rows per language and is stored: its known
     size lets Spark broadcast it when small and shuffle when not.
     """
-    counts = term_counts(df, column, stopwords)
+    counts = write_through(term_counts(df, column, stopwords), "counts")
     vocab = write_through(vocabulary(counts, df, min_df, max_features), "vocabulary")
     return vocab, transform(counts, vocab)

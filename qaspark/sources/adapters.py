@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaspark.sources.tables import languages_table, read_table
+from qaspark.sources.tables import languages_table, read_table, spread
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 BRAND_OF = {
@@ -75,9 +75,12 @@ def survey(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
-        "doc_id", F.col("lang").alias("language"), "text", F.col("source").alias("cluster_id")
-    )
+    docs = spread(table(spark, folder, "documents"), "doc_id")
+    return docs.select("doc_id", F.col("lang").alias("language"), "text", F.col("source").alias("cluster_id"))
+
+
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "pages").select("page_id", "html"), "page_id")
 
 
 def clustered_questions(spark: SparkSession, folder: str) -> DataFrame:
