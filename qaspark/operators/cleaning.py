@@ -65,7 +65,9 @@ def with_text_combined(df: DataFrame, column: str = "text_combined") -> DataFram
 
 def tagged_between(df: DataFrame, tag: str, first: str, last: str) -> DataFrame:
     """Questions with the tag whose date lies in the range, both ends included, oldest first."""
-    between = F.col("creation_date").between(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"))
+    # Bounds of the column's own type: a cast of the column would keep the filter from the scan.
+    kind = df.schema["creation_date"].dataType
+    between = F.col("creation_date").between(F.lit(first).cast(kind), F.lit(last).cast(kind))
     return df.where(between & F.array_contains("tags", tag)).orderBy("creation_date", "question_id")
 
 

@@ -40,5 +40,6 @@ def latest_within_ttl(
     Responses that would be too old are filtered before the shuffle: where the newest one is
     too old, so are all others.
     """
-    fresh = log.where(F.col(created_at) >= now - F.make_dt_interval(F.lit(ttl_days)))
+    oldest = (now - F.make_dt_interval(F.lit(ttl_days))).cast(log.schema[created_at].dataType)
+    fresh = log.where(F.col(created_at) >= oldest)
     return first_per_key(fresh, keys, [F.desc(created_at), *[F.desc(c) for c in (tie_break or [])]])
