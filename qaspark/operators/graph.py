@@ -43,8 +43,8 @@ def tag_pairs(df: DataFrame, distinct_tags: bool = False) -> DataFrame:
     Pairs are formed inside the row, without a self join; a tag repeated in a row also pairs
     with itself unless ``distinct_tags`` is set.
     """
-    tags = F.array_sort(F.array_distinct("tags") if distinct_tags else F.col("tags"))
-    sorted_rows = df.select("language", tags.alias("_t")).where(F.size("_t") > 1)
+    tags = F.sort_array(F.array_distinct("tags") if distinct_tags else F.col("tags"))
+    sorted_rows = df.where(F.size("tags") > 1).select("language", tags.alias("_t"))
     heads = sorted_rows.select("language", "_t", F.posexplode("_t").alias("_i", "source"))
     pairs = heads.select(
         "language", "source", F.explode(F.slice("_t", F.col("_i") + 2, F.size("_t"))).alias("target")
@@ -169,7 +169,7 @@ def community_profile(nodes: DataFrame, n: int = 5) -> DataFrame:
     best = top_per_group(nodes, ["language", "community"], [F.desc("frequency"), F.col("id")], n, rank="rank")
     member = F.concat("id", F.lit("("), F.col("frequency").cast("string"), F.lit(")"))
     listed = best.groupBy("language", "community").agg(
-        F.array_sort(F.collect_list(F.struct("rank", member.alias("m")))).alias("_l")
+        F.sort_array(F.collect_list(F.struct("rank", member.alias("m")))).alias("_l")
     )
     members = F.array_join(F.transform("_l", lambda s: s["m"]), ", ")
     return sizes.join(listed, ["language", "community"]).select(

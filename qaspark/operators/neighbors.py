@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from qaspark.operators.ranking import top_per_group
 from qaspark.session import measured_write, write_through
 
-CHUNK = 512
+CHUNK = 2048
+_BLOCK = 512
 MAX_PIVOTS = 1024
 _PER_PIVOT = 64
 _SLACK = 1e-9
@@ -33,7 +34,8 @@ _ID = ["language", "pid"]
 class Layout:
     """Points in cells; what sits on the driver is one entry per pivot."""
 
-    points: DataFrame  # language, pid, vector, mult, cell
+    points: DataFrame  # language, pid, vector, mult, cell, chunk
+    objects: DataFrame  # one row per chunk of a cell: o_pid, o_mult, o_vectors
     pivots: dict[str, np.ndarray]
     radius: dict[str, np.ndarray]
     chunks: dict[str, np.ndarray]
@@ -66,8 +68,8 @@ def lay_out(points: DataFrame) -> Layout:
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for language, part in batch.groupby("language", sort=False):
-                for at in range(0, len(part), CHUNK):
-                    piece = part.iloc[at : at + CHUNK]
+                for at in range(0, len(part), _BLOCK):
+                    piece = part.iloc[at : at + _BLOCK]
                     d = _distances(np.stack(piece["vector"].to_numpy()), shared.value[language])
                     cell = d.argmin(axis=1)
                     yield piece.assign(cell=cell.astype("int32"), to_pivot=d[np.arange(len(cell)), cell])
@@ -79,7 +81,24 @@ def lay_out(points: DataFrame) -> Layout:
     for r in placed.groupBy("language", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("to_pivot").alias("r")).collect():
         radius[r["language"]][r["cell"]] = r["r"]
         chunks[r["language"]][r["cell"]] = math.ceil(r["n"] / CHUNK)
-    return Layout(placed.drop("to_pivot"), pivots, radius, chunks, {k: math.ceil(n / CHUNK) for k, n in sizes.items()})
+    counts = points.sparkSession.createDataFrame(
+        [(k, i, max(int(n), 1)) for k, v in chunks.items() for i, n in enumerate(v)], "language string, cell int, chunks int"
+    )  # one row per pivot
+    chunked = placed.join(F.broadcast(counts), ["language", "cell"]).select(
+        "language", "pid", "vector", "mult", "cell", F.pmod(F.xxhash64("pid"), F.col("chunks")).cast("int").alias("chunk")
+    )
+    packed = _packed(chunked, "o", "pid", "mult", "vector").withColumnRenamed("o_vector", "o_vectors")
+    objects = packed.withColumn("o_vectors", F.flatten("o_vectors"))
+    return Layout(
+        chunked, write_through(objects, "objects"), pivots, radius, chunks, {k: math.ceil(n / CHUNK) for k, n in sizes.items()}
+    )
+
+
+def _packed(rows: DataFrame, prefix: str, *columns: str, by: tuple[Column, ...] = ()) -> DataFrame:
+    """One row of aligned lists, in order of the first column, per chunk of a cell."""
+    lists = F.sort_array(F.collect_list(F.struct(*columns)))
+    packed = rows.groupBy("language", "cell", "chunk", *by).agg(lists.alias("_l"))
+    return packed.select("language", "cell", "chunk", *[F.col(f"_l.{c}").alias(f"{prefix}_{c}") for c in columns])
 
 
 def _lookup(entries: dict[str, int]) -> Column:
@@ -87,26 +106,6 @@ def _lookup(entries: dict[str, int]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in entries.items() for x in pair]), F.col("language"))
 
 
-def _object_packs(layout: Layout, points: DataFrame) -> DataFrame:
-    """One row per chunk of a cell: ids, copies, core distances, components, flat vectors."""
-    chunk_counts = {k: [int(x) for x in v] for k, v in layout.chunks.items()}
-    spark = points.sparkSession
-    counts = spark.createDataFrame(
-        [(k, i, max(n, 1)) for k, v in chunk_counts.items() for i, n in enumerate(v)], "language string, cell int, chunks int"
-    )  # one row per pivot
-    chunked = points.join(F.broadcast(counts), ["language", "cell"])
-    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("pid"), F.col("chunks")).cast("int"))
-    # The struct keeps the lists aligned.
-    packed = chunked.groupBy("language", "cell", "chunk").agg(
-        F.collect_list(F.struct("pid", "mult", "core", "comp", "vector")).alias("_o")
-    )
-    return packed.select(
-        "language", "cell", "chunk",
-        *[F.col(f"_o.{n}").alias(f"o_{n}") for n in ("pid", "mult", "core", "comp")],
-        F.flatten("_o.vector").alias("o_vectors"),
-    )
-
-
 def _visit(layout: Layout, queries: DataFrame, mode: str, uniform: dict[str, np.ndarray] | None = None) -> DataFrame:
     """Rows ``(query, cell, chunk)`` of the cells that a query has to look into.
 
@@ -120,8 +119,8 @@ def _visit(layout: Layout, queries: DataFrame, mode: str, uniform: dict[str, np.
         for batch in batches:
             for language, part in batch.groupby("language", sort=False):
                 count = chunks[language]
-                for at in range(0, len(part), CHUNK):
-                    piece = part.iloc[at : at + CHUNK].reset_index(drop=True)
+                for at in range(0, len(part), _BLOCK):
+                    piece = part.iloc[at : at + _BLOCK].reset_index(drop=True)
                     own = piece["cell"].to_numpy()
                     rows = np.arange(len(piece))
                     if mode == "own":
@@ -159,15 +158,8 @@ def _visit(layout: Layout, queries: DataFrame, mode: str, uniform: dict[str, np.
 def _pairs(layout: Layout, visits: DataFrame, objects: DataFrame) -> DataFrame:
     """Packs of queries next to the chunk of objects they visit."""
     salt = F.pmod(F.xxhash64("pid", F.lit(7)), _lookup({k: max(n, 1) for k, n in layout.packs.items()})).alias("salt")
-    packed = visits.groupBy("language", "cell", "chunk", salt).agg(
-        F.collect_list(F.struct("pid", "core", "comp", "vector")).alias("_q")
-    )
-    packed = packed.select(
-        "language", "cell", "chunk",
-        *[F.col(f"_q.{n}").alias(f"q_{n}") for n in ("pid", "core", "comp")],
-        F.flatten("_q.vector").alias("q_vectors"),
-    )
-    return packed.join(objects, ["language", "cell", "chunk"])
+    packed = _packed(visits, "q", "pid", "core", "comp", "vector", by=(salt,)).withColumnRenamed("q_vector", "q_vectors")
+    return packed.withColumn("q_vectors", F.flatten("q_vectors")).join(objects, ["language", "cell", "chunk"])
 
 
 def _nearest(pairs: DataFrame, k: int) -> DataFrame:
@@ -176,40 +168,41 @@ def _nearest(pairs: DataFrame, k: int) -> DataFrame:
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples(index=False):
-                q, o = np.asarray(r.q_pid), np.asarray(r.o_pid)
-                d = _distances(np.asarray(r.q_vectors).reshape(len(q), -1), np.asarray(r.o_vectors).reshape(len(o), -1))
-                d[q[:, None] == o[None, :]] = np.inf
-                best = np.argsort(d, axis=1, kind="stable")[:, :k]
-                row = np.repeat(np.arange(len(q)), best.shape[1])
-                best = best.ravel()
-                found = d[row, best]
-                keep = np.isfinite(found)
-                yield pd.DataFrame(
-                    {"language": r.language, "pid": q[row[keep]], "nbr": o[best[keep]], "d": found[keep],
-                     "nbr_mult": np.asarray(r.o_mult)[best[keep]]}
-                )
-
-    # Small Arrow batches: each row is a pack of up to CHUNK queries and CHUNK objects.
+                ids, o = np.asarray(r.q_pid), np.asarray(r.o_pid)
+                here, there = np.asarray(r.q_vectors).reshape(len(ids), -1), np.asarray(r.o_vectors).reshape(len(o), -1)
+                for at in range(0, len(ids), _BLOCK):
+                    q = ids[at : at + _BLOCK]
+                    d = _distances(here[at : at + _BLOCK], there)
+                    d[q[:, None] == o[None, :]] = np.inf
+                    best = np.argpartition(d, k, axis=1)[:, :k] if len(o) > k else np.tile(np.arange(len(o)), (len(q), 1))
+                    row = np.repeat(np.arange(len(q)), best.shape[1])
+                    best = best.ravel()
+                    found = d[row, best]
+                    keep = np.isfinite(found)
+                    yield pd.DataFrame(
+                        {"language": r.language, "pid": q[row[keep]], "nbr": o[best[keep]], "d": found[keep],
+                         "nbr_mult": np.asarray(r.o_mult)[best[keep]]}
+                    )
+
     return pairs.mapInPandas(search, "language string, pid long, nbr long, d double, nbr_mult long")
 
 
 def nearest_neighbors(layout: Layout, k: int) -> DataFrame:
     """``(language, pid, nbr, d, nbr_mult)``: the exact ``k`` nearest other points."""
     plain = layout.points.withColumns({"core": F.lit(0.0), "comp": F.lit(0).cast("long")})
-    objects = write_through(_object_packs(layout, plain), "packs")
     order = [F.col("d"), F.col("nbr")]
     own = _visit(layout, plain.withColumn("bound", F.lit(0.0)), "own")
-    first = write_through(top_per_group(_nearest(_pairs(layout, own, objects), k), _ID, order, k), "near")
+    first = write_through(top_per_group(_nearest(_pairs(layout, own, layout.objects), k), _ID, order, k), "near")
     bound = first.groupBy(*_ID).agg(F.when(F.count(F.lit(1)) == k, F.max("d")).alias("bound"))
     asking = plain.join(bound, _ID, "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    second = _nearest(_pairs(layout, _visit(layout, asking, "others"), objects), k)
+    second = _nearest(_pairs(layout, _visit(layout, asking, "others"), layout.objects), k)
     return write_through(top_per_group(first.unionByName(second), _ID, order, k), "neighbors")
 
 
 def core_distances(points: DataFrame, neighbors: DataFrame, min_samples: int) -> DataFrame:
     """``(language, pid, core, reach)``: distance to the ``min_samples``-th other point, where
     copies of a point count; ``reach`` is the distance to the last listed neighbour."""
-    listed = neighbors.groupBy(*_ID).agg(F.array_sort(F.collect_list(F.struct("d", "nbr", "nbr_mult"))).alias("_n"))
+    listed = neighbors.groupBy(*_ID).agg(F.sort_array(F.collect_list(F.struct("d", "nbr", "nbr_mult"))).alias("_n"))
     joined = points.select(*_ID, "mult").join(listed, _ID, "left")
     # At most min_samples neighbours are listed; walk along them until enough points are met.
     walk = F.aggregate(
@@ -233,17 +226,18 @@ def _edge_search(pairs: DataFrame) -> DataFrame:
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples(index=False):
-                q, o = np.asarray(r.q_pid), np.asarray(r.o_pid)
-                w = _distances(np.asarray(r.q_vectors).reshape(len(q), -1), np.asarray(r.o_vectors).reshape(len(o), -1))
-                w = np.maximum(w, np.maximum(np.asarray(r.q_core)[:, None], np.asarray(r.o_core)[None, :]))
-                mine = np.asarray(r.q_comp)
-                w[mine[:, None] == np.asarray(r.o_comp)[None, :]] = np.inf
-                low, high = np.minimum(q[:, None], o[None, :]), np.maximum(q[:, None], o[None, :])
-                row, col = np.nonzero((w <= w.min(axis=1, keepdims=True)) & np.isfinite(w))
-                found = pd.DataFrame(
-                    {"language": r.language, "comp": mine[row], "w": w[row, col], "a": low[row, col], "b": high[row, col]}
-                )
-                yield found.sort_values(["comp", "w", "a", "b"]).drop_duplicates("comp")
+                ids, o = np.asarray(r.q_pid), np.asarray(r.o_pid)
+                here, there = np.asarray(r.q_vectors).reshape(len(ids), -1), np.asarray(r.o_vectors).reshape(len(o), -1)
+                core, comp, o_comp = np.asarray(r.q_core), np.asarray(r.q_comp), np.asarray(r.o_comp)
+                for at in range(0, len(ids), _BLOCK):
+                    part = slice(at, at + _BLOCK)
+                    q, mine = ids[part], comp[part]
+                    w = np.maximum(_distances(here[part], there), np.maximum(core[part, None], np.asarray(r.o_core)[None, :]))
+                    w[mine[:, None] == o_comp[None, :]] = np.inf
+                    row, col = np.nonzero((w <= w.min(axis=1, keepdims=True)) & np.isfinite(w))
+                    a, b = np.minimum(q[row], o[col]), np.maximum(q[row], o[col])
+                    found = pd.DataFrame({"language": r.language, "comp": mine[row], "w": w[row, col], "a": a, "b": b})
+                    yield found.sort_values(["comp", "w", "a", "b"]).drop_duplicates("comp")
 
     return pairs.mapInPandas(search, "language string, comp long, w double, a long, b long")
 
@@ -287,7 +281,7 @@ def spanning_tree(layout: Layout, neighbors: DataFrame, cores: DataFrame) -> Dat
     neighbours are tried first; they bound the search among the others.
     """
     state = write_through(
-        layout.points.join(cores, _ID).select("language", "pid", "vector", "mult", "cell", "core", "reach", F.col("pid").alias("comp")),
+        layout.points.join(cores, _ID).select("language", "pid", "vector", "mult", "cell", "chunk", "core", "reach", F.col("pid").alias("comp")),
         "components",
     )
     listed = neighbors.join(cores.select(*_ID, "core"), _ID).join(
@@ -317,7 +311,9 @@ def spanning_tree(layout: Layout, neighbors: DataFrame, cores: DataFrame) -> Dat
         if not any(several.values()):
             break
         open_state = state.where(F.col("language").isin([k for k, v in several.items() if v]))
-        objects = write_through(_object_packs(layout, open_state), "packs")
+        # Vectors were packed once; a round only adds the components, in the same order.
+        marks = _packed(open_state, "o", "pid", "core", "comp").drop("o_pid")
+        objects = write_through(layout.objects.join(marks, ["language", "cell", "chunk"]), "packs")
 
         queries = open_state.join(best.select("language", "comp", F.col("w").alias("bound")), ["language", "comp"], "left")
         blind = queries.where(F.col("bound").isNull())

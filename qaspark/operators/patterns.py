@@ -50,7 +50,7 @@ def cluster_labels(
     usable = summed.where(~only_names & ~starts_with_name & (F.length("term") > 1))
     means = usable.join(sizes, _CLUSTER).withColumn("mean_weight", F.col("_sum") / F.col("_size"))
     best = top_per_group(means, _CLUSTER, [round_even("mean_weight", 12).desc(), F.col("term")], n, rank="_r")
-    listed = best.groupBy(*_CLUSTER).agg(F.array_sort(F.collect_list(F.struct("_r", "term"))).alias("_l"))
+    listed = best.groupBy(*_CLUSTER).agg(F.sort_array(F.collect_list(F.struct("_r", "term"))).alias("_l"))
     label = F.array_join(F.transform("_l", lambda s: s["term"]), " / ")
     noise = F.col("cluster_id").cast("string") == str(_NOISE)
     return sizes.join(listed, _CLUSTER, "left").select(

@@ -22,7 +22,7 @@ def _by_year(df: DataFrame, *columns: Column) -> DataFrame:
 
 def _years(df: DataFrame) -> Column:
     """All years of the table in order, as one value usable next to any row."""
-    return df.agg(F.array_sort(F.collect_set("year"))).scalar()
+    return df.agg(F.sort_array(F.collect_set("year"))).scalar()
 
 
 def _figures(years: Column | str, name: str) -> Column:
@@ -60,7 +60,7 @@ def trends_payload(trends: DataFrame, tags: DataFrame, languages: DataFrame) ->
         .withColumn("years", _years(trends))
         .withColumn("survey_years", _years(trends.where(F.col("usage_pct").isNotNull())))
     )
-    own = F.array_sort(
+    own = F.sort_array(
         F.transform(
             F.filter(F.map_entries("_by_year"), lambda e: e["value"]["usage_pct"].isNotNull()), lambda e: e["key"]
         )
@@ -77,7 +77,7 @@ def survey_payload(survey: DataFrame, tags: DataFrame, languages: DataFrame) ->
     """The survey lists of each language over the years it was asked."""
     body = _by_year(survey, F.col("usage_pct"), F.col("want_pct"))
     rows = _named(tags, languages).join(body, "language", "left").withColumn("years", _years(survey))
-    own = F.array_sort(F.map_keys("_by_year"))
+    own = F.sort_array(F.map_keys("_by_year"))
     empty = F.array().cast("array<double>")
     return rows.select(
         "language", "display_name", "color", "years",
@@ -89,9 +89,9 @@ def survey_payload(survey: DataFrame, tags: DataFrame, languages: DataFrame) ->
 def network_payload(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes and links of each language's trimmed graph."""
     fields = ["id", "frequency", "community", "degree_centrality", "betweenness_centrality"]
-    listed = nodes.groupBy("language").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("nodes"))
+    listed = nodes.groupBy("language").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("nodes"))
     links = edges.groupBy("language").agg(
-        F.array_sort(F.collect_list(F.struct("source", "target", "weight"))).alias("links")
+        F.sort_array(F.collect_list(F.struct("source", "target", "weight"))).alias("links")
     )
     return listed.join(links, "language", "left")
 
@@ -102,12 +102,12 @@ def patterns_payload(patterns: DataFrame, examples: DataFrame) -> DataFrame:
     shown = F.struct("rank", "question_id", "title", "score", "view_count")
     # The patterns are a top-n, so only their clusters' examples take part.
     wanted = examples.join(patterns.select(*key), key, "left_semi")
-    listed = wanted.groupBy(*key).agg(F.array_sort(F.collect_list(shown)).alias("_e"))
+    listed = wanted.groupBy(*key).agg(F.sort_array(F.collect_list(shown)).alias("_e"))
     fields = ["question_id", "title", "score", "view_count"]
     clean = F.transform("_e", lambda e: F.struct(*[e[f].alias(f) for f in fields]))
     rows = patterns.join(listed, key, "left").withColumn("examples", clean)
     columns = ["cluster_id", "label", "size", "median_score", "median_views", "answer_rate", "examples"]
-    packed = F.array_sort(F.collect_list(F.struct("rank", F.struct(*columns).alias("p"))))
+    packed = F.sort_array(F.collect_list(F.struct("rank", F.struct(*columns).alias("p"))))
     return rows.groupBy("language").agg(F.transform(packed, lambda s: s["p"]).alias("patterns"))
 
 

@@ -20,6 +20,7 @@ from qaspark.session import write_through
 
 _OVERSAMPLE = 10
 _ROWS = 256
+_MODEL_BYTES = 256 << 20
 
 
 def term_positions(vocab: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def term_positions(vocab: DataFrame) -> DataFrame:
 
 def sparse_rows(weights: DataFrame, positions: DataFrame) -> DataFrame:
     """``(language, doc_id, positions, values)`` with the positions in order."""
-    pairs = F.array_sort(F.collect_list(F.struct("position", "weight")))
+    pairs = F.sort_array(F.collect_list(F.struct("position", "weight")))
     rows = weights.join(positions, ["language", "term"]).groupBy("language", "doc_id").agg(pairs.alias("_p"))
     return rows.select(
         "language",
@@ -51,7 +52,20 @@ def _project(positions: pd.Series, values: pd.Series, model: np.ndarray) -> tupl
 
 
 def _gram_times(rows: DataFrame, models: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """``X'X M`` of every language in one pass."""
+    """``X'X M`` of every language: one pass for all whose models fit a broadcast together."""
+    groups: list[dict[str, np.ndarray]] = []
+    for language, model in models.items():
+        if not groups or sum(m.nbytes for m in groups[-1].values()) + model.nbytes > _MODEL_BYTES:
+            groups.append({})
+        groups[-1][language] = model
+    result = {}
+    for group in groups:
+        mine = rows if len(groups) == 1 else rows.where(F.col("language").isin(list(group)))
+        result.update(_gram_pass(mine, group))
+    return result
+
+
+def _gram_pass(rows: DataFrame, models: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     spark = rows.sparkSession
     width = max(m.shape[1] for m in models.values())
     shared = spark.sparkContext.broadcast(models)

@@ -54,7 +54,7 @@ def tagged_questions(spark: SparkSession, folder: str) -> DataFrame:
     tags = (
         _named_lines(spark, folder, "p_name")
         .groupBy(F.col("l_orderkey").alias("question_id"))
-        .agg(F.array_sort(F.collect_set("p_name")).alias("tags"))
+        .agg(F.sort_array(F.collect_set("p_name")).alias("tags"))
     )
     joined = questions(spark, folder).join(tags, "question_id", "left")
     return joined.withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
@@ -68,7 +68,7 @@ def survey(spark: SparkSession, folder: str) -> DataFrame:
     lines = _named_lines(spark, folder, "p_brand", "l_returnflag").join(orders, "l_orderkey")
     returned = F.when(F.col("l_returnflag") == "R", F.col("p_brand"))
     grouped = lines.groupBy("year", "respondent").agg(
-        F.array_sort(F.collect_set("p_brand")).alias("_have"), F.array_sort(F.collect_set(returned)).alias("_want")
+        F.sort_array(F.collect_set("p_brand")).alias("_have"), F.sort_array(F.collect_set(returned)).alias("_want")
     )
     listed = lambda c: F.when(F.size(c) > 0, F.array_join(c, ";"))
     return grouped.select("year", "respondent", listed("_have").alias("have"), listed("_want").alias("want"))
