@@ -44,7 +44,7 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
 def kind(type_name: str) -> str:
     t = type_name.lower()
     for group, names in {
-        "int": ("int", "long", "hugeint"), "float": ("double", "float", "decimal"), "str": ("varchar", "string"),
+        "huge": ("hugeint",), "long": ("bigint",), "int": ("int",), "float": ("double", "float", "decimal"), "str": ("varchar", "string"),
         "bool": ("bool",), "time": ("timestamp", "date"),
     }.items():
         if any(n in t for n in names):

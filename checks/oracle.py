@@ -297,9 +297,9 @@ ORACLE = {
             ("score", "o_totalprice"), ("view_count", "CAST(o_custkey AS DOUBLE)"), ("year", "CAST(year(o_orderdate) AS DOUBLE)"),
         )
     ),
-    "null_profile": f"""WITH {V} SELECT * FROM (SELECT 'want' AS column, count_if(want IS NULL) AS nulls FROM v) WHERE nulls > 0""",
+    "null_profile": f"""WITH {V} SELECT * FROM (SELECT 'want' AS column, CAST(count_if(want IS NULL) AS BIGINT) AS nulls FROM v) WHERE nulls > 0""",
     "count_pivot": f"WITH {Q0} SELECT year, "
-    + ", ".join(f"nullif(count_if(language = '{p}'), 0) AS p{p[0]}" for p in PRIORITIES)
+    + ", ".join(f"CAST(nullif(count_if(language = '{p}'), 0) AS BIGINT) AS p{p[0]}" for p in PRIORITIES)
     + " FROM q GROUP BY 1",
     "box_stats": """WITH x AS (SELECT event_type AS language, least(greatest(value, -5), 20) AS value FROM events),
         b AS (SELECT language, quantile_cont(value, 0.25) AS q1, median(value) AS median, quantile_cont(value, 0.75) AS q3 FROM x GROUP BY 1),
@@ -307,7 +307,7 @@ ORACLE = {
         SELECT language, round_even(q1, 6) AS q1, round_even(median, 6) AS median, round_even(q3, 6) AS q3,
           round_even(min(value) FILTER (WHERE value BETWEEN lo AND hi), 6) AS whisker_low,
           round_even(max(value) FILTER (WHERE value BETWEEN lo AND hi), 6) AS whisker_high,
-          count_if(NOT value BETWEEN lo AND hi) AS outliers
+          CAST(count_if(NOT value BETWEEN lo AND hi) AS BIGINT) AS outliers
         FROM x JOIN r USING (language) GROUP BY language, q1, median, q3""",
     "cluster_quality": """WITH x AS (SELECT CAST(vec_id % 3 AS VARCHAR) AS language, CASE WHEN label = 0 THEN -1 ELSE label END AS c FROM embeddings)
         SELECT language, count(DISTINCT c) FILTER (WHERE c <> -1) AS n_clusters,

@@ -77,7 +77,8 @@ def _payload_tags(spark, d):
 
 
 def trends_payload(spark, d):
-    p = payload.trends_payload(_trends(spark, d), _payload_tags(spark, d), a.languages(spark))
+    trends = write_through(_trends(spark, d), "trends")
+    p = payload.trends_payload(trends, _payload_tags(spark, d), a.languages(spark))
     return p.select(
         "language", "display_name", "color", "total_questions",
         _listed("years", ",").alias("years"), _listed("survey_years", ",").alias("survey_years"),
@@ -87,7 +88,8 @@ def trends_payload(spark, d):
 
 
 def survey_payload(spark, d):
-    p = payload.survey_payload(survey_trend(spark, d), _payload_tags(spark, d), a.languages(spark))
+    asked = write_through(survey_trend(spark, d), "survey")
+    p = payload.survey_payload(asked, _payload_tags(spark, d), a.languages(spark))
     return p.select(
         "language", "display_name", "color", "total_questions", _listed("years", ",").alias("years"),
         _figures("usage_pct").alias("usage_pct"), _figures("want_pct").alias("want_pct"),

@@ -46,9 +46,10 @@ def survey_trend(survey: DataFrame, names: dict[str, str] | None = None) -> Data
     keys = list(names)
 
     def named(column: str, name: str) -> Column:
-        return F.sum(F.array_contains(F.split(column, ";"), name).cast("long"))
+        return F.sum(F.array_contains(column, name).cast("long"))
 
-    per_year = survey.groupBy("year").agg(
+    answers = survey.select("year", F.split("have", ";").alias("have"), F.split("want", ";").alias("want"))
+    per_year = answers.groupBy("year").agg(
         F.count("have").alias("respondents"),
         F.count("want").alias("_wanting"),
         *[named("have", names[k]).alias(f"_have_{i}") for i, k in enumerate(keys)],
