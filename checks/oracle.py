@@ -71,9 +71,9 @@ def figures(value: str, order: str = "year") -> str:
 # --- texts ---------------------------------------------------------------------------
 
 def unescape(text: str) -> str:
-    """The entities found in the supplied pages; the ampersand comes last."""
-    for entity, char in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&lt;", "<"), ("&amp;", "&")):
-        text = f"replace({text}, {quoted(entity)}, {quoted(char)})"
+    """The entities found in the supplied pages, also cut off before their semicolon; the ampersand comes last."""
+    for name, char in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("lt", "<"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', {quoted(char)}, 'g')"
     return text
 
 

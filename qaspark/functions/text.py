@@ -29,8 +29,11 @@ def collapse_whitespace(c: Column | str) -> Column:
 
 # --- HTML -----------------------------------------------------------------------
 
-_ENTITY = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[^\t\n\f <&#;]{1,32};?"
-_PIECES = rf"(?s)({_ENTITY}|[^&]+|&)"
+_NUMBER = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?"
+# In titles a name runs up to the next separator and may match by its beginning; in markup it is
+# a word and matches as a whole.
+_IN_TITLE = rf"(?s)({_NUMBER}|&[^\t\n\f <&#;]{{1,32}};?|[^&]+|&)"
+_IN_MARKUP = rf"(?s)({_NUMBER}|&[a-zA-Z][-.a-zA-Z0-9]*;?|[^&]+|&)"
 
 # HTML names that may stand without a semicolon, longest first, as one alternation.
 _OPEN_NAMES = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
@@ -66,7 +69,7 @@ def _decode_number(piece: Column) -> Column:
     )
 
 
-def _decode_piece(piece: Column) -> Column:
+def _decode_piece(piece: Column, by_beginning: bool) -> Column:
     names = _literal_map(html.entities.html5)
     common = _literal_map({n: html.entities.html5[n] for n in ("amp;", "lt;", "gt;", "quot;", "nbsp;")})
     # A map is searched from its start: most entities are found in the short one.
@@ -80,15 +83,16 @@ def _decode_piece(piece: Column) -> Column:
     return (
         F.when(~piece.startswith("&") | (F.length(piece) < 2), piece)
         .when(piece.rlike("^&#"), _decode_number(piece))
-        .otherwise(F.coalesce(exact, by_prefix, piece))
+        .otherwise(F.coalesce(exact, by_prefix, piece) if by_beginning else F.coalesce(exact, piece))
     )
 
 
-def unescape_html(c: Column | str) -> Column:
+def unescape_html(c: Column | str, in_markup: bool = False) -> Column:
     """Decode every HTML entity exactly once (``&amp;lt;`` becomes ``&lt;``)."""
     c = _col(c)
-    pieces = F.regexp_extract_all(c, F.lit(_PIECES), 0)
-    return F.when(F.instr(c, "&") > 0, F.array_join(F.transform(pieces, _decode_piece), "")).otherwise(c)
+    pieces = F.regexp_extract_all(c, F.lit(_IN_MARKUP if in_markup else _IN_TITLE), 0)
+    decoded = F.transform(pieces, lambda piece: _decode_piece(piece, not in_markup))
+    return F.when(F.instr(c, "&") > 0, F.array_join(decoded, "")).otherwise(c)
 
 
 def html_to_text(c: Column | str) -> Column:
@@ -102,7 +106,7 @@ def html_to_text(c: Column | str) -> Column:
         r"<!?/?[A-Za-z][^>]*>",
     ):
         c = F.regexp_replace(c, pattern, " ")
-    return collapse_whitespace(unescape_html(c))
+    return collapse_whitespace(unescape_html(c, in_markup=True))
 
 
 def clean_body(c: Column | str) -> Column:

@@ -46,6 +46,11 @@ def test_unescape_of_random_text(spark, texts):
     assert {r.x: r.y for r in rows} == {c: html.unescape(c) for c in texts}
 
 
+def test_names_in_markup_match_as_a_whole(spark):
+    page = "<p>&copy 2024, &ethand &amp;lt; &hearts;&unknown; &lt;x&gt</p>"
+    assert one(spark, page, text.html_to_text("x")) == "© 2024, &ethand &lt; ♥&unknown; <x>"
+
+
 def test_strip_knows_all_white_space(spark):
     assert one(spark, " \n\t a b 　 ", text.strip("x")) == "a b"
 
