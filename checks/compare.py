@@ -54,7 +54,10 @@ def kind(type_name: str) -> str:
 
 def compare(spark, con, folder: str, name: str) -> str | None:
     """What differs, or None."""
-    df = QUERIES[name](spark, folder)
+    return difference(QUERIES[name](spark, folder), con, name)
+
+
+def difference(df, con, name: str) -> str | None:
     ours = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if name not in ORACLE:
         return None if ours else "no rows"

@@ -218,16 +218,23 @@ def density_clusters(
     layout = lay_out(points)
     near = nearest_neighbors(layout, min_samples)
     cores = write_through(core_distances(points, near, min_samples), "cores")
-    tree = spanning_tree(layout, near, cores)
-    members, clusters = condense(points, cores, tree, min_cluster_size)
+    labels = label_points(points, cores, spanning_tree(layout, near, cores), min_cluster_size)
+    labelled = write_through(points.join(labels, ["language", "pid"]).select("language", "vector", "cluster_id"), "labelled")
+    return vectors.join(labelled, ["language", "vector"]).select("language", "doc_id", "cluster_id")
+
+
+def label_points(
+    points: DataFrame, cores: DataFrame, tree: DataFrame, min_cluster_size: int, per_step: int = EDGES_PER_STEP
+) -> DataFrame:
+    """``(language, pid, cluster_id)`` from the spanning tree of the points."""
+    members, clusters = condense(points, cores, tree, min_cluster_size, per_step)
     chosen = members.join(_chosen_clusters(clusters), ["language", "cluster"], "left").select("language", "pid", "mult", "chosen")
     sizes = chosen.where(F.col("chosen").isNotNull()).groupBy("language", "chosen").agg(
         F.sum("mult").alias("_n"), F.min("pid").alias("_first")
     )
+    # One row per cluster is ranked.
     order = Window.partitionBy("language").orderBy(F.desc("_n"), "_first")
     numbers = sizes.select("language", "chosen", (F.row_number().over(order) - 1).cast("int").alias("_number"))
-    labels = chosen.join(numbers, ["language", "chosen"], "left").select(
+    return chosen.join(numbers, ["language", "chosen"], "left").select(
         "language", "pid", F.coalesce("_number", F.lit(-1)).alias("cluster_id")
     )
-    labelled = write_through(points.join(labels, ["language", "pid"]).select("language", "vector", "cluster_id"), "labelled")
-    return vectors.join(labelled, ["language", "vector"]).select("language", "doc_id", "cluster_id")

@@ -57,10 +57,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str,
     targets = (
         histogram.select("*", F.explode(F.filter(asked, lambda s: s["m"] == F.col("_m"))).alias("_a"))
         .withColumn("_at", F.col("_a.p") * last)
-        .select("*", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_k"))
+        .select("*", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))).alias("_k"))
         .where((F.col("_before") <= F.col("_k")) & (F.col("_k") < F.col("_before") + F.col("_h")))
         .select(*group, "_b", "_before", F.col("_a.q").alias("_q"), "_k", (F.col("_at") - F.floor("_at")).alias("_f"))
-        .distinct()
     )
     inside = Window.partitionBy(*group, "_b", "_q", "_k").orderBy("_v")
     found = (

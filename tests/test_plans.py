@@ -7,21 +7,10 @@ from qaspark.operators import graph, trend
 from qaspark.sources import adapters
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = {"betweenness", "betweenness_unweighted", "network_centrality", "communities", "mst", "density_clusters", "svd_energy",
-         "text_clusters", "core_distance", "mutual_reachability"}
-
-
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
-def test_no_cross_join(spark, name):
-    plan = plan_of(QUERIES[name](spark, FOLDER))
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-
-
 @pytest.mark.parametrize("name", ["dedupe_first", "latest_within_ttl", "sample_per_year", "representatives", "top_tags", "top_cotags"])
 def test_top_rows_are_cut_before_the_shuffle(spark, name):
     plan = plan_of(QUERIES[name](spark, FOLDER))

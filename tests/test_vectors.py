@@ -151,52 +151,61 @@ def clouds(seed):
     return x[rng.permutation(len(x))]
 
 
-def test_density_clusters_against_plain_version(spark):
+@pytest.fixture(scope="module")
+def built(spark):
+    """All data sets as languages of one run: clouds, many cells, copies, tiny groups."""
+    rng = np.random.default_rng(8)
     data = {f"s{seed}": clouds(seed) for seed in (1, 2, 3)}
+    data["cells"] = np.vstack([rng.normal(c, 0.5, (150, 6)) for c in rng.uniform(-6, 6, (5, 6))])
+    # A good half are copies of one vector.
+    data["copies"] = np.vstack([np.zeros((40, 2)), rng.normal(5, 0.3, (30, 2)), rng.uniform(20, 90, (5, 2))])
+    data["few"] = np.arange(8.0).reshape(4, 2)
+    data["single"] = np.ones((1, 2))
+    data["same"] = np.ones((2, 2))
     df = spark.createDataFrame([(k, i, [float(v) for v in r]) for k, x in data.items() for i, r in enumerate(x)], VECTORS)
-    found = {(r.language, r.doc_id): r.cluster_id for r in density.density_clusters(df.repartition(6), 10, 3).collect()}
-    for k, x in data.items():
-        assert [found[k, i] for i in range(len(x))] == list(brute_labels(x, 10, 3)), k
-    assert max(found.values()) >= 2
-
-
-def test_tree_in_steps_gives_the_same_clusters(spark):
-    x = clouds(4)
-    df = spark.createDataFrame([("s", i, [float(v) for v in r]) for i, r in enumerate(x)], VECTORS)
-    points = write_through(density.distinct_points(df))
+    points = write_through(density.distinct_points(df.repartition(6)))
     layout = neighbors.lay_out(points)
     near = neighbors.nearest_neighbors(layout, 3)
     cores = write_through(neighbors.core_distances(points, near, 3))
-    tree = neighbors.spanning_tree(layout, near, cores)
+    return data, points, layout, near, cores, neighbors.spanning_tree(layout, near, cores)
 
-    def groups(per_step):
-        members, clusters = density.condense(points, cores, tree, 10, per_step)
-        chosen = members.join(density._chosen_clusters(clusters), ["language", "cluster"], "left")
-        by = {}
-        for r in chosen.collect():
-            by.setdefault(r.chosen, set()).add(r.pid)
-        by.pop(None, None)
-        return sorted(sorted(g) for g in by.values())
 
-    assert len(groups(500_000)) >= 2
-    assert groups(60) == groups(500_000)
+def labels_of(built, per_step=density.EDGES_PER_STEP):
+    _, points, _, _, cores, tree = built
+    return {(r.language, r.pid): r.cluster_id for r in density.label_points(points, cores, tree, 10, per_step).collect()}
 
 
-def test_neighbors_and_tree_across_many_cells(spark):
-    rng = np.random.default_rng(8)
-    x = np.vstack([rng.normal(c, 0.5, (150, 6)) for c in rng.uniform(-6, 6, (5, 6))])
+def test_density_clusters_against_plain_version(built):
+    data, labels = built[0], labels_of(built)
+    for k in ("s1", "s2", "s3", "cells"):
+        assert [labels[k, i] for i in range(len(data[k]))] == list(brute_labels(data[k], 10, 3)), k
+    assert max(labels.values()) >= 2
+
+
+def test_hierarchy_in_steps_gives_the_same_clusters(built):
+    assert labels_of(built, per_step=300) == labels_of(built)
+
+
+def test_copies_and_tiny_groups(built):
+    labels = labels_of(built)
+    assert labels["copies", 0] == 0 and not any(("copies", i) in labels for i in range(1, 40))
+    assert {labels["copies", i] for i in range(40, 70)} == {1}
+    assert {labels["copies", i] for i in range(70, 75)} == {-1}
+    assert {v for (k, _), v in labels.items() if k in ("few", "single", "same")} == {-1}
+
+
+def test_neighbors_and_tree_across_many_cells(built):
+    data, _, layout, near, cores, tree = built
+    x = data["cells"]
+    assert len(layout.pivots["cells"]) > 5
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
-    df = spark.createDataFrame([("s", i, [float(v) for v in r]) for i, r in enumerate(x)], VECTORS)
-    points = write_through(density.distinct_points(df))
-    layout = neighbors.lay_out(points)
-    assert len(layout.pivots["s"]) > 5
-    near = neighbors.nearest_neighbors(layout, 3)
     got = {}
-    for r in near.collect():
+    for r in near.where("language = 'cells'").collect():
         got.setdefault(r.pid, []).append(r.d)
     assert all(sorted(got[i]) == pytest.approx(list(np.sort(d[i])[1:4])) for i in range(len(x)))
-    cores = write_through(neighbors.core_distances(points, near, 3))
     core = np.sort(d, axis=1)[:, 3]
+    found = {r.pid: r.core for r in cores.where("language = 'cells'").collect()}
+    assert [found[i] for i in range(len(x))] == pytest.approx(list(core))
     m = np.maximum(d, np.maximum(core[:, None], core[None]))
     inside, best, total = np.zeros(len(x), bool), np.full(len(x), np.inf), 0.0
     best[0] = 0
@@ -205,25 +214,10 @@ def test_neighbors_and_tree_across_many_cells(spark):
         total += best[i]
         inside[i] = True
         best = np.minimum(best, m[i])
-    n, weight = neighbors.spanning_tree(layout, near, cores).agg(F.count("*"), F.sum("w")).first()
+    n, weight = tree.where("language = 'cells'").agg(F.count("*"), F.sum("w")).first()
     assert n == len(x) - 1 and weight == pytest.approx(total)
 
 
-def test_copies_and_small_groups(spark):
-    rng = np.random.default_rng(3)
-    rows = [("x", i, [0.0, 0.0]) for i in range(40)]  # a third and more are copies of one vector
-    rows += [("x", 100 + i, [float(v) for v in rng.normal(5, 0.3, 2)]) for i in range(30)]
-    rows += [("x", 200 + i, [float(v) for v in rng.uniform(20, 90, 2)]) for i in range(5)]
-    rows += [("few", i, [float(i), 0.0]) for i in range(4)] + [("single", 1, [1.0, 1.0]), ("same", 1, [1.0]), ("same", 2, [1.0])]
-    df = spark.createDataFrame(rows, VECTORS)
-    found = {(r.language, r.doc_id): r.cluster_id for r in density.density_clusters(df, 10, 3).collect()}
-    assert len(found) == len(rows)
-    assert {found["x", i] for i in range(40)} == {0}
-    assert {found["x", 100 + i] for i in range(30)} == {1}
-    assert {found["x", 200 + i] for i in range(5)} == {-1}
-    assert {v for (k, _), v in found.items() if k in ("few", "single", "same")} == {-1}
-
-
 def test_clustering_can_be_switched_off(spark):
     df = spark.createDataFrame([("x", 1, [1.0])], VECTORS)
     assert density.density_clusters(df, method="none").first().cluster_id == 0
