@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def build_session(app_name: str = "qaspark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library expects; ``conf`` overrides any of them."""
@@ -28,21 +25,19 @@ def build_session(app_name: str = "qaspark", master: str | None = None, **conf:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by the cluster, or a temporary one in local mode only."""
+    """The shared folder named by the cluster; where none is named, one beside the session's own stored tables."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="qaspark-")
-    return _local_folders[app]
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Remove a superseded intermediate table from whatever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_through(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` to the checkpoint folder and return the table read back.
+    """Write ``df`` to the checkpoint folder and return the table read back. Runs a job at once.
 
     The result has no lineage, survives the loss of executors and has an exact size on
     disk, so Spark's own ``autoBroadcastJoinThreshold`` can decide on a broadcast.
