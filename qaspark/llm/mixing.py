@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from qaspark.session import write_through
+
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -57,7 +59,7 @@ def mix(
     share: float = 1.5,
     most: float = 2.0,
     seed: str = "mix",
-    rows_per_stretch: int = 100_000,
+    rows_per_stretch: int = 5_000,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
@@ -75,6 +77,7 @@ def mix(
         word_count(F.col(text_col)).alias("size"),
         F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("_key"),
     )
+    sized = write_through(sized, "sizes")  # texts are read and counted once; four small columns go on
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     sources = targets(sources, weights, share, most).withColumn("budget", F.round("target").cast("long"))
     sources = sources.withColumn("_stretches", F.ceil(F.col("_rows") / rows_per_stretch).cast("double")).withColumnRenamed("source", "_source")

@@ -22,6 +22,37 @@ WITH {_LINES}
 SELECT d.doc_id, CASE WHEN j.cut THEN j.hits ELSE 0 END::BIGINT AS n_removed,
        CASE WHEN j.cut AND j.hits > 0 THEN coalesce(j.rest, '') ELSE d.text END AS text
 FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id
+""",
+    "op4_minhash": r"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(generate_series(1, len(w) - 3), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM tokens
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.x, reach.r FROM reach JOIN links l ON l.y = reach.doc_id WHERE reach.r < l.x)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) m ON m.doc_id = d.doc_id
+""",
+    "op6_impact_search": """
+WITH fine AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM scored) WHERE rank <= 20
 """,
     "op8_mixing": r"""
 WITH sized AS (

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaspark.llm import language_id, line_dedup, mixing
+from qaspark.llm import collision_search, impact_search, language_id, line_dedup, minhash, mixing
 from qaspark.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -21,6 +21,14 @@ def embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/embeddings.parquet")
 
 
+def _every_20th() -> Column:
+    return F.col("id") % 20 == 0
+
+
+def op1_collision_search(spark: SparkSession, folder: str) -> DataFrame:
+    return collision_search.nearest(embeddings(spark, folder), _every_20th())
+
+
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text", "lang")
     held = F.coalesce(language_id.remainder(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -32,12 +40,23 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.remove_boilerplate(documents(spark, folder).select("doc_id", "text", "source")).select("doc_id", "n_removed", "text")
 
 
+def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, folder).select("doc_id", "text"), n=4)
+
+
+def op6_impact_search(spark: SparkSession, folder: str) -> DataFrame:
+    return impact_search.top_k(embeddings(spark, folder), _every_20th())
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_collision_search": op1_collision_search,
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
+    "op4_minhash": op4_minhash,
+    "op6_impact_search": op6_impact_search,
     "op8_mixing": op8_mixing,
 }
