@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaspark.llm import collision_search, impact_search, language_id, line_dedup, minhash, mixing
+from qaspark.llm import collision_search, impact_search, language_id, line_dedup, minhash, mixing, packing, token_frames
 from qaspark.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -44,10 +45,19 @@ def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, folder).select("doc_id", "text"), n=4)
 
 
+def op5_token_frames(spark: SparkSession, folder: str) -> DataFrame:
+    files = token_frames.write_tokens(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_frames.read_tokens(files).drop("ids")
+
+
 def op6_impact_search(spark: SparkSession, folder: str) -> DataFrame:
     return impact_search.top_k(embeddings(spark, folder), _every_20th())
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -57,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op4_minhash": op4_minhash,
+    "op5_token_frames": op5_token_frames,
     "op6_impact_search": op6_impact_search,
+    "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
 }
