@@ -81,5 +81,24 @@ SELECT doc_id, size, source_size, target,
        (CASE WHEN source_size = 0 THEN 0
              ELSE size * (budget // source_size) + least(greatest(budget % source_size - before, 0), size) END)::BIGINT AS taken
 FROM running
+""",
+    "op9_passages": r"""
+WITH tokens AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM tokens WHERE len(w) >= 13)
+),
+firsts AS (SELECT s, min(doc_id) AS first_id FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, i + j AS p
+  FROM (SELECT v.doc_id, v.i, unnest(generate_series(0, 12)) AS j FROM windows v JOIN firsts f ON v.s = f.s AND f.first_id < v.doc_id)
+),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM tokens),
+kept AS (
+  SELECT w.doc_id, count(g.p) AS n, string_agg(w.word, ' ' ORDER BY w.p) FILTER (g.p IS NULL) AS rest
+  FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.p = g.p GROUP BY w.doc_id
+)
+SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(k.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.rest, '')) AS kept_sha256
+FROM tokens t LEFT JOIN kept k ON k.doc_id = t.doc_id
 """,
 }

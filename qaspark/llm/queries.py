@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaspark.llm import collision_search, impact_search, language_id, line_dedup, minhash, mixing, packing, token_frames
+from qaspark.llm import collision_search, impact_search, language_id, line_dedup, minhash, mixing, packing, passages, token_frames
 from qaspark.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -62,6 +62,11 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
+    cut = passages.remove_passages(documents(spark, folder))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_search": op1_collision_search,
     "op2_language_id": op2_language_id,
@@ -71,4 +76,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_impact_search": op6_impact_search,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
+    "op9_passages": op9_passages,
 }
