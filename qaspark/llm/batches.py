@@ -25,14 +25,14 @@ QUESTION = "bucket int, batch long, keys binary, numbers binary"
 ANSWER = "batch long, bucket int, answer binary"
 
 
-def pack_batches(docs: DataFrame, id_col: str, text_col: str, limit: int = BATCH_BYTES) -> tuple[DataFrame, int]:
+def pack_batches(docs: DataFrame, id_col: str, text_col: str, id_type: str = "long", limit: int = BATCH_BYTES) -> tuple[DataFrame, int]:
     """``batch, blob`` rows of about ``limit`` bytes of whole texts, written to the shared folder, and the bytes of all texts."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
 
         def finish() -> pa.RecordBatch:
-            table = pa.record_batch({"id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_binary())})
+            table = pa.record_batch({"id": pa.array(ids, pa.string() if id_type == "string" else pa.int64()), "text": pa.array(texts, pa.large_binary())})
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema) as out:
                 out.write_batch(table)
@@ -50,7 +50,7 @@ def pack_batches(docs: DataFrame, id_col: str, text_col: str, limit: int = BATCH
         if ids:
             yield finish()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast(id_type).alias("id"), F.col(text_col).cast("string").alias("text"))
     packed, seen = measured_write(rows.mapInArrow(pack, "batch long, bytes long, blob binary"), "batches", bytes=F.coalesce(F.sum("bytes"), F.lit(0)))
     return packed.select("batch", "blob"), seen["bytes"]
 

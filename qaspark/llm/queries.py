@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaspark.llm import collision_search, impact_search, language_id, line_dedup, minhash, mixing, packing, passages, token_frames
+from qaspark.llm import class_model, collision_search, impact_search, language_id, line_dedup, minhash, mixing, packing, passages, token_frames
 from qaspark.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -67,6 +67,10 @@ def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_class_model(spark: SparkSession, folder: str) -> DataFrame:
+    return class_model.score_texts(documents(spark, folder), language_id.remainder(F.col("doc_id"), 5) == 1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_search": op1_collision_search,
     "op2_language_id": op2_language_id,
@@ -77,4 +81,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
     "op9_passages": op9_passages,
+    "op10_class_model": op10_class_model,
 }
