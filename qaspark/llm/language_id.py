@@ -15,11 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from qaspark.llm.components import sized
+from qaspark.session import measured_write
+
 ORDERS = (1, 2, 3)
 BITS = 15
 BLOCK_CHARS = 1 << 20
 MOST_MODEL_BYTES = 256 << 20
 _SCALE = 1 << 16
+_SALTS = 32
 _LETTER = np.array([chr(i).isalpha() for i in range(0x3000)])
 
 
@@ -90,7 +94,7 @@ def _text_blocks(texts: list[str | None]):
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows_per_language: int = 4000, bits: int = BITS, alpha: float = 0.5) -> dict:
-    """Fit the model on at most ``rows_per_language`` labelled rows of each language, in hash order of their id.
+    """Fit the model on at most ``rows_per_language`` labelled rows of each language, chosen by hashes of their id.
 
     Rows without text or language take no part; a language without any n-gram is left out. Returns
     ``{"languages": [...], "weights": int32 array (languages, 2**bits)}``, empty without labelled rows. The model has a proven size, 4 * 2**bits bytes per language; above
@@ -98,10 +102,12 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    # The cut is made on ids alone; texts are fetched for the chosen rows.
-    chosen = rows.select("id", "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= rows_per_language)
-    picked = rows.join(chosen.select("id").distinct(), "id", "left_semi").select("lang", "text")
+    salt = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(_SALTS))
+    order = Window.partitionBy("lang", salt).orderBy(F.xxhash64("id"), "id")
+    # The cut is made on ids alone, in salted parts; texts are fetched for the chosen rows.
+    chosen = rows.select("id", "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= max(1, rows_per_language // _SALTS))
+    ids, seen = measured_write(chosen.select("id").distinct(), "training-ids", rows=F.count(F.lit(1)))
+    picked = rows.join(sized(ids, seen["rows"]), "id", "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

@@ -65,14 +65,14 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: f
     found = write_through(boilerplate(docs, min_sites, lg_k, near, id_col, text_col, site_col).select("line"), "boilerplate")
     salted = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     hits = lines(docs, id_col, text_col, site_col).select("id", "line").withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int"))
-    hits = hits.join(salted, ["line", "_salt"], "left_semi").groupBy("id").agg(F.collect_set("line").alias("_drop"))
-    joined = docs.drop("n_removed").join(hits.withColumnRenamed("id", "_id"), F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    hits = hits.join(salted, ["line", "_salt"], "left_semi").groupBy("id").agg(F.collect_set("line").alias("__site_drop"))
+    joined = docs.drop("n_removed").join(hits.withColumnRenamed("id", "__site_id"), F.col(id_col).eqNullSafe(F.col("__site_id")), "left")
     parts = F.split(F.col(text_col), "\n")
-    marked = F.transform(parts, lambda x: F.struct(x.alias("line"), F.coalesce(F.array_contains("_drop", _line_key(x)), F.lit(False)).alias("hit"), F.length(F.trim(x, F.lit(_BLANKS))).alias("n")))
-    joined = joined.withColumn("_parts", F.when(F.col("_drop").isNotNull(), marked))
-    total = F.aggregate("_parts", F.lit(0), lambda a, x: a + x["n"])
-    hit = F.aggregate("_parts", F.lit(0), lambda a, x: a + F.when(x["hit"], x["n"]).otherwise(F.lit(0)))
-    joined = joined.withColumn("_cut", F.col("_parts").isNotNull() & (hit <= total * F.lit(max_share)))
-    left = F.array_join(F.transform(F.filter("_parts", lambda x: ~x["hit"]), lambda x: x["line"]), "\n")
-    removed = F.when(F.col("_cut"), F.size(F.filter("_parts", lambda x: x["hit"]))).otherwise(F.lit(0)).cast("long")
-    return joined.select(*[F.when(F.col("_cut"), left).otherwise(F.col(text_col)).alias(text_col) if n == text_col else F.col(f"`{n}`") for n in names], removed.alias("n_removed"))
+    marked = F.transform(parts, lambda x: F.struct(x.alias("line"), F.coalesce(F.array_contains("__site_drop", _line_key(x)), F.lit(False)).alias("hit"), F.length(F.trim(x, F.lit(_BLANKS))).alias("n")))
+    joined = joined.withColumn("__site_parts", F.when(F.col("__site_drop").isNotNull(), marked))
+    total = F.aggregate("__site_parts", F.lit(0), lambda a, x: a + x["n"])
+    hit = F.aggregate("__site_parts", F.lit(0), lambda a, x: a + F.when(x["hit"], x["n"]).otherwise(F.lit(0)))
+    joined = joined.withColumn("__site_cut", F.col("__site_parts").isNotNull() & (hit <= total * F.lit(max_share)))
+    left = F.array_join(F.transform(F.filter("__site_parts", lambda x: ~x["hit"]), lambda x: x["line"]), "\n")
+    removed = F.when(F.col("__site_cut"), F.size(F.filter("__site_parts", lambda x: x["hit"]))).otherwise(F.lit(0)).cast("long")
+    return joined.select(*[F.when(F.col("__site_cut"), left).otherwise(F.col(text_col)).alias(text_col) if n == text_col else F.col(f"`{n}`") for n in names], removed.alias("n_removed"))

@@ -139,9 +139,9 @@ def near_duplicates(
         rows_of = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         single = rows_of.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("text").alias("text"))
         found = near_duplicates(single.union(rows_of.where(F.col("doc_id").isNull())), n, percent, bands, rows)
-        known = found.where(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "_id")
+        known = found.where(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "__near_id")
         alone = found.where(F.col("doc_id").isNull())
-        return rows_of.select("doc_id").join(known, F.col("doc_id") == F.col("_id")).drop("_id").unionByName(alone)
+        return rows_of.select("doc_id").join(known, F.col("doc_id") == F.col("__near_id")).drop("__near_id").unionByName(alone)
     used = sketches.where((F.col("n") > 0) & F.col("id").isNotNull())
     # Equal sets are one class: it is its smallest id, and the copies join again at the end.
     classes = write_through(used.groupBy("n", "sum", "sum2").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("cid")), "classes")
@@ -156,8 +156,8 @@ def near_duplicates(
     ).select("id", "cid")
     links = classes.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
     if counted["rows"]:
-        wanted, ids = measured_write(members.select(F.col("cid").alias("_id")).distinct(), "wanted", rows=F.count(F.lit(1)))
-        texts = docs.join(sized(wanted, ids["rows"]), F.col(id_col).cast("long") == F.col("_id"), "left_semi")
+        wanted, ids = measured_write(members.select(F.col("cid").alias("__near_id")).distinct(), "wanted", rows=F.count(F.lit(1)))
+        texts = docs.join(sized(wanted, ids["rows"]), F.col(id_col).cast("long") == F.col("__near_id"), "left_semi")
         sets = write_through(_sets_of(texts, id_col, text_col, n), "shingles")
         near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
         for hub in ("low", "high"):
@@ -173,8 +173,8 @@ def near_duplicates(
         pairs = rest.join(other, "key").where((F.col("cid") < F.col("b")) & (F.col("comp") != F.col("other_comp")) & near)
         links = links.union(_confirmed(pairs.select(F.col("cid").alias("a"), "b").distinct(), sets, percent))
     roots = components(links)
-    grouped = same.join(roots, F.col("cid") == F.col("node"), "left").select(F.col("id").alias("_id"), F.coalesce("component", "cid").alias("component"))
-    joined = base.join(grouped, F.col("id") == F.col("_id"), "left")
+    grouped = same.join(roots, F.col("cid") == F.col("node"), "left").select(F.col("id").alias("__near_id"), F.coalesce("component", "cid").alias("component"))
+    joined = base.join(grouped, F.col("id") == F.col("__near_id"), "left")
     component = F.coalesce("component", "id")
     return joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
