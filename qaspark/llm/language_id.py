@@ -23,6 +23,7 @@ BITS = 15
 BLOCK_CHARS = 1 << 20
 MOST_MODEL_BYTES = 256 << 20
 _SCALE = 1 << 16
+_END = "\x00"
 _SALTS = 32
 _LETTER = np.array([chr(i).isalpha() for i in range(0x3000)])
 
@@ -45,16 +46,15 @@ def features(texts: list[str | None], bits: int = BITS) -> tuple[np.ndarray, np.
     Texts are lower-cased; every run of other characters than letters is one blank. N-grams (of one to three
     characters) must hold a letter.
     """
-    joined = "\x00".join(["", *[t or "" for t in texts], ""]).lower()
+    joined = "".join([f" {(t or '').replace(_END, ' ')} {_END}" for t in texts]).lower()
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    text_of = np.cumsum(codes == 0, dtype=np.int32) - 1
+    end = codes == 0
+    text_of = np.cumsum(end, dtype=np.int32)
     letter = _letters(codes)
     keep = letter.copy()
-    keep[0] = True
-    keep[1:] |= letter[:-1] | (codes[1:] == 0)
+    keep[:1] = True
+    keep[1:] |= (letter[:-1] | end[:-1]) & ~end[1:]
     codes, letter, text_of = np.where(letter, codes, np.uint32(32))[keep], letter[keep], text_of[keep]
-    if len(codes) and len(texts):
-        text_of = np.minimum(text_of, len(texts) - 1)
     found, owner = [], []
     h = np.zeros(len(codes), np.uint32)
     some = np.zeros(len(codes), bool)

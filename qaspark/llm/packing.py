@@ -44,7 +44,7 @@ class Shard:
         self.n, self.terms_of, self.term, self.weight = n, np.searchsorted(doc, np.arange(n + 1)), term, weight
         order = np.argsort(term, kind="stable")
         self.posting_doc, self.posting_weight = doc[order], weight[order]
-        self.distinct, self.posting = np.unique(term, return_index=True)
+        self.distinct, self.posting = np.unique(term[order], return_index=True)
         self.posting = np.append(self.posting, len(term))
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:

@@ -166,7 +166,9 @@ def read_tokens(files: DataFrame, wanted: list[int] | None = None) -> DataFrame:
     order = Window.orderBy("part", "number")  # one row per file
     placed = files.withColumn("before", F.sum("n_tokens").over(order) - F.col("n_tokens")).withColumn("place", F.row_number().over(order))
     if wanted is not None:
-        placed = placed.where(F.exists(F.array(*[F.lit(w) for w in wanted]), lambda w: w.between(F.col("first_id"), F.col("last_id"))) if wanted else F.lit(False))
+        low, high = F.coalesce("first_id", F.lit(_NO_ID)), F.coalesce("last_id", F.lit(_NO_ID))
+        asked = F.array(*[F.lit(w).cast("long") for w in wanted]).cast("array<long>")
+        placed = placed.where(F.exists(asked, lambda w: w.between(low, high)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
