@@ -63,6 +63,9 @@ TRENDS = f"""{YEARLY}, {SURVEY}, trends AS (SELECT year, language, sample_count,
 TOTALS = f"""{TAGS}, totals AS (SELECT l.language, coalesce(arg_min(t.count, t.language), 0) AS total_questions
   FROM langs l LEFT JOIN tag_stats t ON t.name = l.display_name GROUP BY 1)"""
 
+# The payloads know the tags by their language, whose own row comes first.
+OWN_TOTALS = TOTALS.replace("arg_min(t.count, t.language)", "arg_min(t.count, CASE WHEN t.language = l.language THEN '0' ELSE '1' END || t.language)")
+
 
 def figures(value: str, order: str = "year") -> str:
     return f"string_agg(coalesce(CAST(CAST({value} AS DECIMAL(18,3)) AS VARCHAR), 'null'), ',' ORDER BY {order})"
@@ -160,15 +163,6 @@ degree AS (SELECT language, id, degree,
   round_even(CASE WHEN count(*) OVER (PARTITION BY language) <= 1 THEN 1
     ELSE CAST(degree AS DOUBLE) / (count(*) OVER (PARTITION BY language) - 1) END, 4) AS degree_centrality FROM raw_degree)"""
 
-NODES = f"""{DEGREE}, full_nodes AS (SELECT language, id, frequency, CAST(ascii(id) % 4 AS INTEGER) AS community, degree_centrality,
-  CASE WHEN degree_centrality > 0.1 THEN degree_centrality ELSE 0 END AS betweenness_centrality
-  FROM nodes JOIN degree USING (language, id))"""
-
-TRIM = f"""{NODES}, chosen AS ({ranked("*", "full_nodes", "language", "degree_centrality DESC, id", 15, False)}),
-inner_edges AS (SELECT language, source, target, weight FROM edges
-  WHERE (language, source) IN (SELECT (language, id) FROM chosen) AND (language, target) IN (SELECT (language, id) FROM chosen))"""
-
-
 def shortest_paths(weight: str, rounds: int = 12) -> str:
     """Betweenness of every node of the graph: distances and path counts over at most ``rounds`` hops.
 
@@ -201,6 +195,18 @@ def shortest_paths(weight: str, rounds: int = 12) -> str:
     return ", ".join(steps)
 
 
+def network(weight: str = "weight") -> str:
+    """Nodes with degree, betweenness and a community given by the first letter."""
+    return f"""{DEGREE}, {shortest_paths(weight)}, full_nodes AS (SELECT language, id, frequency, CAST(ascii(id) % 4 AS INTEGER) AS community,
+  degree_centrality, betweenness_centrality FROM nodes JOIN degree USING (language, id) JOIN between_nodes USING (language, id))"""
+
+
+def trimmed(weight: str = "weight") -> str:
+    return f"""{network(weight)}, chosen AS ({ranked("*", "full_nodes", "language", "betweenness_centrality DESC, id", 15, False)}),
+inner_edges AS (SELECT language, source, target, weight FROM edges
+  WHERE (language, source) IN (SELECT (language, id) FROM chosen) AND (language, target) IN (SELECT (language, id) FROM chosen))"""
+
+
 NEAR = """pairs AS MATERIALIZED (SELECT a.vec_id, b.vec_id AS nbr,
   list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS d
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
@@ -248,7 +254,7 @@ ORACLE = {
     "mean_of_yearly": f"""WITH {YEARLY} SELECT language, round_even(avg(median_score), 6) AS mean_median_score,
         round_even(avg(answer_rate), 6) AS mean_answer_rate FROM yearly GROUP BY 1""",
     "distinct_years": f"WITH {Q0} SELECT DISTINCT year FROM q ORDER BY 1",
-    "trends_payload": f"""WITH {TRENDS}, {TOTALS},
+    "trends_payload": f"""WITH {TRENDS}, {OWN_TOTALS},
         years AS (SELECT DISTINCT year FROM trends),
         cells AS (SELECT l.language, y.year, t.* EXCLUDE (language, year) FROM langs l CROSS JOIN years y LEFT JOIN trends t
           ON t.language = l.language AND t.year = y.year)
@@ -262,11 +268,17 @@ ORACLE = {
           {figures("want_pct")} FILTER (WHERE usage_pct IS NOT NULL) AS want_pct
         FROM langs l JOIN totals s ON s.language = l.language
         JOIN cells c ON c.language = l.language GROUP BY 1, 2, 3, 4""",
-    "survey_payload": f"""WITH {SURVEY}, {TOTALS}
+    "survey_payload": f"""WITH {SURVEY}, {OWN_TOTALS}
         SELECT l.language, l.display_name, coalesce(l.color, '#888888') AS color, s.total_questions,
           string_agg(CAST(year AS VARCHAR), ',' ORDER BY year) AS years,
           {figures("usage_pct")} AS usage_pct, {figures("want_pct")} AS want_pct
         FROM langs l JOIN totals s ON s.language = l.language JOIN survey v ON v.language = l.language GROUP BY 1, 2, 3, 4""",
+    "survey_files": f"""WITH {V} SELECT year, array_to_string(have, ';') AS have,
+        CASE WHEN year <> 1998 THEN array_to_string(want, ';') END AS want FROM v""",
+    "landed_pages": f"""WITH {Q0} SELECT question_id, language, year, CAST(creation_date AS TIMESTAMP) AS creation_date,
+        CAST(trunc(score) AS BIGINT) AS score, view_count, is_answered, 'a|' || language AS tags FROM q""",
+    "stored_table": f"WITH {Q0} SELECT question_id, language, year, creation_date, score, view_count, is_answered FROM q",
+    "stored_documents": f"""WITH {FREQUENCY} {ranked("language, tag, frequency", "frequency", "language", "frequency DESC, tag", 20, False)}""",
     "clean_questions": f"""WITH {CLEANED} SELECT question_id, title, array_to_string(tags, '|') AS tags, language, event_id FROM cleaned""",
     "cleaning_report": f"""WITH {CLEANED} SELECT (SELECT count(*) FROM raw) AS n_before, count(*) AS n_after,
         (SELECT count(*) FROM raw) - count(*) AS n_dropped FROM cleaned""",
@@ -349,20 +361,24 @@ ORACLE = {
     "cooccurrence_edges": f"WITH {GRAPH} SELECT * FROM edges",
     "degree_centrality": f"WITH {DEGREE} SELECT * FROM degree",
     "neighbors": f"WITH {GRAPH} SELECT DISTINCT language, id, other AS neighbor FROM sides",
-    "network_nodes": f"WITH {NODES} SELECT * FROM full_nodes",
-    "top_nodes": f"WITH {NODES} {ranked('language, id, degree_centrality', 'full_nodes', 'language', 'degree_centrality DESC, id', 10)}",
-    "trim_network": f"WITH {TRIM} SELECT * FROM inner_edges",
-    "network_summary": f"""WITH {NODES}, e AS (SELECT language, count(*) AS edges FROM edges GROUP BY 1)
+    "network_nodes": f"WITH {network()} SELECT * FROM full_nodes",
+    "top_nodes": f"WITH {network()} {ranked('language, id, betweenness_centrality', 'full_nodes', 'language', 'betweenness_centrality DESC, id', 10)}",
+    "trim_network": f"WITH {trimmed()} SELECT * FROM inner_edges",
+    "trim_unweighted": f"WITH {trimmed('1')} SELECT * FROM inner_edges",
+    "network_summary": f"""WITH {network()}, e AS (SELECT language, count(*) AS edges FROM edges GROUP BY 1)
         SELECT language, count(*) AS nodes, any_value(e.edges) AS edges, count(DISTINCT community) AS communities
         FROM full_nodes JOIN e USING (language) GROUP BY 1""",
-    "community_profile": f"""WITH {NODES}, best AS ({ranked("language, community, id, frequency", "full_nodes", "language, community",
+    "community_profile": f"""WITH {network()}, best AS ({ranked("language, community, id, frequency", "full_nodes", "language, community",
         "frequency DESC, id", 5)}), sizes AS (SELECT language, community, count(*) AS size FROM full_nodes GROUP BY 1, 2)
         SELECT language, community, any_value(size) AS size, string_agg(id || '(' || frequency || ')', ', ' ORDER BY rank) AS members
         FROM best JOIN sizes USING (language, community) GROUP BY 1, 2""",
-    "network_payload": f"""WITH {TRIM}, n AS (SELECT language, string_agg(id || ':' || frequency || ':' || community || ':' ||
-          CAST(CAST(degree_centrality AS DECIMAL(18,4)) AS VARCHAR), '|' ORDER BY id) AS nodes FROM chosen GROUP BY 1),
+    "network_payload": f"""WITH {trimmed()}, n AS (SELECT language, string_agg(id || ':' || frequency || ':' || community || ':' ||
+          CAST(CAST(degree_centrality AS DECIMAL(18,4)) AS VARCHAR) || ':' || CAST(CAST(betweenness_centrality AS DECIMAL(18,4)) AS VARCHAR),
+          '|' ORDER BY id) AS nodes FROM chosen GROUP BY 1),
+        c AS (SELECT language, string_agg('コミュニティ ' || community, '|' ORDER BY community) AS communities
+          FROM (SELECT DISTINCT language, community FROM chosen) GROUP BY 1),
         l AS (SELECT language, string_agg(source || ':' || target || ':' || weight, '|' ORDER BY source, target) AS links FROM inner_edges GROUP BY 1)
-        SELECT language, nodes, links FROM n LEFT JOIN l USING (language)""",
+        SELECT language, nodes, links, communities FROM n LEFT JOIN l USING (language) JOIN c USING (language)""",
     "display_scales": f"""WITH {GRAPH}, s AS (SELECT language, id AS item, 'radius' AS scale,
           5 + least(greatest((sqrt(frequency) - 1) / (sqrt(max(frequency) OVER (PARTITION BY language)) - 1), 0), 1) * 25 AS value FROM nodes
         UNION ALL SELECT language, source || ' - ' || target, 'width',

@@ -6,17 +6,22 @@ engines can be compared value by value.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qaspark.fixed_values import SURVEY_FILE_NAMES, SURVEY_HAVE_COLUMN, SURVEY_WANT_COLUMN
 from qaspark.functions import text
 from qaspark.functions.numbers import round_even
 from qaspark.operators import centrality, cleaning, communities as community, density, graph, neighbors as near, patterns
 from qaspark.operators import payload, profile, tfidf, trend, vectors
 from qaspark.plans.micro import text_clusters as cluster_texts
-from qaspark.session import write_through
+from qaspark.session import checkpoint_folder, write_through
 from qaspark.sources import adapters as a
-from qaspark.sources.responses import latest_within_ttl
+from qaspark.sources.responses import latest_within_ttl, read_questions
+from qaspark.sources.survey import read_survey
+from qaspark.sources.tables import read_table, write_documents, write_table
 
 # The supplied documents hold no programming errors; this pattern hits their words.
 WORD_PATTERNS = ["[A-Z][a-z]+tion", "[A-Z][a-z]+ent"]
@@ -96,6 +101,54 @@ def survey_payload(spark, d):
     )
 
 
+# --- stored and read back ------------------------------------------------------------
+
+def _place(spark, name):
+    return f"{checkpoint_folder(spark)}/qaspark/{name}-{uuid.uuid4().hex}"
+
+
+def survey_files(spark, d):
+    """The survey as one CSV per year under either name, one year without the wish column, read as one table."""
+    root = _place(spark, "survey")
+    answers = write_through(a.survey(spark, d), "answers")
+    years = sorted(r["year"] for r in answers.select("year").distinct().collect())
+    for year in years:
+        wide = answers.where(F.col("year") == year).select("respondent", F.col("have").alias(SURVEY_HAVE_COLUMN), F.col("want").alias(SURVEY_WANT_COLUMN))
+        wide = wide.drop(SURVEY_WANT_COLUMN) if year == 1998 else wide
+        wide.write.csv(f"{root}/{year}/{SURVEY_FILE_NAMES[year % 2]}", header=True, quote='"', escape='"')
+    return read_survey(spark, root, [years[0] - 1, *years] if years else [])
+
+
+def landed_pages(spark, d):
+    """Questions as JSON pages of at most 100 items under language folders, read and flattened."""
+    path = _place(spark, "pages")
+    item = F.struct(
+        "question_id", F.unix_timestamp("creation_date").alias("creation_date"), F.col("score").cast("long").alias("score"), "view_count", "is_answered",
+        F.array(F.lit("a"), F.col("language")).alias("tags"),
+    )
+    number = F.floor(F.col("question_id") / 100).alias("page")
+    pages = a.questions(spark, d).groupBy("language", number).agg(F.collect_list(item).alias("items"))
+    pages.select("language", "items", F.lit(True).alias("has_more"), F.lit(5).alias("quota_remaining")).write.partitionBy("language").json(path)
+    rows = read_questions(spark, path)
+    return rows.select("question_id", "language", "year", "creation_date", "score", "view_count", "is_answered", _listed("tags").alias("tags"))
+
+
+def stored_table(spark, d):
+    """Questions written as Parquet by language and read again."""
+    path = _place(spark, "stored")
+    write_table(a.questions(spark, d), path)
+    return read_table(spark, path).select("question_id", "language", "year", "creation_date", "score", "view_count", "is_answered")
+
+
+def stored_documents(spark, d):
+    """The top tags of each language as one JSON document per language, written and read again."""
+    path = _place(spark, "documents")
+    best = top_tags(spark, d)
+    write_documents(best.groupBy("language").agg(F.sort_array(F.collect_list(F.struct("frequency", "tag"))).alias("tags")), path)
+    back = spark.read.schema("language string, tags array<struct<frequency long, tag string>>").json(path)
+    return back.select("language", F.explode("tags").alias("t")).select("language", "t.tag", "t.frequency")
+
+
 # --- cleaning --------------------------------------------------------------------
 
 def _raw_questions(spark, d):
@@ -318,50 +371,55 @@ def neighbors(spark, d):
     return graph.neighbors(_graph(spark, d)[1])
 
 
-def _degree_nodes(spark, d):
-    """Nodes with a community given by their first letter, degree and a stand-in metric."""
+def _network(spark, d, weighted=True):
+    """Nodes with degree and betweenness, their community given by the first letter, and the edges."""
     nodes, edges = _graph(spark, d)
-    communities = nodes.select("language", "id", (F.ascii("id") % 4).alias("community"))
-    degree = graph.degree_centrality(edges)
-    metric = degree.select("language", "id", F.col("degree_centrality").alias("betweenness_centrality"))
-    joined = graph.network_nodes(nodes, communities, degree, metric.where(F.col("betweenness_centrality") > 0.1))
+    edges = write_through(edges, "edges")
+    given = nodes.select("language", "id", (F.ascii("id") % 4).alias("community"))
+    between = centrality.betweenness_centrality(edges, weighted)
+    joined = graph.network_nodes(nodes, given, graph.degree_centrality(edges), between)
     return write_through(joined, "nodes"), edges
 
 
 def network_nodes(spark, d):
-    return _degree_nodes(spark, d)[0]
+    return _network(spark, d)[0]
 
 
 def top_nodes(spark, d):
-    nodes, _ = _degree_nodes(spark, d)
-    return graph.top_nodes(nodes, "degree_centrality", 10).select("language", "id", "degree_centrality", "rank")
+    nodes, _ = _network(spark, d)
+    return graph.top_nodes(nodes, n=10).select("language", "id", "betweenness_centrality", "rank")
 
 
 def trim_network(spark, d):
-    nodes, edges = _degree_nodes(spark, d)
-    return graph.trim_network(nodes, edges, 15, "degree_centrality")[1]
+    return graph.trim_network(*_network(spark, d), 15)[1]
+
+
+def trim_unweighted(spark, d):
+    """The graph trimmed by betweenness over hops instead of weights."""
+    return graph.trim_network(*_network(spark, d, weighted=False), 15)[1]
 
 
 def network_summary(spark, d):
-    return graph.network_summary(*_degree_nodes(spark, d))
+    return graph.network_summary(*_network(spark, d))
 
 
 def community_profile(spark, d):
-    return graph.community_profile(_degree_nodes(spark, d)[0])
+    return graph.community_profile(_network(spark, d)[0])
 
 
 def network_payload(spark, d):
-    nodes, edges = _degree_nodes(spark, d)
-    p = payload.network_payload(*graph.trim_network(nodes, edges, 15, "degree_centrality"))
+    p = payload.network_payload(*graph.trim_network(*_network(spark, d), 15))
     number = lambda c: c.cast("decimal(18,4)").cast("string")
     shown = F.transform(
         "nodes",
         lambda n: F.concat_ws(
-            ":", n["id"], n["frequency"].cast("string"), n["community"].cast("string"), number(n["degree_centrality"])
+            ":", n["id"], n["frequency"].cast("string"), n["community"].cast("string"),
+            number(n["degree_centrality"]), number(n["betweenness_centrality"]),
         ),
     )
     links = F.transform("links", lambda e: F.concat_ws(":", e["source"], e["target"], e["weight"].cast("string")))
-    return p.select("language", _listed(shown).alias("nodes"), _listed(links).alias("links"))
+    names = F.transform("communities", lambda c: c["name"])
+    return p.select("language", _listed(shown).alias("nodes"), _listed(links).alias("links"), _listed(names).alias("communities"))
 
 
 def display_scales(spark, d):
@@ -503,13 +561,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         yearly_counts, survey_trend, total_questions, answer_rate_by_language, mean_of_yearly, distinct_years,
-        trends_payload, survey_payload,
+        trends_payload, survey_payload, survey_files, landed_pages, stored_table, stored_documents,
         clean_questions, cleaning_report, clean_titles, epoch_to_ts, parse_tags, dedupe_first, html_to_text, clean_body,
         text_combined, tagged_between, year_bounds, sample_per_year,
         describe, null_profile, count_pivot, box_stats, cluster_quality, rows_per_language,
         extract_errors, tokenize, removed_words, top_words, term_counts, vocabulary, tfidf_transform, cluster_labels,
         tag_frequency, top_tags, top_cotags, tag_pairs, cooccurrence_nodes, cooccurrence_edges, degree_centrality,
-        neighbors, network_nodes, top_nodes, trim_network, network_summary, community_profile, network_payload,
+        neighbors, network_nodes, top_nodes, trim_network, trim_unweighted, network_summary, community_profile, network_payload,
         display_scales, betweenness, betweenness_unweighted, modularity, communities, network_centrality,
         l2_normalize, core_distance, mutual_reachability, mst, density_clusters, svd_energy, text_clusters,
         top_patterns, representatives, pattern_summary, patterns_payload, clean_label, display_columns,

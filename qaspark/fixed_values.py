@@ -15,7 +15,6 @@ MAX_CLUSTER_SIZE = 200
 MIN_EDGE_WEIGHT = 3
 MAX_PER_YEAR = 500
 CACHE_TTL_DAYS = 30
-MAX_PIVOTS = 100
 
 # --- the language dimension ---------------------------------------------------
 
@@ -157,6 +156,8 @@ READABLE_LABELS = {
     "docker": "Docker / コンテナ", "struct": "構造体 (struct)",
 }
 
+COMMUNITY_PREFIX = "コミュニティ "
+
 COMMUNITY_LABELS = {
     "python": ["コア/汎用", "Web スクレイピング", "データ分析", "pandas/CSV", "ML/数値計算", "その他"],
     "javascript": ["コア/汎用", "フロントエンド", "Node.js", "UI フレームワーク", "データ可視化", "その他"],

@@ -95,15 +95,21 @@ def unescape_html(c: Column | str, in_markup: bool = False) -> Column:
     return F.when(F.instr(c, "&") > 0, F.array_join(decoded, "")).otherwise(c)
 
 
+#: The rest of a tag: a ``>`` inside quotes does not end it. Possessive, so that a long tag costs one pass.
+_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+
+
 def html_to_text(c: Column | str) -> Column:
     """Visible text of an HTML fragment, words parted by one space."""
     c = _col(c)
     for pattern in (
-        r"(?is)<script[^>]*>.*?</script[^>]*>",
-        r"(?is)<style[^>]*>.*?</style[^>]*>",
-        r"(?is)<template[^>]*>.*?</template[^>]*>",
+        rf"(?is)<script{_ATTRIBUTES}>.*?</script[^>]*>",
+        rf"(?is)<style{_ATTRIBUTES}>.*?</style[^>]*>",
+        rf"(?is)<template{_ATTRIBUTES}>.*?</template[^>]*>",
         r"(?s)<!--.*?-->",
-        r"<!?/?[A-Za-z][^>]*>",
+        r"(?s)<!\[CDATA\[.*?\]\]>",
+        r"<\?[^>]*>",
+        rf"<!?/?[A-Za-z]{_ATTRIBUTES}>",
     ):
         c = F.regexp_replace(c, pattern, " ")
     return collapse_whitespace(unescape_html(c, in_markup=True))

@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaspark.fixed_values import MAX_PIVOTS
 from qaspark.functions.numbers import round_even
 from qaspark.operators.graph import both_directions, edge_ends
 from qaspark.operators.ranking import top_per_group
@@ -59,18 +58,18 @@ def _spread(start: DataFrame, arrows: DataFrame, name: str) -> DataFrame:
 
 
 def betweenness_centrality(
-    edges: DataFrame, weighted: bool = True, max_pivots: int = MAX_PIVOTS, digits: int | None = 4
+    edges: DataFrame, weighted: bool = True, max_pivots: int | None = None, digits: int | None = 4
 ) -> DataFrame:
     """Share of shortest paths through each node; the weight is read as a distance.
 
-    Exact when a language has at most ``max_pivots`` nodes. Beyond that paths start at
-    ``max_pivots`` nodes in hash order and the sums are scaled up.
+    Exact unless the caller names ``max_pivots``: then the paths of a language with more nodes start at that
+    many of them, in hash order, and the sums are scaled up.
     """
     weight = F.col("weight").cast("double") if weighted else F.lit(1.0)
     links = both_directions(edges).where(F.col("id") != F.col("other")).withColumn("weight", weight)
     links = write_through(links, "links")
     nodes = write_through(edge_ends(edges), "ends")
-    sources = top_per_group(nodes, ["language"], [F.xxhash64("id"), F.col("id")], max_pivots, salt_on=["id"])
+    sources = nodes if max_pivots is None else top_per_group(nodes, ["language"], [F.xxhash64("id"), F.col("id")], max_pivots, salt_on=["id"])
 
     distance = _distances(links, sources)
     far = distance.select("language", "s", F.col("id").alias("other"), F.col("d").alias("far"))
@@ -100,7 +99,8 @@ def betweenness_centrality(
     summed = share.groupBy("language", "id").agg(F.sum("x").alias("_sum"))
     sizes = nodes.groupBy("language").agg(F.count(F.lit(1)).cast("double").alias("_n"))
     scale = F.when(F.col("_n") > 2, 1 / ((F.col("_n") - 1) * (F.col("_n") - 2))).otherwise(0.0)
-    scale = scale * F.greatest(F.col("_n") / F.lit(float(max_pivots)), F.lit(1.0))
+    if max_pivots is not None:
+        scale = scale * F.greatest(F.col("_n") / F.lit(float(max_pivots)), F.lit(1.0))
     value = F.coalesce("_sum", F.lit(0.0)) * scale
     joined = nodes.join(sizes, "language").join(summed, ["language", "id"], "left")
     value = value if digits is None else round_even(value, digits)

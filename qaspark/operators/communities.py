@@ -1,8 +1,10 @@
 """Communities by modularity (the Louvain method) as rounds of joins, and modularity itself.
 
-All nodes look for a better community at once, and a half chosen by hash moves, which keeps
-neighbours from swapping places for ever. When nobody wants to move, the communities become
-the nodes of the next level. All languages go through together.
+All nodes look for a better community at once. In the first rounds a half chosen by hash moves, which is fast.
+After that a node moves only if no other move touches the community it leaves or the one it joins; such moves add
+up to a true gain, so modularity rises with every round until nobody wants to move. Then the communities become
+the nodes of the next level, until a level merges nothing. No number of rounds or levels is fixed. All languages go
+through together.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from qaspark.operators.graph import both_directions, edge_ends
 from qaspark.session import measured_write, write_through
 
 _TOLERANCE = 1e-9
+#: Rounds in which a half of all nodes may move; what comes after them ends by itself.
+_FREE_ROUNDS = 8
 _KEY = ["language", "node"]
 
 
@@ -51,7 +55,19 @@ def _turn() -> Column:
     return F.pmod(F.xxhash64("language", "node", F.floor(F.col("round") / 2)), F.lit(2)) == F.col("round") % 2
 
 
-def _local_moves(links: DataFrame, level: int, max_rounds: int) -> DataFrame:
+def _clear_of_others(best: DataFrame) -> DataFrame:
+    """Of the nodes that want to move, those that come first in hash order in both communities they touch."""
+    claim = F.struct(F.xxhash64("language", "node", "round").alias("h"), F.col("node").alias("n"))
+    claims = best.where("wants").select("language", F.explode(F.array("own", "best.c")).alias("c"), claim.alias("claim"))
+    first = claims.groupBy("language", "c").agg(F.min_by("claim.n", "claim").alias("first"))
+    left = first.select("language", F.col("c").alias("own"), F.col("first").alias("_left"))
+    joined = first.select("language", F.col("c").alias("_to"), F.col("first").alias("_joined"))
+    marked = best.withColumn("_to", F.col("best.c")).join(left, ["language", "own"], "left").join(joined, ["language", "_to"], "left")
+    turn = (F.col("_left") == F.col("node")) & (F.col("_joined") == F.col("node"))
+    return marked.withColumn("turn", F.coalesce(turn, F.lit(False))).drop("_left", "_joined", "_to")
+
+
+def _local_moves(links: DataFrame, level: int) -> DataFrame:
     """``(language, node, c)`` after moving nodes between communities until none wants to.
 
     ``links(language, node, other, weight)`` holds every link from both ends; a link to
@@ -63,7 +79,8 @@ def _local_moves(links: DataFrame, level: int, max_rounds: int) -> DataFrame:
         strength.join(total, "language").select(*_KEY, F.col("node").alias("c"), "k", "two_m", F.lit(level * 100).alias("round")), "communities"
     )
     outward = links.where(F.col("node") != F.col("other"))
-    for _ in range(max_rounds):
+    number = 0
+    while True:
         communities = state.groupBy("language", "c").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("size"))
         there = state.select("language", F.col("node").alias("other"), "c")
         seen_links = outward.join(there, ["language", "other"]).select(*_KEY, "c", "weight")
@@ -88,16 +105,18 @@ def _local_moves(links: DataFrame, level: int, max_rounds: int) -> DataFrame:
         swap = (F.col("own_size") == 1) & (F.col("best.size") == 1) & (F.col("best.c") > F.col("own"))
         wants = (F.col("best.gain") > F.col("own_gain") + F.lit(_TOLERANCE)) & ~swap
         best = best.withColumn("wants", wants)
-        moved = F.when(F.col("wants") & _turn(), F.col("best.c")).otherwise(F.col("own"))
+        best = best.withColumn("turn", _turn()) if number < _FREE_ROUNDS else _clear_of_others(best)
+        moved = F.when(F.col("wants") & F.col("turn"), F.col("best.c")).otherwise(F.col("own"))
         step = best.select(*_KEY, moved.alias("c"), "k", "two_m", (F.col("round") + 1).alias("round"), "wants")
         state, seen = measured_write(step, "communities", wanting=F.count_if("wants"))
         state = state.drop("wants")
+        number += 1
         if not seen["wanting"]:
             break
     return state.select(*_KEY, "c")
 
 
-def communities(edges: DataFrame, method: str = "louvain", max_levels: int = 10, max_rounds: int = 24) -> DataFrame:
+def communities(edges: DataFrame, method: str = "louvain") -> DataFrame:
     """``(language, id, community)``, numbered from 0 by size, then by smallest member.
 
     ``method="none"`` puts every node into community 0.
@@ -112,8 +131,10 @@ def communities(edges: DataFrame, method: str = "louvain", max_levels: int = 10,
     links = write_through(links, "links")
     members = nodes.select("language", "id", F.col("id").alias("node"))
     levels = [members.select("language", "id", F.col("node").alias("community"), F.lit(0).alias("level"))]
-    for level in range(1, max_levels + 1):
-        found = write_through(_local_moves(links, level, max_rounds), "level")
+    level = 0
+    while True:
+        level += 1
+        found = write_through(_local_moves(links, level), "level")
         members, seen = measured_write(
             members.join(found, _KEY).select("language", "id", F.col("c").alias("node"), (F.col("node") != F.col("c")).alias("merged")),
             "members",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaspark.fixed_values import COMMUNITY_LABELS, DEFAULT_COLOR, LANGUAGES, READABLE_LABELS
+from qaspark.fixed_values import COMMUNITY_LABELS, COMMUNITY_PREFIX, DEFAULT_COLOR, LANGUAGES, READABLE_LABELS
 from qaspark.functions.numbers import round_even, round_half_up
 from qaspark.operators.trend import total_questions
 
@@ -66,7 +66,8 @@ def trends_payload(trends: DataFrame, tags: DataFrame, languages: DataFrame) ->
         )
     )
     yearly = [_figures("years", n).alias(n) for n in ("median_score", "median_views", "answer_rate")]
-    asked = [_figures(own, n).alias(n) for n in ("usage_pct", "want_pct")]
+    empty = F.array().cast("array<double>")
+    asked = [F.coalesce(_figures(own, n), empty).alias(n) for n in ("usage_pct", "want_pct")]
     return rows.select(
         "language", "display_name", "color", "total_questions", "years", "survey_years",
         F.struct(*yearly).alias("yearly"), F.struct(*asked).alias("survey"),
@@ -87,13 +88,15 @@ def survey_payload(survey: DataFrame, tags: DataFrame, languages: DataFrame) ->
 
 
 def network_payload(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Nodes and links of each language's trimmed graph."""
+    """Nodes, links and the names of the communities of each language's trimmed graph."""
     fields = ["id", "frequency", "community", "degree_centrality", "betweenness_centrality"]
+    named = F.sort_array(F.collect_set(F.struct("community", community_name("language", "community").alias("name"))))
+    names = nodes.groupBy("language").agg(named.alias("communities"))
     listed = nodes.groupBy("language").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("nodes"))
     links = edges.groupBy("language").agg(
         F.sort_array(F.collect_list(F.struct("source", "target", "weight"))).alias("links")
     )
-    return listed.join(links, "language", "left")
+    return listed.join(links, "language", "left").join(names, "language")
 
 
 def patterns_payload(patterns: DataFrame, examples: DataFrame) -> DataFrame:
@@ -178,4 +181,4 @@ def community_name(language: Column | str, community: Column | str) -> Column:
     )
     position = (community + 1).cast("int")
     known = F.when(position > 0, F.try_element_at(F.try_element_at(names, language), position))
-    return F.coalesce(known, F.concat(F.lit("コミュニティ "), community.cast("string")))
+    return F.coalesce(known, F.concat(F.lit(COMMUNITY_PREFIX), community.cast("string")))

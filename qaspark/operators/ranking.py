@@ -2,7 +2,8 @@
 
 Spark turns ``row_number() <= k`` into a WindowGroupLimit that keeps k rows per group
 *before* the shuffle, but only up to ``spark.sql.optimizer.windowGroupLimitThreshold``
-(1000). Beyond that the rows are first ranked in salted sub-groups.
+(1000). Beyond that the rows are first ranked in salted sub-groups, in two levels: 4,096 tasks share a group,
+and no later task reads more than 64 times n rows of it.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _GROUP_LIMIT = 1000
-_SALTS = 64
+_SALTS = (4096, 64)
 
 
 def top_per_group(
@@ -25,9 +26,11 @@ def top_per_group(
     if n > _GROUP_LIMIT:
         if not salt_on:
             raise ValueError("a large n needs salt_on")
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(_SALTS)))
-        inner = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = salted.withColumn("_inner", F.row_number().over(inner)).where(F.col("_inner") <= n).drop("_salt", "_inner")
+        df = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(_SALTS[0])))
+        for salts in _SALTS:
+            inner = Window.partitionBy(*keys, F.col("_salt") % salts).orderBy(*order)
+            df = df.withColumn("_inner", F.row_number().over(inner)).where(F.col("_inner") <= n)
+        df = df.drop("_salt", "_inner")
     ranked = df.withColumn(rank_column, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     top = ranked.where(F.col(rank_column) <= n)
     return top if rank else top.drop(rank_column)

@@ -88,8 +88,11 @@ def merge_survey(yearly: DataFrame, survey: DataFrame) -> DataFrame:
 
 
 def total_questions(tags: DataFrame, languages: DataFrame) -> DataFrame:
-    """Question total of each language's own tag; 0 where the tag table has none."""
-    first = tags.groupBy("name").agg(F.min_by("count", F.col("language")).alias("_count"))
+    """Question total of each language's own tag; 0 where the tag table has none.
+
+    Of several rows with the name, the one listed under the language itself counts, else the first by language.
+    """
+    first = tags.groupBy("name").agg(F.min_by("count", F.struct(F.col("language") != F.col("name"), F.col("language"))).alias("_count"))
     total = F.coalesce("_count", F.lit(0).cast("long"))
     return (
         languages.select("language", F.col("language").alias("name"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from qaspark.session import write_through
 
+_MOST_BLOCKS = 16
 _OVERSAMPLE = 10
 _ROWS = 256
 _MODEL_BYTES = 256 << 20
@@ -114,12 +115,13 @@ def _new_directions(block: np.ndarray, basis: np.ndarray) -> np.ndarray:
 
 
 def truncated_svd(
-    rows: DataFrame, n_terms: dict[str, int], k: int = 50, passes: int = 12, tolerance: float = 1e-9, seed: int = 42
+    rows: DataFrame, n_terms: dict[str, int], k: int = 50, tolerance: float = 1e-9, seed: int = 42
 ) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """``{language: (singular values, term directions)}`` of the rows, without centring.
 
-    A block Krylov space grows by one block per pass until the singular values stand still;
-    ``n_terms`` gives the size of each vocabulary.
+    A block Krylov space grows by one block per pass until the singular values stand still or the rows hold
+    nothing more. A space of more than ``_MOST_BLOCKS`` blocks is restarted from its best directions, so what the driver
+    holds stays proportional to the model. ``n_terms`` gives the size of each vocabulary.
     """
     random = np.random.default_rng(seed)
     basis: dict[str, np.ndarray] = {}
@@ -129,9 +131,7 @@ def truncated_svd(
     block = {
         lang: np.linalg.qr(random.standard_normal((n, min(n, k + _OVERSAMPLE))))[0] for lang, n in n_terms.items() if n > 0
     }
-    for number in range(passes):
-        if not block:
-            break
+    while block:
         product = _gram_times(rows, block)
         following = {}
         for lang, z in product.items():
@@ -151,6 +151,9 @@ def truncated_svd(
             fresh = _new_directions(z, basis[lang])
             if not steady and fresh.shape[1]:
                 following[lang] = fresh
+                if basis[lang].shape[1] >= _MOST_BLOCKS * (k + _OVERSAMPLE):
+                    best = vectors[:, np.argsort(square)[::-1][: k + _OVERSAMPLE]]
+                    basis[lang], image[lang] = basis[lang] @ best, image[lang] @ best
         block = following
     return result
 

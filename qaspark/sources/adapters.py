@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaspark.sources.tables import languages_table, read_table, spread
+from qaspark.sources.tables import languages_table, read_table
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 BRAND_OF = {
@@ -75,12 +75,13 @@ def survey(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spread(table(spark, folder, "documents"), "doc_id")
+    # Dealt by document once: counts per document need no further shuffle of the words.
+    docs = table(spark, folder, "documents").repartition("doc_id")
     return docs.select("doc_id", F.col("lang").alias("language"), "text", F.col("source").alias("cluster_id"))
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "pages").select("page_id", "html"), "page_id")
+    return table(spark, folder, "pages").select("page_id", "html")
 
 
 def clustered_questions(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,12 +13,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table over all cores if its files give fewer tasks than that; else leave it."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_table(df: DataFrame, path: str, partition_by: str | None = "language") -> None:
     """Overwrite ``path`` with ``df``, one folder per language where it has one.
 

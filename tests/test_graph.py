@@ -166,6 +166,56 @@ def test_communities_of_planted_groups_and_cliques(spark):
     assert {r.id: r.community for r in communities(shuffled).collect()} == got["cliques"]
 
 
+def sequential_louvain(edges):
+    """Plain Louvain: nodes in order, each to its best community, until nothing moves; then the communities are the nodes."""
+    links, member = [(a, b, w) for a, b, w in edges], {v: v for a, b, _ in edges for v in (a, b)}
+    two_m = 2 * sum(w for *_, w in edges)
+    while True:
+        around, degree = {}, Counter()
+        for a, b, w in links:
+            degree[a] += w
+            degree[b] += w
+            if a != b:
+                around.setdefault(a, Counter())[b] += w
+                around.setdefault(b, Counter())[a] += w
+        label, total = {v: v for v in degree}, Counter(degree)
+        moved, ever = True, False
+        while moved:
+            moved = False
+            for v in sorted(degree):
+                near = Counter()
+                for u, w in around.get(v, {}).items():
+                    near[label[u]] += w
+                total[label[v]] -= degree[v]
+                gain = {c: near[c] - degree[v] * total[c] / two_m for c in {*near, label[v]}}
+                best = max(sorted(gain), key=lambda c: (round(gain[c], 9), c == label[v]))
+                moved |= best != label[v]
+                label[v] = best
+                total[best] += degree[v]
+            ever |= moved
+        if len(set(label.values())) == len(label):
+            return member
+        member = {v: label[c] for v, c in member.items()}
+        merged = Counter()
+        for a, b, w in links:
+            merged[tuple(sorted((label[a], label[b])))] += w
+        links = [(a, b, w) for (a, b), w in merged.items()]
+
+
+def test_communities_run_until_nobody_wants_to_move(spark):
+    rng = random.Random(11)
+    edges = [(f"n{i:03d}", f"n{j:03d}", rng.randint(1, 4)) for i in range(150) for j in range(i + 1, 150) if rng.random() < (0.2 if i % 10 == j % 10 else 0.06)]
+    labels = {r.id: r.community for r in communities(edges_of(spark, edges)).collect()}
+    plain = brute_modularity(edges, sequential_louvain(edges))
+    assert brute_modularity(edges, labels) >= 0.97 * plain
+
+
+def test_betweenness_is_exact_beyond_a_hundred_nodes(spark):
+    ring = [(f"n{min(i, (i + 1) % 130):03d}", f"n{max(i, (i + 1) % 130):03d}", 1) for i in range(130)] + [("n000", "n065", 3), ("n010", "n040", 2)]
+    got = {r.id: r.betweenness_centrality for r in betweenness_centrality(edges_of(spark, ring), digits=None).collect()}
+    assert got == pytest.approx(brute_betweenness(ring, True))
+
+
 def test_communities_can_be_switched_off(spark):
     labels = communities(edges_of(spark, GRAPHS["path"]), "none").collect()
     assert {(r.id, r.community) for r in labels} == {(x, 0) for x in "abcd"}

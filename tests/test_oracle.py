@@ -11,7 +11,8 @@ from checks.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 # Loops of many small jobs; the brute-force tests cover them, and `checks.compare` runs them.
 SLOW = {"betweenness", "betweenness_unweighted", "network_centrality", "communities", "mst", "density_clusters", "svd_energy",
-        "text_clusters", "core_distance", "mutual_reachability"}
+        "text_clusters", "core_distance", "mutual_reachability", "network_nodes", "top_nodes", "trim_network", "trim_unweighted",
+        "network_summary", "community_profile"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
