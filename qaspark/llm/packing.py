@@ -18,12 +18,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaspark.llm.tokens import encoder
+from qaspark.llm.tokens import encoder, forget
 from qaspark.llm.words import blocks, mix
 from qaspark.session import measured_write
 
 WINDOW = 2048
-SHARD_DOCS, SHARD_TOKENS = 2048, 1 << 21
+SHARD_DOCS, SHARD_TOKENS = 2048, 1 << 20
 TERMS, NEIGHBOURS = 16, 32
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -149,6 +149,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_
     model = docs.sparkSession.sparkContext.broadcast((np.log1p((seen["rows"] - df + 0.5) / (df + 0.5)), seen["tokens"] / seen["rows"]))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         idf, mean_length = model.value
         sequence = TaskContext.get().partitionId() << 40
         ids: list[int | None] = []
@@ -175,6 +176,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_
         if texts:
             yield finish()
 
-    parts = -(-seen["tokens"] // (2 * SHARD_TOKENS))
+    parts = -(-seen["tokens"] // (4 * SHARD_TOKENS))
     dealt = encoded.repartitionByRange(parts, "near", "id", "n").sortWithinPartitions("near", "id", "n", "ids")
     return dealt.select("id", "n", "ids").mapInArrow(fill, PIECES)

@@ -2,7 +2,8 @@
 
 Both kinds of tokenizers known here cut a text at every single blank between two other characters before they
 look for vocabulary entries, so the ids of a text are the ids of its blank-separated pieces in a row. A worker
-remembers the ids of the pieces it has met, up to a fixed memory; the tokenizers library encodes the new ones.
+remembers the ids of the pieces it has met, up to a fixed memory, the rarest going first; the tokenizers library
+encodes the new ones.
 Texts with other white space around a blank, where that would not hold, are encoded as a whole.
 """
 
@@ -10,16 +11,23 @@ from __future__ import annotations
 
 import json
 import os
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
 MOST_PIECES = 1_000_000
 MOST_CHARS = 24_000_000
 _BLOCK_CHARS = 1 << 21
+_TOGETHER = 2000
+_MARK = "\x01"
 _encoders: dict[str, Encoder] = {}
 
 
+def forget() -> None:
+    """Free what this worker remembers, before work of another kind."""
+    _encoders.clear()
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a tokenizer file."""
     if path not in _encoders:
@@ -36,37 +44,91 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             self.mode = _mode(json.load(f))
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        # How to tell pieces apart in the ids of many pieces at once: by ids that begin with a blank, or by a mark between them.
+        self._begins = np.zeros(self.vocabulary, bool)
+        if self.mode == "kept":
+            blank = self.tokenizer.id_to_token(self.tokenizer.encode(" ", add_special_tokens=False).ids[0])
+            self._begins[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token.startswith(blank)]] = True
+        elif self.mode == "dropped":
+            mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+            self._begins[mark] = len(mark) == 1
         self._clear()
 
     def _clear(self) -> None:
         self._known: tuple[dict[str, int], dict[str, int]] = ({}, {})
         self._starts, self._lengths, self._ids = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32), np.zeros(1 << 18, np.uint32)
-        self._odd = np.zeros(1 << 16, bool)
+        self._odd, self._uses = np.zeros(1 << 16, bool), np.zeros(1 << 16, np.int64)
         self._pieces = self._end = self._chars = 0
 
+    def _shrink(self) -> None:
+        """Forget the pieces used least, so that at most half of the room is taken."""
+        uses = self._uses[: self._pieces]
+        least = 2
+        while np.count_nonzero(uses >= least) > MOST_PIECES // 2:
+            least *= 2
+        kept = np.flatnonzero(uses >= least)
+        known = [{p: i for p, i in d.items() if uses[i] >= least and len(p) <= 64} for d in self._known]
+        lengths = self._lengths[kept].astype(np.int64)
+        ahead = np.cumsum(lengths) - lengths
+        ids = self._ids[np.repeat(self._starts[kept] - ahead, lengths) + np.arange(lengths.sum())]
+        odd = self._odd[kept]
+        place = np.zeros(len(uses), np.int64)
+        place[kept] = np.arange(len(kept))
+        self._clear()
+        self._add_ids(ids, lengths)
+        self._odd[: len(kept)] = odd
+        self._known = tuple({p: int(place[i]) for p, i in d.items()} for d in known)
+        self._chars = sum(len(p) for d in self._known for p in d)
+
     def _add(self, encodings: list[list[int]], odd: list[bool]) -> int:
         """Append entries and return the number of the first."""
-        first, n, total = self._pieces, len(encodings), sum(map(len, encodings))
+        lengths = np.fromiter(map(len, encodings), np.int64, len(encodings))
+        first = self._add_ids(np.fromiter(chain.from_iterable(encodings), np.uint32, lengths.sum()), lengths)
+        self._odd[first : first + len(odd)] = odd
+        return first
+
+    def _add_ids(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        first, n, total = self._pieces, len(lengths), len(ids)
         while first + n > len(self._starts):
-            self._starts, self._lengths, self._odd = (np.concatenate((a, np.zeros_like(a))) for a in (self._starts, self._lengths, self._odd))
+            self._starts, self._lengths, self._odd, self._uses = (np.concatenate((a, np.zeros_like(a))) for a in (self._starts, self._lengths, self._odd, self._uses))
         while self._end + total > len(self._ids):
             self._ids = np.concatenate((self._ids, np.zeros_like(self._ids)))
-        lengths = np.fromiter(map(len, encodings), np.int32, n)
         self._lengths[first : first + n] = lengths
         self._starts[first : first + n] = self._end + np.cumsum(lengths) - lengths
-        self._ids[self._end : self._end + total] = np.fromiter(chain.from_iterable(encodings), np.uint32, total)
-        self._odd[first : first + n] = odd
+        self._ids[self._end : self._end + total] = ids
+        self._odd[first : first + n] = False
+        self._uses[first : first + n] = 0
         self._pieces, self._end = first + n, self._end + total
         return first
 
     def _learn(self, pieces: list[str], place: int) -> None:
-        glue = " " if place and self.mode == "kept" else ""
-        found = self.tokenizer.encode_batch_fast([glue + p for p in pieces], add_special_tokens=False)
-        odd = [self.mode == "kept" and (not p or p[0].isspace() or p[-1].isspace()) for p in pieces]
-        first = self._add([e.ids for e in found], odd)
-        self._known[place].update(zip(pieces, range(first, first + len(pieces))))
+        plain = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace() and "<|" not in p and _MARK not in p] if place else []
+        for a in range(0, len(plain), _TOGETHER):
+            self._learn_together(plain[a : a + _TOGETHER])
+        known = self._known[place]
+        rest = [p for p in pieces if p not in known]
+        if rest:
+            glue = " " if place and self.mode == "kept" else ""
+            found = self.tokenizer.encode_batch_fast([glue + p for p in rest], add_special_tokens=False)
+            odd = [self.mode == "kept" and (not p or p[0].isspace() or p[-1].isspace()) for p in rest]
+            first = self._add([e.ids for e in found], odd)
+            known.update(zip(rest, range(first, first + len(rest))))
         self._chars += sum(map(len, pieces))
 
+    def _learn_together(self, pieces: list[str]) -> None:
+        """One call for many pieces; their ids are told apart afterwards. Does nothing if that does not come out even."""
+        text = " " + " ".join(pieces) if self.mode == "kept" else f"{_MARK} " + f" {_MARK} ".join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        begins = self._begins[ids]
+        at = np.flatnonzero(begins)
+        if len(at) != len(pieces) or at[0] != 0:
+            return
+        lengths = np.diff(np.append(at, len(ids)))
+        if self.mode == "dropped":
+            ids, lengths = ids[~begins], lengths - 1
+        first = self._add_ids(ids, lengths)
+        self._known[1].update(zip(pieces, range(first, first + len(pieces))))
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) one text after another, and the number of ids of each text."""
         parts, i = [], 0
@@ -87,40 +149,54 @@ class Encoder:
             counts = np.fromiter(map(len, found), np.int64, len(found))
             return np.fromiter(chain.from_iterable(found), np.uint32, counts.sum()), counts
         if self._pieces > MOST_PIECES or self._chars > MOST_CHARS:
-            self._clear()
-        heads, rests = self._known
-        pieces = [t.split(" ") for t in texts]
-        unknown = [p for p in set(chain.from_iterable(pieces)) if p not in rests]
-        if unknown:
-            self._learn(unknown, 1)
-        n_pieces = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        codes = np.fromiter(map(rests.__getitem__, chain.from_iterable(pieces)), np.int64, n_pieces.sum())
+            self._shrink()
+        if self.mode == "dropped":
+            pieces = [t.replace("\n", " ").split(" ") for t in texts]
+            n_pieces = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            codes = self._codes(list(chain.from_iterable(pieces)), 1)
+        else:
+            codes, n_pieces = self._kept_codes(texts)
         begin = np.cumsum(n_pieces) - n_pieces
-        if self.mode == "kept":
-            first = [p[0] for p in pieces]
-            unknown = [p for p in set(first) if p not in heads]
-            if unknown:
-                self._learn(unknown, 0)
-            codes[begin] = np.fromiter(map(heads.__getitem__, first), np.int64, len(first))
-            odd = np.add.reduceat(self._odd[codes].astype(np.int64), begin) > 0
-            if odd.any():
-                # These texts stand as one entry each, only for this block.
-                at = np.flatnonzero(odd)
-                end, kept = self._end, self._pieces
-                found = self.tokenizer.encode_batch_fast([texts[k] for k in at], add_special_tokens=False)
-                number = self._add([e.ids for e in found], [False] * len(at))
-                drop = np.repeat(odd, n_pieces)
-                drop[begin[at]] = False
-                codes[begin[at]] = np.arange(number, number + len(at))
-                codes, n_pieces = codes[~drop], np.where(odd, 1, n_pieces)
-                begin = np.cumsum(n_pieces) - n_pieces
-                self._end, self._pieces = end, kept
+        used = np.bincount(codes)
+        self._uses[: len(used)] += used
         lengths = self._lengths[codes].astype(np.int64)
         ahead = np.cumsum(lengths) - lengths
         ids = self._ids[np.repeat(self._starts[codes] - ahead, lengths) + np.arange(lengths.sum())]
         return ids, np.add.reduceat(lengths, begin) if len(begin) else n_pieces
 
 
+    def _codes(self, pieces: list[str], place: int) -> np.ndarray:
+        """The number of each piece, after learning the new ones."""
+        known = self._known[place]
+        codes = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(codes < 0).tolist()
+        if missing:
+            self._learn(list({pieces[i] for i in missing}), place)
+            codes[missing] = [known[pieces[i]] for i in missing]
+        return codes
+
+    def _kept_codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of all texts and how many each text has; a blank belongs to the piece after it."""
+        pieces = [t.split(" ") for t in texts]
+        n_pieces = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        begin = np.cumsum(n_pieces) - n_pieces
+        codes = self._codes(list(chain.from_iterable(pieces)), 1)
+        codes[begin] = self._codes([p[0] for p in pieces], 0)
+        odd = np.add.reduceat(self._odd[codes].astype(np.int64), begin) > 0 if len(texts) else np.empty(0, bool)
+        if odd.any():
+            # These texts stand as one entry each, only for this block.
+            at = np.flatnonzero(odd)
+            end, kept = self._end, self._pieces
+            found = self.tokenizer.encode_batch_fast([texts[k] for k in at], add_special_tokens=False)
+            number = self._add([e.ids for e in found], [False] * len(at))
+            drop = np.repeat(odd, n_pieces)
+            drop[begin[at]] = False
+            codes[begin[at]] = np.arange(number, number + len(at))
+            codes, n_pieces = codes[~drop], np.where(odd, 1, n_pieces)
+            self._end, self._pieces = end, kept
+        return codes, n_pieces
+
+
 def _mode(config: dict) -> str:
     """``kept``: a blank belongs to the piece after it; ``dropped``: blanks separate only; ``whole``: not known to be either."""
     pre = config.get("pre_tokenizer") or {}

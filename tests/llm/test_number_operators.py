@@ -22,7 +22,7 @@ GPT = public_tokenizers.path("byte_bpe_50k.json")
 CLIP = public_tokenizers.path("word_bpe_49k.json")
 AWKWARD = [
     "", None, " ", "   ", "a  b", "  x", "a ", "a\n b \nc", "x   y", "<|endoftext|> a<|endoftext|>b  <|endoftext|>", "don't we'LL\tx\x1c y", "\x1c a",
-    "café é ́ x́ É", "İSTANBUL ΣΑΣ ΑΣ b", "a b c", "１２3 ½ ² x²", "🙂 🙂🙂 a🙂", "\r\n \r\n", "x \x85 y", "日本 語",
+    "café é ́ x́ É", "İSTANBUL ΣΑΣ ΑΣ b", "a b c", "１２3 ½ ² x²", "🙂 🙂🙂 a🙂", "\r\n \r\n", "l1 a\nl2\nl3 b.", "\n", "a\n\nb c", "a\n b\nc", "x \x85 y", "日本 語",
 ]
 
 
@@ -126,7 +126,7 @@ def test_encoder_gives_the_ids_of_the_library(path, monkeypatch):
     for _ in range(2):
         ids, counts = known.encode(texts)
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
-        monkeypatch.setattr("qaspark.llm.tokens.MOST_PIECES", 10)  # the second time round the memory is cleared
+        monkeypatch.setattr("qaspark.llm.tokens.MOST_PIECES", 10)  # the second time round the memory is full
     assert known.encode([])[0].tolist() == []
 
 
