@@ -6,8 +6,8 @@ one, tried in an order that is random per bin and the same for all documents. Do
 of a band share a bucket.
 
 Inside a bucket only (hub, member) pairs are candidates, so their number is linear in its size. After two such
-rounds with different hubs, the pairs that could still join two components inside a bucket are tested one
-by one, so no link between buckets' members is left out. Every link is confirmed on the full sets.
+rounds with different hubs, the members that could still join two components inside a bucket are compared in blocks, so no
+link between a bucket's members is left out. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ WORDS = 5
 SIMILARITY_PERCENT = 80
 #: At a similarity of 0.8 a pair misses all bands with probability (1 - 0.8**7)**64 = 3e-7.
 BANDS, ROWS = 64, 7
+#: Documents of a bucket that are compared in one task step.
+BLOCK_DOCS = 1024
 _BLOCK = 1 << 21
 _order: dict[int, np.ndarray] = {}
 
@@ -117,6 +119,51 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(both * 100 >= all_ * percent).select("a", "b")
 
 
+def _remaining(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components inside a bucket, at least one for each two components that have any.
+
+    In each bucket the members outside of its most frequent component are held against all members. Buckets are cut
+    into blocks of a bounded number of documents; no pair becomes a row.
+    """
+    parts = groups.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    mixed = parts.groupBy(F.col("key").alias("_k")).agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("size"), F.count(F.lit(1)).alias("_n"))
+    mixed = mixed.where(F.col("_n") > 1).drop("_n")
+    rest = write_through(groups.select("key", "cid", "comp").join(mixed, F.col("key") == F.col("_k")).drop("_k"), "rest")
+    held = rest.join(sets.withColumnRenamed("id", "_s"), F.col("cid") == F.col("_s")).drop("_s")
+    n = F.ceil(F.col("size") / BLOCK_DOCS).cast("int")
+    own = F.pmod(F.xxhash64("cid"), n).cast("int")
+    every = F.sequence(F.lit(0), n - 1)
+    asked = F.col("comp") != F.col("main")
+    # A document meets, as a member, the queries of every block, and as a query the members of every block.
+    as_member = F.transform(every, lambda k: F.struct(k.alias("q"), own.alias("m"), F.lit(False).alias("asks")))
+    as_query = F.transform(every, lambda k: F.struct(own.alias("q"), k.alias("m"), F.lit(True).alias("asks")))
+    dealt = held.withColumn("b", F.explode(F.when(asked, F.concat(as_member, as_query)).otherwise(as_member)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        cid, comp = table.column("cid").to_numpy(), table.column("comp").to_numpy()
+        lists = [np.asarray(x.values) for x in table.column("shingles")]
+        members, queries = np.flatnonzero(~asks), np.flatnonzero(asks)
+        sizes = np.fromiter((len(x) for x in lists), np.int64, len(lists))
+        found: set[tuple[int, int]] = set()
+        if len(members) and len(queries):
+            flat = np.concatenate([lists[i] for i in members])
+            order = np.argsort(flat, kind="stable")
+            ranked, owner = flat[order], np.repeat(np.arange(len(members)), sizes[members])[order]
+            for q in queries:
+                low, high = np.searchsorted(ranked, lists[q], "left"), np.searchsorted(ranked, lists[q], "right")
+                both = np.bincount(np.concatenate([owner[x:y] for x, y in zip(low, high)]), minlength=len(members))
+                near = (both * 100 >= (sizes[q] + sizes[members] - both) * percent) & (comp[members] != comp[q])
+                at = members[near]
+                # One link to each component is enough.
+                _, first = np.unique(comp[at], return_index=True)
+                found.update((min(int(cid[q]), int(cid[i])), max(int(cid[q]), int(cid[i]))) for i in at[first])
+        pairs = sorted(found)
+        return pa.table({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
+
+    return dealt.select("key", "cid", "comp", "shingles", "b.q", "b.m", "b.asks").groupBy("key", "q", "m").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     n: int = WORDS,
@@ -146,7 +193,7 @@ def near_duplicates(
     # Equal sets are one class: it is its smallest id, and the copies join again at the end.
     classes = write_through(used.groupBy("n", "sum", "sum2").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("cid")), "classes")
     keys = classes.select("cid", "n", F.explode("bands").alias("key")).distinct()
-    shared = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where(F.col("low") != F.col("high"))
+    shared = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where(F.col("low") != F.col("high")).select("key")
     shared, found = measured_write(shared, "buckets", rows=F.count(F.lit(1)))
     members, counted = measured_write(keys.join(sized(shared, found["rows"]), "key"), "members", rows=F.count(F.lit(1)))
     base = sketches.select("id", "n", "sum", "sum2")
@@ -154,25 +201,25 @@ def near_duplicates(
         classes.select(F.col("n").alias("_n"), F.col("sum").alias("_s"), F.col("sum2").alias("_t"), "cid"),
         (F.col("n") == F.col("_n")) & (F.col("sum") == F.col("_s")) & (F.col("sum2") == F.col("_t")),
     ).select("id", "cid")
-    links = classes.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
+    links = None
     if counted["rows"]:
         wanted, ids = measured_write(members.select(F.col("cid").alias("__near_id")).distinct(), "wanted", rows=F.count(F.lit(1)))
         texts = docs.join(sized(wanted, ids["rows"]), F.col(id_col).cast("long") == F.col("__near_id"), "left_semi")
         sets = write_through(_sets_of(texts, id_col, text_col, n), "shingles")
         near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-        for hub in ("low", "high"):
-            groups = members.withColumn("comp", F.col("cid")) if hub == "low" else _with_component(members, components(links))
-            hubs = groups.where(F.col("cid") == F.col(hub)).select(F.col("key").alias("_k"), F.col("n").alias("m"), F.col("comp").alias("hub_comp"))
+        # First the smallest member of every bucket is its hub, so that buckets share hubs; then a member in random order, so
+        # that a document which missed its hub meets another one in each of its buckets.
+        for order in (F.col("cid"), F.xxhash64("key", "cid")):
+            groups = members.withColumn("comp", F.col("cid")) if links is None else _with_component(members, components(links))
+            hubs = groups.groupBy(F.col("key").alias("_k")).agg(F.min_by(F.struct("cid", "n", "comp"), order).alias("hub"), F.min("comp").alias("_x"), F.max("comp").alias("_y"))
+            hubs = hubs.where(F.col("_x") != F.col("_y")).select("_k", F.col("hub.cid").alias("hub"), F.col("hub.n").alias("m"), F.col("hub.comp").alias("hub_comp"))
             pairs = groups.join(hubs, F.col("key") == F.col("_k")).where((F.col("comp") != F.col("hub_comp")) & near)
-            pairs = pairs.select(F.least("cid", hub).alias("a"), F.greatest("cid", hub).alias("b")).distinct()
-            links = write_through(links.union(_confirmed(pairs, sets, percent)), "confirmed")
+            pairs = pairs.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
+            confirmed = _confirmed(pairs, sets, percent)
+            links = write_through(confirmed if links is None else links.union(confirmed), "confirmed")
         groups = _with_component(members, components(links))
-        mixed = groups.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where(F.col("_x") != F.col("_y")).select("key")
-        rest = write_through(groups.join(mixed, "key", "left_semi").select("key", "cid", "n", "comp"), "rest")
-        other = rest.select("key", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other_comp"))
-        pairs = rest.join(other, "key").where((F.col("cid") < F.col("b")) & (F.col("comp") != F.col("other_comp")) & near)
-        links = links.union(_confirmed(pairs.select(F.col("cid").alias("a"), "b").distinct(), sets, percent))
-    roots = components(links)
+        links = links.union(_remaining(groups, sets, percent))
+    roots = components(classes.select(F.col("cid").alias("a"), F.col("cid").alias("b")).where("false") if links is None else links)
     grouped = same.join(roots, F.col("cid") == F.col("node"), "left").select(F.col("id").alias("__near_id"), F.coalesce("component", "cid").alias("component"))
     joined = base.join(grouped, F.col("id") == F.col("__near_id"), "left")
     component = F.coalesce("component", "id")

@@ -171,7 +171,8 @@ def near_copies(seed=3):
     return rows
 
 
-def test_near_duplicates_equal_all_pairs(spark):
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", 4)
     rows = near_copies() + [(500, None, "en", "s"), (501, "", "en", "s"), (502, " \n", "en", "s"), (503, "One Two", "en", "s"), (504, "one\ttwo", "en", "s"), (505, "two one", "en", "s")]
     want = plain_components(rows, 4, 80)
     assert len({c for _, c in want.values()}) < len(rows) - 30
