@@ -9,6 +9,7 @@ from qaspark.fixed_values import LANGUAGE_STOPWORDS, NOISE_LABEL, PATTERN_TOP_N
 from qaspark.functions.numbers import round_even
 from qaspark.operators.quantiles import with_quantiles
 from qaspark.operators.ranking import top_per_group
+from qaspark.session import write_through
 
 _CLUSTER = ["language", "cluster_id"]
 _NOISE = -1
@@ -75,8 +76,9 @@ def top_patterns(
     if max_cluster_size is not None:
         plain = plain.where(F.col("size") <= max_cluster_size)
     best = top_per_group(plain, ["language"], [F.desc("size"), F.col("cluster_id")], n, rank="rank")
+    best = write_through(best, "best-clusters")
     medians = {"median_score": ("score", 0.5), "median_views": ("view_count", 0.5)}
-    full = with_quantiles(best, rows, _CLUSTER, medians).join(labels, _CLUSTER, "left")
+    full = with_quantiles(best, rows.join(best.select(*_CLUSTER), _CLUSTER, "left_semi"), _CLUSTER, medians).join(labels, _CLUSTER, "left")
     return full.select(
         *_CLUSTER,
         F.coalesce("label", _default_label()).alias("label"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from qaspark.functions.numbers import clip, round_even
 from qaspark.operators.quantiles import exact_quantiles, with_quantiles
+from qaspark.session import write_through
 
 
 def describe(df: DataFrame, columns: list[str], digits: int = 1) -> DataFrame:
@@ -49,14 +50,13 @@ def box_stats(df: DataFrame, column: str = "score", low: float = -5, high: float
     clipped = clipped.where(F.col("value").isNotNull() & F.col("language").isNotNull())
     box = exact_quantiles(clipped, ["language"], {"q1": ("value", 0.25), "median": ("value", 0.5), "q3": ("value", 0.75)})
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    # Whiskers need a second look at the values; they are counted first, so few rows join.
-    counted = clipped.groupBy("language", "value").agg(F.count(F.lit(1)).alias("_c"))
-    joined = counted.join(box, "language")
+    # Whiskers need a second look at the values; the box, one row per language, is stored so that its size is known.
+    joined = clipped.join(write_through(box, "box"), "language")
     within = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return joined.groupBy("language", "q1", "median", "q3").agg(
         F.min(F.when(within, F.col("value"))).alias("whisker_low"),
         F.max(F.when(within, F.col("value"))).alias("whisker_high"),
-        F.sum(F.when(within, 0).otherwise(F.col("_c"))).alias("outliers"),
+        F.count_if(~within).alias("outliers"),
     )
 
 

@@ -1,10 +1,10 @@
-"""Exact quantiles per group without holding a group in memory.
+"""Exact quantiles per group without holding a group in memory and without shuffling its values.
 
-``median`` and ``percentile`` keep all distinct values of a group in one task. Here the
-distinct values stay spread over the cluster: they are counted per value, laid out in at
-most ``MAX_BUCKETS`` buckets between the group's minimum and maximum, and only the buckets that
-hold a wanted rank are sorted. Buckets grow with the logarithm of the value, so long tails
-do not crowd into one. The counted values are shuffled once; Spark reuses that exchange.
+``median`` and ``percentile`` keep all distinct values of a group in one task. Here three passes read the values where
+they are: the first gives each group's ends and size, the second counts rows per bucket between the ends, and the
+third takes only the rows of buckets that hold a wanted rank, counted per value. Every pass is combined inside its tasks, so
+what is shuffled is one row per group, one per bucket, and the distinct values of the wanted buckets. Buckets grow with the
+logarithm of the value, so long tails do not crowd into one.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from qaspark.session import broadcast_if_small, measured_write
+
 MAX_BUCKETS = 65536
 _PER_BUCKET = 64
 
@@ -35,15 +37,15 @@ def exact_quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str,
         values = values.where(condition)
 
     group = [*keys, "_m"]
-    counted = values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    span = counted.groupBy(*group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
+    span = values.groupBy(*group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    span, seen = measured_write(span, "spans", rows=F.count(F.lit(1)))
     share = F.try_divide(_spread(F.col("_v")) - _spread(F.col("_lo")), _spread(F.col("_hi")) - _spread(F.col("_lo")))
     buckets = F.least(F.lit(MAX_BUCKETS), F.ceil(F.col("_n") / _PER_BUCKET))
     bucket = F.coalesce(F.floor(share * (buckets - 1)), F.lit(0)).cast("int")
-    placed = counted.join(span, group).withColumn("_b", bucket)
+    placed = values.join(broadcast_if_small(span, seen["rows"]), group).withColumn("_b", bucket)
 
     # At most MAX_BUCKETS rows per group from here to the running total.
-    histogram = placed.groupBy(*group, "_b").agg(F.sum("_c").alias("_h"), F.first("_n").alias("_n"))
+    histogram = placed.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_h"), F.first("_n").alias("_n"))
     running = Window.partitionBy(*group).orderBy("_b")
     histogram = histogram.withColumn("_before", F.sum("_h").over(running) - F.col("_h"))
     names = list(wanted)
@@ -62,9 +64,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str,
         .select(*group, "_b", "_before", F.col("_a.q").alias("_q"), "_k", (F.col("_at") - F.floor("_at")).alias("_f"))
     )
     inside = Window.partitionBy(*group, "_b", "_q", "_k").orderBy("_v")
+    wanted_rows = placed.select(*group, "_b", "_v").join(broadcast_if_small(targets, 2 * len(names) * seen["rows"]), [*group, "_b"])
     found = (
-        placed.drop("_lo", "_hi", "_n")
-        .join(targets, [*group, "_b"])
+        wanted_rows.groupBy(*group, "_b", "_q", "_k", "_before", "_f", "_v").agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_end", F.col("_before") + F.sum("_c").over(inside))
         .where((F.col("_end") - F.col("_c") <= F.col("_k")) & (F.col("_k") < F.col("_end")))
     )

@@ -55,5 +55,5 @@ def run_micro(
     clusters = questions.join(assigned.withColumnRenamed("doc_id", "question_id"), ["language", "question_id"])
     clusters = write_through(clusters, "clusters")
     best = write_through(patterns.top_patterns(clusters, labels, n, max_cluster_size), "patterns")
-    examples = patterns.representatives(clusters.where(F.col("cluster_id") >= 0))
+    examples = patterns.representatives(clusters.join(best.select("language", "cluster_id"), ["language", "cluster_id"], "left_semi"))
     return Micro(clusters, best, payload.patterns_payload(best, examples))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "qaspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,3 +54,8 @@ def measured_write(df: DataFrame, name: str = "table", **metrics: Column) -> tup
     watched = df.observe(seen, *[c.alias(n) for n, c in metrics.items()]) if metrics else df
     watched.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), (seen.get if metrics else {})
+
+
+def broadcast_if_small(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:
+    """``df`` marked for broadcast if its counted ``rows`` (of a few short columns) are at most ``most``; else as it is."""
+    return F.broadcast(df) if rows <= most else df
