@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaspark.session import measured_write
+from qaspark.session import Rounds
 
 
 def sized(df: DataFrame, rows: int, most: int = 500_000) -> DataFrame:
@@ -21,14 +21,15 @@ def components(links: DataFrame) -> DataFrame:
     """
     marks = {"rows": F.count(F.lit(1)), "mark": F.bit_xor(F.xxhash64("u", "v"))}
     edges = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, before = measured_write(edges, "links", **marks)
+    rounds = Rounds("links")
+    edges, before = rounds.write(edges, **marks)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).union(low).distinct()
-        edges, after = measured_write(small, "links", **marks)
+        edges, after = rounds.write(small, **marks)
         if after == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

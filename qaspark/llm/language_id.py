@@ -24,7 +24,7 @@ BLOCK_CHARS = 1 << 20
 MOST_MODEL_BYTES = 256 << 20
 _SCALE = 1 << 16
 _END = "\x00"
-_SALTS = 32
+_SALTS = 250
 _LETTER = np.array([chr(i).isalpha() for i in range(0x3000)])
 
 
