@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from qaspark.functions.numbers import round_even
 from qaspark.operators.graph import both_directions, edge_ends
 from qaspark.operators.ranking import top_per_group
-from qaspark.session import measured_write, write_through
+from qaspark.session import Rounds, measured_write, write_through
 
 _STATE = ["language", "s", "id"]
 
@@ -25,7 +25,8 @@ def _distances(links: DataFrame, sources: DataFrame) -> DataFrame:
     known = sources.select(
         "language", F.col("id").alias("s"), "id", F.lit(0).cast("double").alias("d"), F.lit(True).alias("changed")
     )
-    known = write_through(known, "distances")
+    rounds = Rounds("distances")
+    known, _ = rounds.write(known)
     while True:
         moved = known.where("changed").join(links, ["language", "id"])
         reached = moved.select(
@@ -34,7 +35,7 @@ def _distances(links: DataFrame, sources: DataFrame) -> DataFrame:
         merged = known.select(*_STATE, "d", F.col("d").alias("old")).unionByName(reached)
         best = merged.groupBy(*_STATE).agg(F.min("d").alias("d"), F.min("old").alias("old"))
         best = best.select(*_STATE, "d", (F.col("old").isNull() | (F.col("d") < F.col("old"))).alias("changed"))
-        known, seen = measured_write(best, "distances", changed=F.count_if("changed"))
+        known, seen = rounds.write(best, changed=F.count_if("changed"))
         if not seen["changed"]:
             return known.select(*_STATE, "d")
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qaspark.operators.graph import both_directions, edge_ends
-from qaspark.session import measured_write, write_through
+from qaspark.session import Rounds, measured_write, write_through
 
 _TOLERANCE = 1e-9
 #: Rounds in which a half of all nodes may move; what comes after them ends by itself.
@@ -75,8 +75,9 @@ def _local_moves(links: DataFrame, level: int) -> DataFrame:
     """
     strength = links.groupBy(*_KEY).agg(F.sum("weight").alias("k"))
     total = strength.groupBy("language").agg(F.sum("k").alias("two_m"))
-    state = write_through(
-        strength.join(total, "language").select(*_KEY, F.col("node").alias("c"), "k", "two_m", F.lit(level * 100).alias("round")), "communities"
+    rounds = Rounds("communities")
+    state, _ = rounds.write(
+        strength.join(total, "language").select(*_KEY, F.col("node").alias("c"), "k", "two_m", F.lit(level * 100).alias("round"))
     )
     outward = links.where(F.col("node") != F.col("other"))
     number = 0
@@ -108,7 +109,7 @@ def _local_moves(links: DataFrame, level: int) -> DataFrame:
         best = best.withColumn("turn", _turn()) if number < _FREE_ROUNDS else _clear_of_others(best)
         moved = F.when(F.col("wants") & F.col("turn"), F.col("best.c")).otherwise(F.col("own"))
         step = best.select(*_KEY, moved.alias("c"), "k", "two_m", (F.col("round") + 1).alias("round"), "wants")
-        state, seen = measured_write(step, "communities", wanting=F.count_if("wants"))
+        state, seen = rounds.write(step, wanting=F.count_if("wants"))
         state = state.drop("wants")
         number += 1
         if not seen["wanting"]:

@@ -48,12 +48,31 @@ def write_through(df: DataFrame, name: str = "table") -> DataFrame:
 
 def measured_write(df: DataFrame, name: str = "table", **metrics: Column) -> tuple[DataFrame, dict]:
     """``write_through`` and aggregates over the written rows, all from the same job."""
+    return _write(df, name, metrics)[:2]
+
+
+def _write(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict, str]:
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/qaspark/{name}-{uuid.uuid4().hex}"
     seen = Observation()
     watched = df.observe(seen, *[c.alias(n) for n, c in metrics.items()]) if metrics else df
     watched.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), (seen.get if metrics else {})
+    return spark.read.schema(df.schema).parquet(path), (seen.get if metrics else {}), path
+
+
+class Rounds:
+    """The tables of a loop: each round is written, and the round it was made from is deleted once it is."""
+
+    def __init__(self, name: str):
+        self.name = name
+        self.last: str | None = None
+
+    def write(self, df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+        table, seen, path = _write(df, self.name, metrics)
+        if self.last:
+            delete_table(df.sparkSession, self.last)
+        self.last = path
+        return table, seen
 
 
 def broadcast_if_small(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:

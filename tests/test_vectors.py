@@ -221,3 +221,19 @@ def test_neighbors_and_tree_across_many_cells(built):
 def test_clustering_can_be_switched_off(spark):
     df = spark.createDataFrame([("x", 1, [1.0])], VECTORS)
     assert density.density_clusters(df, method="none").first().cluster_id == 0
+
+
+def test_svd_runs_until_it_is_steady_and_restarts_its_space(spark, monkeypatch):
+    import numpy as np
+
+    from qaspark.operators import vectors
+
+    monkeypatch.setattr(vectors, "_MOST_BLOCKS", 3)
+    rng = np.random.default_rng(5)
+    matrix = np.where(rng.random((260, 180)) < 0.15, rng.random((260, 180)), 0.0) @ np.diag(1.0 / np.sqrt(1 + np.arange(180)))
+    rows = [("x", i, [int(j) for j in np.flatnonzero(r)], [float(v) for v in r[r != 0]]) for i, r in enumerate(matrix)]
+    df = spark.createDataFrame(rows, "language string, doc_id long, positions array<int>, values array<double>")
+    found, directions = vectors.truncated_svd(df, {"x": 180}, k=5)["x"]
+    exact = np.linalg.svd(matrix, compute_uv=False)[:5]
+    assert np.abs(found - exact).max() <= 1e-6 * exact[0]
+    assert np.abs(directions.T @ directions - np.eye(5)).max() < 1e-8
