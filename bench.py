@@ -20,7 +20,7 @@ HEADLINE = [
     "clean_questions", "html_to_text", "dedupe_first", "latest_within_ttl", "describe", "box_stats", "count_pivot",
     "tag_frequency", "tag_pairs", "cooccurrence_edges", "degree_centrality", "network_payload", "top_cotags",
     "tokenize", "top_words", "term_counts", "vocabulary", "tfidf", "cluster_labels",
-    "top_patterns", "patterns_payload", "betweenness", "communities", "core_distance", "density_clusters",
+    "top_patterns", "patterns_payload", "betweenness", "communities", "core_distance", "density_clusters", "svd_energy",
 ]
 
 

@@ -81,7 +81,8 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select("page_id", "html")
+    # Markup is dear to parse: dealing the pages out evenly costs less than waiting for the largest file.
+    return table(spark, folder, "pages").select("page_id", "html").repartition("page_id")
 
 
 def clustered_questions(spark: SparkSession, folder: str) -> DataFrame:
