@@ -120,10 +120,21 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_
             texts = batch.column(1).to_pylist()
             for a, b in blocks([len(t or "") for t in texts], 1 << 21):
                 flat, counts = known.encode(texts[a:b])
-                ids = [np.append(x, np.uint32(end_id)) for x in np.split(flat, np.cumsum(counts)[:-1])]
-                near = [int(mix(x[:-1].astype(np.uint64) << np.uint64(32) | x[1:]).min() >> np.uint64(1)) if len(x) > 1 else 0 for x in ids]
-                blobs = [x.astype("<u2").tobytes() if known.vocabulary <= 1 << 16 else x.astype("<u4").tobytes() for x in ids]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([len(x) for x in ids], pa.int64()), pa.array(near, pa.int64()), pa.array(blobs, pa.binary())], names=["id", "n", "near", "ids"])
+                n = counts + 1
+                ends = np.cumsum(n)
+                ids = np.full(int(ends[-1]), end_id, np.uint32)
+                inside = np.ones(len(ids), bool)
+                inside[ends - 1] = False
+                ids[inside] = flat
+                # The smallest hash among a document's pairs of neighbouring ids; none reaches into the next document.
+                pairs = np.full(len(ids), np.iinfo(np.uint64).max, np.uint64)
+                pairs[:-1] = mix(ids[:-1].astype(np.uint64) << np.uint64(32) | ids[1:])
+                pairs[ends - 1] = np.iinfo(np.uint64).max
+                near = (np.minimum.reduceat(pairs, ends - n) >> np.uint64(1)).astype(np.int64)
+                width = 2 if known.vocabulary <= 1 << 16 else 4
+                content = ids.astype(f"<u{width}").tobytes()
+                blobs = [content[width * x : width * y] for x, y in zip((ends - n).tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(near), pa.array(blobs, pa.binary())], names=["id", "n", "near", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     encoded, seen = measured_write(rows.mapInArrow(encode, "id long, n long, near long, ids binary"), "encoded", rows=F.count(F.lit(1)), tokens=F.sum("n"))
