@@ -228,21 +228,15 @@ def test_empty_graph(spark):
     assert graph.degree_centrality(empty).count() == 0
 
 
-def test_rounds_leave_only_the_last_table(spark, tmp_path):
+def test_rounds_leave_only_the_last_table(spark, tmp_path, monkeypatch):
     import os
 
-    from qaspark.session import Rounds
-
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        rounds = Rounds("numbers")
-        table, _ = rounds.write(spark.range(5))
-        for _ in range(4):
-            table, seen = rounds.write(table.withColumn("id", F.col("id") + 1), rows=F.count(F.lit(1)))
-        assert sorted(r.id for r in table.collect()) == [4, 5, 6, 7, 8] and seen["rows"] == 5
-        assert len([x for x in os.listdir(tmp_path / "qaspark") if x.startswith("numbers-")]) == 1
-        edges = edges_of(spark, GRAPHS["square"])
-        communities(edges).collect()
-        assert len([x for x in os.listdir(tmp_path / "qaspark") if x.startswith("communities-")]) <= 2  # one per level
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    from qaspark import session
+
+    monkeypatch.setattr(session, "checkpoint_folder", lambda _: str(tmp_path))
+    rounds = session.Rounds("numbers")
+    table, _ = rounds.write(spark.range(5))
+    for _ in range(4):
+        table, seen = rounds.write(table.withColumn("id", F.col("id") + 1), rows=F.count(F.lit(1)))
+    assert sorted(r.id for r in table.collect()) == [4, 5, 6, 7, 8] and seen["rows"] == 5
+    assert len([x for x in os.listdir(tmp_path / "qaspark") if x.startswith("numbers-")]) == 1
