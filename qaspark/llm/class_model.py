@@ -2,30 +2,38 @@
 
     P(word | word before) = P(class | class before) * P(word | class)
 
-The most frequent words are items of their own; every other word shares an item with the words of like ending,
-so that words never seen have a class too. Exchange clustering moves items between classes as long as the
-likelihood of the corpus grows; it works on the items' bigram counts, a table of fixed size. Word counts are those of
-all training texts: every batch of documents asks the corpus for the counts of its own words.
+Every word of the training texts, however rare, is an item of exchange clustering with a class of its own. The start
+is the exact exchange of the most frequent words (the others go with their ending); then rounds run over the whole
+corpus: batches of documents count the classes beside their words, buckets of the vocabulary add these counts up and
+let each word pick its best class against the table of class transitions. Only words never seen in training take a
+class by their ending. Word counts are those of all training texts: every batch asks the corpus for the
+counts and classes of its own words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaspark.llm import batches as B
 from qaspark.llm.words import Words, mix
-from qaspark.session import write_through
+from qaspark.session import _write, delete_table, write_through
 
 TOP_WORDS = 768
 ENDINGS = 256
 CLASSES = 64
 DELTA = 0.5
+#: Rounds end with a gain of less than this part of the likelihood, or when not even this share of the words can move with a gain.
+LEAST_GAIN = 1e-3
+LEAST_SHARE = 0.25
 _LOW = np.uint64(ENDINGS - 1)
+_TALLY = "bucket int, batch long, classes binary, counts binary"
+_WORDS_AT_ONCE = 1 << 14
 
 
 def word_keys(words: Words) -> np.ndarray:
@@ -46,6 +54,15 @@ def items_of(keys: np.ndarray, top: np.ndarray) -> np.ndarray:
     return np.where(found, place, len(top) + (keys & _LOW).astype(np.int64))
 
 
+def xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def likelihood(joint: np.ndarray) -> float:
+    """What of the corpus' log likelihood depends on the classes, from the counts of class pairs."""
+    return float(xlogx(joint).sum() - xlogx(joint.sum(0)).sum() - xlogx(joint.sum(1)).sum())
+
+
 def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     """Class of every item from the bigram counts ``pairs``; the last item (the end of a text) keeps a class of its own.
 
@@ -65,13 +82,7 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     out = counts @ member  # to each class, by item
     into = counts.T @ member  # from each class, by item
 
-    def xlogx(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1.0))
-
-    def total() -> float:
-        return float(xlogx(joint).sum() - xlogx(joint.sum(0)).sum() - xlogx(joint.sum(1)).sum())
-
-    value = total()
+    value = likelihood(joint)
     while True:
         moved = 0
         for w in order:
@@ -106,12 +117,178 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES) -> np.ndarray:
                 into[:, b] += counts[w]
                 of[w] = b
                 moved += 1
-        new = total()
+        new = likelihood(joint)
         if not moved or new - value <= 1e-6 * abs(new):
             return of
         value = new
 
 
+def best_classes(out: np.ndarray, into: np.ndarray, loop: np.ndarray, of: np.ndarray, joint: np.ndarray, delta: float = DELTA) -> np.ndarray:
+    """The class that suits each word best against the counts of class pairs ``joint``, which stay as they are.
+
+    ``out`` and ``into`` (words x classes) count the classes after and before each word, ``loop`` a word beside itself.
+    A word is judged by the others: its own counts are taken out of its class ``of``. The last class is that of the end.
+    """
+    n, classes = out.shape
+    every, own = np.arange(n), joint[of, of] - out[np.arange(n), of] - into[np.arange(n), of] - loop
+    log, wide = np.log(joint + delta), delta * classes
+    weight = out.sum(1) + loop
+    rows, columns = joint.sum(1), joint.sum(0)
+    score = out @ log.T + into @ log + loop[:, None] * log.diagonal() - weight[:, None] * (np.log(rows + wide) + np.log(columns + wide))
+    row, column = joint[of] - out, joint.T[of] - into
+    row[every, of] = column[every, of] = own
+    stay = (out * np.log(row + delta) + into * np.log(column + delta)).sum(1) + loop * np.log(own + delta)
+    stay -= weight * (np.log(rows[of] - weight + wide) + np.log(columns[of] - weight + wide))
+    score[every, of] = stay
+    score[:, -1] = -np.inf
+    best = score.argmax(1)
+    return np.where(score[every, best] > stay + 1e-9, best, of)
+
+
+def _count_classes(line: np.ndarray, of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class pairs of a line of word numbers (the last number is the end), and the counts beside its words.
+
+    The latter are sorted codes, word * (2 classes + 1) + slot, and how often each occurs; slots are the class after, the class
+    before, and the word itself.
+    """
+    before, after = np.concatenate(([len(of) - 1], line[:-1])), line
+    if not len(line):
+        before = line
+    a, b = of[before], of[after]
+    joint = np.bincount(a * classes + b, minlength=classes * classes).reshape(classes, classes)
+    width, same = 2 * classes + 1, before == after
+    codes = np.concatenate((before[~same] * width + b[~same], after[~same] * width + classes + a[~same], before[same] * width + 2 * classes))
+    codes, n = np.unique(codes[codes < (len(of) - 1) * width], return_counts=True)
+    return joint, codes, n
+
+
+def _class_bytes(of: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(of.astype("<i2").tobytes())
+
+
+def _classes(blob) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<i2").astype(np.int64)
+
+
+def cluster(asked: DataFrame, lines: DataFrame, first: Callable[[np.ndarray], np.ndarray], classes: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Exchange rounds over all training words: ``batch, bucket, answer`` (classes in key order), class pairs, types by ending and class.
+
+    A round is one job. All words move at once, so a round can lose likelihood: then it is taken back and a smaller
+    share of the words, drawn anew, moves. Each bucket holds its own words only; a table of classes x classes is shared.
+    """
+    spark = asked.sparkSession
+    width = 2 * classes + 1
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_class_bytes(first(np.frombuffer(k.as_buffer(), np.uint64))) for k in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), pa.array(found, pa.binary())], names=["batch", "bucket", "answer"])
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = sorted(zip(right.column("bucket").to_pylist(), right.column("answer").to_pylist()))
+        if not left.num_rows:
+            # Numbers of types go through to the summary.
+            return pa.table([pa.array([-2] * len(rows), pa.int32()), right.column("batch"), pa.array([b""] * len(rows), pa.binary()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "batch", "classes", "counts"])
+        batch = left.column("batch")[0].as_py()
+        parts = [_classes(x) for _, x in rows]
+        joint, codes, n = _count_classes(B.spread(left.column("line")[0].as_buffer()), np.concatenate([*parts, [classes - 1]]).astype(np.int64), classes)
+        out = [(-1, batch, b"", B.squeeze(joint.ravel()))]
+        place = 0
+        for (bucket, answer), part in zip(rows, parts):
+            a, b = np.searchsorted(codes, [place * width, (place + len(part)) * width])
+            word, slot = np.divmod(codes[a:b] - place * width, width)
+            out.append((bucket, batch, answer, B.squeeze(np.concatenate((np.bincount(word, minlength=len(part)), slot, n[a:b])))))
+            place += len(part)
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "batch", "classes", "counts"])
+
+    def pick(shared, share: float, turn: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+        def choose(left: pa.Table, right: pa.Table) -> pa.Table:
+            joint = shared.value
+            numbers = left.column("batch").to_pylist()
+            keys = [np.frombuffer(k.as_buffer(), np.uint64) for k in left.column("keys")]
+            lengths = [len(k) for k in keys]
+            keys = np.concatenate(keys)
+            order = np.argsort(keys, kind="stable")
+            begins = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
+            run = np.empty(len(keys), np.int64)
+            run[order] = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(keys))))
+            names, of = keys[order][begins], np.empty(len(begins), np.int64)
+            tallies = dict(zip(right.column("batch").to_pylist(), zip(right.column("classes"), right.column("counts"))))
+            codes, counts, place = [], [], 0
+            for number, length in zip(numbers, lengths):
+                mine = run[place : place + length]
+                of[mine] = _classes(tallies[number][0].as_buffer())
+                flat = B.spread(tallies[number][1].as_buffer())
+                n = (len(flat) - length) // 2
+                codes.append(np.repeat(mine, flat[:length]) * width + flat[length : length + n])
+                counts.append(flat[length + n :].astype(np.int32))
+                place += length
+            codes, counts = np.concatenate(codes), np.concatenate(counts)
+            order = np.argsort(codes, kind="stable")
+            codes, counts = codes[order], counts[order]
+            del order
+            new, seen = of.copy(), np.zeros(len(of), bool)
+            if share < 1:
+                moving = mix(names + np.uint64(turn)) < np.uint64(int(share * 2**64))
+            else:
+                moving = np.ones(len(names), bool)
+            for a in range(0, len(of), _WORDS_AT_ONCE):
+                b = min(a + _WORDS_AT_ONCE, len(of))
+                x, y = np.searchsorted(codes, [a * width, b * width])
+                table = np.bincount(codes[x:y] - a * width, weights=counts[x:y], minlength=(b - a) * width).reshape(b - a, width)
+                seen[a:b] = table.any(1)
+                some = a + np.flatnonzero(seen[a:b] & moving[a:b])
+                if len(some):
+                    table = table[some - a]
+                    new[some] = best_classes(table[:, :classes], table[:, classes:-1], table[:, -1], of[some], joint)
+            ending = (names[seen] & _LOW).astype(np.int64) * classes
+            types = np.bincount(ending + of[seen], minlength=ENDINGS * classes), np.bincount(ending + new[seen], minlength=ENDINGS * classes)
+            found = [_class_bytes(x) for x in np.split(new[run], np.cumsum(lengths)[:-1])]
+            bucket = left.column("bucket")[0].as_py()
+            return pa.table(
+                {
+                    "batch": pa.array([*numbers, -1 - bucket], pa.int64()),
+                    "bucket": pa.array([bucket] * (len(numbers) + 1), pa.int32()),
+                    "answer": pa.array([*found, B.squeeze(np.concatenate(types))], pa.binary()),
+                }
+            )
+
+        return choose
+
+    def add(table: pa.Table) -> pa.Table:
+        return pa.table({"bucket": table.column("bucket").slice(0, 1), "total": pa.array([B.squeeze(sum(B.spread(x.as_buffer()) for x in table.column("counts")))], pa.binary())})
+
+    def tally(state: DataFrame) -> tuple[DataFrame, str, np.ndarray, np.ndarray | None]:
+        table, _, path = _write(lines.groupBy("batch").cogroup(state.groupBy("batch")).applyInArrow(count, _TALLY), "class-tally", {})
+        # At most 32 sums of each kind come back: tables of classes x classes, and of endings x classes.
+        sums = table.where(F.col("bucket") < 0).select("bucket", "counts", F.pmod(F.xxhash64("batch"), F.lit(32)).alias("part"))
+        total: dict[int, np.ndarray] = {}
+        for r in sums.groupBy("bucket", "part").applyInArrow(add, "bucket int, total binary").collect():
+            total[r["bucket"]] = total.get(r["bucket"], 0) + B.spread(r["total"])
+        types = total[-2].reshape(2, ENDINGS, classes) if -2 in total else None
+        return table, path, total.get(-1, np.zeros(classes * classes)).reshape(classes, classes).astype(np.float64), types
+
+    table, path, joint, _ = tally(asked.mapInArrow(begin, B.ANSWER))
+    value, share, turn, known = likelihood(joint), 1.0, 0, np.zeros((ENDINGS, classes))
+    while value and share >= LEAST_SHARE:
+        turn += 1
+        shared = spark.sparkContext.broadcast(joint)
+        moved = asked.groupBy("bucket").cogroup(table.where(F.col("bucket") >= 0).groupBy("bucket")).applyInArrow(pick(shared, share, turn), B.ANSWER)
+        after, written, pairs, types = tally(moved)
+        gain = likelihood(pairs) - value
+        known = types[int(gain > 0)]
+        if gain <= 0:
+            delete_table(spark, written)
+            share /= 2
+            continue
+        delete_table(spark, path)
+        table, path, joint, value = after, written, pairs, value + gain
+        if gain <= LEAST_GAIN * abs(value):
+            break
+    answers = table.where(F.col("bucket") >= 0).select("batch", "bucket", F.col("classes").alias("answer"))
+    return answers, joint, known
+
+
 def score_texts(docs: DataFrame, held_out: Column, top_words: int = TOP_WORDS, classes: int = CLASSES, delta: float = DELTA, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores every whole text with a model learned from the rows for which ``held_out`` (on ``doc_id``) does not hold.
 
@@ -144,29 +321,27 @@ def score_texts(docs: DataFrame, held_out: Column, top_words: int = TOP_WORDS, c
         for batch in batches:
             for number, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 _, words, keys, learn = read(blob.as_buffer())
-                yield B.question_batch(list(B.question(number, *distinct(words, keys, learn), bits)))
+                names, n = distinct(words, keys, learn)
+                line, _ = _with_ends(np.searchsorted(names, keys), words, len(names))
+                # The training texts as numbers of the batch's own words stand below a bucket that does not exist.
+                told = {"bucket": -1, "batch": number, "keys": B.squeeze(line[np.repeat(learn, words.n_words + 1)]), "numbers": None}
+                yield B.question_batch([*B.question(number, names, n, bits), told])
 
-    asked = write_through(packed.mapInArrow(ask, B.QUESTION), "word-counts")
+    written = write_through(packed.mapInArrow(ask, B.QUESTION), "word-counts")
+    asked, lines = written.where(F.col("bucket") >= 0), written.where(F.col("bucket") < 0).select("batch", F.col("keys").alias("line"))
 
     def summary(table: pa.Table) -> pa.Table:
         keys = np.concatenate([np.frombuffer(k.as_buffer(), np.uint64) for k in table.column("keys")])
         order, begins, _, numbers = B.merged(table)
         totals, names = np.add.reduceat(numbers[order], begins), keys[order][begins]
-        types = np.bincount((names[totals > 0] & _LOW).astype(np.int64), minlength=ENDINGS)
         best = np.lexsort((names, -totals))[:top_words]
         best = best[totals[best] > 0]
-        return pa.table({"tokens": [int(totals.sum())], "types": pa.array([types.tolist()], pa.list_(pa.int64())), "key": pa.array([names[best].view(np.int64).tolist()], pa.list_(pa.int64())), "n": pa.array([totals[best].tolist()], pa.list_(pa.int64()))})
+        return pa.table({"tokens": [int(totals.sum())], "types": [int((totals > 0).sum())], "key": pa.array([names[best].view(np.int64).tolist()], pa.list_(pa.int64())), "n": pa.array([totals[best].tolist()], pa.list_(pa.int64()))})
 
-    parts = write_through(asked.groupBy("bucket").applyInArrow(summary, "tokens long, types array<long>, key array<long>, n array<long>"), "word-summary")
+    parts = write_through(asked.groupBy("bucket").applyInArrow(summary, "tokens long, types long, key array<long>, n array<long>"), "word-summary")
     best = parts.select(F.explode(F.arrays_zip("key", "n")).alias("x")).select("x.*").orderBy(F.desc("n"), "key").limit(top_words).collect()
     top = np.sort(np.array([r["key"] for r in best], np.int64).view(np.uint64))
-    by_ending = parts.select("tokens", F.posexplode("types").alias("e", "t")).groupBy("e").agg(F.sum("t").alias("t")).collect()
-    types = np.zeros(len(top) + ENDINGS + 1)
-    types[: len(top)] = 1
-    for r in by_ending:
-        types[len(top) + r["e"]] = r["t"]
-    np.subtract.at(types, len(top) + (top & _LOW).astype(np.int64), 1)
-    n_words = parts.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).collect()[0]["n"]
+    n_words, n_types = parts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).collect()[0]
     n_items = len(top) + ENDINGS + 1
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,20 +367,20 @@ def score_texts(docs: DataFrame, held_out: Column, top_words: int = TOP_WORDS, c
     for r in blocks:
         counts[r["row"] : r["row"] + 64] = B.spread(r["counts"]).reshape(-1, n_items)
     of = exchange(counts, classes)
-    member = np.zeros((n_items, classes))
-    member[np.arange(n_items), of] = 1
-    joint = member.T @ counts @ member
     n_train = int(counts.sum(0)[-1])
     n_tokens = n_words + n_train
-    types[-1] = 1.0 if n_train else 0.0
-    n_types = types.sum()
+    found, joint, types = cluster(asked, lines, lambda keys: of[items_of(keys, top)], classes)
     with_class = joint.sum(0)
+    # A word never seen goes where most training words of its ending are; without any, where most words are.
+    unseen = np.where(types.any(1), types.argmax(1), types.sum(0).argmax())
+    in_class = types.sum(0)
+    in_class[-1] = 1 if n_train else 0
+    n_types += in_class[-1]
     model = docs.sparkSession.sparkContext.broadcast(
         {
-            "top": top,
-            "of": of,
+            "unseen": unseen,
             "step": np.log10((joint + delta) / (joint.sum(1, keepdims=True) + delta * classes)),
-            "emit": np.log10(with_class + delta * (types @ member + 1)),
+            "emit": np.log10(with_class + delta * (in_class + 1)),
             "base": np.log10(n_tokens + 0.5 * (n_types + 1)),
             "train": n_train,
         }
@@ -215,6 +390,7 @@ def score_texts(docs: DataFrame, held_out: Column, top_words: int = TOP_WORDS, c
         return np.add.reduceat(numbers[order], begins)[run]
 
     counted = B.answers(asked, sums, B.squeeze).withColumn("kind", F.lit("count"))
+    replies = counted.unionByName(found.withColumn("kind", F.lit("class")))
 
     def score(number, tags, texts, kinds) -> pa.Table:
         m = model.value
@@ -222,12 +398,12 @@ def score_texts(docs: DataFrame, held_out: Column, top_words: int = TOP_WORDS, c
         keys = word_keys(words)
         names = distinct(words, keys, np.zeros(len(tags), bool))[0]
         known = np.concatenate([B.spread(x) for x in kinds["count"]]) if len(names) else np.empty(0, np.int64)
-        count = known[np.searchsorted(names, keys)] if len(names) else known
-        end = len(m["of"]) - 1
-        line, _ = _with_ends(items_of(keys, m["top"]), words, end)
-        c, first = _with_ends(count, words, m["train"])
-        group = m["of"][line]
-        before = _before(group, words, m["of"][end])
+        of = np.concatenate([_classes(x) for x in kinds["class"]]) if len(names) else known
+        of = np.where(known > 0, of, m["unseen"][(names & _LOW).astype(np.int64)])
+        place = np.searchsorted(names, keys)
+        c, first = _with_ends(known[place], words, m["train"])
+        group, _ = _with_ends(of[place], words, classes - 1)
+        before = _before(group, words, classes - 1)
         base = np.log10(c + 0.5) - m["base"]
         own = m["step"][before, group] + np.log10(c + delta) - m["emit"][group]
         ids = [int(t[1:]) if len(t) > 1 else None for t in tags]
@@ -242,7 +418,7 @@ def score_texts(docs: DataFrame, held_out: Column, top_words: int = TOP_WORDS, c
             }
         )
 
-    found = B.answered(packed, counted, score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    found = B.answered(packed, replies, score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 

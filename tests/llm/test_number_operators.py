@@ -323,6 +323,16 @@ def test_class_model_base_is_exact_and_classes_help_on_held_out_texts(spark):
     assert class_model.score_texts(table(spark, []), held).count() == 0
 
 
+def test_rare_words_of_like_ending_get_classes_of_their_own(spark):
+    rng = random.Random(11)
+    kinds = [[f"p{i}one" for i in range(90)], [f"q{i}one" for i in range(90)]]
+    rows = [(i, " ".join(rng.choice(kinds[k % 2]) for k in range(2 * rng.randrange(15, 40))), "en", "s") for i in range(150)]
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    found = [r for r in class_model.score_texts(table(spark, rows).repartition(3), held, top_words=8, classes=8).collect() if r["held_out"]]
+    # Knowing which of two kinds of 90 words comes next is worth log10(2) a word.
+    assert sum(r["score"] - r["base_score"] for r in found) > 0.25 * sum(r["n_tokens"] for r in found)
+
+
 def test_exchange_finds_planted_classes_and_never_loses_likelihood():
     rng = np.random.default_rng(9)
     group = np.arange(40) % 4
