@@ -3,8 +3,9 @@
 Documents are encoded once and dealt to shards by a MinHash of their id pairs, so documents that share text
 mostly share a shard. A shard holds a bounded number of documents and its own inverted index over token ids;
 inverse document frequencies and the mean length come from all documents (one number per vocabulary entry).
-In a shard, the next unused document is the seed; the index returns its unused neighbours, best first, which fill the
-seed's window greedily; the last one is cut to fit and its rest waits for a later window.
+In a shard, the next unused document is the seed; the index ranks all unused documents that score for any of the seed's
+terms, and the window is filled in that order; the last one is cut to fit and its rest waits for a later window. Only when
+none scores do the next unused documents follow in shard order.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from qaspark.session import measured_write
 
 WINDOW = 2048
 SHARD_DOCS, SHARD_TOKENS = 2048, 1 << 20
-TERMS, NEIGHBOURS = 16, 32
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _SCHEMA = pa.schema([(x.split()[0], pa.int64()) for x in PIECES.split(", ")])
@@ -45,20 +45,29 @@ class Shard:
         order = np.argsort(term, kind="stable")
         self.posting_doc, self.posting_weight = doc[order], weight[order]
         self.distinct, self.posting = np.unique(term[order], return_index=True)
-        self.posting = np.append(self.posting, len(term))
+        self.posting, self.indexed = np.append(self.posting, len(term)), n
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents by BM25 score for the seed's heaviest terms, at most NEIGHBOURS, best first."""
+        """All unused documents with a BM25 score for the terms of the seed, best first."""
+        self._shrink(unused)
         a, b = self.terms_of[seed], self.terms_of[seed + 1]
-        weight = self.weight[a:b]
-        top = np.argpartition(-weight, TERMS)[:TERMS] if b - a > TERMS else np.arange(b - a)
-        at = np.searchsorted(self.distinct, self.term[a:b][top])
-        spans = [(self.posting[i], self.posting[i + 1]) for i in at]
-        scores = np.bincount(np.concatenate([self.posting_doc[x:y] for x, y in spans]), weights=np.concatenate([self.posting_weight[x:y] for x, y in spans]), minlength=self.n)
+        at = np.searchsorted(self.distinct, self.term[a:b])
+        begin, n = self.posting[at], self.posting[at + 1] - self.posting[at]
+        place = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+        scores = np.bincount(self.posting_doc[place], weights=self.posting_weight[place], minlength=self.n)
         scores[~unused] = 0
-        best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if self.n > NEIGHBOURS else np.arange(self.n)
-        best = best[scores[best] > 0]
-        return best[np.lexsort((best, -scores[best]))]
+        best = np.flatnonzero(scores > 0)
+        return best[np.argsort(-scores[best], kind="stable")]
+
+    def _shrink(self, unused: np.ndarray) -> None:
+        """Once half of the indexed documents are used up, their postings are taken out."""
+        left = int(unused.sum())
+        if 2 * left > self.indexed:
+            return
+        self.indexed = left
+        keep = unused[self.posting_doc]
+        self.posting_doc, self.posting_weight = self.posting_doc[keep], self.posting_weight[keep]
+        self.posting = np.concatenate(([0], np.cumsum(keep)))[self.posting]
 
 
 def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
@@ -85,24 +94,17 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, wind
         filled = 0
         put(seed, min(window, total[seed] - placed[seed]))
         if filled < window:
-            cut = None
             for d in shard.neighbours(seed, unused):
-                left = total[d] - placed[d]
-                if left <= window - filled:
-                    put(d, left)
-                elif cut is None:
-                    cut = d
+                put(d, min(window - filled, total[d] - placed[d]))
                 if filled == window:
                     break
             while filled < window:
-                # The best neighbour that was too long is cut; without one, the next unused documents follow.
-                if cut is None or not unused[cut]:
-                    while pointer < len(docs) and not unused[pointer]:
-                        pointer += 1
-                    if pointer == len(docs):
-                        break
-                    cut = pointer
-                put(cut, min(window - filled, total[cut] - placed[cut]))
+                # Nothing that scores is left: the next unused documents follow.
+                while pointer < len(docs) and not unused[pointer]:
+                    pointer += 1
+                if pointer == len(docs):
+                    break
+                put(pointer, min(window - filled, total[pointer] - placed[pointer]))
         sequence += 1
 
 

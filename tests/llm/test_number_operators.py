@@ -253,6 +253,22 @@ def test_packing_fills_a_window_with_lexical_neighbours():
     assert len(by_sequence) == 16 and sum(len(x) == 1 for x in by_sequence.values()) >= 12
 
 
+def test_packing_retrieves_until_the_window_is_full_and_by_all_terms():
+    rng = np.random.default_rng(12)
+    # Short documents of two vocabularies by turns: a window takes a hundred of one of them.
+    docs = [np.append(rng.integers(500 * (i % 2), 500 * (i % 2) + 50, 9), 500 * (i % 2) + 60).astype(np.uint32) for i in range(400)]
+    idf = np.ones(2000)
+    by_sequence = collections.defaultdict(set)
+    for d, _, _, sequence, _ in packing.pack_shard(docs, idf, 10.0, window=1000):
+        by_sequence[sequence].add(d % 2)
+    assert len(by_sequence) == 4 and all(len(x) == 1 for x in by_sequence.values())
+    # A neighbour that shares only the lightest of many terms of the seed is found, after the heavier ones.
+    seed, light, heavy, other = np.arange(100), np.arange(95, 120), np.arange(25), np.arange(200, 300)
+    shard = packing.Shard([x.astype(np.uint32) for x in (seed, light, heavy, other)], np.where(np.arange(2000) < 95, 2.0, 1.0), 50.0)
+    assert shard.neighbours(0, np.array([False, True, True, True])).tolist() == [2, 1]
+    assert shard.neighbours(0, np.array([False, True, False, True])).tolist() == [1]
+
+
 # --- mixing
 
 
