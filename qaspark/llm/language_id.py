@@ -24,6 +24,9 @@ BLOCK_CHARS = 1 << 20
 MOST_MODEL_BYTES = 256 << 20
 _SCALE = 1 << 16
 _END = "\x00"
+#: A language with fewer labelled rows has no bound for its fit: so low a quantile cannot be told from them.
+LEAST_ROWS = 100
+LOW_QUANTILE = 0.01
 _SALTS = 250
 _LETTER = np.array([chr(i).isalpha() for i in range(0x3000)])
 
@@ -93,12 +96,14 @@ def _text_blocks(texts: list[str | None]):
         yield begin, texts[begin:]
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows_per_language: int = 4000, bits: int = BITS, alpha: float = 0.5) -> dict:
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows_per_language: int = 4000, bits: int = BITS, alpha: float = 0.5, bounded: bool = False) -> dict:
     """Fit the model on at most ``rows_per_language`` labelled rows of each language, chosen by hashes of their id.
 
     Rows without text or language take no part; a language without any n-gram is left out. Returns
     ``{"languages": [...], "weights": int32 array (languages, 2**bits)}``, empty without labelled rows. The model has a proven size, 4 * 2**bits bytes per language; above
-    ``MOST_MODEL_BYTES`` it is refused with a request for fewer bits.
+    ``MOST_MODEL_BYTES`` it is refused with a request for fewer bits. With ``bounded`` the training rows are scored once more
+    and ``{"bounds": {language: least fit}}`` is added: as far below the quantile ``LOW_QUANTILE`` of their fits as this
+    lies below their median. A language with fewer than ``LEAST_ROWS`` rows has none.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -134,19 +139,31 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
         counts = np.full(1 << bits, alpha)
         counts[np.array(row["b"], dtype=np.int64)] += np.array(row["n"], dtype=np.float64)
         weights[k] = np.rint(np.log(counts / counts.sum()) * _SCALE).astype(np.int32)
-    return {"languages": [r["lang"] for r in found], "weights": weights, "bits": bits}
+    model = {"languages": [r["lang"] for r in found], "weights": weights, "bits": bits}
+    if bounded:
+        fits = identify(picked, model, fit=True).where(F.col("lang_pred") == F.col("lang")).groupBy("lang")
+        # One row per language.
+        rows = fits.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("fit", [LOW_QUANTILE, 0.5], 10_000).alias("q")).collect()
+        model["bounds"] = {r["lang"]: 2 * r["q"][0] - r["q"][1] for r in rows if r["n"] >= LEAST_ROWS}
+    return model
 
 
-def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: dict, text_col: str = "text", fit: bool = False) -> DataFrame:
     """Adds ``lang_pred`` and ``score`` to every row, from the whole text.
 
     ``score`` is the posterior of the best language with equal priors. ``und`` and 0 where the text is null, has
     no letters, or nothing was learned. Equal scores go to the smaller language name. Existing columns
-    of these two names are replaced; all others are kept.
+    of these two names are replaced; all others are kept. With ``fit`` a column of this name is added: the mean log probability
+    of an n-gram under the best language, less what the language's own n-grams have on average, plus three
+    standard errors of such a mean, so that short texts have the benefit of the doubt. Null where nothing was scored.
     """
-    kept = docs.drop("lang_pred", "score")
+    kept = docs.drop("lang_pred", "score", *(["fit"] if fit else []))
     columns = kept.columns
     at = columns.index(text_col)
+    logs = model["weights"] / _SCALE
+    usual = (np.exp(logs) * logs).sum(1)
+    # The n-grams of each length overlap, so a text has about a third as many that are free.
+    wide = 3 * np.sqrt(len(ORDERS) * ((np.exp(logs) * logs**2).sum(1) - usual**2))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,9 +187,14 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
                 names = [languages[b] if s else "und" for b, s in zip(best, seen)]
             else:
                 score, names = np.zeros(len(texts)), ["und"] * len(texts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())], names=[*columns, "lang_pred", "score"])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "lang_pred string, score double"])
+            found = {"lang_pred": pa.array(names, pa.string()), "score": pa.array(score, pa.float64())}
+            if fit:
+                n = np.maximum(seen, 1)
+                value = total.max(axis=1) / _SCALE / n - usual[best] + wide[best] / np.sqrt(n) if languages else score
+                found["fit"] = pa.array(value, pa.float64(), mask=np.array([x == "und" for x in names], bool))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found.values()], names=[*columns, *found])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "lang_pred string, score double", *(["fit double"] if fit else [])])
     return kept.mapInArrow(predict, schema)
 
 

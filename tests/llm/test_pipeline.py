@@ -83,6 +83,23 @@ def test_pipeline_on_awkward_documents(spark, tmp_path):
             assert found.columns == corpus_pipeline.COLUMNS
 
 
+def test_language_stage_drops_gibberish_and_unlearned_languages(spark):
+    import random
+
+    rng = random.Random(13)
+    vocabulary = {"en": "the river runs under old stone bridges while farmers carry their bread home before winter comes".split()}
+    vocabulary["de"] = "der fluss zieht unter alten steinernen brücken und bauern tragen ihr brot nach hause bevor es schneit".split()
+    text = lambda lang, n: " ".join(rng.choice(vocabulary[lang]) for _ in range(n))
+    rows = [(i, text(["en", "de"][i % 2], rng.randrange(3, 120)), ["en", "de"][i % 2], "a") for i in range(600)]
+    rows += [(1000, "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/") for _ in range(400)), None, "a")]
+    rows += [(1001, "Η γλώσσα αυτή δεν διδάχθηκε ποτέ και δεν μοιάζει με καμία άλλη από αυτές", None, "a"), (1002, "Příliš žluťoučký kůň úpěl ďábelské ódy a nikdo mu neřekl kudy vede cesta domů", None, "a")]
+    rows += [(1003, "the old river", None, "a"), (1004, "brot nach hause", None, "a"), (1005, "stone bridges", None, "a")]
+    df = spark.createDataFrame([(*r, len(r[1]), "c", "k", "u") for r in rows], SCHEMA)
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, df, FOLDER).collect()}
+    assert {i for i, *_ in rows} - set(kept) == {1000, 1001, 1002}
+    assert [kept[i] for i in (1003, 1004, 1005)] == ["en", "de", "en"]
+
+
 def test_registry():
     names = set(entry.queries())
     assert {q.split("_")[0] for q in QUERIES} == {f"op{k}" for k in range(1, 11)} and {*QUERIES, "pipeline"} <= names
