@@ -100,5 +100,36 @@ kept AS (
 )
 SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(k.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.rest, '')) AS kept_sha256
 FROM tokens t LEFT JOIN kept k ON k.doc_id = t.doc_id
+""",
+    "op13_ranked_search": r"""
+WITH held AS (
+  SELECT d.doc_id, d.row, t.term
+  FROM (SELECT doc_id, row_number() OVER () AS row,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents) d,
+       unnest(d.terms) AS t(term)
+),
+lengths AS (SELECT row, any_value(doc_id) AS doc_id, count(*)::BIGINT AS n FROM held GROUP BY row),
+totals AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM lengths),
+asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term
+),
+postings AS (
+  SELECT row, term, count(*)::BIGINT AS tf FROM held WHERE term IN (SELECT term FROM asked) GROUP BY row, term
+),
+weights AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM postings, totals GROUP BY term, nn),
+impacts AS (
+  SELECT p.row, l.doc_id, p.term, w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (100 - 75 + (75 * l.n * nn) // ll))) AS impact
+  FROM postings p JOIN lengths l USING (row) JOIN weights w USING (term), totals
+),
+scores AS (
+  SELECT a.item_id, i.row, i.doc_id, sum(a.times * i.impact)::BIGINT AS score FROM asked a JOIN impacts i USING (term) GROUP BY a.item_id, i.row, i.doc_id
+)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST))::INT AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
 """,
 }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaspark.llm import class_model, collision_search, impact_search, language_id, line_dedup, minhash, mixing, packing, passages, token_frames
+from qaspark.llm import (
+    byte_bpe,
+    class_model,
+    collision_search,
+    conversation_repair,
+    impact_search,
+    language_id,
+    line_dedup,
+    minhash,
+    mixing,
+    packing,
+    passages,
+    ranked_search,
+    token_frames,
+)
 from qaspark.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -71,6 +85,18 @@ def op10_class_model(spark: SparkSession, folder: str) -> DataFrame:
     return class_model.score_texts(documents(spark, folder), language_id.remainder(F.col("doc_id"), 5) == 1)
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.encode_texts(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair_conversations(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank_documents(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_search": op1_collision_search,
     "op2_language_id": op2_language_id,
@@ -82,4 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_passages": op9_passages,
     "op10_class_model": op10_class_model,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_ranked_search": op13_ranked_search,
 }
