@@ -57,7 +57,11 @@ def merge_by_rank(ranks: dict[bytes, int], piece: bytes, below: int | None = Non
 
 
 class Vocabulary:
-    """Tokens by rank, what each was last merged from, and an automaton that finds the tokens ending at a byte."""
+    """Tokens by rank, what each was last merged from, and an automaton that finds the tokens ending at a byte.
+
+    Ranks must be in merge order, as training gives them: a token that can be merged at all is merged from tokens of smaller rank.
+    Others are refused. A token that no two tokens make up is kept for pieces equal to it.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -70,7 +74,9 @@ class Vocabulary:
             if len(token) > 1:
                 halves = merge_by_rank(ranks, token, below=rank)
                 if len(halves) != 2:
-                    continue  # merging never arrives here; such a token stands only for a piece equal to it
+                    if any(token[:i] in ranks and token[i:] in ranks for i in range(1, len(token))):
+                        raise ValueError(f"the token of rank {rank} is not merged from tokens of smaller rank")
+                    continue
                 self._halves[rank] = (ranks[halves[0]], ranks[halves[1]])
             self._automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self._automaton.make_automaton()

@@ -46,9 +46,15 @@ def test_every_prefix_has_the_last_token_of_its_own_encoding():
 def test_small_vocabularies_with_tokens_that_merging_never_reaches(seed):
     rng = random.Random(seed)
     ranks = {bytes([i]): i for i in range(256)}
-    while len(ranks) < 300:
-        ranks.setdefault("".join(rng.choice("abc") for _ in range(rng.randint(2, 5))).encode(), len(ranks))
+    while len(ranks) < 320:
+        token = b"".join(rng.choice([t for t in ranks if set(t) <= set(b"abc")]) for _ in range(2))
+        if token not in ranks and len(token) < 9 and len(merge_by_rank(ranks, token)) == 2:
+            ranks[token] = len(ranks)
+    ranks[b"cdddc"] = len(ranks)
     words = Vocabulary(ranks)
+    assert words.encode_piece(b"cdddc") == [320] and len(words.encode_piece(b"acdddc")) > 1
+    with pytest.raises(ValueError):
+        Vocabulary({**{bytes([i]): i for i in range(256)}, b"abc": 256, b"ab": 257})
     for _ in range(1500):
         piece = "".join(rng.choice("abc") for _ in range(rng.randint(1, 12))).encode()
         if piece not in ranks:
