@@ -12,14 +12,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from qaspark.operators.components import connected
 from qaspark.operators.neighbors import core_distances, lay_out, nearest_neighbors, spanning_tree
 from qaspark.session import measured_write, write_through
 
 MIN_CLUSTER_SIZE = 25
 MIN_SAMPLES = 3
 
-# The hierarchy is built in order of edge length, at most about this many edges per language
-# and step, so a step never holds a whole language.
+# A task of the hierarchy holds at most this many edges.
 EDGES_PER_STEP = 500_000
 _SHORTEST = 1e-12
 
@@ -34,11 +34,14 @@ def distinct_points(vectors: DataFrame) -> DataFrame:
     ).select("language", "pid", F.col("vector").cast("array<double>").alias("vector"), "mult")
 
 
-def _merge_step(min_cluster_size: int, step: int):
+def _merge_step(min_cluster_size: int, step: str, most: int):
     """Join components along edges in order of length; edges carry the state of their ends."""
 
     def merge(edges: pd.DataFrame) -> pd.DataFrame:
+        if len(edges) > most:
+            raise ValueError(f"{len(edges)} edges in one task, at most {most} are meant to meet")
         edges = edges.sort_values(["w", "a", "b"])
+        group = edges["root"].iloc[0]
         language = edges["language"].iloc[0]
         up: dict[int, int] = {}
         size: dict[int, int] = {}
@@ -76,7 +79,7 @@ def _merge_step(min_cluster_size: int, step: int):
             if cluster[x] and cluster[y]:
                 # Two clusters meet: both end here and a wider one begins.
                 born += 1
-                name, under = f"{step}.{born}", 0.0
+                name, under = f"{step}.{group}.{born}", 0.0
                 for part in (x, y):
                     stability = gathered[part] - size[part] * density
                     wins = stability >= below[part]
@@ -95,7 +98,7 @@ def _merge_step(min_cluster_size: int, step: int):
                 loose[x] = loose[x] + loose[y]
                 if size[x] + size[y] >= min_cluster_size:
                     born += 1
-                    cluster[x], below[x] = f"{step}.{born}", 0.0
+                    cluster[x], below[x] = f"{step}.{group}.{born}", 0.0
                     gathered[x] = (size[x] + size[y]) * density
                     for comp in loose[x]:
                         fell[comp] = cluster[x]
@@ -116,16 +119,63 @@ def _merge_step(min_cluster_size: int, step: int):
     return merge
 
 
-def _limits(tree: DataFrame, per_step: int) -> list[float]:
-    """Edge lengths that cut the tree into steps; equal lengths stay together."""
-    largest = tree.groupBy("language").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    steps = math.ceil(largest / per_step)
-    if steps <= 1:
-        return [math.inf]
-    cuts = [i / steps for i in range(1, steps)]
-    found = tree.groupBy("language").agg(F.percentile_approx("w", cuts, 100_000).alias("cuts"))
-    # Every language keeps its own cuts, so no step of any language is too large.
-    return sorted({c for r in found.collect() for c in r["cuts"]}) + [math.inf]
+def _in_order(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """``edges`` with ``rank``, their place from 0 among those of equal ``keys`` in order of length and ends.
+
+    One sort by ranges spreads a group over many tasks; a row's place is its place in its range plus what the ranges before
+    hold, one row per range and group.
+    """
+    order = [*keys, "w", "a", "b"]
+    sorted_ = edges.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    sorted_ = write_through(sorted_, "sorted").withColumn("_range", F.shiftright("_at", 33))
+    parts = sorted_.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_n")
+    parts = parts.select(*keys, "_range", (before - F.col("_first")).alias("_shift"))
+    return sorted_.join(parts, [*keys, "_range"]).withColumn("rank", F.col("_at") + F.col("_shift")).drop("_at", "_range", "_shift")
+
+
+def _in_bands(tree: DataFrame, per_step: int) -> tuple[DataFrame, int]:
+    """The tree's edges with the ``band`` they are handled in, and the number of bands.
+
+    The first band is the shorter half of a language's edges, the next half of the rest, and so on until what is left fits one step.
+    Short edges join few points each, so most of a language is handled side by side before its components grow large.
+    Equal lengths are told apart by their ends.
+    """
+    counts = tree.groupBy("language").agg(F.count(F.lit(1)).alias("_all"))
+    largest = counts.agg(F.max("_all")).first()[0] or 0
+    if largest <= per_step:
+        return tree.withColumn("band", F.lit(0)), 1
+    last = F.ceil(F.log2(F.col("_all") / per_step))
+    halves = F.floor(F.log2(F.col("_all") / (F.col("_all") - F.col("rank"))))
+    ranked = _in_order(tree, ["language"]).join(counts, "language")
+    band = F.when(F.col("_all") <= per_step, 0).otherwise(F.least(halves, last)).cast("int").alias("band")
+    return ranked.select("language", "a", "b", "w", band), math.ceil(math.log2(largest / per_step)) + 1
+
+
+def _in_groups(edges: DataFrame, per_step: int) -> tuple[DataFrame, int]:
+    """The edges of a band with the ``root`` of their component and the ``step`` they are merged in, and the number of steps.
+
+    A component with more than ``per_step`` edges takes its edges in several steps, in order; all others end in the first.
+    """
+    most = edges.groupBy("language").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= per_step:  # a language's edges in this band fit one step, whatever their components are
+        return edges.withColumns({"root": F.lit(0).cast("long"), "step": F.lit(0)}), 1
+    roots = connected(edges.select("language", F.col("ca").alias("a"), F.col("cb").alias("b")), ["language"])
+    rooted = write_through(edges.join(roots.withColumnRenamed("node", "ca"), ["language", "ca"]), "rooted")
+    sizes = rooted.groupBy("language", "root").agg(F.count(F.lit(1)).alias("_size"))
+    large, seen = measured_write(sizes.where(F.col("_size") > per_step), "large", most=F.coalesce(F.max("_size"), F.lit(0)))
+    if not seen["most"]:
+        return rooted.withColumn("step", F.lit(0)), 1
+    crowded = _in_order(rooted.join(large.drop("_size"), ["language", "root"], "left_semi"), ["language", "root"])
+    stepped = crowded.withColumn("step", F.floor(F.col("rank") / per_step).cast("int")).drop("rank")
+    rest = rooted.join(large, ["language", "root"], "left_anti").withColumn("step", F.lit(0))
+    return write_through(stepped.unionByName(rest), "stepped"), math.ceil(seen["most"] / per_step)
+
+
+def _moved(table: DataFrame, column: str, moves: DataFrame) -> DataFrame:
+    """``table`` with components renamed by ``moves(language, comp, root, …)``."""
+    to = moves.select("language", F.col("comp").alias(column), F.col("root").alias("_to"))
+    return table.join(to, ["language", column], "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
 
 
 def condense(points: DataFrame, cores: DataFrame, tree: DataFrame, min_cluster_size: int, per_step: int = EDGES_PER_STEP) -> tuple[DataFrame, DataFrame]:
@@ -134,6 +184,10 @@ def condense(points: DataFrame, cores: DataFrame, tree: DataFrame, min_cluster_s
     ``members(language, pid, mult, cluster)`` has null for points that never were in a cluster;
     ``clusters(language, cluster, parent, wins)`` has null parents for the widest ones, which are
     never chosen.
+
+    The tree is handled in bands of edge length. The edges of a band fall into components that know nothing of each other: each is
+    merged in a task of its own, and then is one node for the bands that follow. No task ever holds more than ``per_step`` edges, also when all
+    lengths are equal.
     """
     density = 1.0 / F.greatest("core", F.lit(_SHORTEST))
     crowd = F.col("mult") >= min_cluster_size
@@ -148,30 +202,47 @@ def condense(points: DataFrame, cores: DataFrame, tree: DataFrame, min_cluster_s
     members = write_through(members.drop("core"), "members")
     states = write_through(states, "states")
     finished: list[DataFrame] = []
-    low = -math.inf
-    for number, high in enumerate(_limits(tree, per_step)):
-        edges = tree.where((F.col("w") > low) & (F.col("w") <= high))
-        comp_of = members.select("language", "pid", "comp")
-        for end in ("a", "b"):
-            renamed = [F.col(c).alias(f"{c}_{end}") for c in ("size", "cluster", "gathered", "below")]
-            side = comp_of.join(states, ["language", "comp"]).select(
-                "language", F.col("pid").alias(end), F.col("comp").alias("c" + end), *renamed
-            )
-            edges = edges.join(side, ["language", end])
-        merged = write_through(edges.groupBy("language").applyInPandas(_merge_step(min_cluster_size, number), _MERGED), "merged")
-        moves = merged.where(F.col("kind") == "comp")
-        finished.append(merged.where(F.col("kind") == "cluster").select("language", "cluster", "parent", "wins"))
-        fell = moves.select("language", "comp", "root", F.col("cluster").alias("_fell"))
+    banded, bands = _in_bands(tree, per_step)
+    rest = banded.select("language", "a", "b", "w", "band", F.col("a").alias("ca"), F.col("b").alias("cb"))
+    if bands > 1:
+        rest = write_through(rest, "edges")
+    for band in range(bands):
+        grouped, steps = _in_groups(rest.where(F.col("band") == band).drop("band"), per_step)
+        ends = grouped.select("language", F.explode(F.array("ca", "cb")).alias("comp")).distinct()
+        # What a node of this band has become: its component, and the cluster it fell out of on the way.
+        became: DataFrame | None = None
+        near = states.join(ends, ["language", "comp"], "left_semi")
+        far = states.join(ends, ["language", "comp"], "left_anti")
+        for step in range(steps):
+            edges = grouped.where(F.col("step") == step)
+            for end in ("a", "b"):
+                renamed = [F.col(c).alias(f"{c}_{end}") for c in ("size", "cluster", "gathered", "below")]
+                edges = edges.join(near.select("language", F.col("comp").alias("c" + end), *renamed), ["language", "c" + end])
+            merge = _merge_step(min_cluster_size, f"{band}.{step}", per_step)
+            merged = write_through(edges.groupBy("language", "root").applyInPandas(merge, _MERGED), "merged")
+            finished.append(merged.where(F.col("kind") == "cluster").select("language", "cluster", "parent", "wins"))
+            moves = merged.where(F.col("kind") == "comp").select("language", "comp", "root", F.col("cluster").alias("fell"))
+            roots = merged.where((F.col("kind") == "comp") & F.col("wins")).select("language", "comp", "size", F.col("parent").alias("cluster"), "gathered", "below")
+            near = near.join(moves, ["language", "comp"], "left_anti").unionByName(roots)
+            if became is None:
+                became = moves
+            else:
+                later = moves.select("language", F.col("comp").alias("root"), F.col("root").alias("_to"), F.col("fell").alias("_fell"))
+                became = became.join(later, ["language", "root"], "left").select(
+                    "language", "comp", F.coalesce("_to", "root").alias("root"), F.coalesce("fell", "_fell").alias("fell")
+                ).unionByName(moves.join(became, ["language", "comp"], "left_anti"))
+            if steps > 1:
+                near, became = write_through(near, "near"), write_through(became, "became")
+                grouped = write_through(_moved(_moved(grouped.where(F.col("step") > step), "ca", moves), "cb", moves), "stepped")
         members = write_through(
-            members.join(fell, ["language", "comp"], "left").select(
-                "language", "pid", "mult", F.coalesce("root", "comp").alias("comp"), F.coalesce("cluster", "_fell").alias("cluster")
+            members.join(became, ["language", "comp"], "left").select(
+                "language", "pid", "mult", F.coalesce("root", "comp").alias("comp"), F.coalesce("cluster", "fell").alias("cluster")
             ),
             "members",
         )
-        touched = moves.select("language", "comp")
-        roots = moves.where("wins").select("language", "comp", "size", F.col("parent").alias("cluster"), "gathered", "below")
-        states = write_through(states.join(touched, ["language", "comp"], "left_anti").unionByName(roots), "states")
-        low = high
+        states = write_through(far.unionByName(near), "states")
+        if band + 1 < bands:
+            rest = write_through(_moved(_moved(rest.where(F.col("band") > band), "ca", became), "cb", became), "edges")
     widest = states.where(F.col("cluster").isNotNull()).select(
         "language", "cluster", F.lit(None).cast("string").alias("parent"), F.lit(False).alias("wins")
     )

@@ -1,3 +1,4 @@
+import functools
 import math
 from collections import Counter
 
@@ -237,3 +238,60 @@ def test_svd_runs_until_it_is_steady_and_restarts_its_space(spark, monkeypatch):
     exact = np.linalg.svd(matrix, compute_uv=False)[:5]
     assert np.abs(found - exact).max() <= 1e-6 * exact[0]
     assert np.abs(directions.T @ directions - np.eye(5)).max() < 1e-8
+
+
+# --- the hierarchy over trees of any shape and with ties ----------------------------------
+
+
+SHAPES = {"chain": "id - 1", "star": "0L", "random": "pmod(xxhash64(id), id)"}
+
+
+def tree_tables(spark, n, shape, lengths):
+    """Points 0 to n - 1 of one language, core distances and a tree, made from row numbers alone."""
+    language = F.lit(f"{shape} {lengths}").alias("language")
+    points = spark.range(n).select(language, F.col("id").alias("pid"), F.lit(1).cast("long").alias("mult"))
+    tree = spark.range(1, n).select(language, F.expr(SHAPES[shape]).alias("a"), F.col("id").alias("b"), F.expr(lengths).cast("double").alias("w"))
+    return points, points.withColumn("core", F.lit(1.0)).drop("mult"), tree
+
+
+def test_hierarchy_with_ties_is_the_same_in_any_number_of_steps(spark):
+    mixed = "1 + pmod(xxhash64(id, 5), 40) * pmod(xxhash64(id), 7)"
+    kinds = [("chain", "1"), ("star", "1"), ("random", "1"), ("random", "1 + id % 3"), ("chain", mixed)]
+    parts = [tree_tables(spark, 300, *k) for k in kinds]
+    points, cores, tree = (write_through(functools.reduce(lambda x, y: x.union(y), p)) for p in zip(*parts))
+
+    def outcome(per_step):
+        return {(r.language, r.pid): r.cluster_id for r in density.label_points(points, cores, tree, 10, per_step).collect()}
+
+    whole = outcome(10_000)
+    assert outcome(120) == whole and len(set(whole.values())) > 2
+
+
+def test_hierarchy_of_a_million_points_of_one_language_and_length(spark):
+    """A task refuses more than ``per_step`` edges, so this passes only in bounded memory."""
+    points, cores, tree = tree_tables(spark, 1_000_000, "random", "1")
+    labels = write_through(density.label_points(points, cores, tree, 25, 400_000))
+    assert labels.count() == 1_000_000 and labels.agg(F.count_distinct("pid")).first()[0] == 1_000_000
+
+
+def test_components(spark):
+    from qaspark.operators.components import connected
+
+    rng = np.random.default_rng(4)
+    links = [(k, int(a), int(b)) for k in "pq" for a, b in rng.integers(0, 300, (220, 2))] + [("p", i, i + 1) for i in range(1000, 1400)] + [("p", 2000, i) for i in range(2001, 2200)]
+    got = {(r.k, r.node): r.root for r in connected(spark.createDataFrame(links, "k string, a long, b long"), ["k"]).collect()}
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for k, a, b in links:
+        if a != b:
+            up[top((k, a))] = top((k, b))
+    assert set(got) == set(up)
+    names = {}
+    for node, root in got.items():
+        assert names.setdefault(top(node), root) == root
+    assert len(set(names.values())) <= len(names) and len({(k, r) for (k, _), r in got.items()}) == len(names)
