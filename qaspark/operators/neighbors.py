@@ -1,10 +1,10 @@
 """Exact nearest neighbours and minimum spanning trees of vectors, per language.
 
-Points are laid out in cells around pivots. A search visits only the cells that can hold
-something better than what is known (triangle inequality), so nothing is left out and far
-cells are never compared. Cells are cut into chunks of bounded size, which keeps a crowded
-cell from landing in one task; distances inside a pair of chunks are computed with NumPy and
-only the winners leave the task.
+Points are laid out in blocks of bounded size around pivots (and around pivots of a crowded pivot's own), each block
+sorted into leaves of near points. A block meets another only if the distance of their centres, less both radii, leaves room for something better
+than what is known; its vectors travel once for each such pair. Inside a meeting the same bound decides
+between leaves. The bounds come from the triangle inequality, so nothing is left out. Distances are computed with NumPy
+and only winners leave a task.
 """
 
 from __future__ import annotations
@@ -20,26 +20,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaspark.operators.ranking import top_per_group
-from qaspark.session import measured_write, write_through
+from qaspark.session import broadcast_if_small, measured_write, write_through
 
-CHUNK = 2048
-_BLOCK = 512
+BLOCK = 2048
+LEAF = 64
 MAX_PIVOTS = 1024
-_PER_PIVOT = 64
+_ROWS = 512
+_LEAVES_AT_ONCE = 16
 _SLACK = 1e-9
 _ID = ["language", "pid"]
 
 
 @dataclass
 class Layout:
-    """Points in cells; what sits on the driver is one entry per pivot."""
+    """Points in blocks; what sits on the driver is one entry per pivot."""
 
-    points: DataFrame  # language, pid, vector, mult, cell, chunk
-    objects: DataFrame  # one row per chunk of a cell: o_pid, o_mult, o_vectors
+    points: DataFrame  # language, pid, mult, block, pos
+    blocks: DataFrame  # language, block, cell, pids, mults, vectors (leaf after leaf, one list), centre, radius
     pivots: dict[str, np.ndarray]
     radius: dict[str, np.ndarray]
-    chunks: dict[str, np.ndarray]
-    packs: dict[str, int]
+    several: bool  # whether any language has more than one block
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -51,10 +51,34 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def lay_out(points: DataFrame) -> Layout:
-    """Place ``points(language, pid, vector, mult)`` in the cell of their nearest pivot."""
+def _nearest_pivot(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    cell, far = np.empty(len(vectors), np.int64), np.empty(len(vectors))
+    for at in range(0, len(vectors), _ROWS):
+        d = _distances(vectors[at : at + _ROWS], pivots)
+        cell[at : at + _ROWS] = d.argmin(axis=1)
+        far[at : at + _ROWS] = d.min(axis=1)
+    return cell, far
+
+
+def leaf_order(vectors: np.ndarray) -> np.ndarray:
+    """Places in an order whose runs of ``LEAF`` are near each other: halves along the widest side, again and again."""
+    out, stack = [], [np.arange(len(vectors))]
+    while stack:
+        some = stack.pop()
+        if len(some) <= LEAF:
+            out.append(some)
+            continue
+        side = np.ptp(vectors[some], axis=0).argmax()
+        some = some[np.argsort(vectors[some, side], kind="stable")]
+        half = LEAF * (-(-len(some) // LEAF) // 2)
+        stack += [some[half:], some[:half]]
+    return np.concatenate(out)
+
+
+def lay_out(points: DataFrame, block: int = BLOCK) -> Layout:
+    """Place ``points(language, pid, vector, mult)`` in blocks of about ``block`` points at most."""
     sizes = {r["language"]: r["n"] for r in points.groupBy("language").agg(F.count(F.lit(1)).alias("n")).collect()}
-    wanted = {k: min(MAX_PIVOTS, max(1, n // _PER_PIVOT)) for k, n in sizes.items()}
+    wanted = {k: 1 if n <= block else min(MAX_PIVOTS, math.ceil(2 * n / block)) for k, n in sizes.items()}
     ranked = top_per_group(
         points.select("language", "pid", "vector"), ["language"], [F.xxhash64("pid"), F.col("pid")], MAX_PIVOTS, rank="r", salt_on=["pid"]
     )
@@ -68,134 +92,225 @@ def lay_out(points: DataFrame) -> Layout:
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for language, part in batch.groupby("language", sort=False):
-                for at in range(0, len(part), _BLOCK):
-                    piece = part.iloc[at : at + _BLOCK]
-                    d = _distances(np.stack(piece["vector"].to_numpy()), shared.value[language])
-                    cell = d.argmin(axis=1)
-                    yield piece.assign(cell=cell.astype("int32"), to_pivot=d[np.arange(len(cell)), cell])
+                cell, far = _nearest_pivot(np.stack(part["vector"].to_numpy()), shared.value[language])
+                yield part.assign(cell=cell.astype("int32"), to_pivot=far)
 
-    placed = points.mapInPandas(assign, "language string, pid long, vector array<double>, mult long, cell int, to_pivot double")
+    placed = points.select("language", "pid", "vector", "mult").mapInPandas(assign, "language string, pid long, vector array<double>, mult long, cell int, to_pivot double")
     placed = write_through(placed, "placed")
     radius = {k: np.zeros(len(v)) for k, v in pivots.items()}
-    chunks = {k: np.zeros(len(v), dtype=int) for k, v in pivots.items()}
-    for r in placed.groupBy("language", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("to_pivot").alias("r")).collect():
+    crowded = []
+    for r in placed.groupBy("language", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("to_pivot").alias("r")).collect():  # one row per pivot
         radius[r["language"]][r["cell"]] = r["r"]
-        chunks[r["language"]][r["cell"]] = math.ceil(r["n"] / CHUNK)
-    counts = points.sparkSession.createDataFrame(
-        [(k, i, max(int(n), 1)) for k, v in chunks.items() for i, n in enumerate(v)], "language string, cell int, chunks int"
-    )  # one row per pivot
-    chunked = placed.join(F.broadcast(counts), ["language", "cell"]).select(
-        "language", "pid", "vector", "mult", "cell", F.pmod(F.xxhash64("pid"), F.col("chunks")).cast("int").alias("chunk")
-    )
-    packed = _packed(chunked, "o", "pid", "mult", "vector").withColumnRenamed("o_vector", "o_vectors")
-    objects = packed.withColumn("o_vectors", F.flatten("o_vectors"))
-    return Layout(
-        chunked, write_through(objects, "objects"), pivots, radius, chunks, {k: math.ceil(n / CHUNK) for k, n in sizes.items()}
-    )
+        if r["n"] > block:
+            crowded.append((r["language"], r["cell"], r["n"]))
+    placed = placed.drop("to_pivot").withColumn("sub", F.lit(0))
+    if crowded:
+        placed = write_through(_split_crowded(placed, crowded, block), "split")
+    counts = placed.groupBy("language", "cell", "sub").agg(F.ceil(F.count(F.lit(1)) / block).alias("_chunks"))
+    counts, seen = measured_write(counts.where(F.col("_chunks") > 1), "chunks", rows=F.count(F.lit(1)))
+    chunk = F.pmod(F.xxhash64("pid"), F.coalesce("_chunks", F.lit(1)))
+    number = F.shiftleft(F.col("cell").cast("long"), 42) + F.shiftleft(F.col("sub").cast("long"), 32) + chunk
+    numbered = placed.join(broadcast_if_small(counts, seen["rows"]), ["language", "cell", "sub"], "left").withColumn("block", number)
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pid")
+        vectors = np.stack(rows["vector"].to_numpy())
+        order = leaf_order(vectors)
+        vectors = vectors[order]
+        centre = vectors.mean(axis=0)
+        first = rows.iloc[0]
+        packed = (first["language"], first["block"], first["cell"], rows["pid"].to_numpy()[order], rows["mult"].to_numpy()[order], vectors.ravel(), centre, _distances(vectors, centre[None]).max())
+        return pd.DataFrame([packed], columns=["language", "block", "cell", "pids", "mults", "vectors", "centre", "radius"])
+
+    fields = "language string, block long, cell int, pids array<long>, mults array<long>, vectors array<double>, centre array<double>, radius double"
+    blocks, packed = measured_write(numbered.drop("sub", "_chunks").groupBy("language", "block").applyInPandas(pack, fields), "blocks", n=F.count(F.lit(1)))
+    each = blocks.select("language", "block", F.posexplode(F.arrays_zip("pids", "mults")).alias("pos", "_p"))
+    return Layout(write_through(each.select("language", F.col("_p.pids").alias("pid"), F.col("_p.mults").alias("mult"), "block", "pos"), "points"), blocks, pivots, radius, packed["n"] > len(sizes))
+
+
+def _split_crowded(placed: DataFrame, crowded: list[tuple[str, int, int]], block: int) -> DataFrame:
+    """Cells with more than a block's points are divided around pivots drawn from their own points."""
+    spark = placed.sparkSession
+    rows = [(k, c, math.ceil(n / block), min(MAX_PIVOTS, math.ceil(2 * n / block))) for k, c, n in crowded]
+    table = F.broadcast(spark.createDataFrame(rows, "language string, cell int, _packs int, _wanted int"))  # at most one row per pivot
+    many = placed.drop("sub").join(table, ["language", "cell"])
+    drawn = top_per_group(many.select("language", "cell", "pid", "vector", "_wanted"), ["language", "cell"], [F.xxhash64("pid", F.lit(3)), F.col("pid")], MAX_PIVOTS, rank="_r", salt_on=["pid"])
+    drawn = drawn.where(F.col("_r") <= F.col("_wanted")).groupBy("language", "cell").agg(F.sort_array(F.collect_list(F.struct("_r", "vector")))["vector"].alias("pivots"))
+    salt = F.pmod(F.xxhash64("pid", F.lit(5)), F.col("_packs")).alias("_pack")
+    packs = many.groupBy("language", "cell", salt).agg(F.collect_list(F.struct("pid", "vector", "mult")).alias("points"))
+
+    def divide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                vectors = np.array([p["vector"] for p in r.points], dtype=float)
+                sub, _ = _nearest_pivot(vectors, np.array([list(p) for p in r.pivots], dtype=float))
+                yield pd.DataFrame(
+                    {"language": r.language, "pid": [p["pid"] for p in r.points], "vector": list(vectors), "mult": [p["mult"] for p in r.points], "cell": r.cell, "sub": sub.astype("int32")}
+                )
+
+    divided = packs.join(drawn, ["language", "cell"]).select("language", "cell", "points", "pivots").mapInPandas(divide, "language string, pid long, vector array<double>, mult long, cell int, sub int")
+    return placed.join(table, ["language", "cell"], "left_anti").unionByName(divided)
 
 
-def _packed(rows: DataFrame, prefix: str, *columns: str, by: tuple[Column, ...] = ()) -> DataFrame:
-    """One row of aligned lists, in order of the first column, per chunk of a cell."""
-    lists = F.sort_array(F.collect_list(F.struct(*columns)))
-    packed = rows.groupBy("language", "cell", "chunk", *by).agg(lists.alias("_l"))
-    return packed.select("language", "cell", "chunk", *[F.col(f"_l.{c}").alias(f"{prefix}_{c}") for c in columns])
+def _marks(rows: DataFrame, *columns: str) -> DataFrame:
+    """One row per block with its points' ``columns`` as lists, in the block's order."""
+    listed = rows.groupBy("language", "block").agg(F.sort_array(F.collect_list(F.struct("pos", *columns))).alias("_l"))
+    return listed.select("language", "block", *[F.col(f"_l.{c}").alias(c) for c in columns])
 
 
-def _lookup(entries: dict[str, int]) -> Column:
-    """Constant per language."""
-    return F.element_at(F.create_map(*[F.lit(x) for pair in entries.items() for x in pair]), F.col("language"))
+# What planning knows of a block: where it is, how far its points may ask, their least core distance, and its component if it has only one.
+_SUMMARY = ["block", "centre", "radius", "bound", "low_core", "held_core", "uniform"]
 
 
-def _visit(layout: Layout, queries: DataFrame, mode: str, uniform: dict[str, np.ndarray] | None = None) -> DataFrame:
-    """Rows ``(query, cell, chunk)`` of the cells that a query has to look into.
+def _pairs(layout: Layout, summary: DataFrame, mode: str) -> DataFrame:
+    """``(language, asks, holds)``: the blocks that have to meet.
 
-    ``mode`` is "own" (its own cell), "others" (all other cells within the bound), "probe" (the
-    closest cell that is not all its own component) or "all" (every such cell within the bound).
+    ``mode`` is "within" (all within the asking block's bound), "others" (the same without the block itself) or "closest" (the closest block that is not all
+    of the asking block's one component; only for blocks that have a bound). Cells are compared first, by their pivots and radii; blocks of the remaining
+    pairs of cells by their own. "gap" gives ``(language, asks, room)`` instead: how far at least the closest other block is.
     """
-    shared = queries.sparkSession.sparkContext.broadcast((layout.pivots, layout.radius, layout.chunks, uniform))
+    spark = summary.sparkSession
+    shared = spark.sparkContext.broadcast((layout.pivots, layout.radius))
+    located = layout.blocks.select("language", "block", "cell", "centre", "radius").join(summary, ["language", "block"])
+    cells = located.groupBy("language", "cell").agg(*[F.collect_list(F.coalesce(c, F.lit(-1))).alias(c) if c == "uniform" else F.collect_list(c).alias(c) for c in _SUMMARY], F.max("bound").alias("reach"))
+    cells = write_through(cells, "cells")
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pivots, radius = shared.value
+        for batch in batches:
+            for language, cell, reach in zip(batch["language"], batch["cell"], batch["reach"]):
+                room = _distances(pivots[language][cell][None], pivots[language])[0] - radius[language] - radius[language][cell] - _SLACK
+                other = np.flatnonzero(room <= reach) if mode not in ("closest", "gap") else np.arange(len(room))
+                yield pd.DataFrame({"language": language, "cell": cell, "other": other.astype("int32")})
 
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pivots, radius, chunks, same = shared.value
+    asking = cells.where(F.col("reach") >= 0)
+    cell_pairs = asking.select("language", "cell", "reach").mapInPandas(near, "language string, cell int, other int")
+    left = cells.select("language", "cell", *[F.col(c).alias(f"a_{c}") for c in _SUMMARY])
+    right = cells.select("language", F.col("cell").alias("other"), *[F.col(c).alias(f"h_{c}") for c in _SUMMARY])
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for language, part in batch.groupby("language", sort=False):
-                count = chunks[language]
-                for at in range(0, len(part), _BLOCK):
-                    piece = part.iloc[at : at + _BLOCK].reset_index(drop=True)
-                    own = piece["cell"].to_numpy()
-                    rows = np.arange(len(piece))
-                    if mode == "own":
-                        chosen = np.zeros((len(piece), len(count)), dtype=bool)
-                        chosen[rows, own] = True
-                    else:
-                        d = _distances(np.stack(piece["vector"].to_numpy()), pivots[language])
-                        low = np.maximum(d - radius[language][None, :], (d - d[rows, own][:, None]) / 2) - _SLACK
-                        low = np.maximum(low, 0.0)
-                        low[rows, own] = 0.0
-                        closed = np.zeros_like(low, dtype=bool)
-                        if same is not None:
-                            closed = same[language][None, :] == piece["comp"].to_numpy()[:, None]
-                        if mode == "others":
-                            closed[rows, own] = True
-                        low[closed | (count == 0)[None, :]] = np.inf
-                        if mode == "probe":
-                            chosen = np.zeros(low.shape, dtype=bool)
-                            chosen[rows, low.argmin(axis=1)] = True
-                            chosen &= np.isfinite(low)
-                        else:
-                            chosen = (low <= piece["bound"].to_numpy()[:, None]) & np.isfinite(low)
-                    row, cell = np.nonzero(chosen)
-                    times = count[cell]
-                    row, cell = np.repeat(row, times), np.repeat(cell, times)
-                    chunk = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                    out = piece.drop(columns=["cell", "bound"]).iloc[row]
-                    yield out.assign(cell=cell.astype("int32"), chunk=chunk.astype("int32"))
-
-    fields = "language string, pid long, vector array<double>, core double, comp long, cell int, chunk int"
-    needed = queries.select("language", "pid", "vector", "core", "comp", "cell", "bound")
-    return needed.mapInPandas(plan, fields)
-
-
-def _pairs(layout: Layout, visits: DataFrame, objects: DataFrame) -> DataFrame:
-    """Packs of queries next to the chunk of objects they visit."""
-    salt = F.pmod(F.xxhash64("pid", F.lit(7)), _lookup({k: max(n, 1) for k, n in layout.packs.items()})).alias("salt")
-    packed = _packed(visits, "q", "pid", "core", "comp", "vector", by=(salt,)).withColumnRenamed("q_vector", "q_vectors")
-    return packed.withColumn("q_vectors", F.flatten("q_vectors")).join(objects, ["language", "cell", "chunk"])
-
-
-def _nearest(pairs: DataFrame, k: int) -> DataFrame:
-    """The ``k`` nearest other points per query and chunk."""
+            for r in batch.itertuples(index=False):
+                asks, holds = np.asarray(r.a_block), np.asarray(r.h_block)
+                room = _distances(np.stack(r.a_centre), np.stack(r.h_centre)) - np.asarray(r.a_radius)[:, None] - np.asarray(r.h_radius)[None, :] - _SLACK
+                room = np.maximum(room, 0.0)
+                ours, theirs = np.asarray(r.a_uniform), np.asarray(r.h_uniform)
+                closed = (ours[:, None] == theirs[None, :]) & (ours[:, None] >= 0)
+                bound = np.asarray(r.a_bound)[:, None]
+                if mode in ("others", "gap"):
+                    closed |= asks[:, None] == holds[None, :]
+                if mode == "gap":
+                    room[closed] = np.inf
+                    row = np.flatnonzero(np.isfinite(room.min(axis=1)))
+                    column = room[row].argmin(axis=1)
+                elif mode == "closest":
+                    room[(asks[:, None] == holds[None, :]) & (ours[:, None] < 0)] = -1.0
+                    room[closed | (bound < 0)] = np.inf
+                    row = np.flatnonzero(np.isfinite(room.min(axis=1)))
+                    column = room[row].argmin(axis=1)
+                else:
+                    room = np.maximum(room, np.maximum(np.asarray(r.a_low_core)[:, None], np.asarray(r.h_held_core)[None, :]))
+                    row, column = np.nonzero((room <= bound) & ~closed)
+                yield pd.DataFrame({"language": r.language, "asks": asks[row], "holds": holds[column], "room": room[row, column]})
+
+    joined = cell_pairs.join(left, ["language", "cell"]).join(right, ["language", "other"])
+    pairs = joined.mapInPandas(compare, "language string, asks long, holds long, room double")
+    if mode == "gap":
+        return pairs.groupBy("language", "asks").agg(F.min("room").alias("room"))
+    if mode == "closest":
+        pairs = pairs.groupBy("language", "asks").agg(F.min(F.struct("room", "holds"))["holds"].alias("holds"))
+    return pairs.select("language", "asks", "holds")
+
+
+def _meetings(pairs: DataFrame, asking: DataFrame, holding: DataFrame) -> DataFrame:
+    """Each pair of blocks with what both bring: ``q_…`` of the asking one, ``o_…`` of the other."""
+    side = lambda df, prefix, key: df.select("language", F.col("block").alias(key), *[F.col(c).alias(prefix + c) for c in df.columns if c not in ("language", "block")])
+    return pairs.join(side(asking, "q_", "asks"), ["language", "asks"]).join(side(holding, "o_", "holds"), ["language", "holds"])
+
+
+class _Leaves:
+    """Vectors of a block and the centre and radius of each of its leaves."""
+
+    def __init__(self, flat, n: int):
+        self.vectors = np.asarray(flat, dtype=float).reshape(n, -1)
+        self.edges = np.arange(0, n, LEAF)
+        counts = np.diff(np.append(self.edges, n))
+        self.centres = np.add.reduceat(self.vectors, self.edges, axis=0) / counts[:, None]
+        off = np.sqrt(((self.vectors - np.repeat(self.centres, counts, axis=0)) ** 2).sum(axis=1))
+        self.radii = np.maximum.reduceat(off, self.edges)
+        self.n = n
+
+    def part(self, leaf: int) -> slice:
+        return slice(int(self.edges[leaf]), min(int(self.edges[leaf]) + LEAF, self.n))
+
+    def rooms(self, other: _Leaves) -> np.ndarray:
+        """At least this far are the points of a leaf here from those of a leaf there."""
+        return np.maximum(_distances(self.centres, other.centres) - self.radii[:, None] - other.radii[None, :] - _SLACK, 0.0)
+
+    def places(self, leaves: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.arange(p.start, p.stop) for p in map(self.part, leaves)])
+
+
+def _nearest_in(q: _Leaves, q_ids: np.ndarray, bound: np.ndarray, o: _Leaves, o_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the asking point, place of the found one, distance): the ``k`` nearest within each point's bound, ties by id."""
+    rooms = q.rooms(o)
+    out: list[tuple] = []
+    for leaf in range(len(q.edges)):
+        part = q.part(leaf)
+        mine, limit = q_ids[part], bound[part].copy()
+        best, who = np.full((len(mine), k), np.inf), np.full((len(mine), k), -1)
+        order = np.argsort(rooms[leaf], kind="stable")
+        for at in range(0, len(order), _LEAVES_AT_ONCE):
+            some = order[at : at + _LEAVES_AT_ONCE]
+            some = some[rooms[leaf, some] <= limit.max()]
+            if not len(some):
+                break
+            places = o.places(some)
+            places = places[np.argsort(o_ids[places], kind="stable")]
+            d = _distances(q.vectors[part], o.vectors[places])
+            d[mine[:, None] == o_ids[places][None, :]] = np.inf
+            first = np.argsort(d, axis=1, kind="stable")[:, :k]
+            d, found = np.concatenate((best, np.take_along_axis(d, first, axis=1)), axis=1), np.concatenate((who, places[first]), axis=1)
+            keep = np.lexsort((np.where(found < 0, np.iinfo(np.int64).max, o_ids[found]), d), axis=1)[:, :k]
+            best, who = np.take_along_axis(d, keep, axis=1), np.take_along_axis(found, keep, axis=1)
+            limit = np.minimum(bound[part], best[:, -1])
+        row, column = np.nonzero(np.isfinite(best) & (best <= bound[part][:, None]))
+        out.append((row + part.start, who[row, column], best[row, column]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _search(rows: DataFrame, k: int, own: bool) -> DataFrame:
+    """Nearest neighbours out of blocks (``own``: each with itself) or meetings."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples(index=False):
-                ids, o = np.asarray(r.q_pid), np.asarray(r.o_pid)
-                here, there = np.asarray(r.q_vectors).reshape(len(ids), -1), np.asarray(r.o_vectors).reshape(len(o), -1)
-                for at in range(0, len(ids), _BLOCK):
-                    q = ids[at : at + _BLOCK]
-                    d = _distances(here[at : at + _BLOCK], there)
-                    d[q[:, None] == o[None, :]] = np.inf
-                    best = np.argpartition(d, k, axis=1)[:, :k] if len(o) > k else np.tile(np.arange(len(o)), (len(q), 1))
-                    row = np.repeat(np.arange(len(q)), best.shape[1])
-                    best = best.ravel()
-                    found = d[row, best]
-                    keep = np.isfinite(found)
-                    yield pd.DataFrame(
-                        {"language": r.language, "pid": q[row[keep]], "nbr": o[best[keep]], "d": found[keep],
-                         "nbr_mult": np.asarray(r.o_mult)[best[keep]]}
-                    )
-
-    return pairs.mapInPandas(search, "language string, pid long, nbr long, d double, nbr_mult long")
+                ids = np.asarray(r.pids if own else r.q_pids)
+                q = _Leaves(r.vectors if own else r.q_vectors, len(ids))
+                o_ids, mults = (ids, np.asarray(r.mults)) if own else (np.asarray(r.o_pids), np.asarray(r.o_mults))
+                o = q if own else _Leaves(r.o_vectors, len(o_ids))
+                bound = np.full(len(ids), np.inf) if own else np.asarray(r.q_bound, dtype=float)
+                who, found, d = _nearest_in(q, ids, bound, o, o_ids, k)
+                yield pd.DataFrame({"language": r.language, "pid": ids[who], "nbr": o_ids[found], "d": d, "nbr_mult": mults[found]})
+
+    return rows.mapInPandas(search, "language string, pid long, nbr long, d double, nbr_mult long")
 
 
 def nearest_neighbors(layout: Layout, k: int) -> DataFrame:
     """``(language, pid, nbr, d, nbr_mult)``: the exact ``k`` nearest other points."""
-    plain = layout.points.withColumns({"core": F.lit(0.0), "comp": F.lit(0).cast("long")})
     order = [F.col("d"), F.col("nbr")]
-    own = _visit(layout, plain.withColumn("bound", F.lit(0.0)), "own")
-    first = write_through(top_per_group(_nearest(_pairs(layout, own, layout.objects), k), _ID, order, k), "near")
+    packed = layout.blocks.select("language", "block", "pids", "mults", "vectors")
+    first = write_through(_search(packed, k, own=True), "near")
+    if not layout.several:
+        return first
     bound = first.groupBy(*_ID).agg(F.when(F.count(F.lit(1)) == k, F.max("d")).alias("bound"))
-    asking = plain.join(bound, _ID, "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    second = _nearest(_pairs(layout, _visit(layout, asking, "others"), layout.objects), k)
+    asking = layout.points.join(bound, _ID, "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    asking = write_through(asking, "asking")
+    nothing = {"low_core": F.lit(0.0), "held_core": F.lit(0.0), "uniform": F.lit(None).cast("long")}
+    summary = asking.groupBy("language", "block").agg(F.max("bound").alias("bound")).withColumns(nothing)
+    pairs = write_through(_pairs(layout, summary, "others"), "pairs")
+    queries = packed.drop("mults").join(_marks(asking, "bound"), ["language", "block"])
+    second = _search(_meetings(pairs, queries, packed), k, own=False)
     return write_through(top_per_group(first.unionByName(second), _ID, order, k), "neighbors")
 
 
@@ -220,26 +335,54 @@ def core_distances(points: DataFrame, neighbors: DataFrame, min_samples: int) ->
     )
 
 
-def _edge_search(pairs: DataFrame) -> DataFrame:
-    """Per component, the lightest edge to another component inside each pair of packs."""
+def _lightest_in(q: _Leaves, o: _Leaves, mine: dict[str, np.ndarray], theirs: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """The lightest edge of each asking component to another one inside a meeting."""
+    rooms = q.rooms(o)
+    low = np.minimum.reduceat(theirs["core"], o.edges)
+    ends = np.minimum.reduceat(theirs["comp"], o.edges), np.maximum.reduceat(theirs["comp"], o.edges)
+    names, code = np.unique(mine["comp"], return_inverse=True)
+    limit = np.full(len(names), -np.inf)
+    np.maximum.at(limit, code, mine["bound"])
+    found: list[pd.DataFrame] = []
+    for leaf in range(len(q.edges)):
+        part = q.part(leaf)
+        asks = np.arange(part.start, part.stop)[mine["reach"][part] <= limit[code[part]]]
+        if not len(asks):
+            continue
+        weight = np.maximum(np.maximum(rooms[leaf], low), mine["core"][asks].min())
+        comp = mine["comp"][asks]
+        alone = (ends[0] == comp[0]) & (ends[1] == comp[0]) if (comp == comp[0]).all() else np.zeros(len(low), bool)
+        some = np.flatnonzero((weight <= limit[code[asks]].max()) & ~alone)
+        if not len(some):
+            continue
+        places = o.places(some)
+        w = np.maximum(_distances(q.vectors[asks], o.vectors[places]), np.maximum(mine["core"][asks, None], theirs["core"][places][None, :]))
+        w[comp[:, None] == theirs["comp"][places][None, :]] = np.inf
+        row, column = np.nonzero((w <= w.min(axis=1, keepdims=True)) & np.isfinite(w))
+        x, y = a[asks[row]], b[places[column]]
+        edges = pd.DataFrame({"comp": comp[row], "w": w[row, column], "a": np.minimum(x, y), "b": np.maximum(x, y)})
+        edges = edges.sort_values(["comp", "w", "a", "b"]).drop_duplicates("comp")
+        at = np.searchsorted(names, edges["comp"].to_numpy())
+        limit[at] = np.minimum(limit[at], edges["w"].to_numpy())
+        found.append(edges)
+    if not found:
+        return pd.DataFrame({"comp": [], "w": [], "a": [], "b": []})
+    return pd.concat(found).sort_values(["comp", "w", "a", "b"]).drop_duplicates("comp")
+
+
+def _edge_search(meetings: DataFrame) -> DataFrame:
+    """Per component, the lightest edge to another component inside each meeting."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples(index=False):
-                ids, o = np.asarray(r.q_pid), np.asarray(r.o_pid)
-                here, there = np.asarray(r.q_vectors).reshape(len(ids), -1), np.asarray(r.o_vectors).reshape(len(o), -1)
-                core, comp, o_comp = np.asarray(r.q_core), np.asarray(r.q_comp), np.asarray(r.o_comp)
-                for at in range(0, len(ids), _BLOCK):
-                    part = slice(at, at + _BLOCK)
-                    q, mine = ids[part], comp[part]
-                    w = np.maximum(_distances(here[part], there), np.maximum(core[part, None], np.asarray(r.o_core)[None, :]))
-                    w[mine[:, None] == o_comp[None, :]] = np.inf
-                    row, col = np.nonzero((w <= w.min(axis=1, keepdims=True)) & np.isfinite(w))
-                    a, b = np.minimum(q[row], o[col]), np.maximum(q[row], o[col])
-                    found = pd.DataFrame({"language": r.language, "comp": mine[row], "w": w[row, col], "a": a, "b": b})
-                    yield found.sort_values(["comp", "w", "a", "b"]).drop_duplicates("comp")
-
-    return pairs.mapInPandas(search, "language string, comp long, w double, a long, b long")
+                a, b = np.asarray(r.q_pids), np.asarray(r.o_pids)
+                mine = {"core": np.asarray(r.q_core), "comp": np.asarray(r.q_comp), "reach": np.asarray(r.q_reach), "bound": np.asarray(r.q_bound, dtype=float)}
+                theirs = {"core": np.asarray(r.o_core), "comp": np.asarray(r.o_comp)}
+                found = _lightest_in(_Leaves(r.q_vectors, len(a)), _Leaves(r.o_vectors, len(b)), mine, theirs, a, b)
+                yield found.assign(language=r.language)[["language", "comp", "w", "a", "b"]]
+
+    return meetings.mapInPandas(search, "language string, comp long, w double, a long, b long")
 
 
 def _lightest(edges: DataFrame) -> DataFrame:
@@ -273,24 +416,94 @@ def _join_components(state: DataFrame, chosen: DataFrame) -> DataFrame:
     return write_through(renamed.withColumn("comp", F.coalesce("up", "comp")).drop("up").select(*state.columns), "components")
 
 
+def _grown(w: np.ndarray, ids: np.ndarray, gap: float) -> tuple[np.ndarray, list[tuple[float, int, int]]]:
+    """Components (named by their smallest id) and edges after joining while a component's lightest edge is shorter than ``gap``."""
+    comp, edges = ids.copy(), []
+    w = w.copy()
+    np.fill_diagonal(w, np.inf)
+    while True:
+        best = w.min(axis=1)
+        names, code = np.unique(comp, return_inverse=True)
+        if len(names) == 1:
+            return comp, edges
+        limit = np.full(len(names), np.inf)
+        np.minimum.at(limit, code, best)
+        rows = np.flatnonzero((best == limit[code]) & (best < gap))
+        if not len(rows):
+            return comp, edges
+        at, column = np.nonzero(w[rows] == best[rows, None])
+        x, y = ids[rows[at]], ids[column]
+        found = pd.DataFrame({"comp": comp[rows[at]], "to": comp[column], "w": best[rows[at]], "a": np.minimum(x, y), "b": np.maximum(x, y)})
+        found = found.sort_values(["comp", "w", "a", "b"]).drop_duplicates("comp")
+        edges += list(found[["w", "a", "b"]].drop_duplicates().itertuples(index=False, name=None))
+        up = {n: n for n in names.tolist()}
+        for mine, to in zip(found["comp"].tolist(), found["to"].tolist()):
+            while up[mine] != mine:
+                mine = up[mine]
+            while up[to] != to:
+                to = up[to]
+            up[max(mine, to)] = min(mine, to)
+        for n in names.tolist():  # smaller names come first and are final
+            up[n] = up[up[n]]
+        comp = np.array([up[n] for n in names.tolist()])[code]
+        w[comp[:, None] == comp[None, :]] = np.inf
+
+
+def _inner_trees(layout: Layout, cores: DataFrame) -> DataFrame:
+    """``(language, pid, comp, a, b, w)``: for each point the component it has, and for each edge that is certain, inside its block.
+
+    The lightest edge of a component inside a block is its lightest at all if no other block is as near; a block with a language to itself is done here.
+    """
+    points = layout.points.join(cores.select(*_ID, "core"), _ID)
+    blocks = layout.blocks.select("language", "block", "pids", "vectors").join(_marks(points, "core"), ["language", "block"])
+    if layout.several:
+        plain = {"bound": F.lit(0.0), "low_core": F.lit(0.0), "held_core": F.lit(0.0), "uniform": F.lit(None).cast("long")}
+        gaps = _pairs(layout, layout.blocks.select("language", "block").withColumns(plain), "gap").withColumnRenamed("asks", "block")
+        blocks = blocks.join(gaps, ["language", "block"], "left").withColumn("gap", F.coalesce("room", F.lit(float("inf")))).drop("room")
+    else:
+        blocks = blocks.withColumn("gap", F.lit(float("inf")))
+
+    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                ids, core = np.asarray(r.pids), np.asarray(r.core)
+                vectors = np.asarray(r.vectors, dtype=float).reshape(len(ids), -1)
+                comp, edges = _grown(np.maximum(_distances(vectors, vectors), np.maximum(core[:, None], core[None, :])), ids, r.gap)
+                yield pd.DataFrame({"language": r.language, "pid": ids, "comp": comp, "a": None, "b": None, "w": None}).astype({"a": "Int64", "b": "Int64", "w": float})
+                if edges:
+                    w, a, b = zip(*edges)
+                    yield pd.DataFrame({"language": r.language, "pid": None, "comp": None, "a": a, "b": b, "w": w}).astype({"pid": "Int64", "comp": "Int64"})
+
+    return write_through(blocks.mapInPandas(grow, "language string, pid long, comp long, a long, b long, w double"), "inner")
+
+
 def spanning_tree(layout: Layout, neighbors: DataFrame, cores: DataFrame) -> DataFrame:
     """Minimum spanning tree under mutual reachability: ``(language, a, b, w)``.
 
-    Each round joins every component along its lightest outgoing edge, with ties broken by the
+    Trees inside blocks come first. Then each round joins every component along its lightest outgoing edge, with ties broken by the
     ends, so the rounds are at most the logarithm of the number of points. Edges between listed
     neighbours are tried first; they bound the search among the others.
     """
-    state = write_through(
-        layout.points.join(cores, _ID).select("language", "pid", "vector", "mult", "cell", "chunk", "core", "reach", F.col("pid").alias("comp")),
-        "components",
-    )
+    inner = _inner_trees(layout, cores)
+    tree = inner.where(F.col("a").isNotNull()).select("language", "a", "b", "w")
+    if not layout.several:
+        return tree
+    grown = inner.where(F.col("a").isNull()).select(*_ID, "comp")
+    state = write_through(layout.points.join(cores, _ID).join(grown, _ID).select("language", "pid", "block", "pos", "core", "reach", "comp"), "components")
     listed = neighbors.join(cores.select(*_ID, "core"), _ID).join(
         cores.select("language", F.col("pid").alias("nbr"), F.col("core").alias("_other")), ["language", "nbr"]
     )
     weight = F.greatest("core", "_other", "d")
     listed = write_through(listed.select("language", "pid", "nbr", weight.alias("w")), "listed")
+    vectors = layout.blocks.select("language", "block", "pids", "vectors")
+    infinite = F.lit(float("inf"))
     parts: list[DataFrame] = []
     while True:
+        ends = state.groupBy("language").agg((F.min("comp") < F.max("comp")).alias("_open"))
+        open_ = [r["language"] for r in ends.where("_open").collect()]
+        if not open_:
+            break
+        state = state.where(F.col("language").isin(open_))
         comp_of = state.select("language", "pid", "comp")
         known = listed.join(comp_of, _ID).join(
             comp_of.withColumnsRenamed({"pid": "nbr", "comp": "_c"}), ["language", "nbr"]
@@ -300,33 +513,35 @@ def spanning_tree(layout: Layout, neighbors: DataFrame, cores: DataFrame) -> Dat
         both = F.explode(F.array("comp", "_c")).alias("comp")
         best = write_through(_lightest(known.select("language", both, "w", a, b)), "best")
 
-        uniform = {k: np.full(len(v), np.iinfo(np.int64).min) for k, v in layout.pivots.items()}
-        cells = state.groupBy("language", "cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        seen_comp: dict[str, set] = {}
-        for r in cells.collect():  # one row per pivot
-            seen_comp.setdefault(r["language"], set()).update((r["lo"], r["hi"]))
-            if r["lo"] == r["hi"]:
-                uniform[r["language"]][r["cell"]] = r["lo"]
-        several = {k: len(v) > 1 for k, v in seen_comp.items()}
-        if not any(several.values()):
-            break
-        open_state = state.where(F.col("language").isin([k for k, v in several.items() if v]))
-        # Vectors were packed once; a round only adds the components, in the same order.
-        marks = _packed(open_state, "o", "pid", "core", "comp").drop("o_pid")
-        objects = write_through(layout.objects.join(marks, ["language", "cell", "chunk"]), "packs")
-
-        queries = open_state.join(best.select("language", "comp", F.col("w").alias("bound")), ["language", "comp"], "left")
-        blind = queries.where(F.col("bound").isNull())
-        if not blind.isEmpty():
-            probe = _visit(layout, blind.withColumn("bound", F.lit(float("inf"))), "probe", uniform)
-            probed = _lightest(_edge_search(_pairs(layout, probe, objects)))
+        def bounded(best: DataFrame, state: DataFrame = state) -> tuple[DataFrame, DataFrame]:
+            """The points with the bound of their component (null: none known), and what planning needs of the blocks."""
+            points = write_through(state.join(best.select("language", "comp", F.col("w").alias("bound")), ["language", "comp"], "left"), "asking")
+            # Whoever is not listed is at least `reach` away; incomplete lists (reach = inf) hold everyone.
+            asks = F.col("bound").isNotNull() & (F.col("reach") <= F.col("bound"))
+            one = F.when(F.min("comp") == F.max("comp"), F.min("comp")).alias("uniform")
+            planned = points.groupBy("language", "block").agg(
+                F.coalesce(F.max(F.when(asks, F.col("bound"))), F.lit(-1.0)).alias("bound"),
+                F.coalesce(F.min(F.when(asks, F.col("core"))), infinite).alias("low_core"),
+                F.min("core").alias("held_core"),
+                one,
+                F.count_if(F.col("bound").isNull()).alias("blind"),
+            )
+            return points, planned
+
+        points, planned = bounded(best)
+        if points.where(F.col("bound").isNull()).limit(1).count():
+            # Components without a listed edge: the closest block that is not all their own holds one. A mixed block does itself.
+            blind = planned.withColumn("bound", F.when(F.col("blind") > 0, 0.0).otherwise(-1.0))
+            closest = _pairs(layout, blind.drop("blind"), "closest")
+            probing = points.withColumn("bound", F.when(F.col("bound").isNull(), infinite).otherwise(-1.0)).withColumn("reach", F.lit(0.0))
+            marked = vectors.join(_marks(probing, "core", "comp", "reach", "bound"), ["language", "block"])
+            probed = _lightest(_edge_search(_meetings(closest, marked, marked.drop("reach", "bound"))))
             best = write_through(best.unionByName(probed), "best")
-            queries = open_state.join(best.select("language", "comp", F.col("w").alias("bound")), ["language", "comp"])
-        # Whoever is not listed is at least `reach` away; incomplete lists (reach = inf) hold everyone.
-        asking = queries.where(F.col("reach") <= F.col("bound"))
-        found = _edge_search(_pairs(layout, _visit(layout, asking, "all", uniform), objects))
+            points, planned = bounded(best)
+        pairs = write_through(_pairs(layout, planned.drop("blind"), "within"), "pairs")
+        marked = write_through(vectors.join(_marks(points, "core", "comp", "reach", "bound"), ["language", "block"]), "packs")
+        found = _edge_search(_meetings(pairs, marked, marked.drop("reach", "bound")))
         chosen = write_through(_lightest(best.unionByName(found)), "chosen")
         parts.append(chosen.select("language", "a", "b", "w").distinct())
         state = _join_components(state, chosen)
-    empty = layout.points.sparkSession.createDataFrame([], "language string, a long, b long, w double")
-    return write_through(reduce(DataFrame.unionByName, parts, empty), "tree")
+    return write_through(reduce(DataFrame.unionByName, parts, tree), "tree")

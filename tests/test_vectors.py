@@ -165,7 +165,8 @@ def built(spark):
     data["same"] = np.ones((2, 2))
     df = spark.createDataFrame([(k, i, [float(v) for v in r]) for k, x in data.items() for i, r in enumerate(x)], VECTORS)
     points = write_through(density.distinct_points(df.repartition(6)))
-    layout = neighbors.lay_out(points)
+    # Small blocks, so that blocks and crowded cells of every kind come about.
+    layout = neighbors.lay_out(points, block=100)
     near = neighbors.nearest_neighbors(layout, 3)
     cores = write_through(neighbors.core_distances(points, near, 3))
     return data, points, layout, near, cores, neighbors.spanning_tree(layout, near, cores)
