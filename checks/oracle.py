@@ -369,9 +369,9 @@ ORACLE = {
         SELECT language, count(*) AS nodes, any_value(e.edges) AS edges, count(DISTINCT community) AS communities
         FROM full_nodes JOIN e USING (language) GROUP BY 1""",
     "community_profile": f"""WITH {network()}, best AS ({ranked("language, community, id, frequency", "full_nodes", "language, community",
-        "frequency DESC, id", 5)}), sizes AS (SELECT language, community, count(*) AS size FROM full_nodes GROUP BY 1, 2)
+        "frequency DESC, id", 5)}), peopled AS (SELECT language, community, count(*) AS size FROM full_nodes GROUP BY 1, 2)
         SELECT language, community, any_value(size) AS size, string_agg(id || '(' || frequency || ')', ', ' ORDER BY rank) AS members
-        FROM best JOIN sizes USING (language, community) GROUP BY 1, 2""",
+        FROM best JOIN peopled USING (language, community) GROUP BY 1, 2""",
     "network_payload": f"""WITH {trimmed()}, n AS (SELECT language, string_agg(id || ':' || frequency || ':' || community || ':' ||
           CAST(CAST(degree_centrality AS DECIMAL(18,4)) AS VARCHAR) || ':' || CAST(CAST(betweenness_centrality AS DECIMAL(18,4)) AS VARCHAR),
           '|' ORDER BY id) AS nodes FROM chosen GROUP BY 1),

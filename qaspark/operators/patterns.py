@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from qaspark.fixed_values import LANGUAGE_STOPWORDS, NOISE_LABEL, PATTERN_TOP_N
 from qaspark.functions.numbers import round_even
-from qaspark.operators.quantiles import with_quantiles
+from qaspark.operators.quantiles import aggregate_with_quantiles
 from qaspark.operators.ranking import top_per_group
 from qaspark.session import write_through
 
@@ -78,7 +78,8 @@ def top_patterns(
     best = top_per_group(plain, ["language"], [F.desc("size"), F.col("cluster_id")], n, rank="rank")
     best = write_through(best, "best-clusters")
     medians = {"median_score": ("score", 0.5), "median_views": ("view_count", 0.5)}
-    full = with_quantiles(best, rows.join(best.select(*_CLUSTER), _CLUSTER, "left_semi"), _CLUSTER, medians).join(labels, _CLUSTER, "left")
+    found = aggregate_with_quantiles(rows.join(best.select(*_CLUSTER), _CLUSTER, "left_semi"), _CLUSTER, [F.lit(1).alias("_one")], medians).drop("_one")
+    full = best.join(found, _CLUSTER, "left").join(labels, _CLUSTER, "left")
     return full.select(
         *_CLUSTER,
         F.coalesce("label", _default_label()).alias("label"),

@@ -6,23 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qaspark.functions.numbers import clip, round_even
-from qaspark.operators.quantiles import exact_quantiles, with_quantiles
-from qaspark.session import write_through
+from qaspark.operators.quantiles import aggregate_with_quantiles, rank_bracket, ranked_values, sketched
 
 
 def describe(df: DataFrame, columns: list[str], digits: int = 1) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum, one row per column."""
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     long = df.select(F.explode(F.array(*cells)).alias("_x")).select("_x.*").where(F.col("value").isNotNull())
-    plain = long.groupBy("column").agg(
+    aggregates = [
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
+    ]
     quartiles = {"q25": ("value", 0.25), "q50": ("value", 0.5), "q75": ("value", 0.75)}
-    full = with_quantiles(plain, long, ["column"], quartiles)
+    full = aggregate_with_quantiles(long, ["column"], aggregates, quartiles)
     figures = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     return full.select("column", "count", *[round_even(c, digits).alias(c) for c in figures])
 
@@ -48,15 +47,21 @@ def box_stats(df: DataFrame, column: str = "score", low: float = -5, high: float
     """
     clipped = df.select("language", clip(F.col(column).cast("double"), low, high).alias("value"))
     clipped = clipped.where(F.col("value").isNotNull() & F.col("language").isNotNull())
-    box = exact_quantiles(clipped, ["language"], {"q1": ("value", 0.25), "median": ("value", 0.5), "q3": ("value", 0.75)})
+    keys, columns = ["language"], ["value"]
+    table, groups = sketched(clipped, keys, columns, [F.lit(1).alias("_one")])
+    # The sketch already tells between which values the fences lie; those are kept with the quartiles in the second read.
+    (q1_low, q1_high), (q3_low, q3_high) = rank_bracket(0, 0.25), rank_bracket(0, 0.75)
+    least, most = (q3_low - q1_high) * 1.5, (q3_high - q1_low) * 1.5
+    fences = [("floor", 0, q1_low - most, q1_high - least), ("roof", 0, q3_low + least, q3_high + most)]
+    wanted = {"q1": ("value", 0.25), "median": ("value", 0.5), "q3": ("value", 0.75)}
+    box, found = ranked_values(table, clipped, keys, columns, groups, wanted, fences)
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    # Whiskers need a second look at the values; the box, one row per language, is stored so that its size is known.
-    joined = clipped.join(write_through(box, "box"), "language")
-    within = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    return joined.groupBy("language", "q1", "median", "q3").agg(
-        F.min(F.when(within, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(within, F.col("value"))).alias("whisker_high"),
-        F.count_if(~within).alias("outliers"),
+    floor, roof = (F.col("q") == 3) & (F.col("least") >= F.col("q1") - reach), (F.col("q") == 4) & (F.col("most") <= F.col("q3") + reach)
+    under, over = (F.col("q") == 3) & (F.col("most") < F.col("q1") - reach), (F.col("q") == 4) & (F.col("least") > F.col("q3") + reach)
+    return found.join(box, keys).groupBy("language", "q1", "median", "q3").agg(
+        F.min(F.when(floor, F.col("least"))).alias("whisker_low"),
+        F.max(F.when(roof, F.col("most"))).alias("whisker_high"),
+        F.coalesce(F.sum(F.when(under | over, F.col("rows"))), F.lit(0).cast("long")).alias("outliers"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from qaspark.fixed_values import LANGUAGES
 from qaspark.functions.numbers import ratio, round_even
-from qaspark.operators.quantiles import with_quantiles
+from qaspark.operators.quantiles import aggregate_with_quantiles
 from qaspark.schemas import require_columns
 
 DISPLAY_NAMES = {x["language"]: x["display_name"] for x in LANGUAGES}
@@ -17,15 +17,8 @@ def yearly_counts(df: DataFrame) -> DataFrame:
     """Sample size, median score, median views and answer rate per language and year."""
     require_columns(df, "question_id", "language", "year", "score", "view_count", "is_answered")
     keys = ["language", "year"]
-    plain = (
-        df.where(F.col("language").isNotNull() & F.col("year").isNotNull())
-        .groupBy(*keys)
-        .agg(
-            F.count("question_id").alias("sample_count"),
-            F.avg(F.col("is_answered").cast("double")).alias("answer_rate"),
-        )
-    )
-    full = with_quantiles(plain, df, keys, {"median_score": ("score", 0.5), "median_views": ("view_count", 0.5)})
+    aggregates = [F.count("question_id").alias("sample_count"), F.avg(F.col("is_answered").cast("double")).alias("answer_rate")]
+    full = aggregate_with_quantiles(df, keys, aggregates, {"median_score": ("score", 0.5), "median_views": ("view_count", 0.5)})
     return full.select(
         *keys,
         "sample_count",

@@ -42,3 +42,8 @@ def test_query_agrees_with_sql_without_cross_joins_or_row_udfs(spark, con, name)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_sql_parses(con, name):
+    con.execute(f"EXPLAIN {ORACLE[name]}")

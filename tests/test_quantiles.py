@@ -40,6 +40,23 @@ def test_median_is_the_mean_of_the_middle(spark):
     assert exact_quantiles(df, ["k"], {"m": ("x", 0.5)}).first().m == (0.1 + 0.2) / 2
 
 
+def test_crowded_brackets_are_narrowed_and_lost_ranks_found(spark, monkeypatch):
+    from qaspark.operators import quantiles
+
+    data = {"a": np.random.default_rng(6).normal(size=30_000), "b": np.full(4000, 2.0), "c": np.arange(9000.0)}
+    df = spark.createDataFrame([(k, float(v)) for k, values in data.items() for v in values], "k string, x double").repartition(3)
+
+    def check():
+        for r in exact_quantiles(df, ["k"], {"q": ("x", 0.3), "m": ("x", 0.5)}).collect():
+            assert (r.q, r.m) == pytest.approx((np.quantile(data[r.k], 0.3), np.median(data[r.k])), rel=1e-12)
+
+    monkeypatch.setattr(quantiles, "MOST_INSIDE", 50)
+    check()
+    monkeypatch.setattr(quantiles, "MOST_INSIDE", 10**9)
+    monkeypatch.setattr(quantiles, "SLACK", 1e-7)
+    check()
+
+
 def test_one_group_holding_most_rows_stays_spread(spark):
     """No stage sorts a whole group: the windows are over buckets or over one bucket's values."""
     df = spark.range(40000).selectExpr("if(id % 3 < 2, 'hot', cast(id % 50 as string)) AS k", "cast(id * 7919 % 40009 as double) AS x")
