@@ -1,11 +1,12 @@
 """Exact top-k by inner product of whole numbers, over an impact-ordered index, score at a time.
 
-Every component of a vector is a posting of its dimension with the component's value as impact. A block's index
-keeps the postings of each dimension in order of impact; equal impacts are one segment. For a query the
-segments of all dimensions are taken in descending order of what they add to a score, counted from the least
-that their dimension can add. After every stretch of segments a vector's score lies between what it has gained and
-that plus the most it can still gain. Processing stops only on proof: when so few vectors can still be among
-the k best that scoring them exactly is cheaper than going on. Those are scored exactly.
+Every component of a vector is a posting of its dimension with the component's magnitude as impact. A block's index
+keeps the postings of each dimension in order of impact, cut into segments of quantised impact. What a segment can add to a
+query's score is at most its impact times the query's component. Each query takes the segments of all dimensions in descending order of
+that product; the segments that a whole group of queries takes up to a point are worked off together, as one product of the
+group's taken components and the block's segments. After that a vector's score lies within what the untaken
+segments can still add or take. Processing stops only on proof: when few vectors can still be among the k best, given
+the k-th score found so far here or in another block. These are scored exactly, in whole numbers.
 """
 
 from __future__ import annotations
@@ -15,62 +16,113 @@ from pyspark.sql import Column, DataFrame
 
 from qaspark.llm.vector_blocks import ROWS_PER_BLOCK, best_of, clean_vectors, dump, load, search
 
-#: The first stretch and every later one take this share of all postings.
-STRETCH = 0.1
+#: Segments per dimension.
+LEVELS = 4
+#: The first stretch ends when untaken segments can add at most this share of the k-th score; each further one at this share of that.
+SHARE = 0.6
 #: Rescoring starts when at most this share of a block's vectors can still be members.
-FEW = 0.3
+FEW = 0.1
+#: Without a k-th score to begin with, this many vectors are scored.
+SAMPLE = 512
 
 
 def build_index(ids: np.ndarray, matrix: np.ndarray) -> bytes:
-    """Postings by dimension and descending impact, with the segments (dimension, impact, from, to)."""
+    """Postings by dimension and descending impact, and for each segment where it begins and the most it holds."""
     n, width = matrix.shape
-    order = np.argsort(-matrix, axis=0, kind="stable").T.astype(np.int32)
-    segments = []
+    size = np.abs(matrix)
+    order = np.argsort(-size, axis=0, kind="stable").T.astype(np.int32)
+    # Quantised impacts: equal shares of all postings of the block, by magnitude.
+    cuts = np.quantile(size, [1 - (i + 1) / LEVELS for i in range(LEVELS - 1)])
+    starts, most = np.zeros((width, LEVELS + 1), np.int64), np.zeros((width, LEVELS), np.int64)
     for d in range(width):
-        values = matrix[order[d], d]
-        edge = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-        end = np.append(edge[1:], n)
-        segments.append(np.column_stack((np.full(len(edge), d), values[edge], edge + d * n, end + d * n)))
-    return dump(ids=ids, matrix=matrix.astype(np.float64), postings=order.ravel(), segments=np.concatenate(segments).astype(np.int64))
+        values = size[order[d], d]
+        starts[d, 1:-1] = np.searchsorted(-values, -cuts, "right")
+        starts[d, -1] = n
+        held = starts[d, 1:] > starts[d, :-1]
+        most[d, held] = values[starts[d, :-1][held]]
+    return dump(ids=ids, matrix=matrix, postings=order, starts=starts, most=most)
 
 
-def top_members(index: dict[str, np.ndarray], query: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and scores of the k best of one block for one query."""
-    ids, matrix, postings, segments = index["ids"], index["matrix"], index["postings"], index["segments"]
-    n, width = matrix.shape
-    others = ids != query_id
-    if n - np.count_nonzero(~others) <= k:
-        chosen = np.flatnonzero(others)
-    else:
-        gain = segments[:, 1] * query[segments[:, 0]]
-        first = np.flatnonzero(np.concatenate(([True], segments[1:, 0] != segments[:-1, 0])))
-        least, most = np.minimum.reduceat(gain, first), np.maximum.reduceat(gain, first)
-        gain = gain - least[segments[:, 0]]
-        order = np.argsort(-gain, kind="stable")
-        sizes = np.cumsum(segments[order, 3] - segments[order, 2])
-        total, met = np.zeros(n), np.zeros(n)
-        begin = 0
-        while True:
-            end = min(len(order), int(np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + STRETCH * n * width)) + 1)
-            part = order[begin:end]
-            places = np.concatenate([postings[a:b] for a, b in segments[part, 2:4].tolist()])
-            total += np.bincount(places, weights=np.repeat(gain[part].astype(np.float64), segments[part, 3] - segments[part, 2]), minlength=n)
-            met += np.bincount(places, minlength=n)
-            begin = end
-            # What a dimension not met yet can add is at most the next segment's gain, and at most its own range.
-            coming = gain[order[begin]] if begin < len(order) else 0
-            rest = np.minimum((width - met) * coming, np.minimum(coming, most - least).sum())
-            # The k-th exact score among the vectors ahead so far: no member of the result is below it.
-            ahead = np.argpartition(np.where(others, total, -1.0), n - 4 * k if n > 4 * k else 0)[-4 * k :]
-            ahead = ahead[others[ahead]]
-            exact = matrix[ahead] @ query - least.sum()
-            sure = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) >= k else -1
-            chosen = np.flatnonzero((total + rest >= sure) & others)
-            if begin == len(order) or len(chosen) <= max(4 * k, FEW * n):
-                break
-    scores = np.rint(matrix[chosen] @ query).astype(np.int64)
-    top = best_of(ids[chosen], scores, k)
-    return chosen[top], scores[top]
+class Block:
+    """A block's index, ready for groups of queries."""
+
+    def __init__(self, index: dict[str, np.ndarray]):
+        self.ids, self.matrix, self.most = index["ids"], index["matrix"], index["most"]
+        self.n, self.width = self.matrix.shape
+        self.largest = int(self.most.max()) if self.most.size else 0
+        self._index, self._taken = index, {}
+
+    def segments(self, kind: type) -> np.ndarray:
+        """One column per segment with the components of its postings, for products with many queries."""
+        if kind not in self._taken:
+            out = np.zeros((self.n, self.width * LEVELS), kind)
+            for d in range(self.width):
+                starts, order = self._index["starts"][d], self._index["postings"][d]
+                for level in range(LEVELS):
+                    some = order[starts[level] : starts[level + 1]]
+                    out[some, d * LEVELS + level] = self.matrix[some, d]
+            self._taken[kind] = out
+        return self._taken[kind]
+
+    def exact(self, places: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Inner products in whole numbers of any size; an error if one is not a 64-bit number."""
+        if self.width * self.largest * int(np.abs(query).max()) < 2**63:
+            return self.matrix[places] @ query
+        scores = self.matrix[places].astype(object) @ query.astype(object)
+        if any(abs(x) >= 2**63 for x in scores):
+            raise OverflowError("an inner product does not fit a 64-bit whole number")
+        return scores.astype(np.int64)
+
+
+def top_members(block: Block, queries: np.ndarray, query_ids: np.ndarray, k: int, floors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query the places and scores of its best ``k`` in the block that are not below its floor."""
+    n, width = block.n, block.width
+    size = np.abs(queries)
+    # Products and sums are exact in these kinds of numbers, or the slack covers what rounding can do.
+    reach = width * block.largest * float(size.max() if size.size else 0)
+    kind = np.float32 if reach < 2**24 else np.float64
+    slack = 0.0 if reach < 2**53 else reach * 1e-12
+    segments = block.segments(kind)
+    impact = (size[:, :, None] * block.most.astype(np.float64)[None]).reshape(len(queries), -1)
+    drop = (impact.reshape(len(queries), width, LEVELS) - np.pad(impact.reshape(len(queries), width, LEVELS), ((0, 0), (0, 0), (0, 1)))[:, :, 1:]).reshape(impact.shape)
+    order = np.argsort(-impact, axis=1, kind="stable")
+    # What is still to come after each segment, in the order of taking them.
+    whole = impact.reshape(len(queries), width, LEVELS)[:, :, :1].sum(axis=1)
+    coming = whole - np.cumsum(np.take_along_axis(drop, order, axis=1), axis=1)
+    rank = np.argsort(order, axis=1, kind="stable")
+    spread = np.repeat(queries, LEVELS, axis=1).astype(kind)
+    # A floor of more than 53 bits may have been rounded up.
+    sure = np.where(np.abs(floors) < 2**53, floors, np.nextafter(floors, -np.inf))
+    for i in np.flatnonzero(~np.isfinite(sure)):
+        sample = np.flatnonzero(block.ids[: SAMPLE + 1] != query_ids[i])
+        if len(sample) >= k:
+            scores = block.exact(sample, queries[i])
+            sure[i] = float(np.partition(scores, len(scores) - k)[len(scores) - k]) - slack
+    out: list = [None] * len(queries)
+    open_, share = np.arange(len(queries)), SHARE
+    while len(open_):
+        limit = share * np.maximum(sure[open_], 0.0)
+        taken = (coming[open_] > limit[:, None]).sum(axis=1) + 1  # up to the first segment after which little enough is to come
+        rest = np.maximum(np.take_along_axis(coming[open_], np.minimum(taken, impact.shape[1])[:, None] - 1, axis=1)[:, 0], 0.0) + slack
+        total = (spread[open_] * (rank[open_] < taken[:, None])) @ segments.T
+        still = []
+        for row, i in enumerate(open_):
+            others = np.flatnonzero((total[row] >= sure[i] - rest[row]) & (block.ids != query_ids[i]))
+            if len(others) > FEW * n and rest[row] > slack:
+                # The k-th exact score among the vectors ahead so far: no member of the result is below it.
+                ahead = others[np.argpartition(-total[row, others], min(2 * k, len(others) - 1))[: 2 * k]]
+                scores = np.sort(block.exact(ahead, queries[i]))
+                if len(scores) >= k:
+                    sure[i] = max(sure[i], float(scores[-k]) - slack)
+                    others = others[total[row, others] >= sure[i] - rest[row]]
+                if len(others) > FEW * n:
+                    still.append(i)
+                    continue
+            scores = block.exact(others, queries[i])
+            top = best_of(block.ids[others], scores, k)
+            out[i] = (others[top], scores[top])
+        open_, share = np.array(still, np.int64), share * SHARE if share > 0.01 else 0.0
+    return out
 
 
 def top_k(
@@ -84,22 +136,25 @@ def top_k(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the exact k best of all other rows by inner product of floor(scale * x).
 
-    ``is_query`` is a condition on the column ``id``. Vectors that are null, empty, of another than the usual length
-    or hold a null or non-finite component take no part; zero vectors do. Ties go to the smaller id; a repeated id counts
-    once. With fewer than k candidates all are returned. Other columns are left out.
+    ``is_query`` is a condition on the column ``id``. Vectors that are null, empty or hold a null or non-finite component
+    take no part; zero vectors do. Vectors are compared with those of their own length. Ties go to the smaller id; a repeated id counts
+    once, with its smallest vector. With fewer than k candidates all are returned. Other columns are left out. Scores are exact
+    whole numbers; one that does not fit 64 bits, or a component that does not, is an error.
     """
     vectors = clean_vectors(df, id_col, vector_col, allow_zero=True)
 
     def whole(matrix: np.ndarray) -> np.ndarray:
-        return np.floor(matrix * scale).astype(np.int64)
+        scaled = np.floor(matrix * scale)
+        if len(scaled) and np.abs(scaled).max() >= 2**63:
+            raise OverflowError("a scaled component does not fit a 64-bit whole number")
+        return scaled.astype(np.int64)
 
-    def find(blob, query_ids: np.ndarray, queries: np.ndarray, k: int):
-        index = load(blob)
+    def find(blob, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray):
+        block = Block(load(blob))
         who, found, scores = [], [], []
-        for q, query in enumerate(whole(queries)):
-            top, score = top_members(index, query, query_ids[q], k)
+        for q, (top, score) in enumerate(top_members(block, whole(queries), query_ids, k, floors)):
             who.append(np.full(len(top), q))
-            found.append(index["ids"][top])
+            found.append(block.ids[top])
             scores.append(score)
         return np.concatenate(who), np.concatenate(found), np.concatenate(scores)
 

@@ -72,13 +72,46 @@ def test_impact_search_stops_early_and_stays_exact():
     rng = np.random.default_rng(2)
     matrix = rng.zipf(1.6, (4000, 16)).clip(max=200) * rng.choice([-1, 1], (4000, 16))
     ids = np.arange(4000) * 3
-    index = impact_search.load(impact_search.build_index(ids, matrix))
-    for q in range(0, 200, 20):
-        top, score = impact_search.top_members(index, matrix[q], ids[q], 20)
-        exact = matrix @ matrix[q]
-        others = np.flatnonzero(ids != ids[q])
-        want = others[np.lexsort((ids[others], -exact[others]))[:20]]
-        assert (top == want).all() and (score == exact[want]).all()
+    block = impact_search.Block(impact_search.load(impact_search.build_index(ids, matrix)))
+    asked = np.arange(0, 200, 20)
+    for floor in (-np.inf, 500.0, 1e9):
+        found = impact_search.top_members(block, matrix[asked], ids[asked], 20, np.full(len(asked), floor))
+        for q, (top, score) in zip(asked, found):
+            exact = matrix @ matrix[q]
+            others = np.flatnonzero(ids != ids[q])
+            want = others[np.lexsort((ids[others], -exact[others]))[:20]]
+            want = want[exact[want] >= floor]
+            # What is below the floor may come along, behind all that is not.
+            assert (top[: len(want)] == want).all() and (score == exact[top]).all()
+
+
+def test_searches_keep_vectors_of_every_length(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.standard_normal(4 if i < 60 else 6)]) for i in range(110)] + [(200, [1.0, 1.0, 1.0])]
+    for search, scale in ((impact_search.top_k, 64), (collision_search.nearest, None)):
+        got = results(search(vectors(spark, rows), F.col("id") % 20 == 0, rows_per_block=25))
+        assert set(got) == {0, 20, 40, 60, 80, 100} and all(len(x) == 20 for x in got.values())
+        same = lambda i: {r[0] for r in rows if len(r[1]) == (4 if i < 60 else 6)}
+        assert all({c for _, c, _ in x} <= same(q) - {q} for q, x in got.items())
+        hits = 0
+        for q, x in got.items():
+            lifted = {i: np.floor(np.array(np.float32(v), float) * scale) if scale else np.array(np.float32(v), float) for i, v in rows}
+            want = sorted((-float(lifted[q] @ lifted[c]), c) for c in same(q) - {q})[:20]
+            hits += len({c for _, c in want} & {c for _, c, _ in x})
+        assert hits == 120 if scale else hits >= 108
+
+
+def test_impact_search_is_exact_beyond_doubles_and_refuses_what_does_not_fit(spark):
+    def table_of(*components):
+        return spark.createDataFrame([(20 * i, [float(x) for x in c]) for i, c in enumerate(components)], "vec_id long, embedding array<double>")
+
+    wide = [(2.0**22, 1 / 64, 2.0**22), (2.0**22, 3 / 64, 0.0), (2.0**22, 5 / 64, 2.0**22), (2.0**22, 4 / 64, 2.0**22)]
+    got = results(impact_search.top_k(table_of(*wide), F.col("id") == 0))[0]
+    whole = [[int(x * 64) for x in c] for c in wide]
+    want = sorted((-sum(a * b for a, b in zip(whole[0], c)), 20 * i) for i, c in enumerate(whole) if i)
+    assert [(c, s) for _, c, s in got] == [(c, -s) for s, c in want]
+    with pytest.raises(Exception, match="64-bit"):
+        impact_search.top_k(table_of((2.0**40, 1.0), (2.0**40, 2.0)), F.col("id") == 0).collect()
 
 
 def test_collision_search_recall_scores_and_awkward_rows(spark):
