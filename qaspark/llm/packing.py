@@ -36,15 +36,18 @@ class Shard:
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
         n = len(docs)
         lengths = np.fromiter(map(len, docs), np.int64, n)
-        keys = np.sort(np.repeat(np.arange(n), lengths) << 32 | np.concatenate(docs).astype(np.int64))
-        edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        tf = np.diff(np.append(edge, len(keys)))
-        doc, term = keys[edge] >> 32, keys[edge] & 0xFFFFFFFF
+        ids = np.concatenate(docs)
+        # Stable sorts of small numbers: by id, documents stay in order; then the postings by document, ids stay in order.
+        order = np.argsort(ids, kind="stable")
+        term, doc = ids[order].astype(np.int64), np.repeat(np.arange(n, dtype=np.uint16 if n <= 1 << 16 else np.int64), lengths)[order]
+        edge = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (doc[1:] != doc[:-1]))))
+        tf = np.diff(np.append(edge, len(term)))
+        term, doc = term[edge], doc[edge]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean_length))
-        self.n, self.terms_of, self.term, self.weight = n, np.searchsorted(doc, np.arange(n + 1)), term, weight
-        order = np.argsort(term, kind="stable")
-        self.posting_doc, self.posting_weight = doc[order], weight[order]
-        self.distinct, self.posting = np.unique(term[order], return_index=True)
+        forward = np.argsort(doc, kind="stable")
+        self.n, self.terms_of, self.term = n, np.searchsorted(doc[forward], np.arange(n + 1)), term[forward]
+        self.posting_doc, self.posting_weight = doc.astype(np.int64), weight
+        self.distinct, self.posting = np.unique(term, return_index=True)
         self.posting, self.indexed = np.append(self.posting, len(term)), n
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
@@ -134,29 +137,37 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_
                 pairs[ends - 1] = np.iinfo(np.uint64).max
                 near = (np.minimum.reduceat(pairs, ends - n) >> np.uint64(1)).astype(np.int64)
                 width = 2 if known.vocabulary <= 1 << 16 else 4
-                content = ids.astype(f"<u{width}").tobytes()
-                blobs = [content[width * x : width * y] for x, y in zip((ends - n).tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(near), pa.array(blobs, pa.binary())], names=["id", "n", "near", "ids"])
+                short = ids.astype(f"<u{width}")
+                edges = pa.array(np.append(0, width * ends), pa.int32())
+                blobs = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, edges.buffers()[1], pa.py_buffer(short.tobytes())])
+                # How many documents hold each id goes along with the first of them, for all of these.
+                held = np.zeros(int(short.max()) + 1, np.int64)
+                for x, y in zip((ends - n).tolist(), ends.tolist()):
+                    one = np.sort(short[x:y])
+                    held[one[np.flatnonzero(np.concatenate(([True], one[1:] != one[:-1])))]] += 1
+                at = np.flatnonzero(held)
+                holds = pa.array([np.concatenate((at, held[at])).astype("<i8").tobytes(), *[None] * (len(n) - 1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(near), blobs, holds], names=["id", "n", "near", "ids", "holds"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    encoded, seen = measured_write(rows.mapInArrow(encode, "id long, n long, near long, ids binary"), "encoded", rows=F.count(F.lit(1)), tokens=F.sum("n"))
+    encoded, seen = measured_write(rows.mapInArrow(encode, "id long, n long, near long, ids binary, holds binary"), "encoded", rows=F.count(F.lit(1)), tokens=F.sum("n"))
     if not seen["rows"]:
         return docs.sparkSession.createDataFrame([], PIECES)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(1, np.int64)
         for batch in batches:
-            for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.sort(np.frombuffer(blob, f"<u{len(blob) // n}"))
-                ids = ids[np.concatenate(([True], ids[1:] != ids[:-1]))]
-                if ids[-1] >= len(sums):
-                    sums = np.concatenate((sums, np.zeros(int(ids[-1]) + 1 - len(sums), np.int64)))
-                sums[ids] += 1
+            for blob in batch.column(0):
+                at, held = np.frombuffer(blob.as_buffer(), "<i8").reshape(2, -1)
+                if at[-1] >= len(sums):
+                    sums = np.concatenate((sums, np.zeros(int(at[-1]) + 1 - len(sums), np.int64)))
+                sums[at] += held
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.int64())], names=["id", "df"])
 
     # At most one row per vocabulary entry comes back.
-    known = encoded.select("n", "ids").mapInArrow(frequencies, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).toPandas()
+    holding = encoded.select("holds").where(F.col("holds").isNotNull())
+    known = holding.mapInArrow(frequencies, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).toPandas()
     df = np.zeros(int(known["id"].max()) + 1)
     df[known["id"].to_numpy()] = known["df"]
     model = docs.sparkSession.sparkContext.broadcast((np.log1p((seen["rows"] - df + 0.5) / (df + 0.5)), seen["tokens"] / seen["rows"]))
@@ -180,9 +191,10 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_
             return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*out)], schema=_SCHEMA)
 
         for batch in batches:
-            for i, n, blob in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for i, n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                blob = blob.as_buffer()
                 ids.append(i)
-                texts.append(np.frombuffer(blob, f"<u{len(blob) // n}"))
+                texts.append(np.frombuffer(blob, f"<u{blob.size // n}"))
                 tokens += n
                 if len(texts) == SHARD_DOCS or tokens >= SHARD_TOKENS:
                     yield finish()

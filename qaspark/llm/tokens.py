@@ -23,10 +23,6 @@ _TOGETHER = 2000
 _MARK = "\x01"
 #: What may follow a word and is then a match of its own in the known patterns.
 _TAIL = '.,;:!?)"'
-_SETTLED = "\u0530"
-# Byte-level vocabularies write printable bytes as the characters of their number and all others as those from 256 on, in order.
-_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _encoders: dict[str, Encoder] = {}
 
 
@@ -60,23 +56,14 @@ class Encoder:
             mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
             self._begins[mark] = len(mark) == 1
         self._tails: dict[str, list[int]] = {}
-        # Words of letters only are one match of the pattern, so the library's merges apply to them directly.
-        self._glue = ("", blank if self.mode == "kept" else "")
+        # Words of ASCII letters are one match of the pattern and only lower-cased, so the library's merges apply to them directly.
         self._tokenize = self.tokenizer.model.tokenize
-        probes = ["a", "The", "encoder", "Qzxv", "understanding"] + (["Größe", "été", "Ελλάς", "язык"] if self.mode == "kept" else [])
-        self._direct = self.mode != "whole" and all(
-            self._word_ids(p, place) == self.tokenizer.encode((" " if place and self.mode == "kept" else "") + p, add_special_tokens=False).ids for p in probes for place in (0, 1)
-        )
+        probes = ["a", "The", "encoder", "Qzxv", "understanding"]
+        self._direct = self.mode == "dropped" and all(self._word_ids(p) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes)
         self._clear()
 
-    def _is_word(self, p: str) -> bool:
-        """Letters only, of a range where what is a letter is settled and, if texts are normalised first, nothing changes."""
-        return p.isalpha() and (p.isascii() or (self.mode == "kept" and max(p) < _SETTLED))
-
-    def _word_ids(self, word: str, place: int) -> list[int]:
-        if not word.isascii():
-            word = word.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS)
-        return [t.id for t in self._tokenize(self._glue[place] + (word if self.mode == "kept" else word.lower()))]
+    def _word_ids(self, word: str) -> list[int]:
+        return [t.id for t in self._tokenize(word.lower())]
 
     def _clear(self) -> None:
         self._known: tuple[dict[str, int], dict[str, int]] = ({}, {})
@@ -125,60 +112,27 @@ class Encoder:
         self._pieces, self._end = first + n, self._end + total
         return first
 
-    def _learn_words(self, pieces: list[str], place: int) -> list[str]:
-        """Learn words of letters, with what may follow them and with single line ends between; return all other pieces."""
-        new: tuple[dict[str, list[int]], dict[str, list[int]]] = ({}, {})
-        rest: list[str] = []
-        is_word = self._is_word
-
-        def word(p: str, at: int) -> list[int]:
-            number = self._known[at].get(p)
-            if number is not None:
-                return self._ids[self._starts[number] : self._starts[number] + self._lengths[number]].tolist()
-            if p not in new[at]:
-                new[at][p] = self._word_ids(p, at)
-            return new[at][p]
-
-        def part(p: str, at: int) -> list[int] | None:
-            core = p.rstrip(_TAIL)
-            if not is_word(core):
-                return None
-            return word(core, at) + self._tail(p[len(core) :]) if len(core) < len(p) else word(core, at)
-
-        mine, known, tokenize, glue, lower = new[place], self._known[place], self._tokenize, self._glue[place], self.mode != "kept"
+    def _learn_words(self, pieces: list[str]) -> list[str]:
+        """Learn words of ASCII letters and such words with what may follow them; return all other pieces."""
+        known, new, rest = self._known[1], {}, []
         for p in pieces:
-            if p.isalpha():
-                if p.isascii():
-                    if p not in mine:
-                        mine[p] = [t.id for t in tokenize(glue + (p.lower() if lower else p))]
-                    continue
-                if is_word(p):
-                    if p not in mine:
-                        mine[p] = self._word_ids(p, place)
-                    continue
-            elif p and p[:-1].isalpha() and p[-1] in _TAIL and is_word(p[:-1]) and p[:-1] not in known:
-                core = p[:-1]
-                if core not in mine:
-                    mine[core] = self._word_ids(core, place)
-                mine[p] = mine[core] + self._tail(p[-1])
-                continue
-            lines = p.split("\n") if self.mode == "kept" else [p]
-            ids: list[int] | None = []
-            for i, line in enumerate(lines):
-                found = part(line, place if i == 0 else 0)
-                if found is None:
-                    ids = None
-                    break
-                ids = ids + (self._tail("\n") if i else []) + found
-            if ids is None:
+            core = p if p.isalpha() else p.rstrip(_TAIL)
+            if not (core.isascii() and core.isalpha()):
                 rest.append(p)
+                continue
+            number = known.get(core)
+            if number is not None:
+                ids = self._ids[self._starts[number] : self._starts[number] + self._lengths[number]].tolist()
             else:
-                new[place][p] = ids
-        for at in (0, 1):
-            if new[at]:
-                first = self._add(list(new[at].values()), [False] * len(new[at]))
-                self._known[at].update(zip(new[at], range(first, first + len(new[at]))))
-                self._chars += sum(map(len, new[at]))
+                ids = new.get(core)
+                if ids is None:
+                    ids = new[core] = self._word_ids(core)
+            if core is not p:
+                new[p] = ids + self._tail(p[len(core) :])
+        if new:
+            first = self._add(list(new.values()), [False] * len(new))
+            known.update(zip(new, range(first, first + len(new))))
+            self._chars += sum(map(len, new))
         return rest
 
     def _tail(self, tail: str) -> list[int]:
@@ -190,7 +144,7 @@ class Encoder:
 
     def _learn(self, pieces: list[str], place: int) -> None:
         if self._direct:
-            pieces = self._learn_words(pieces, place)
+            pieces = self._learn_words(pieces)
         plain = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace() and "<|" not in p and _MARK not in p] if place else []
         for a in range(0, len(plain), _TOGETHER):
             self._learn_together(plain[a : a + _TOGETHER])
