@@ -16,7 +16,6 @@ from qaspark.session import write_through
 MIN_SITES = 10
 LG_K = 11
 NEAR = 0.15
-MAX_SHARE = 0.5
 _SALTS = 16
 _BLANKS = " \t\x0b\x0c\r"
 
@@ -53,11 +52,11 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, n
     return exact.where(F.col("n_sites") >= min_sites).unionByName(sure)
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: float = MAX_SHARE, lg_k: int = LG_K, near: float = NEAR, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, near: float = NEAR, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
     """The documents without boilerplate lines, with ``n_removed`` (removed lines, repeats counted).
 
-    A document in which boilerplate makes up more than ``max_share`` of the characters of all non-blank lines is
-    a copy of a page, not a page with boilerplate: it stays whole and is left to document-level dedup. Every other
+    Only a document whose non-blank lines are all boilerplate stays whole: it is a copy of a page, has no text of its own
+    and is left to document-level dedup, so no document is emptied. Every other
     line, blank ones included, keeps its place. A document without boilerplate keeps its text byte for byte; null
     stays null. Rows, other columns and repeated rows are kept as they are; an existing ``n_removed`` is replaced.
     """
@@ -68,11 +67,11 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: f
     hits = hits.join(salted, ["line", "_salt"], "left_semi").groupBy("id").agg(F.collect_set("line").alias("__site_drop"))
     joined = docs.drop("n_removed").join(hits.withColumnRenamed("id", "__site_id"), F.col(id_col).eqNullSafe(F.col("__site_id")), "left")
     parts = F.split(F.col(text_col), "\n")
-    marked = F.transform(parts, lambda x: F.struct(x.alias("line"), F.coalesce(F.array_contains("__site_drop", _line_key(x)), F.lit(False)).alias("hit"), F.length(F.trim(x, F.lit(_BLANKS))).alias("n")))
+    dropped = lambda x: F.coalesce(F.array_contains("__site_drop", _line_key(x)), F.lit(False))
+    marked = F.transform(parts, lambda x: F.struct(x.alias("line"), dropped(x).alias("hit"), _line_key(x).isNull().alias("blank")))
     joined = joined.withColumn("__site_parts", F.when(F.col("__site_drop").isNotNull(), marked))
-    total = F.aggregate("__site_parts", F.lit(0), lambda a, x: a + x["n"])
-    hit = F.aggregate("__site_parts", F.lit(0), lambda a, x: a + F.when(x["hit"], x["n"]).otherwise(F.lit(0)))
-    joined = joined.withColumn("__site_cut", F.col("__site_parts").isNotNull() & (hit <= total * F.lit(max_share)))
+    own = F.exists("__site_parts", lambda x: ~x["hit"] & ~x["blank"])
+    joined = joined.withColumn("__site_cut", F.col("__site_parts").isNotNull() & own)
     left = F.array_join(F.transform(F.filter("__site_parts", lambda x: ~x["hit"]), lambda x: x["line"]), "\n")
     removed = F.when(F.col("__site_cut"), F.size(F.filter("__site_parts", lambda x: x["hit"]))).otherwise(F.lit(0)).cast("long")
     return joined.select(*[F.when(F.col("__site_cut"), left).otherwise(F.col(text_col)).alias(text_col) if n == text_col else F.col(f"`{n}`") for n in names], removed.alias("n_removed"))

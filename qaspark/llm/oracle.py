@@ -10,7 +10,7 @@ spread AS (SELECT bare FROM parts WHERE bare <> '' AND source IS NOT NULL GROUP
 marked AS (SELECT p.doc_id, p.pos, p.line, length(p.bare) AS n, s.bare IS NOT NULL AS hit FROM parts p LEFT JOIN spread s ON p.bare = s.bare),
 judged AS (
   SELECT doc_id, count(*) FILTER (hit) AS hits,
-         coalesce(sum(n) FILTER (hit), 0) <= 0.5 * sum(n) AS cut,
+         count(*) FILTER (NOT hit AND n > 0) > 0 AS cut,
          string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit) AS rest
   FROM marked GROUP BY doc_id
 )

@@ -49,7 +49,7 @@ def check_stages(spark, df, tmp_path):
         if name == "language_id":
             assert {i for i, *_ in before} - {i for i, *_ in after} == {i for i, t, *_ in before if not any(c.isalpha() for c in t or "")}
         elif name == "line_dedup":
-            assert sorted((r[:2] for r in after), key=str) == sorted(((i, t) for i, t, _ in plain_line_dedup(before, 10, 0.5)), key=str)
+            assert sorted((r[:2] for r in after), key=str) == sorted(((i, t) for i, t, _ in plain_line_dedup(before, 10)), key=str)
         elif name == "near_dedup":
             # Rows that share an id or have none are judged in the operator's own tests.
             root = plain_components([r for r in before if r[0] is not None], 5, 80)
@@ -102,7 +102,7 @@ def test_language_stage_drops_gibberish_and_unlearned_languages(spark):
 
 def test_registry():
     names = set(entry.queries())
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{k}" for k in range(1, 11)} and {*QUERIES, "pipeline"} <= names
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{k}" for k in range(1, 14)} and {*QUERIES, "pipeline"} <= names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "mixing", "packing"]
 
 

@@ -85,7 +85,7 @@ def test_language_without_labels_or_rows(spark):
 # --- line dedup
 
 
-def plain_line_dedup(rows, min_sites, max_share):
+def plain_line_dedup(rows, min_sites):
     sites = collections.defaultdict(set)
     bare = lambda x: x.strip(" \t\x0b\x0c\r")
     for _, text, _, source in rows:
@@ -96,8 +96,7 @@ def plain_line_dedup(rows, min_sites, max_share):
     for i, text, _, _ in rows:
         parts = (text or "").split("\n")
         hit = [len(sites.get(bare(x), ())) >= min_sites for x in parts]
-        share = sum(len(bare(x)) for x, h in zip(parts, hit) if h) <= max_share * sum(len(bare(x)) for x in parts)
-        cut = share and any(hit)
+        cut = any(hit) and any(bare(x) and not h for x, h in zip(parts, hit))
         out.append((i, "\n".join(x for x, h in zip(parts, hit) if not h) if cut else text, sum(hit) if cut else 0))
     return sorted(out, key=str)
 
@@ -113,12 +112,14 @@ def test_line_dedup_equals_plain_counts(spark):
     # One line on a third of all rows, but of a single site; copies of a page on all sites; awkward rows.
     rows += [(1000 + i, f"hot line\n{prose(rng, 9)}", "en", "s1") for i in range(100)]
     rows += [(2000 + i, "a page\ncopied all over", "en", f"s{i}") for i in range(14)]
+    # Nearly all boilerplate, with a word of its own: cut all the same.
+    rows += [(2500, "\n".join([*common, "own", *common]), "en", "s2"), (2501, "a page\n\n \ncopied all over", "en", "s3")]
     rows += [(3000, None, "en", "s0"), (3001, "", "en", "s1"), (3002, " \n\t\n", "en", "s2"), (None, "boilerplate 0 \n" + prose(rng, 30), "en", None)]
     rows += [(5, rows[5][1], "en", rows[5][3])]
     df = table(spark, rows)
     found = line_dedup.remove_boilerplate(df, min_sites=6)
     assert found.columns == [*[c for c in df.columns if c != "n_removed"], "n_removed"]
-    assert sorted(((r["doc_id"], r["text"], r["n_removed"]) for r in found.collect()), key=str) == plain_line_dedup(rows, 6, 0.5)
+    assert sorted(((r["doc_id"], r["text"], r["n_removed"]) for r in found.collect()), key=str) == plain_line_dedup(rows, 6)
     assert line_dedup.remove_boilerplate(table(spark, [])).count() == 0
 
 
