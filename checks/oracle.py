@@ -279,6 +279,22 @@ ORACLE = {
         CAST(trunc(score) AS BIGINT) AS score, view_count, is_answered, 'a|' || language AS tags FROM q""",
     "stored_table": f"WITH {Q0} SELECT question_id, language, year, creation_date, score, view_count, is_answered FROM q",
     "stored_documents": f"""WITH {FREQUENCY} {ranked("language, tag, frequency", "frequency", "language", "frequency DESC, tag", 20, False)}""",
+    "landed_chains": """WITH p AS (SELECT o_orderpriority AS tag, date_trunc('month', o_orderdate) AS m, day(o_orderdate) AS page, o_orderstatus,
+          count(*) AS items, min(o_custkey) AS quota FROM orders GROUP BY 1, 2, 3, 4),
+        c AS (SELECT tag, m, count(DISTINCT page) AS pages, count(*) - count(DISTINCT page) AS repeats, min(page) FILTER (WHERE page >= 28) AS last_page,
+          max(page) AS top, CAST(sum(items) AS BIGINT) AS items, min(quota) AS quota_left, list(DISTINCT page) AS seen FROM p GROUP BY 1, 2),
+        g AS (SELECT *, list_filter(range(1, coalesce(last_page, top)), lambda x: NOT list_contains(seen, x)) AS gaps FROM c)
+        SELECT tag, CAST(epoch(m) AS BIGINT) AS fromdate, CAST(epoch(m + INTERVAL 1 MONTH) AS BIGINT) - 1 AS todate, pages, repeats, last_page,
+          CAST(len(gaps) AS BIGINT) AS missing, gaps[1] AS first_gap, CAST(len(list_filter(seen, lambda x: x > last_page)) AS BIGINT) AS beyond, items, quota_left,
+          last_page IS NOT NULL AND len(gaps) = 0 AS complete FROM g""",
+    "upserted_log": """SELECT user_id, event_type, event_id, ts FROM (SELECT *, row_number() OVER (
+        PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rk FROM events)
+        WHERE rk = 1 AND TIMESTAMP '2024-01-31' - ts <= INTERVAL 10 DAY""",
+    "rewritten_table": f"WITH {Q0} SELECT question_id, language, view_count * 2 AS view_count FROM q WHERE is_answered",
+    "gated_counts": f"""WITH {Q0}, {FREQUENCY}, n AS (SELECT 'questions' AS name, language, count(*) AS n FROM q GROUP BY 2
+          UNION ALL SELECT 'tagged', language, count(*) FROM q GROUP BY 2 UNION ALL SELECT 'tags', language, count(*) FROM frequency GROUP BY 2)
+        SELECT name, language, coalesce(n, 0) AS n_rows FROM (SELECT name, unnest({string_list(PRIORITIES)}) AS language
+          FROM (SELECT unnest(['questions', 'tagged', 'tags']) AS name)) LEFT JOIN n USING (name, language)""",
     "clean_questions": f"""WITH {CLEANED} SELECT question_id, title, array_to_string(tags, '|') AS tags, language, event_id FROM cleaned""",
     "cleaning_report": f"""WITH {CLEANED} SELECT (SELECT count(*) FROM raw) AS n_before, count(*) AS n_after,
         (SELECT count(*) FROM raw) - count(*) AS n_dropped FROM cleaned""",

@@ -19,9 +19,10 @@ from qaspark.operators import payload, profile, tfidf, trend, vectors
 from qaspark.plans.micro import text_clusters as cluster_texts
 from qaspark.session import checkpoint_folder, write_through
 from qaspark.sources import adapters as a
-from qaspark.sources.responses import latest_within_ttl, read_questions
+from qaspark.sources.responses import latest_within_ttl, page_chains, read_questions, read_requests
 from qaspark.sources.survey import read_survey
 from qaspark.sources.tables import read_table, write_documents, write_table
+from qaspark.sources.versions import read_current, read_version, replace_table, upsert
 
 # The supplied documents hold no programming errors; this pattern hits their words.
 WORD_PATTERNS = ["[A-Z][a-z]+tion", "[A-Z][a-z]+ent"]
@@ -149,6 +150,52 @@ def stored_documents(spark, d):
     return back.select("language", F.explode("tags").alias("t")).select("language", "t.tag", "t.frequency")
 
 
+def landed_chains(spark, d):
+    """One request per language and month, its days as pages: days without questions are gaps, days of several states repeats."""
+    path = _place(spark, "requests")
+    q = a.table(spark, d, "orders")
+    day = F.col("o_orderdate")
+    month = F.date_trunc("month", day)
+    asked = [
+        F.col("o_orderpriority").alias("tag"), F.unix_timestamp(month).alias("fromdate"),
+        (F.unix_timestamp(F.add_months(month, 1).cast("timestamp")) - 1).alias("todate"), F.dayofmonth(day).cast("long").alias("page"),
+    ]
+    item = F.struct(F.col("o_orderkey").alias("question_id"))
+    pages = q.groupBy(*asked, "o_orderstatus").agg(F.collect_list(item).alias("items"), F.min("o_custkey").alias("quota_remaining"))
+    pages.withColumn("has_more", F.col("page") < 28).drop("o_orderstatus").write.json(path)
+    return page_chains(read_requests(spark, path))
+
+
+def upserted_log(spark, d):
+    """Events set in a keyed table in three batches, the middle one last, and what is not older than ten days read from it."""
+    root = _place(spark, "keyed")
+    log = a.table(spark, d, "events")
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    day = F.dayofmonth("ts")
+    for batch in (log.where(day <= 12), log.where(day > 21), log.where((day > 12) & (day <= 21)), log.where(F.col("ts").isNull())):
+        upsert(batch, root, now, ["user_id", "event_type"], "ts", ttl_days=10, tie_break=["event_id"])
+    return read_current(spark, root, now, "ts", ttl_days=10).select("user_id", "event_type", "event_id", "ts")
+
+
+def rewritten_table(spark, d):
+    """Questions stored, then rewritten twice from their own table: views doubled, then only the answered ones."""
+    root = _place(spark, "rewritten")
+    replace_table(a.questions(spark, d).select("question_id", "language", "view_count", "is_answered"), root)
+    replace_table(read_version(spark, root).withColumn("view_count", F.col("view_count") * 2), root)
+    replace_table(read_version(spark, root).where("is_answered"), root)
+    return read_version(spark, root).select("question_id", "language", "view_count")
+
+
+def gated_counts(spark, d):
+    """Edges, nodes and clusters per language as counted by the jobs that wrote them, each behind a gate."""
+    tables = {"questions": a.questions(spark, d), "tagged": a.tagged_questions(spark, d).select("question_id", "language"), "tags": tag_frequency(spark, d)}
+    rows = []
+    for name, df in tables.items():
+        counts = replace_table(df, _place(spark, name), "language", {p: 0 for p in a.PRIORITIES})
+        rows += [(name, language, n) for language, n in counts.items()]
+    return spark.createDataFrame(rows, "name string, language string, n_rows long")
+
+
 # --- cleaning --------------------------------------------------------------------
 
 def _raw_questions(spark, d):
@@ -562,6 +609,7 @@ QUERIES = {
     for f in (
         yearly_counts, survey_trend, total_questions, answer_rate_by_language, mean_of_yearly, distinct_years,
         trends_payload, survey_payload, survey_files, landed_pages, stored_table, stored_documents,
+        landed_chains, upserted_log, rewritten_table, gated_counts,
         clean_questions, cleaning_report, clean_titles, epoch_to_ts, parse_tags, dedupe_first, html_to_text, clean_body,
         text_combined, tagged_between, year_bounds, sample_per_year,
         describe, null_profile, count_pivot, box_stats, cluster_quality, rows_per_language,

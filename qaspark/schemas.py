@@ -34,6 +34,12 @@ def api_page(with_body: bool = False) -> T.StructType:
     )
 
 
+def request_page(with_body: bool = False) -> T.StructType:
+    """A landed response beside what was asked for: the tag, the range of dates (epoch seconds) and the page."""
+    asked = [T.StructField("tag", T.StringType()), *(T.StructField(n, T.LongType()) for n in ("fromdate", "todate", "page"))]
+    return T.StructType(asked + api_page(with_body).fields)
+
+
 LANGUAGE = T.StructType(
     [
         T.StructField("language", T.StringType(), False),

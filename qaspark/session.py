@@ -26,9 +26,17 @@ def build_session(app_name: str = "qaspark", master: str | None = None, **conf:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; where none is named, one beside the session's own stored tables."""
+    """The shared folder named by the cluster; where none is named, one beside the session's own stored tables.
+
+    On a cluster that folder has to be one that all machines see: a local one is refused.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a shared folder; {warehouse} is local to a machine")
+    return f"{warehouse}/_intermediate"
 
 
 def delete_table(spark: SparkSession, path: str) -> None:
@@ -60,6 +68,25 @@ def _write(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFr
     return spark.read.schema(df.schema).parquet(path), (seen.get if metrics else {}), path
 
 
+class Scratch:
+    """Tables that are deleted together when the block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        for path in self.paths:
+            delete_table(self.spark, path)
+
+    def write(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+        table, seen, path = _write(df, name, metrics)
+        self.paths.append(path)
+        return table, seen
+
+
 class Rounds:
     """The tables of a loop: each round is written, and the round it was made from is deleted once it is."""
 

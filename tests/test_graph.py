@@ -76,6 +76,24 @@ def test_betweenness_from_pivots_is_scaled(spark):
     assert got["hub"] == pytest.approx(1.0, rel=0.1) and got["n00"] == 0.0
 
 
+def test_betweenness_in_batches_keeps_one_row_per_node(spark, tmp_path, monkeypatch):
+    from qaspark import session
+
+    monkeypatch.setattr(session, "checkpoint_folder", lambda _: str(tmp_path))
+    graphs = {"tree": [("hub1", "hub2", 2)] + [(f"hub{1 + i % 2}", f"n{i:02d}", 1 + i % 3) for i in range(20)], "random": random_graph(1)}
+    rows = [(name, min(a, b), max(a, b), w) for name, e in graphs.items() for a, b, w in e]
+    links = {name: 2 * len(e) for name, e in graphs.items()}
+    ends = {name: len({v for a, b, _ in e for v in (a, b)}) for name, e in graphs.items()}
+    state = sum(links[g] * ends[g] for g in graphs)
+    found = betweenness_centrality(spark.createDataFrame(rows, EDGE), digits=None, state_rows=state // 3 + 1).collect()
+    got = {(r.language, r.id): r.betweenness_centrality for r in found}
+    assert got == pytest.approx({(name, v): x for name, e in graphs.items() for v, x in brute_betweenness(e, True).items()})
+    # What is left is the links, the nodes, the sources and one row per node that lies on a path; three batches left nothing.
+    left = sorted(x.name.split("-")[0] for x in (tmp_path / "qaspark").iterdir())
+    assert left == ["betweenness", "ends", "links", "sources"]
+    assert spark.read.parquet(str(next((tmp_path / "qaspark").glob("betweenness-*")))).count() <= sum(ends.values())
+
+
 def test_pairs_within_rows(spark):
     rng = random.Random(3)
     baskets = [(rng.choice("xy"), rng.choices("abcdefg", k=rng.randint(0, 6))) for _ in range(300)]
