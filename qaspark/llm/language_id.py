@@ -13,9 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from qaspark.llm.components import sized
+from qaspark.operators.ranking import top_per_group
 from qaspark.session import measured_write
 
 ORDERS = (1, 2, 3)
@@ -27,7 +27,6 @@ _END = "\x00"
 #: A language with fewer labelled rows has no bound for its fit: so low a quantile cannot be told from them.
 LEAST_ROWS = 100
 LOW_QUANTILE = 0.01
-_SALTS = 250
 _LETTER = np.array([chr(i).isalpha() for i in range(0x3000)])
 
 
@@ -43,22 +42,13 @@ def _letters(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(texts: list[str | None], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every n-gram of the texts, and the number of its text.
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
-    Texts are lower-cased; every run of other characters than letters is one blank. N-grams (of one to three
-    characters) must hold a letter.
-    """
-    joined = "".join([f" {(t or '').replace(_END, ' ')} {_END}" for t in texts]).lower()
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    end = codes == 0
-    text_of = np.cumsum(end, dtype=np.int32)
-    letter = _letters(codes)
-    keep = letter.copy()
-    keep[:1] = True
-    keep[1:] |= (letter[:-1] | end[:-1]) & ~end[1:]
-    codes, letter, text_of = np.where(letter, codes, np.uint32(32))[keep], letter[keep], text_of[keep]
-    found, owner = [], []
+
+def _buckets(codes: np.ndarray, letter: np.ndarray, text_of: np.ndarray, new: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and text of every n-gram of normalised ``codes`` that holds a letter and ends at place ``new`` or later."""
+    found, owner = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
     h = np.zeros(len(codes), np.uint32)
     some = np.zeros(len(codes), bool)
     for n in range(1, max(ORDERS) + 1):
@@ -69,37 +59,79 @@ def features(texts: list[str | None], bits: int = BITS) -> tuple[np.ndarray, np.
         some = some[:size] | letter[n - 1 :]
         if n in ORDERS:
             # A sequence that runs on into the next text belongs to neither.
-            at = np.flatnonzero(some & (text_of[:size] == text_of[n - 1 :]))
+            good = some & (text_of[:size] == text_of[n - 1 :])
+            good[: max(0, new - n + 1)] = False
+            at = np.flatnonzero(good)
             bucket = (h[at] ^ (h[at] >> np.uint32(15))) * np.uint32(0x85EBCA6B)
             found.append((bucket >> np.uint32(32 - bits)).astype(np.int32))
             owner.append(text_of[at])
-    if not found:
-        return np.empty(0, np.int32), np.empty(0, np.int32)
     return np.concatenate(found), np.concatenate(owner)
 
 
-def _text_blocks(texts: list[str | None]):
-    """Runs of whole texts of about BLOCK_CHARS; a longer text comes in pieces, each with the end of the one before."""
+def features(texts: list[str | None], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of every n-gram of the texts, and the number of its text.
+
+    Texts are lower-cased; every run of other characters than letters is one blank, and a blank stands at both ends. N-grams (of
+    one to three characters) must hold a letter.
+    """
+    joined = "".join([f" {(t or '').replace(_END, ' ')} {_END}" for t in texts]).lower()
+    codes = _codes(joined)
+    end = codes == 0
+    text_of = np.cumsum(end, dtype=np.int32)
+    letter = _letters(codes)
+    keep = letter.copy()
+    keep[:1] = True
+    keep[1:] |= (letter[:-1] | end[:-1]) & ~end[1:]
+    return _buckets(np.where(letter, codes, np.uint32(32))[keep], letter[keep], text_of[keep], 0, bits)
+
+
+def _long_features(text: str, bits: int, block_chars: int) -> Iterator[np.ndarray]:
+    """The buckets that ``features`` gives for one long text, a piece at a time.
+
+    The text is lower-cased whole. A piece knows whether a letter came before it and carries the last normalised characters
+    of the piece before; it counts the n-grams that end in its own part.
+    """
+    lowered = f" {text.replace(_END, ' ')} ".lower()
+    # As after a letter: the blank at the front counts.
+    after_letter, carried, carried_letters = True, np.empty(0, np.uint32), np.empty(0, bool)
+    for k in range(0, len(lowered), block_chars):
+        codes = _codes(lowered[k : k + block_chars])
+        letter = _letters(codes)
+        keep = letter.copy()
+        keep[0] |= after_letter
+        keep[1:] |= letter[:-1]
+        after_letter = letter[-1]
+        codes = np.concatenate((carried, np.where(letter, codes, np.uint32(32))[keep]))
+        letter = np.concatenate((carried_letters, letter[keep]))
+        yield _buckets(codes, letter, np.zeros(len(codes), np.int32), len(carried), bits)[0]
+        rest = max(ORDERS) - 1
+        carried, carried_letters = codes[-rest:], letter[-rest:]
+
+
+def feature_blocks(texts: list[str | None], bits: int = BITS, block_chars: int = BLOCK_CHARS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``features`` of all texts in blocks of about ``block_chars``; a longer text comes in several, none of its n-grams lost or added.
+
+    Inside each n-gram length of a block the n-grams of a text lie together.
+    """
     begin, size = 0, 0
-    for i, t in enumerate(texts):
+    for i, t in enumerate([*texts, None]):
         n = len(t or "")
-        if size and size + n > BLOCK_CHARS:
-            yield begin, texts[begin:i]
+        if begin < i and (i == len(texts) or size + n > block_chars):
+            bucket, owner = features(texts[begin:i], bits)
+            yield bucket, owner + begin
             begin, size = i, 0
-        if n > BLOCK_CHARS:
-            for k in range(0, n, BLOCK_CHARS):
-                yield i, [t[k : k + BLOCK_CHARS]]
+        if n > block_chars:
+            for bucket in _long_features(t, bits, block_chars):
+                yield bucket, np.full(len(bucket), i, np.int32)
             begin, size = i + 1, 0
         else:
             size += n
-    if begin < len(texts):
-        yield begin, texts[begin:]
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows_per_language: int = 4000, bits: int = BITS, alpha: float = 0.5, bounded: bool = False) -> dict:
-    """Fit the model on at most ``rows_per_language`` labelled rows of each language, chosen by hashes of their id.
+    """Fit the model on at most ``rows_per_language`` labelled rows of each language, the first by a hash of their id.
 
-    Rows without text or language take no part; a language without any n-gram is left out. Returns
+    Rows that share id and language count as one towards the bound and are all learned. Rows without text or language take no part; a language without any n-gram is left out. Returns
     ``{"languages": [...], "weights": int32 array (languages, 2**bits)}``, empty without labelled rows. The model has a proven size, 4 * 2**bits bytes per language; above
     ``MOST_MODEL_BYTES`` it is refused with a request for fewer bits. With ``bounded`` the training rows are scored once more
     and ``{"bounds": {language: least fit}}`` is added: as far below the quantile ``LOW_QUANTILE`` of their fits as this
@@ -107,21 +139,24 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    salt = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(_SALTS))
-    order = Window.partitionBy("lang", salt).orderBy(F.xxhash64("id"), "id")
-    # The cut is made on ids alone, in salted parts; texts are fetched for the chosen rows.
-    chosen = rows.select("id", "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= max(1, rows_per_language // _SALTS))
-    ids, seen = measured_write(chosen.select("id").distinct(), "training-ids", rows=F.count(F.lit(1)))
-    picked = rows.join(sized(ids, seen["rows"]), "id", "left_semi").select("lang", "text")
+    # The cut is made on ids alone, in salted parts and then over what these leave; texts are fetched for the chosen rows.
+    labels = rows.select("id", "lang").distinct()
+    chosen = top_per_group(labels, ["lang"], [F.xxhash64("id"), F.col("id")], rows_per_language, salt_on=["id"])
+    ids, seen = measured_write(chosen.select(F.col("id").alias("_id"), F.col("lang").alias("_lang")), "training-ids", rows=F.count(F.lit(1)))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
+    picked = rows.join(sized(ids, seen["rows"]), same, "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, block in _text_blocks(texts):
-                bucket, owner = features(block, bits)
-                names = sorted(set(langs[first : first + len(block)]))
-                of = np.array([names.index(x) for x in langs[first : first + len(block)]], dtype=np.int64)
+            for bucket, owner in feature_blocks(texts, bits):
+                present = np.flatnonzero(np.bincount(owner, minlength=len(texts))).tolist()
+                if not present:
+                    continue
+                names = sorted({langs[i] for i in present})
+                of = np.zeros(len(texts), np.int64)
+                of[present] = [names.index(langs[i]) for i in present]
                 table = np.bincount(of[owner] * (1 << bits) + bucket, minlength=len(names) << bits).reshape(len(names), -1)
                 for k, name in enumerate(names):
                     sums[name] = sums[name] + table[k] if name in sums else table[k].copy()
@@ -172,14 +207,13 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text", fit: bool = F
             texts = batch.column(at).to_pylist()
             total = np.zeros((len(texts), len(languages)), np.int64)
             seen = np.zeros(len(texts), np.int64)
-            for first, block in _text_blocks(texts):
-                bucket, owner = features(block, bits)
-                seen[first : first + len(block)] += np.bincount(owner, minlength=len(block))
+            for bucket, owner in feature_blocks(texts, bits):
+                seen += np.bincount(owner, minlength=len(texts))
                 # Texts lie in order inside each n-gram length, so every run of one owner is one sum.
                 edge = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else []
                 for k in range(len(languages)):
                     if len(edge):
-                        np.add.at(total[:, k], first + owner[edge], np.add.reduceat(weights[k][bucket], edge, dtype=np.int64))
+                        np.add.at(total[:, k], owner[edge], np.add.reduceat(weights[k][bucket], edge, dtype=np.int64))
             if languages:
                 best = total.argmax(axis=1)
                 gap = (total - total.max(axis=1, keepdims=True)) / _SCALE

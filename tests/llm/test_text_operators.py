@@ -1,13 +1,18 @@
 """Language ID, line dedup, near-duplicates and passages against plain versions, with awkward rows."""
 
 import collections
+import functools
+import math
+import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from qaspark.llm import components, language_id, line_dedup, minhash, passages
+from qaspark.llm import components, language_id, line_dedup, minhash, passages, queries
 from qaspark.llm.words import Words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -65,15 +70,82 @@ def test_language_held_out_accuracy_and_awkward_rows(spark):
     assert [r["lang_pred"] for r in found if r["doc_id"] is None] == [rows[45][2]]
 
 
-def test_language_scores_do_not_depend_on_batching_and_count_the_whole_text():
-    text = "ab" * 900_000 + "z" * 300_000
-    whole = collections.Counter()
-    for _, block in language_id._text_blocks([text]):
-        whole.update(language_id.features(block)[0].tolist())
-    assert sum(whole.values()) >= 3 * (len(text) - 10)
-    one, owner = language_id.features(["ab c", "", "d"])
-    two, _ = language_id.features(["ab c"])
-    assert sorted(one[owner == 0].tolist()) == sorted(two.tolist()) and (owner != 1).all()
+def buckets(blocks, n_texts):
+    out = [collections.Counter() for _ in range(n_texts)]
+    for bucket, owner in blocks:
+        for k in range(n_texts):
+            out[k].update(bucket[owner == k].tolist())
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 20, 1000])
+def test_language_features_do_not_depend_on_the_cut(size):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abÉΣσİß .,1\n\0\u4e2d") for _ in range(rng.randrange(60))) for _ in range(30)] + [None, "", "   ", "a" * 50, " " * 50 + "ab", "ab" + "." * 50 + "c"]
+    whole = buckets([language_id.features(texts)], len(texts))
+    assert buckets(language_id.feature_blocks(texts, block_chars=size), len(texts)) == whole
+    assert whole == [buckets([language_id.features([t])], 1)[0] for t in texts]
+
+
+def grams(text):
+    """Plain n-grams of one to three characters that hold a letter."""
+    line = " " + "".join(c if c.isalpha() else " " for c in (text or "").lower()) + " "
+    line = re.sub(" +", " ", line)
+    return [g for n in (1, 2, 3) for g in (line[i : i + n] for i in range(len(line) - n + 1)) if g != " "]
+
+
+@functools.cache
+def bucket_of(gram):
+    h = 0
+    for n, c in enumerate(gram, 1):
+        h = ((h ^ ord(c)) * 0x9E3779B1 + n) % 2**32
+    return ((h ^ (h >> 15)) * 0x85EBCA6B % 2**32) >> (32 - language_id.BITS)
+
+
+def plain_bayes(learned, asked):
+    """``(language, posterior)`` of each text by multinomial naive Bayes over the buckets, smoothed by a half."""
+    counts = collections.defaultdict(collections.Counter)
+    for text, lang in learned:
+        if text is not None and lang is not None:
+            counts[lang].update(bucket_of(g) for g in grams(text))
+    counts = {lang: c for lang, c in sorted(counts.items()) if c}
+    size = 2**language_id.BITS
+    total = {lang: sum(c.values()) + size / 2 for lang, c in counts.items()}
+    out = []
+    for text in asked:
+        seen = collections.Counter(bucket_of(g) for g in grams(text))
+        sums = {lang: sum(n * round(math.log((c[b] + 0.5) / total[lang]) * 65536) for b, n in seen.items()) / 65536 for lang, c in counts.items()}
+        best = max(sums, key=sums.get) if seen else "und"
+        out.append((best, 1 / sum(math.exp(x - sums[best]) for x in sums.values()) if seen else 0.0))
+    return out
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_language_query_equals_plain_bayes(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one = docs.where("text is not null and lang is not null").orderBy("doc_id").first()
+    long = one.text[:3000] * (1_300_000 // len(one.text[:3000]) + 1)
+    last = docs.agg(F.max("doc_id")).first()[0]
+    extra = [(last + 1 + i, long, one.lang, one.source, len(long)) for i in range(2)] + [(last + 3, None, None, None, 0), (last + 4, " 1 ", "en", None, 3), (last + 5, "x", None, None, 1)]
+    docs.unionByName(spark.createDataFrame(extra, docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/documents.parquet").collect()
+    held = [zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows]
+    found = {r.doc_id: r for r in queries.op2_language_id(spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows) and 0 < sum(held) < len(rows)
+    expected = plain_bayes([(r.text, r.lang) for r, h in zip(rows, held) if not h], [r.text for r in rows])
+    for row, h, (lang, score) in zip(rows, held, expected):
+        got = found[row.doc_id]
+        assert (got.held_out, got.lang_pred) == (h, lang) and got.score == pytest.approx(score, abs=1e-9)
+
+
+@pytest.mark.parametrize("bound", [1, 7, 20])
+def test_language_learns_from_as_many_rows_as_the_bound_says(spark, bound):
+    # Every row has a letter of its own: the counts of single letters tell which rows were learned.
+    rows = [(i, chr(0x4E00 + i), lang, "s") for i in range(30) for lang in ("aa", "bb")] + [(None, chr(0x5E00), "aa", "s")] * 2
+    model = language_id.train(table(spark, rows), rows_per_language=bound)
+    least = model["weights"].min(axis=1, keepdims=True)
+    learned = [sum(w[bucket_of(chr(0x4E00 + i))] > low[0] for i in range(30)) + (w[bucket_of(chr(0x5E00))] > low[0]) for w, low in zip(model["weights"], least)]
+    assert learned == [bound, bound]
 
 
 def test_language_without_labels_or_rows(spark):
