@@ -27,6 +27,8 @@ _END = "\x00"
 #: A language with fewer labelled rows has no bound for its fit: so low a quantile cannot be told from them.
 LEAST_ROWS = 100
 LOW_QUANTILE = 0.01
+#: The bound lies so many times as far below the median of the fits as the low quantile does.
+FIT_WIDTH = 4
 _LETTER = np.array([chr(i).isalpha() for i in range(0x3000)])
 
 
@@ -134,8 +136,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     Rows that share id and language count as one towards the bound and are all learned. Rows without text or language take no part; a language without any n-gram is left out. Returns
     ``{"languages": [...], "weights": int32 array (languages, 2**bits)}``, empty without labelled rows. The model has a proven size, 4 * 2**bits bytes per language; above
     ``MOST_MODEL_BYTES`` it is refused with a request for fewer bits. With ``bounded`` the training rows are scored once more
-    and ``{"bounds": {language: least fit}}`` is added: as far below the quantile ``LOW_QUANTILE`` of their fits as this
-    lies below their median. A language with fewer than ``LEAST_ROWS`` rows has none.
+    and ``{"bounds": {language: least fit}}`` is added: ``FIT_WIDTH`` times as far below the median of their fits as the
+    quantile ``LOW_QUANTILE`` is. A language with fewer than ``LEAST_ROWS`` rows has none.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -179,7 +181,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
         fits = identify(picked, model, fit=True).where(F.col("lang_pred") == F.col("lang")).groupBy("lang")
         # One row per language.
         rows = fits.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("fit", [LOW_QUANTILE, 0.5], 10_000).alias("q")).collect()
-        model["bounds"] = {r["lang"]: 2 * r["q"][0] - r["q"][1] for r in rows if r["n"] >= LEAST_ROWS}
+        model["bounds"] = {r["lang"]: r["q"][1] - FIT_WIDTH * (r["q"][1] - r["q"][0]) for r in rows if r["n"] >= LEAST_ROWS}
     return model
 
 
