@@ -220,6 +220,35 @@ def test_neighbors_and_tree_across_many_cells(built):
     assert n == len(x) - 1 and weight == pytest.approx(total)
 
 
+def test_blocks_of_a_shelf_are_searched_together_and_exactly(spark):
+    rng = np.random.default_rng(11)
+    data = rng.standard_normal((1500, 24))
+    data[700:720] = 1e4 + 1e-6 * data[700:720]  # near each other, far from the origin
+    rows = [("flat", i, v.tolist(), 1) for i, v in enumerate(data)]
+    points = write_through(spark.createDataFrame(rows, "language string, pid long, vector array<double>, mult long"))
+    layout = neighbors.lay_out(points, block=50)
+    shelves = layout.blocks.select("shelf").distinct().count()
+    assert 8 <= shelves <= 16 < layout.blocks.count()
+    near = neighbors.nearest_neighbors(layout, 4)
+    d = np.sqrt(((data[:, None] - data[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    got = {}
+    for r in near.collect():
+        got.setdefault(r.pid, []).append((r.d, r.nbr))
+    assert all([n for _, n in sorted(got[i])] == np.argsort(d[i], kind="stable")[:4].tolist() for i in range(len(data)))
+    cores = write_through(neighbors.core_distances(points, near, 4))
+    core = np.array([r.core for r in cores.orderBy("pid").collect()])
+    w = np.maximum(d, np.maximum(core[:, None], core[None, :]))
+    best, total, inside = w[0].copy(), [], np.zeros(len(data), bool)
+    inside[0] = True
+    for _ in range(len(data) - 1):
+        to = np.where(inside, np.inf, best).argmin()
+        total.append(best[to])
+        inside[to], best = True, np.minimum(best, w[to])
+    tree = [r.w for r in neighbors.spanning_tree(layout, near, cores).collect()]
+    assert sorted(tree) == pytest.approx(sorted(total))
+
+
 def test_clustering_can_be_switched_off(spark):
     df = spark.createDataFrame([("x", 1, [1.0])], VECTORS)
     assert density.density_clusters(df, method="none").first().cluster_id == 0
