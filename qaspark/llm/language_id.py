@@ -130,10 +130,10 @@ def feature_blocks(texts: list[str | None], bits: int = BITS, block_chars: int =
             size += n
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows_per_language: int = 4000, bits: int = BITS, alpha: float = 0.5, bounded: bool = False) -> dict:
-    """Fit the model on at most ``rows_per_language`` labelled rows of each language, the first by a hash of their id.
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows_per_language: int | None = None, bits: int = BITS, alpha: float = 0.5, bounded: bool = False) -> dict:
+    """Fit the model on all labelled rows, or on at most ``rows_per_language`` of each language, the first by a hash of their id.
 
-    Rows that share id and language count as one towards the bound and are all learned. Rows without text or language take no part; a language without any n-gram is left out. Returns
+    Rows that share id and language count as one towards that bound and are all learned. Rows without text or language take no part; a language without any n-gram is left out. Returns
     ``{"languages": [...], "weights": int32 array (languages, 2**bits)}``, empty without labelled rows. The model has a proven size, 4 * 2**bits bytes per language; above
     ``MOST_MODEL_BYTES`` it is refused with a request for fewer bits. With ``bounded`` the training rows are scored once more
     and ``{"bounds": {language: least fit}}`` is added: ``FIT_WIDTH`` times as far below the median of their fits as the
@@ -141,12 +141,14 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # The cut is made on ids alone, in salted parts and then over what these leave; texts are fetched for the chosen rows.
-    labels = rows.select("id", "lang").distinct()
-    chosen = top_per_group(labels, ["lang"], [F.xxhash64("id"), F.col("id")], rows_per_language, salt_on=["id"])
-    ids, seen = measured_write(chosen.select(F.col("id").alias("_id"), F.col("lang").alias("_lang")), "training-ids", rows=F.count(F.lit(1)))
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
-    picked = rows.join(sized(ids, seen["rows"]), same, "left_semi").select("lang", "text")
+    picked = rows.select("lang", "text")
+    if rows_per_language is not None:
+        # The cut is made on ids alone, in salted parts and then over what these leave; texts are fetched for the chosen rows.
+        labels = rows.select("id", "lang").distinct()
+        chosen = top_per_group(labels, ["lang"], [F.xxhash64("id"), F.col("id")], rows_per_language, salt_on=["id"])
+        ids, seen = measured_write(chosen.select(F.col("id").alias("_id"), F.col("lang").alias("_lang")), "training-ids", rows=F.count(F.lit(1)))
+        same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
+        picked = rows.join(sized(ids, seen["rows"]), same, "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

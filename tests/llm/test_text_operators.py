@@ -148,6 +148,15 @@ def test_language_learns_from_as_many_rows_as_the_bound_says(spark, bound):
     assert learned == [bound, bound]
 
 
+def test_language_model_learns_from_every_labelled_row(spark):
+    rows = [(i, f"{chr(0x4E00 + i)} word", "aa", "s") for i in range(4500)] + [(5000, "other", "bb", "s")]
+    every = language_id.train(table(spark, rows))
+    named = language_id.train(table(spark, rows), rows_per_language=4501)
+    fewer = language_id.train(table(spark, rows), rows_per_language=4000)
+    assert (every["weights"] == named["weights"]).all()
+    assert (every["weights"] != fewer["weights"]).any()
+
+
 def test_language_without_labels_or_rows(spark):
     nothing = language_id.train(table(spark, [(1, "abc", None, "s")]))
     assert [r["lang_pred"] for r in language_id.identify(table(spark, [(1, "abc", "aa", "s")]), nothing).collect()] == ["und"]
