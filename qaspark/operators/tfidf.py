@@ -2,29 +2,50 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qaspark.functions import text
 from qaspark.operators.ranking import top_per_group
-from qaspark.session import write_through
+from qaspark.session import broadcast_if_small, measured_write, write_through
 
 _DOC = ["language", "doc_id"]
+#: A task cuts up about so many bytes of text, however many there are: the terms it holds to count them stay in proportion.
+TEXT_BYTES = 8 << 20
 
 
 def term_counts(df: DataFrame, column: str = "text", stopwords: list[str] | None = None) -> DataFrame:
     """Occurrences of words and neighbour pairs in every document.
 
-    The texts are shuffled by document before they are cut up: that moves less than their words
-    and pairs would, and the count needs no other shuffle.
+    The texts are shuffled by document before they are cut up: that moves less than their words and pairs would. Terms are
+    counted inside their row; only documents that stand in several rows are added up. Runs two small jobs at once, over the
+    texts' lengths and over the ids.
     """
-    spread = df.select(*_DOC, column).repartition(*_DOC)
-    rows = spread.select(*_DOC, text.kept_words(column, stopwords).alias("_w")).where(F.size("_w") > 0)
-    return (
-        rows.select(*_DOC, F.explode(text.with_pairs("_w")).alias("term"))
-        .groupBy(*_DOC, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    rows = df.select(*_DOC, F.col(column).alias("_text"))
+    several = rows.groupBy(*_DOC).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    several, seen = measured_write(several.select(F.col("language").alias("_l"), F.col("doc_id").alias("_d")), "several", rows=F.count(F.lit(1)))
+    size = rows.agg(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
+    parts = max(math.ceil(size / TEXT_BYTES), rows.sparkSession.sparkContext.defaultParallelism)
+    spread = rows.repartition(parts, *_DOC)
+    if not seen["rows"]:
+        return _counted(spread, stopwords)
+    same = F.col("language").eqNullSafe(F.col("_l")) & F.col("doc_id").eqNullSafe(F.col("_d"))
+    listed = broadcast_if_small(several, seen["rows"])
+    again = _counted(spread.join(listed, same, "left_semi"), stopwords).groupBy(*_DOC, "term").agg(F.sum("tf").alias("tf"))
+    return _counted(spread.join(listed, same, "left_anti"), stopwords).unionByName(again)
+
+
+def _counted(rows: DataFrame, stopwords: list[str] | None) -> DataFrame:
+    """The terms of each row with their number in it: equal ones lie together once sorted, so a term counts up to where the next begins."""
+    kept = rows.select(*_DOC, text.kept_words("_text", stopwords).alias("_w")).where(F.size("_w") > 0)
+    terms = kept.select(*_DOC, F.sort_array(text.with_pairs("_w")).alias("_t"))
+    new = F.transform("_t", lambda t, i: F.when((i == 0) | (t != F.get("_t", i - 1)), i))
+    starts = terms.select(*_DOC, "_t", F.filter(new, lambda i: i.isNotNull()).alias("_s"))
+    run = lambda at, i: F.struct(F.get("_t", at).alias("term"), (F.coalesce(F.get("_s", i + 1), F.size("_t")) - at).cast("long").alias("tf"))
+    found = starts.select(*_DOC, F.explode(F.transform("_s", run)).alias("_e"))
+    return found.select(*_DOC, "_e.term", "_e.tf")
 
 
 def top_words(df: DataFrame, column: str = "text", n: int = 15, stopwords: list[str] | None = None) -> DataFrame:
@@ -73,10 +94,10 @@ def fit(
 ) -> tuple[DataFrame, DataFrame]:
     """``(vocabulary, weights)`` of the documents.
 
-    The counts are stored because both results need them and cutting up texts is the dear part.
+    The texts are cut up once for each: stored counts are many times their size, and a task that reads them back holds too many terms.
     The vocabulary has at most ``max_features`` rows per language and is stored: its known
     size lets Spark broadcast it when small and shuffle when not.
     """
-    counts = write_through(term_counts(df, column, stopwords), "counts")
+    counts = term_counts(df, column, stopwords)
     vocab = write_through(vocabulary(counts, df, min_df, max_features), "vocabulary")
     return vocab, transform(counts, vocab)

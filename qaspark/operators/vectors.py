@@ -42,14 +42,12 @@ def sparse_rows(weights: DataFrame, positions: DataFrame) -> DataFrame:
     )
 
 
-def _project(positions: pd.Series, values: pd.Series, model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows times model; also the flat positions, values and row numbers."""
-    lengths = positions.str.len().to_numpy()
-    flat = np.concatenate(positions.to_numpy()).astype(np.int64)
-    weight = np.concatenate(values.to_numpy())
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    scores = np.add.reduceat(model[flat] * weight[:, None], starts, axis=0)
-    return scores, flat, weight, np.repeat(np.arange(len(lengths)), lengths)
+def _dense(positions: pd.Series, values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """The terms that a few rows have, and the rows as a matrix over these."""
+    row = np.repeat(np.arange(len(positions)), positions.str.len().to_numpy())
+    used, column = np.unique(np.concatenate(positions.to_numpy()).astype(np.int64), return_inverse=True)
+    cells = np.bincount(row * len(used) + column, np.concatenate(values.to_numpy()), len(positions) * len(used))
+    return used, cells.reshape(len(positions), len(used))
 
 
 def _gram_times(rows: DataFrame, models: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -81,11 +79,8 @@ def _gram_pass(rows: DataFrame, models: dict[str, np.ndarray]) -> dict[str, np.n
                 total = sums.setdefault(language, np.zeros(model.shape))
                 for at in range(0, len(part), _ROWS):
                     piece = part.iloc[at : at + _ROWS]
-                    scores, flat, weight, row = _project(piece["positions"], piece["values"], model)
-                    order = np.argsort(flat, kind="stable")
-                    flat = flat[order]
-                    first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
-                    total[flat[first]] += np.add.reduceat(weight[order, None] * scores[row[order]], first, axis=0)
+                    used, dense = _dense(piece["positions"], piece["values"])
+                    total[used] += dense.T @ (dense @ model[used])
         for language, total in sums.items():
             used = np.flatnonzero(total.any(axis=1))
             padded = np.zeros((len(used), width))
@@ -168,7 +163,8 @@ def document_vectors(rows: DataFrame, svd: dict[str, tuple[np.ndarray, np.ndarra
                 model = shared.value[language]
                 for at in range(0, len(part), _ROWS):
                     piece = part.iloc[at : at + _ROWS]
-                    scores, *_ = _project(piece["positions"], piece["values"], model)
+                    used, dense = _dense(piece["positions"], piece["values"])
+                    scores = dense @ model[used]
                     padded = np.zeros((len(piece), k))
                     padded[:, : scores.shape[1]] = scores
                     yield pd.DataFrame({"language": language, "doc_id": piece["doc_id"].to_numpy(), "vector": list(padded)})
