@@ -152,3 +152,11 @@ def test_html_to_text_agrees_with_a_parser(spark, html, expected):
         assert " ".join(" ".join(parser.parts).split()) == expected
     found = spark.createDataFrame([(html,)], "html string").select(text.html_to_text("html").alias("t")).first().t
     assert found == expected
+
+
+def test_words_do_not_cost_an_expression_per_word(spark):
+    df = spark.createDataFrame([("end.' x\x85y'' a.b it's can't 'quoted' caf\u00e9... \U00010400\U00010401 n1 \"so\". a\u3000b`code`c --d",)], "t string")
+    words = df.select(text.words("t").alias("w"))
+    assert words.first().w == ["end", "x", "y", "it", "ca", "caf\u00e9", "\U00010428\U00010429", "so", "a", "b", "c", "d"]
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan

@@ -3,6 +3,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +52,25 @@ def test_unknown_terms_drop_out(spark):
     assert [(r.doc_id, r.term) for r in got] == [(1, "alpha")] and got[0].weight == pytest.approx(1.0)
 
 
+def test_terms_are_counted_in_tasks_of_bounded_text(spark, monkeypatch):
+    monkeypatch.setattr(tfidf, "TEXT_BYTES", 64)
+    rows = [("x", 1, "bb aa bb"), ("x", 1, "aa bb"), (None, None, "cc"), (None, None, "cc cc"), ("x", 2, None), ("y", 1, "aa bb bb bb")] + [("z", i, "dd ee") for i in range(200)]
+    counts = tfidf.term_counts(spark.createDataFrame(rows, "language string, doc_id long, text string"))
+    got = {(r.language, r.doc_id, r.term): r.tf for r in counts.where("language is null or language != 'z'").collect()}
+    assert got == {
+        ("x", 1, "aa"): 2, ("x", 1, "bb"): 3, ("x", 1, "bb aa"): 1, ("x", 1, "aa bb"): 2, (None, None, "cc"): 3, (None, None, "cc cc"): 1,
+        ("y", 1, "aa"): 1, ("y", 1, "bb"): 3, ("y", 1, "aa bb"): 1, ("y", 1, "bb bb"): 2,
+    }
+    alone = tfidf.term_counts(spark.createDataFrame(rows[-200:], "language string, doc_id long, text string"))
+    assert alone.rdd.getNumPartitions() == math.ceil(200 * 5 / 64)
+    assert alone.count() == 600
+
+
+def test_rows_of_terms_as_a_matrix():
+    used, dense = vectors._dense(pd.Series([np.array([7, 2]), np.array([2, 2])]), pd.Series([np.array([1.0, 2.0]), np.array([3.0, 4.0])]))
+    assert used.tolist() == [2, 7] and dense.tolist() == [[2.0, 1.0], [7.0, 0.0]]
+
+
 def test_svd_and_vectors_against_numpy(spark):
     df, _ = docs(spark)
     vocab, weights = tfidf.fit(df)
