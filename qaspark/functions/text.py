@@ -158,8 +158,10 @@ def words(c: Column | str) -> Column:
     c = F.lower(F.regexp_replace(_col(c), "`[^`]+`", " "))
     c = F.regexp_replace(c, r"([,:;@#$%&?!()\[\]{}<>\"]|--)", " $1 ")
     c = F.regexp_replace(c, r"(n't|'s|'m|'d|'ll|'re|'ve)([^\p{L}\p{N}_]|$)", " $1$2")
-    # One pass over the text, not one per word: letters between white space, less full stops and quotes at their end.
-    return F.regexp_extract_all(c, F.lit(rf"(?<![^{WHITESPACE}])(\p{{L}}++)[.'\"]*+(?![^{WHITESPACE}])"), 1)
+    # One pass over the text, not one per word: letters up to white space, less full stops and quotes at their end. Other words are
+    # taken whole and give an empty string.
+    found = F.regexp_extract_all(c, F.lit(rf"([a-z\p{{L}}]++)[.'\"]*+(?![^{WHITESPACE}])|[^{WHITESPACE}]++"), 1)
+    return F.array_remove(found, "")
 
 
 def tokenize(c: Column | str, stopwords: list[str] | None = None) -> Column:
