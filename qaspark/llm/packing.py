@@ -63,9 +63,9 @@ class Shard:
         return best[np.argsort(-scores[best], kind="stable")]
 
     def _shrink(self, unused: np.ndarray) -> None:
-        """Once half of the indexed documents are used up, their postings are taken out."""
-        left = int(unused.sum())
-        if 2 * left > self.indexed:
+        """Once a quarter of the indexed documents are used up, their postings are taken out."""
+        left = int(np.count_nonzero(unused))
+        if 4 * left > 3 * self.indexed:
             return
         self.indexed = left
         keep = unused[self.posting_doc]
@@ -142,9 +142,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_
                 blobs = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, edges.buffers()[1], pa.py_buffer(short.tobytes())])
                 # How many documents hold each id goes along with the first of them, for all of these.
                 held = np.zeros(int(short.max()) + 1, np.int64)
+                latest, places = np.zeros(len(held), np.int32), np.arange(int(n.max()), dtype=np.int32)
                 for x, y in zip((ends - n).tolist(), ends.tolist()):
-                    one = np.sort(short[x:y])
-                    held[one[np.flatnonzero(np.concatenate(([True], one[1:] != one[:-1])))]] += 1
+                    # Each id counts where it stands last.
+                    one, place = short[x:y], places[: y - x]
+                    latest[one] = place
+                    held[one[latest[one] == place]] += 1
                 at = np.flatnonzero(held)
                 holds = pa.array([np.concatenate((at, held[at])).astype("<i8").tobytes(), *[None] * (len(n) - 1)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(near), blobs, holds], names=["id", "n", "near", "ids", "holds"])

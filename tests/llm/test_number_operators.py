@@ -163,6 +163,36 @@ def test_encoder_gives_the_ids_of_the_library(path, monkeypatch):
     assert known.encode([])[0].tolist() == []
 
 
+@pytest.mark.parametrize("path", [GPT, CLIP])
+def test_encoder_cuts_pieces_into_runs_as_the_library_does(path, monkeypatch):
+    rng = random.Random(2)
+    alphabet = [*" " * 12, *"aBzéÉßñœİŸ×÷ſ'_-.,!|<>\"", "\n", "\n\n", "\n\n\n", "\r\n", "12", "7", "'s", "l'", "<|", "|>", "<|endoftext|>", "\0", "\x01", "é", "…", "Δ", "я", "longwordoverany", "!!!!!!!!!"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(30))) for _ in range(6000)]
+    texts += ["", "\n", "\n\n", "a\n", "a\n\n", "\n\na", "a\n\n<|endoftext|>", "<|endoftext|>\n\na", " a", "a ", None, "a" * 15, "é" * 8, "a" * 17, " " + "é" * 8]
+    plain, known = Tokenizer.from_file(path), Encoder(path)
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        ids, counts = known.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+        # The second time the memory is full, and other runs have the same key.
+        monkeypatch.setattr("qaspark.llm.tokens.MOST_PIECES", 10)
+        monkeypatch.setattr("qaspark.llm.tokens.mix", lambda x: x * np.uint64(0))
+    assert known.encode(["", None])[1].tolist() == [0, 0]
+
+
+@pytest.mark.parametrize("path", [GPT, CLIP])
+def test_encoder_takes_plain_words_and_marks_past_the_slow_cutting(path):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijßéüñ") for _ in range(rng.randrange(2, 7))) for _ in range(3000)]
+    marks = ["", ",", ".", "...", "!?", "\n", ".\n", "\n\n", "12"]
+    text = " ".join(w.title() + rng.choice(marks) + rng.choice("xyz") for w in words)
+    known = Encoder(path)
+    want = known.tokenizer.encode(text, add_special_tokens=False).ids
+    known.tokenizer = None
+    assert known.encode([text])[0].tolist() == want
+    assert len(known._run_keys) < len({w.title() for w in words}) * 1.5  # a word is known once, not with every mark
+
+
 class Source(io.BytesIO):
     reads = 0
 
