@@ -282,14 +282,15 @@ class Encoder:
         codes[at] = np.where(same, found, -1)
         rest = np.flatnonzero(codes < 0)
         if len(rest):
-            blank = (buffer[starts[rest]] == 0x20).astype(np.int64) if self.mode == "kept" else np.ones(len(rest), np.int64)
-            begin = starts[rest] + (blank if self.mode == "kept" else 0)
-            data = buffer.tobytes()
-            words = np.array([data[a:b].decode() for a, b in zip(begin.tolist(), ends[rest].tolist())], object)
-            for place in (0, 1):
-                mine = blank == place
-                if mine.any():
-                    codes[rest[mine]] = self._codes(words[mine].tolist(), place)
+            blank = buffer[starts[rest]] == 0x20
+            for place, mine in ((0, rest[~blank]), (1, rest[blank])) if self.mode == "kept" else ((1, rest),):
+                if len(mine):
+                    begin = starts[mine] + (buffer[starts[mine]] == 0x20)
+                    # Runs and pieces hold no blank: their bytes with blanks between them, taken apart again.
+                    at, stop = _flat(begin, ends[mine] - begin + 1)
+                    some = buffer[at]
+                    some[stop - 1] = 0x20
+                    codes[mine] = self._codes(some[:-1].tobytes().decode().split(" "), place)
         return codes
 
     def _learn_runs(self, plain: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -298,8 +299,7 @@ class Encoder:
         numbers = []
         for a in range(0, len(starts), _RUNS_AT_ONCE):
             s, n = starts[a : a + _RUNS_AT_ONCE], size[a : a + _RUNS_AT_ONCE]
-            stop = np.cumsum(n + 1)
-            at = np.repeat(s - (stop - n - 1), n + 1) + np.arange(stop[-1])
+            at, stop = _flat(s, n + 1)
             points = symbols[plain[at]]
             points[stop - 2] = last_symbols[plain[s + n - 1]]
             points[stop - 1] = mark
@@ -363,6 +363,12 @@ def _kinds(mode: str, runs: bool) -> np.ndarray:
     return kind
 
 
+def _flat(starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all bytes of some runs in a row, and where each run ends in that row."""
+    stop = np.cumsum(size)
+    return np.repeat(starts - stop + size, size) + np.arange(stop[-1]), stop
+
+
 def _keys(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of each run as two numbers, filled up with zeros (no run holds one)."""
     fill = np.concatenate((data, np.zeros(-len(data) % 8 + 3 * 8, np.uint8))).view("<u8")

@@ -254,6 +254,16 @@ def test_token_files_round_trip(spark):
     assert token_frames.read_tokens(empty).count() == 0
 
 
+def test_token_files_hold_words_with_every_mark_and_line_end(spark, tmp_path):
+    rng = random.Random(8)
+    words = [prose(rng, 1).title() for _ in range(40)] + ["Straße", "ÉTÉ", "don't", "naïve", "İç", "日本", "x" * 20]
+    texts = ["".join(rng.choice(words) + rng.choice(["", ".", ",", "!?", "3", "\n", ".\n\n"]) + " " for _ in range(rng.randrange(60))) for _ in range(80)]
+    files = token_frames.write_tokens(table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), CLIP, end_id=2, folder=str(tmp_path))
+    plain = Tokenizer.from_file(CLIP)
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in token_frames.read_tokens(files).collect()}
+    assert got == {i: plain.encode(t, add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+
+
 # --- packing
 
 
