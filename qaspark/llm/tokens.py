@@ -16,7 +16,6 @@ import os
 from itertools import chain, repeat
 
 import numpy as np
-import pandas as pd
 
 from qaspark.llm.words import mix
 
@@ -259,20 +258,22 @@ class Encoder:
         at = np.flatnonzero(easy)
         low, high = _keys(plain, starts[at], size[at])
         key = low ^ mix(high)
-        local, distinct = pd.factorize(key)
-        first = np.empty(len(distinct), np.int64)
-        first[local[::-1]] = np.arange(len(local) - 1, -1, -1)
-        order = np.argsort(distinct)
-        keys = distinct[order]
+        order = np.argsort(key)
+        is_first = np.ones(len(key), bool)
+        is_first[1:] = key[order[1:]] != key[order[:-1]]
+        first = order[is_first]
+        keys = key[first]
+        local = np.empty(len(key), np.int64)
+        local[order] = np.cumsum(is_first) - 1
         into = np.searchsorted(self._run_keys, keys)
         is_new = np.ones(len(keys), bool)
         inside = into < len(self._run_keys)
         is_new[inside] = self._run_keys[into[inside]] != keys[inside]
         numbers = np.empty(len(keys), np.int64)
-        numbers[order[~is_new]] = self._run_numbers[into[~is_new]]
-        new = first[order[is_new]]
+        numbers[~is_new] = self._run_numbers[into[~is_new]]
+        new = first[is_new]
         if len(new):
-            numbers[order[is_new]] = number = self._learn_runs(plain, starts[at[new]], size[at[new]])
+            numbers[is_new] = number = self._learn_runs(plain, starts[at[new]], size[at[new]])
             self._low[number], self._high[number] = low[new], high[new]
             self._run_keys = np.insert(self._run_keys, into[is_new], keys[is_new])
             self._run_numbers = np.insert(self._run_numbers, into[is_new], number)
