@@ -7,7 +7,8 @@ is the exact exchange of the most frequent words (the others go with their endin
 corpus: batches of documents count the classes beside their words, buckets of the vocabulary add these counts up and
 let each word pick its best class against the table of class transitions. Only words never seen in training take a
 class by their ending. Word counts are those of all training texts: every batch asks the corpus for the
-counts and classes of its own words.
+counts and classes of its own words. The 64-bit keys travel once: a bucket numbers its words, and the rounds know the
+words of a batch by these numbers.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ LEAST_GAIN = 1e-3
 LEAST_SHARE = 0.25
 _LOW = np.uint64(ENDINGS - 1)
 _TALLY = "bucket int, batch long, classes binary, counts binary"
+#: A batch's words as steps between their places among the bucket's words, and their counts; the row of batch -1 has the keys of the bucket's words.
+_NUMBERED = "bucket int, batch long, places binary, counts binary, tokens long, types long, key array<long>, n array<long>"
 _WORDS_AT_ONCE = 1 << 14
 
 
@@ -170,11 +173,39 @@ def _classes(blob) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<i2").astype(np.int64)
 
 
-def cluster(asked: DataFrame, lines: DataFrame, first: Callable[[np.ndarray], np.ndarray], classes: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+def number(asked: DataFrame, top_words: int) -> DataFrame:
+    """The questions with places in place of keys and with the answered counts, and for each bucket a row of its keys, sums and most frequent words."""
+
+    def places(table: pa.Table) -> pa.Table:
+        keys = np.concatenate([np.frombuffer(k.as_buffer(), np.uint64) for k in table.column("keys")])
+        order, begins, run, numbers = B.merged(table)
+        totals, names = np.add.reduceat(numbers[order], begins), keys[order][begins]
+        best = np.lexsort((names, -totals))[:top_words]
+        best = best[totals[best] > 0]
+        cuts, rows = np.cumsum([len(k.as_buffer()) // 8 for k in table.column("keys")])[:-1], table.num_rows
+        none = [None] * rows
+        return pa.table(
+            {
+                "bucket": pa.array([table.column("bucket")[0].as_py()] * (rows + 1), pa.int32()),
+                "batch": pa.array([*table.column("batch").to_pylist(), -1], pa.int64()),
+                "places": pa.array([*(B.squeeze(np.diff(x, prepend=0)) for x in np.split(run, cuts)), names.tobytes()], pa.binary()),
+                "counts": pa.array([*(B.squeeze(x) for x in np.split(totals[run], cuts)), None], pa.binary()),
+                "tokens": pa.array([*none, int(totals.sum())], pa.int64()),
+                "types": pa.array([*none, int((totals > 0).sum())], pa.int64()),
+                "key": pa.array([*none, names[best].view(np.int64).tolist()], pa.list_(pa.int64())),
+                "n": pa.array([*none, totals[best].tolist()], pa.list_(pa.int64())),
+            }
+        )
+
+    return write_through(asked.groupBy("bucket").applyInArrow(places, _NUMBERED), "word-numbers")
+
+
+def cluster(asked: DataFrame, numbered: DataFrame, lines: DataFrame, first: Callable[[np.ndarray], np.ndarray], classes: int, spent: str) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """Exchange rounds over all training words: ``batch, bucket, answer`` (classes in key order), class pairs, types by ending and class.
 
     A round is one job. All words move at once, so a round can lose likelihood: then it is taken back and a smaller
     share of the words, drawn anew, moves. Each bucket holds its own words only; a table of classes x classes is shared.
+    The keys of ``asked`` are read once, for the first classes; then their folder ``spent`` is deleted.
     """
     spark = asked.sparkSession
     width = 2 * classes + 1
@@ -204,15 +235,11 @@ def cluster(asked: DataFrame, lines: DataFrame, first: Callable[[np.ndarray], np
     def pick(shared, share: float, turn: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         def choose(left: pa.Table, right: pa.Table) -> pa.Table:
             joint = shared.value
-            numbers = left.column("batch").to_pylist()
-            keys = [np.frombuffer(k.as_buffer(), np.uint64) for k in left.column("keys")]
-            lengths = [len(k) for k in keys]
-            keys = np.concatenate(keys)
-            order = np.argsort(keys, kind="stable")
-            begins = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
-            run = np.empty(len(keys), np.int64)
-            run[order] = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(keys))))
-            names, of = keys[order][begins], np.empty(len(begins), np.int64)
+            stored = dict(zip(left.column("batch").to_pylist(), left.column("places")))
+            names = np.frombuffer(stored.pop(-1).as_buffer(), np.uint64)
+            numbers, places = list(stored), [np.cumsum(B.spread(x.as_buffer())) for x in stored.values()]
+            lengths = [len(x) for x in places]
+            run, of = np.concatenate(places), np.empty(len(names), np.int64)
             tallies = dict(zip(right.column("batch").to_pylist(), zip(right.column("classes"), right.column("counts"))))
             codes, counts, place = [], [], 0
             for number, length in zip(numbers, lengths):
@@ -269,11 +296,13 @@ def cluster(asked: DataFrame, lines: DataFrame, first: Callable[[np.ndarray], np
         return table, path, total.get(-1, np.zeros(classes * classes)).reshape(classes, classes).astype(np.float64), types
 
     table, path, joint, _ = tally(asked.mapInArrow(begin, B.ANSWER))
+    delete_table(spark, spent)
+    places = numbered.select("bucket", "batch", "places")
     value, share, turn, known = likelihood(joint), 1.0, 0, np.zeros((ENDINGS, classes))
     while value and share >= LEAST_SHARE:
         turn += 1
         shared = spark.sparkContext.broadcast(joint)
-        moved = asked.groupBy("bucket").cogroup(table.where(F.col("bucket") >= 0).groupBy("bucket")).applyInArrow(pick(shared, share, turn), B.ANSWER)
+        moved = places.groupBy("bucket").cogroup(table.where(F.col("bucket") >= 0).groupBy("bucket")).applyInArrow(pick(shared, share, turn), B.ANSWER)
         after, written, pairs, types = tally(moved)
         gain = likelihood(pairs) - value
         known = types[int(gain > 0)]
@@ -327,18 +356,14 @@ def score_texts(docs: DataFrame, held_out: Column, top_words: int = TOP_WORDS, c
                 told = {"bucket": -1, "batch": number, "keys": B.squeeze(line[np.repeat(learn, words.n_words + 1)]), "numbers": None}
                 yield B.question_batch([*B.question(number, names, n, bits), told])
 
-    written = write_through(packed.mapInArrow(ask, B.QUESTION), "word-counts")
-    asked, lines = written.where(F.col("bucket") >= 0), written.where(F.col("bucket") < 0).select("batch", F.col("keys").alias("line"))
+    # Keys and lines lie apart, as each goes once it is no longer read.
+    told_apart = packed.mapInArrow(ask, B.QUESTION).withColumn("kind", F.when(F.col("bucket") < 0, "line").otherwise("ask"))
+    written, _, path = _write(told_apart, "word-counts", {}, by="kind")
+    asked = written.where(F.col("kind") == "ask").select("bucket", "batch", "keys", "numbers")
+    lines = written.where(F.col("kind") == "line").select("batch", F.col("keys").alias("line"))
 
-    def summary(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(k.as_buffer(), np.uint64) for k in table.column("keys")])
-        order, begins, _, numbers = B.merged(table)
-        totals, names = np.add.reduceat(numbers[order], begins), keys[order][begins]
-        best = np.lexsort((names, -totals))[:top_words]
-        best = best[totals[best] > 0]
-        return pa.table({"tokens": [int(totals.sum())], "types": [int((totals > 0).sum())], "key": pa.array([names[best].view(np.int64).tolist()], pa.list_(pa.int64())), "n": pa.array([totals[best].tolist()], pa.list_(pa.int64()))})
-
-    parts = write_through(asked.groupBy("bucket").applyInArrow(summary, "tokens long, types long, key array<long>, n array<long>"), "word-summary")
+    numbered = number(asked, top_words)
+    parts, replied = numbered.where(F.col("batch") < 0), numbered.where(F.col("batch") >= 0)
     best = parts.select(F.explode(F.arrays_zip("key", "n")).alias("x")).select("x.*").orderBy(F.desc("n"), "key").limit(top_words).collect()
     top = np.sort(np.array([r["key"] for r in best], np.int64).view(np.uint64))
     n_words, n_types = parts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).collect()[0]
@@ -369,7 +394,8 @@ def score_texts(docs: DataFrame, held_out: Column, top_words: int = TOP_WORDS, c
     of = exchange(counts, classes)
     n_train = int(counts.sum(0)[-1])
     n_tokens = n_words + n_train
-    found, joint, types = cluster(asked, lines, lambda keys: of[items_of(keys, top)], classes)
+    found, joint, types = cluster(asked, numbered, lines, lambda keys: of[items_of(keys, top)], classes, f"{path}/kind=ask")
+    delete_table(docs.sparkSession, path)
     with_class = joint.sum(0)
     # A word never seen goes where most training words of its ending are; without any, where most words are.
     unseen = np.where(types.any(1), types.argmax(1), types.sum(0).argmax())
@@ -386,10 +412,7 @@ def score_texts(docs: DataFrame, held_out: Column, top_words: int = TOP_WORDS, c
         }
     )
 
-    def sums(order, begins, run, numbers) -> np.ndarray:
-        return np.add.reduceat(numbers[order], begins)[run]
-
-    counted = B.answers(asked, sums, B.squeeze).withColumn("kind", F.lit("count"))
+    counted = replied.select("batch", "bucket", F.col("counts").alias("answer"), F.lit("count").alias("kind"))
     replies = counted.unionByName(found.withColumn("kind", F.lit("class")))
 
     def score(number, tags, texts, kinds) -> pa.Table:

@@ -59,12 +59,12 @@ def measured_write(df: DataFrame, name: str = "table", **metrics: Column) -> tup
     return _write(df, name, metrics)[:2]
 
 
-def _write(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict, str]:
+def _write(df: DataFrame, name: str, metrics: dict[str, Column], by: str | None = None) -> tuple[DataFrame, dict, str]:
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/qaspark/{name}-{uuid.uuid4().hex}"
     seen = Observation()
     watched = df.observe(seen, *[c.alias(n) for n, c in metrics.items()]) if metrics else df
-    watched.write.parquet(path)
+    (watched.write.partitionBy(by) if by else watched.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path), (seen.get if metrics else {}), path
 
 

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from qaspark import session
 from qaspark.llm import class_model, collision_search, impact_search, mixing, packing, token_frames
 from qaspark.llm.tokens import Encoder
 from tests.llm.test_text_operators import lowered, prose, table, words
@@ -422,6 +423,18 @@ def test_rare_words_of_like_ending_get_classes_of_their_own(spark):
     assert sum(r["score"] - r["base_score"] for r in found) > 0.25 * sum(r["n_tokens"] for r in found)
 
 
+def test_class_model_keeps_no_keys_or_lines_once_they_are_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "checkpoint_folder", lambda _: str(tmp_path))
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(300)), "en", "s") for i in range(300)]
+    found = class_model.score_texts(table(spark, rows).repartition(3), F.lit(False), top_words=8, classes=8)
+    left = {p.name.rsplit("-", 1)[0]: sum(f.stat().st_size for f in p.rglob("*.parquet")) for p in (tmp_path / "qaspark").iterdir()}
+    assert set(left) == {"batches", "word-numbers", "class-tally"}
+    # Three batches ask for nearly all of 5,000 words: 8 bytes each once, not for every batch.
+    assert left["word-numbers"] < 2 * 8 * 5000
+    assert found.count() == len(rows) and all(r["n_known"] == r["n_tokens"] for r in found.collect())
+
+
 def test_exchange_finds_planted_classes_and_never_loses_likelihood():
     rng = np.random.default_rng(9)
     group = np.arange(40) % 4
