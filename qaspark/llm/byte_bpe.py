@@ -3,7 +3,8 @@
 An encoding is the one that merging by rank gives if and only if each of its neighbouring pairs is. So the last
 token of a prefix is the only token that ends there and may follow the last token of the prefix it leaves. One pass over the
 bytes stores that token for every prefix. A piece that grows keeps its table and continues it; after an edit the table
-is computed again only until it agrees with the old one for as many bytes as the longest token has.
+is computed again only until it agrees with the old one for as many bytes as the longest token has. Of many pieces in
+sorted order each continues the table of the one before from where they differ.
 """
 
 from __future__ import annotations
@@ -26,9 +27,13 @@ MOST_PIECES = 1_000_000
 MOST_PAIRS = 2_000_000
 _LONGEST_KNOWN = 64
 _PIECES_AT_ONCE = 1 << 16
+#: Characters of texts whose new pieces are learned together, and the most bytes of a piece whose table holds the ids of every prefix.
+_BLOCK_CHARS = 1 << 20
+_SHORT = 32
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 _vocabularies: dict[str, Vocabulary] = {}
+_encoders: dict[tuple[str, str], ByteEncoder] = {}
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,6 +49,13 @@ def vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
+def byte_encoder(path: str, pattern: str) -> ByteEncoder:
+    """The worker's encoder, which remembers pieces from one task to the next."""
+    if (path, pattern) not in _encoders:
+        _encoders[path, pattern] = ByteEncoder(vocabulary(path), pattern)
+    return _encoders[path, pattern]
+
+
 def merge_by_rank(ranks: dict[bytes, int], piece: bytes, below: int | None = None) -> list[bytes]:
     """The plain definition: join the neighbours of least rank (under ``below``), the leftmost first, until none can be joined."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -69,6 +81,10 @@ class Vocabulary:
         self.longest = max(map(len, ranks), default=1)
         self._halves: dict[int, tuple[int, int]] = {}
         self._follows: dict[int, bool] = {}
+        self._coded = {rank: rank.to_bytes(4, "little") for rank in self.bytes_of}
+        # The same tokens read backwards: the node after each node and byte, and the token that ends at each node.
+        self._back: dict[int, int] = {}
+        self._token_at = [-1]
         self._automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             if len(token) > 1:
@@ -78,8 +94,18 @@ class Vocabulary:
                         raise ValueError(f"the token of rank {rank} is not merged from tokens of smaller rank")
                     continue
                 self._halves[rank] = (ranks[halves[0]], ranks[halves[1]])
+            self._add_backwards(token, rank)
             self._automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self._automaton.make_automaton()
+        self._all_bytes = all(bytes([i]) in ranks for i in range(256))
+
+    def _add_backwards(self, token: bytes, rank: int) -> None:
+        node = 0
+        for byte in reversed(token):
+            node = self._back.setdefault(node << 8 | byte, len(self._token_at))
+            if node == len(self._token_at):
+                self._token_at.append(-1)
+        self._token_at[node] = rank
 
     def follows(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both tokens gives just these two.
@@ -149,6 +175,46 @@ class Vocabulary:
         self.extend(piece, last)
         return self.read_back(piece, last)
 
+    def encode_pieces(self, pieces: list[bytes]) -> Iterator[bytes]:
+        """The ids of each piece as little-endian unsigned 32-bit numbers; sorted pieces share the tables of their common beginnings."""
+        ranks, coded, back, token_at, follows, pairs = self.ranks, self._coded, self._back, self._token_at, self.follows, self._follows
+        # Beside the last token of every prefix its ids, as pieces are short.
+        before, last, ids = b"", [], [b""]
+        for piece in pieces:
+            whole = ranks.get(piece)
+            if whole is not None:
+                yield coded[whole]
+                continue
+            if len(piece) > _SHORT or not self._all_bytes:
+                yield np.array(self.encode_piece(piece), "<u4").tobytes()
+                continue
+            same = 0
+            for a, b in zip(before, piece):
+                if a != b:
+                    break
+                same += 1
+            before = piece
+            del last[same:], ids[same + 1 :]
+            for end in range(same, len(piece)):
+                node, ending = 0, []
+                for start in range(end, -1, -1):
+                    node = back.get(node << 8 | piece[start])
+                    if node is None:
+                        break
+                    token = token_at[node]
+                    if token >= 0:
+                        ending.append((start, token))
+                for start, token in reversed(ending):
+                    if not start:
+                        break
+                    left = last[start - 1]
+                    fits = pairs.get(left << 32 | token)
+                    if fits or (fits is None and follows(left, token)):
+                        break
+                last.append(token)
+                ids.append(ids[start] + coded[token])
+            yield ids[-1]
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -201,10 +267,23 @@ class ByteEncoder:
 
     def _learn(self, pieces: set[str]) -> None:
         if len(self._known) + len(pieces) > MOST_PIECES:
-            self._known = dict.fromkeys(self._known.keys() & pieces)
-            self._known = {p: self._ids(p) for p in self._known}
-            pieces = pieces - self._known.keys()
-        self._known.update((p, self._ids(p)) for p in pieces)
+            self._known = {}
+        names = sorted(pieces)
+        self._known.update(zip(names, self.vocabulary.encode_pieces([p.encode("utf-8") for p in names])))
+
+    def learn(self, texts: list[str]) -> list[list[str]]:
+        """Learn the new pieces of several texts together; returns the pieces of each."""
+        cut = [self.pattern.findall(t) for t in texts]
+        new = self._new(cut)
+        if len(self._known) + len(new) > MOST_PIECES:
+            self._known = {}
+            new = self._new(cut)
+        self._learn(new)
+        return cut
+
+    def _new(self, cut: list[list[str]]) -> set[str]:
+        known = self._known
+        return {p for pieces in cut for p in pieces if p not in known and len(p) <= _LONGEST_KNOWN}
 
     def stream(self, text: str) -> Iterator[bytes]:
         """The ids as little-endian unsigned 32-bit numbers, a bounded number of pieces at a time."""
@@ -215,11 +294,17 @@ class ByteEncoder:
             while some := list(islice(found, _PIECES_AT_ONCE)):
                 yield self._encode(some)
 
+    def streams(self, texts: list[str]) -> Iterator[Iterator[bytes]]:
+        """``stream`` of each text; the new pieces of all but long texts are learned together."""
+        cut = iter(self.learn([t for t in texts if len(t) <= 4 * _PIECES_AT_ONCE]))
+        for text in texts:
+            yield self.stream(text) if len(text) > 4 * _PIECES_AT_ONCE else iter((self._encode(next(cut)),))
+
     def _encode(self, pieces: list[str]) -> bytes:
         try:
             return b"".join(map(self._known.__getitem__, pieces))
         except KeyError:
-            self._learn({p for p in pieces if p not in self._known and len(p) <= _LONGEST_KNOWN})
+            self._learn(self._new([pieces]))
             return b"".join(self._known[p] if p in self._known else self._ids(p) for p in pieces)
 
     def encode(self, text: str) -> list[int]:
@@ -262,28 +347,42 @@ class OpenText:
         return list(chain.from_iterable(self.parts))
 
 
+def _blocks(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in runs of about ``_BLOCK_CHARS``; null is empty."""
+    some, chars = [], 0
+    for text in column:
+        some.append(text.as_py() or "")
+        chars += len(some[-1])
+        if chars >= _BLOCK_CHARS:
+            yield some
+            some, chars = [], 0
+    if some:
+        yield some
+
+
 def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: every whole text encoded, and the hash of what its ids decode to.
 
     One row per input row, repeated and null ids included; a null text is empty; other columns are left out. ``path`` is a rank
     file that every executor can read. Rows stay where they are; a worker holds one batch, its vocabulary and at most
-    ``MOST_PIECES`` known pieces.
+    ``MOST_PIECES`` known pieces, which it keeps for its next task.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteEncoder(vocabulary(path), pattern)
+        encoder = byte_encoder(path, pattern)
         decode = encoder.vocabulary.decode
         for batch in batches:
             counts, hashes, decoded = [], [], []
-            for text in batch.column(1):
-                n, ids_hash, bytes_hash = 0, hashlib.sha256(), hashlib.sha256()
-                for ids in encoder.stream(text.as_py() or ""):
-                    n += len(ids) // 4
-                    ids_hash.update(ids)
-                    bytes_hash.update(decode(np.frombuffer(ids, "<u4").tolist()))
-                counts.append(n)
-                hashes.append(ids_hash.hexdigest())
-                decoded.append(bytes_hash.hexdigest())
+            for some in _blocks(batch.column(1)):
+                for stream in encoder.streams(some):
+                    n, ids_hash, bytes_hash = 0, hashlib.sha256(), hashlib.sha256()
+                    for ids in stream:
+                        n += len(ids) // 4
+                        ids_hash.update(ids)
+                        bytes_hash.update(decode(np.frombuffer(ids, "<u4").tolist()))
+                    counts.append(n)
+                    hashes.append(ids_hash.hexdigest())
+                    decoded.append(bytes_hash.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(decoded)], schema=_SCHEMA)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, RESULT)

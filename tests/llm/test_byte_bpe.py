@@ -87,6 +87,33 @@ def test_appends_and_edits_equal_encoding_anew_and_touch_only_their_surroundings
     assert text.ids() == plain.encode_ordinary(text.text) and text.encoded - begin < 12
 
 
+def test_new_pieces_share_tables_and_are_learned_once_in_a_worker(plain, monkeypatch):
+    from qaspark.llm import byte_bpe
+
+    words, rng = Vocabulary(vocabulary(PATH).ranks), random.Random(5)
+    pieces = sorted({"".join(rng.choice("theandigoué日") for _ in range(rng.randint(1, 14))).encode() for _ in range(4000)} | {b"x" * n for n in range(1, 60)})
+    tried = []
+    monkeypatch.setattr(words, "_stay_apart", lambda left, right, plainly=words._stay_apart: tried.append((left, right)) or plainly(left, right))
+    found = list(words.encode_pieces(pieces))
+    assert found == [np.array(words.encode_piece(p), "<u4").tobytes() for p in pieces] and len(tried) == len(set(tried))
+    assert found == [np.array([words.ranks[t] for t in ([p] if p in words.ranks else merge_by_rank(words.ranks, p))], "<u4").tobytes() for p in pieces]
+    monkeypatch.setattr(byte_bpe, "_encoders", {})
+    texts = [noise(rng, 60) for _ in range(300)] + ["", "x" * 300, "long " * 60_000]
+    encoder = byte_bpe.byte_encoder(PATH, public_tokenizers.PATTERN)
+    for _ in range(2):
+        ids = [np.frombuffer(b"".join(s), "<u4").tolist() for s in encoder.streams(texts)]
+        assert ids == [plain.encode_ordinary(t) for t in texts]
+        # A later task learns nothing anew.
+        encoder = byte_bpe.byte_encoder(PATH, public_tokenizers.PATTERN)
+        monkeypatch.setattr(encoder, "_learn", lambda pieces: pieces and pytest.fail(f"learned again: {pieces}"))
+    monkeypatch.undo()
+    monkeypatch.setattr(byte_bpe, "MOST_PIECES", 50)
+    encoder = ByteEncoder(words, public_tokenizers.PATTERN)
+    for _ in range(3):
+        ids = [np.frombuffer(b"".join(s), "<u4").tolist() for s in encoder.streams(texts)]
+        assert ids == [plain.encode_ordinary(t) for t in texts]
+
+
 def test_memory_of_pieces_is_bounded(monkeypatch, plain):
     from qaspark.llm import byte_bpe
 
