@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaspark.llm.components import sized
+from qaspark.llm.memory import slices
 from qaspark.operators.ranking import top_per_group
 from qaspark.session import measured_write
 
@@ -152,7 +153,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches, 1):
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for bucket, owner in feature_blocks(texts, bits):
                 present = np.flatnonzero(np.bincount(owner, minlength=len(texts))).tolist()
@@ -207,7 +208,7 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text", fit: bool = F
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, weights, bits = shared.value["languages"], shared.value["weights"], shared.value["bits"]
-        for batch in batches:
+        for batch in slices(batches, at):
             texts = batch.column(at).to_pylist()
             total = np.zeros((len(texts), len(languages)), np.int64)
             seen = np.zeros(len(texts), np.int64)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaspark.session import write_through
+from qaspark.session import few_files, measured_write, write_through
 
 MIN_SITES = 10
 LG_K = 11
@@ -42,14 +42,14 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, n
     placed = lines(docs, id_col, text_col, site_col).where(F.col("site").isNotNull()).select("line", F.col("site").cast("string").alias("site"))
     spread = placed.groupBy("line").agg(F.hll_sketch_agg("site", lg_k).alias("sketch"))
     estimated = spread.select("line", F.hll_sketch_estimate("sketch").alias("estimate")).where(F.col("estimate") >= min_sites * (1 - near))
-    estimated = write_through(estimated, "line-spread")
+    estimated, seen = measured_write(estimated, "line-spread", rows=F.count(F.lit(1)))
     close = estimated.where(F.col("estimate") <= min_sites * (1 + near)).select("line")
     # A close line stands on few sites by definition; its rows are cut to distinct (line, site) before the join.
     salted = close.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     again = placed.withColumn("_salt", F.pmod(F.xxhash64("site"), F.lit(_SALTS)).cast("int")).distinct()
     exact = again.join(salted, ["line", "_salt"], "left_semi").groupBy("line").agg(F.count(F.lit(1)).alias("n_sites"))
     sure = estimated.where(F.col("estimate") > min_sites * (1 + near)).select("line", F.lit(None).cast("long").alias("n_sites"))
-    return exact.where(F.col("n_sites") >= min_sites).unionByName(sure)
+    return few_files(exact.where(F.col("n_sites") >= min_sites).unionByName(sure), seen["rows"])
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, near: float = NEAR, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qaspark.llm.components import components, sized
-from qaspark.llm.words import Words, blocks, grams_of, mix
-from qaspark.session import measured_write, write_through
+from qaspark.llm.memory import slices
+from qaspark.llm.words import Words, grams_of, mix
+from qaspark.session import few_files, measured_write, write_through
 
 WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -29,7 +30,9 @@ SIMILARITY_PERCENT = 80
 BANDS, ROWS = 64, 7
 #: Documents of a bucket that are compared in one task step.
 BLOCK_DOCS = 1024
-_BLOCK = 1 << 21
+#: Rows of 64 band keys in a file.
+_CLASSES_PER_FILE = 10_000
+_PAIRS_PER_FILE = 100_000
 _order: dict[int, np.ndarray] = {}
 
 
@@ -79,33 +82,29 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary()).to_pylist()
-            for a, b in blocks([len(t or b"") for t in texts], _BLOCK):
-                sets = shingle_sets(texts[a:b], n)
-                sums = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                more = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                keys = [band_keys(signature(s, bands * rows), bands) for s in sets if len(s)]
-                lengths = np.array([bands * bool(len(s)) for s in sets])
-                flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))
-                bands_of = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums), pa.array(more), bands_of],
-                    names=["id", "n", "sum", "sum2", "bands"],
-                )
+        for batch in slices(batches, 1):
+            sets = shingle_sets(batch.column(1).cast(pa.large_binary()).to_pylist(), n)
+            sums = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
+            more = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
+            keys = [band_keys(signature(s, bands * rows), bands) for s in sets if len(s)]
+            lengths = np.array([bands * bool(len(s)) for s in sets])
+            flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))
+            bands_of = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums), pa.array(more), bands_of],
+                names=["id", "n", "sum", "sum2", "bands"],
+            )
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(sketch, "id long, n long, sum long, sum2 long, bands array<long>")
 
 
 def _sets_of(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary()).to_pylist()
-            for a, b in blocks([len(t or b"") for t in texts], _BLOCK):
-                sets = shingle_sets(texts[a:b], n)
-                ends = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
-                flat = pa.array(np.concatenate(sets).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["id", "shingles"])
+        for batch in slices(batches, 1):
+            sets = shingle_sets(batch.column(1).cast(pa.large_binary()).to_pylist(), n)
+            ends = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+            flat = pa.array(np.concatenate(sets).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["id", "shingles"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(build, "id long, shingles array<long>")
 
@@ -119,16 +118,16 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(both * 100 >= all_ * percent).select("a", "b")
 
 
-def _remaining(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _remaining(groups: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
     """Links between different components inside a bucket, at least one for each two components that have any.
 
     In each bucket the members outside of its most frequent component are held against all members. Buckets are cut
-    into blocks of a bounded number of documents; no pair becomes a row.
+    into blocks of a bounded number of documents; no pair becomes a row. ``rows``: how many ``groups`` has.
     """
     parts = groups.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     mixed = parts.groupBy(F.col("key").alias("_k")).agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("size"), F.count(F.lit(1)).alias("_n"))
     mixed = mixed.where(F.col("_n") > 1).drop("_n")
-    rest = write_through(groups.select("key", "cid", "comp").join(mixed, F.col("key") == F.col("_k")).drop("_k"), "rest")
+    rest = write_through(few_files(groups.select("key", "cid", "comp").join(mixed, F.col("key") == F.col("_k")).drop("_k"), rows), "rest")
     held = rest.join(sets.withColumnRenamed("id", "_s"), F.col("cid") == F.col("_s")).drop("_s")
     n = F.ceil(F.col("size") / BLOCK_DOCS).cast("int")
     own = F.pmod(F.xxhash64("cid"), n).cast("int")
@@ -191,11 +190,13 @@ def near_duplicates(
         return rows_of.select("doc_id").join(known, F.col("doc_id") == F.col("__near_id")).drop("__near_id").unionByName(alone)
     used = sketches.where((F.col("n") > 0) & F.col("id").isNotNull())
     # Equal sets are one class: it is its smallest id, and the copies join again at the end.
-    classes = write_through(used.groupBy("n", "sum", "sum2").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("cid")), "classes")
+    classes = used.groupBy("n", "sum", "sum2").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("cid"))
+    classes = write_through(few_files(classes, seen["rows"], _CLASSES_PER_FILE), "classes")
     keys = classes.select("cid", "n", F.explode("bands").alias("key")).distinct()
     shared = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where(F.col("low") != F.col("high")).select("key")
-    shared, found = measured_write(shared, "buckets", rows=F.count(F.lit(1)))
-    members, counted = measured_write(keys.join(sized(shared, found["rows"]), "key"), "members", rows=F.count(F.lit(1)))
+    most = seen["rows"] * bands
+    shared, found = measured_write(few_files(shared, most), "buckets", rows=F.count(F.lit(1)))
+    members, counted = measured_write(few_files(keys.join(sized(shared, found["rows"]), "key"), most), "members", rows=F.count(F.lit(1)))
     base = sketches.select("id", "n", "sum", "sum2")
     same = base.where((F.col("n") > 0) & F.col("id").isNotNull()).join(
         classes.select(F.col("n").alias("_n"), F.col("sum").alias("_s"), F.col("sum2").alias("_t"), "cid"),
@@ -203,22 +204,26 @@ def near_duplicates(
     ).select("id", "cid")
     links = None
     if counted["rows"]:
-        wanted, ids = measured_write(members.select(F.col("cid").alias("__near_id")).distinct(), "wanted", rows=F.count(F.lit(1)))
+        wanted = few_files(members.select(F.col("cid").alias("__near_id")).distinct(), min(seen["rows"], counted["rows"]))
+        wanted, ids = measured_write(wanted, "wanted", rows=F.count(F.lit(1)))
         texts = docs.join(sized(wanted, ids["rows"]), F.col(id_col).cast("long") == F.col("__near_id"), "left_semi")
         sets = write_through(_sets_of(texts, id_col, text_col, n), "shingles")
         near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
         # First the smallest member of every bucket is its hub, so that buckets share hubs; then a member in random order, so
         # that a document which missed its hub meets another one in each of its buckets.
         for order in (F.col("cid"), F.xxhash64("key", "cid")):
-            groups = members.withColumn("comp", F.col("cid")) if links is None else _with_component(members, components(links))
+            groups = members.withColumn("comp", F.col("cid")) if links is None else _with_component(members, components(links, linked["rows"]))
             hubs = groups.groupBy(F.col("key").alias("_k")).agg(F.min_by(F.struct("cid", "n", "comp"), order).alias("hub"), F.min("comp").alias("_x"), F.max("comp").alias("_y"))
             hubs = hubs.where(F.col("_x") != F.col("_y")).select("_k", F.col("hub.cid").alias("hub"), F.col("hub.n").alias("m"), F.col("hub.comp").alias("hub_comp"))
             pairs = groups.join(hubs, F.col("key") == F.col("_k")).where((F.col("comp") != F.col("hub_comp")) & near)
             pairs = pairs.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
             confirmed = _confirmed(pairs, sets, percent)
-            links = write_through(confirmed if links is None else links.union(confirmed), "confirmed")
-        groups = _with_component(members, components(links))
-        links = links.union(_remaining(groups, sets, percent))
+            confirmed = confirmed if links is None else links.union(confirmed)
+            # Sets are compared in all partitions; the few pairs that are left are dealt anew.
+            files = -(-counted["rows"] // _PAIRS_PER_FILE)
+            links, linked = measured_write(confirmed.repartition(files), "confirmed", rows=F.count(F.lit(1)))
+        groups = _with_component(members, components(links, linked["rows"]))
+        links = links.union(_remaining(groups, sets, percent, counted["rows"]))
     roots = components(classes.select(F.col("cid").alias("a"), F.col("cid").alias("b")).where("false") if links is None else links)
     grouped = same.join(roots, F.col("cid") == F.col("node"), "left").select(F.col("id").alias("__near_id"), F.coalesce("component", "cid").alias("component"))
     joined = base.join(grouped, F.col("id") == F.col("__near_id"), "left")

@@ -102,6 +102,15 @@ class Rounds:
         return table, seen
 
 
+def few_files(df: DataFrame, rows: int, per_file: int = 100_000) -> DataFrame:
+    """``df`` in no more partitions, so files, than its ``rows`` (counted, or the most there can be) need.
+
+    Each local file costs its writer processes that set its permissions; a small table spread over all shuffle partitions is
+    mostly that. A large table keeps its partitions.
+    """
+    return df.coalesce(max(1, -(-rows // per_file)))
+
+
 def broadcast_if_small(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:
     """``df`` marked for broadcast if its counted ``rows`` (of a few short columns) are at most ``most``; else as it is."""
     return F.broadcast(df) if rows <= most else df

@@ -6,13 +6,16 @@ import math
 import os
 import random
 import re
+import unittest.mock
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from qaspark.llm import components, language_id, line_dedup, minhash, passages, queries
+from qaspark import session
+from qaspark.llm import components, language_id, line_dedup, memory, minhash, passages, queries
 from qaspark.llm.words import Words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -287,6 +290,50 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(200, 300), (5, 5)], "a long, b long")
     found = {r["node"]: r["component"] for r in components.components(links).collect()}
     assert found == {**{i: 0 for i in range(71)}, 200: 200, 300: 200}
+    # The most rows that the links can have only deals them to fewer files.
+    assert found == {r["node"]: r["component"] for r in components.components(links, 72).collect()}
+
+
+def test_batches_are_taken_in_small_slices(monkeypatch):
+    given = []
+    monkeypatch.setattr(memory, "give_back", lambda: given.append(1))
+    texts = ["a" * 40, None, "", "é" * 30, "b" * 500, "c"]
+    batch = pa.record_batch({"id": pa.array(range(6)), "text": pa.array(texts, pa.string())})
+    parts = list(memory.slices(iter([batch, batch.slice(0, 0), batch.slice(3)]), 1, 100))
+    assert [p.column(1).to_pylist() for p in parts] == [texts[:4], texts[4:5], texts[5:], texts[3:4], texts[4:5], texts[5:]]
+    assert [i for p in parts for i in p.column(0).to_pylist()] == [0, 1, 2, 3, 4, 5, 3, 4, 5] and len(given) == 3
+    # No slice of what both operators read holds more than the bound unless it is one text.
+    big = pa.record_batch({"id": pa.array(range(3000)), "text": pa.array(["word " * 200] * 3000)})
+    for operator in (minhash._sketches, minhash._sets_of):
+        seen = []
+        monkeypatch.setattr(minhash, "shingle_sets", lambda t, n: seen.append(sum(map(len, t))) or [np.arange(9, dtype=np.uint64)] * len(t))
+        docs = unittest.mock.MagicMock()
+        docs.select.return_value.mapInArrow = lambda run, schema: sum(b.num_rows for b in run(iter([big])))
+        monkeypatch.setattr(minhash, "F", unittest.mock.MagicMock())
+        assert operator(docs, "id", "text", 5, *([64, 7] if operator is minhash._sketches else [])) == 3000
+        assert max(seen) <= memory.SLICE_BYTES
+
+
+def test_small_tables_are_written_in_few_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "checkpoint_folder", lambda _: str(tmp_path))
+    settings = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    rows = near_copies()
+    sites = [(i, f"footer {i % 40}\nown {i}", "en", f"s{i}") for i in range(600)]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(table(spark, rows), n=4).collect()}
+        removed = {r["n_removed"] for r in line_dedup.remove_boilerplate(table(spark, sites)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == plain_components(rows, 4, 80) and removed == {1}
+    files = collections.defaultdict(list)
+    for folder in (tmp_path / "qaspark").iterdir():
+        files[folder.name.rsplit("-", 1)[0]].append(len(list(folder.glob("part-*"))))
+    # All but the last search for components know how many links they start from.
+    assert all(files[name] and set(files[name]) == {1} for name in ("classes", "buckets", "members", "wanted", "confirmed", "rest", "links", "boilerplate")), files
 
 
 # --- passages
