@@ -2,7 +2,7 @@
 
 Documents are rows of (term position, weight) lists. One pass over them multiplies the
 Gram matrix of the terms with a thin block of vectors: every task adds up its part, Spark
-sums the parts per term. What reaches the driver is a model of at most
+sums the parts. What reaches the driver is a model of at most
 ``max_features x block`` numbers per language, never document data. All languages go
 through each pass together.
 """
@@ -13,14 +13,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from qaspark.session import write_through
+from qaspark.session import Scratch, write_through
 
 _MOST_BLOCKS = 16
 _OVERSAMPLE = 10
 _ROWS = 256
+_TERMS = 256
 _MODEL_BYTES = 256 << 20
 
 
@@ -50,7 +53,40 @@ def _dense(positions: pd.Series, values: pd.Series) -> tuple[np.ndarray, np.ndar
     return used, cells.reshape(len(positions), len(used))
 
 
-def _gram_times(rows: DataFrame, models: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows in packs of up to ``_ROWS`` of one language: bytes that numpy takes as they are, the columns of a pack being the terms it has."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            language = batch.column(0).dictionary_encode()
+            codes = language.indices.to_numpy(zero_copy_only=False)
+            for code, name in enumerate(language.dictionary.to_pylist()):
+                mine = np.flatnonzero(codes == code)
+                for at in range(0, len(mine), _ROWS):
+                    some = batch.take(pa.array(mine[at : at + _ROWS]))
+                    counts = pc.list_value_length(some.column(1)).to_numpy().astype("<i4")
+                    used, columns = np.unique(some.column(1).flatten().to_numpy(), return_inverse=True)
+                    values = some.column(2).flatten().to_numpy().astype("<f8")
+                    parts = [[name], *([x.tobytes()] for x in (counts, used.astype("<i4"), columns.astype("<i4"), values))]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(parts, [pa.string(), *[pa.binary()] * 4])], names=["language", "counts", "used", "columns", "values"])
+
+    return rows.select("language", "positions", "values").mapInArrow(pack, "language string, counts binary, used binary, columns binary, values binary")
+
+
+def _added(total: np.ndarray, model: np.ndarray, room: np.ndarray, counts: pa.Scalar, used: pa.Scalar, columns: pa.Scalar, values: pa.Scalar) -> np.ndarray:
+    """Add ``X'X M`` of a pack's rows to ``total``. ``room`` is all zeros before and after; a larger one is returned if the rows need it."""
+    counts, used, columns, values = (np.frombuffer(x.as_buffer(), kind) for x, kind in ((counts, "<i4"), (used, "<i4"), (columns, "<i4"), (values, "<f8")))
+    if len(room) < len(counts) * len(used):
+        room = np.zeros(len(counts) * len(used))
+    cells = np.repeat(np.arange(len(counts)) * len(used), counts) + columns
+    np.add.at(room, cells, values)
+    dense = room[: len(counts) * len(used)].reshape(len(counts), len(used))
+    total[used] += dense.T @ (dense @ model[used])
+    room[cells] = 0.0
+    return room
+
+
+def _gram_times(packs: DataFrame, models: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """``X'X M`` of every language: one pass for all whose models fit a broadcast together."""
     groups: list[dict[str, np.ndarray]] = []
     for language, model in models.items():
@@ -59,41 +95,44 @@ def _gram_times(rows: DataFrame, models: dict[str, np.ndarray]) -> dict[str, np.
         groups[-1][language] = model
     result = {}
     for group in groups:
-        mine = rows if len(groups) == 1 else rows.where(F.col("language").isin(list(group)))
+        mine = packs if len(groups) == 1 else packs.where(F.col("language").isin(list(group)))
         result.update(_gram_pass(mine, group))
     return result
 
 
-def _gram_pass(rows: DataFrame, models: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    spark = rows.sparkSession
-    width = max(m.shape[1] for m in models.values())
-    shared = spark.sparkContext.broadcast(models)
+def _gram_pass(packs: DataFrame, models: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """One task per core, however many packs there are: each sends its sums once, so what travels does not grow with the rows."""
+    context = packs.sparkSession.sparkContext
+    shared = context.broadcast(models)
+    fields = "language string, at int, z binary"
+    names = ["language", "at", "z"]
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        room = np.zeros(0)
         for batch in batches:
-            for language, part in batch.groupby("language", sort=False):
+            for language, *pack in zip(batch.column(0).to_pylist(), *(batch.column(i) for i in range(1, 5))):
                 model = shared.value.get(language)
-                if model is None:
-                    continue
-                total = sums.setdefault(language, np.zeros(model.shape))
-                for at in range(0, len(part), _ROWS):
-                    piece = part.iloc[at : at + _ROWS]
-                    used, dense = _dense(piece["positions"], piece["values"])
-                    total[used] += dense.T @ (dense @ model[used])
+                if model is not None:
+                    if language not in sums:
+                        sums[language] = np.zeros(model.shape)
+                    room = _added(sums[language], model, room, *pack)
         for language, total in sums.items():
-            used = np.flatnonzero(total.any(axis=1))
-            padded = np.zeros((len(used), width))
-            padded[:, : total.shape[1]] = total[used]
-            yield pd.DataFrame({"language": language, "position": used.astype("int32"), "z": list(padded)})
-
-    parts = rows.select("language", "positions", "values").mapInPandas(partial, "language string, position int, z array<double>")
-    summed = parts.groupBy("language", "position").agg(
-        F.array(*[F.sum(F.get("z", F.lit(i))) for i in range(width)]).alias("z")
-    )
+            pieces = [(at, total[at : at + _TERMS]) for at in range(0, len(total), _TERMS)]
+            pieces = [(at, z.tobytes()) for at, z in pieces if z.any()]
+            if pieces:
+                at, z = zip(*pieces)
+                yield pa.RecordBatch.from_arrays([pa.array([language] * len(at)), pa.array(at, pa.int32()), pa.array(z, pa.binary())], names=names)
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(z.as_buffer()) for z in table.column("z"))
+        return pa.table([table.column("language").slice(0, 1), table.column("at").slice(0, 1), pa.array([total.tobytes()], pa.binary())], names=names)
+
+    parts = packs.coalesce(context.defaultParallelism).mapInArrow(partial, fields)
     result = {k: np.zeros(m.shape) for k, m in models.items()}
-    for language, position, z in summed.collect():  # the model: terms x block
-        result[language][position] = np.asarray(z)[: models[language].shape[1]]
+    for language, at, z in parts.groupBy("language", "at").applyInArrow(add, fields).collect():  # the model: terms x block
+        total = np.frombuffer(z).reshape(-1, models[language].shape[1])
+        result[language][at : at + len(total)] = total
     shared.unpersist()
     return result
 
@@ -118,27 +157,29 @@ def truncated_svd(
     nothing more. A space of more than ``_MOST_BLOCKS`` blocks is restarted from its best directions, so what the driver
     holds stays proportional to the model. ``n_terms`` gives the size of each vocabulary.
     """
+    with Scratch(rows.sparkSession) as scratch:
+        return _krylov(scratch.write(_packed(rows), "packs")[0], n_terms, k, tolerance, seed)
+
+
+def _krylov(packs: DataFrame, n_terms: dict[str, int], k: int, tolerance: float, seed: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     random = np.random.default_rng(seed)
     basis: dict[str, np.ndarray] = {}
-    image: dict[str, np.ndarray] = {}
+    inner: dict[str, np.ndarray] = {}  # basis' X'X basis, grown by what each pass adds
     values: dict[str, np.ndarray] = {}
     result: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     block = {
         lang: np.linalg.qr(random.standard_normal((n, min(n, k + _OVERSAMPLE))))[0] for lang, n in n_terms.items() if n > 0
     }
     while block:
-        product = _gram_times(rows, block)
+        product = _gram_times(packs, block)
         following = {}
         for lang, z in product.items():
             basis[lang] = np.hstack([basis[lang], block[lang]]) if lang in basis else block[lang]
-            image[lang] = np.hstack([image[lang], z]) if lang in image else z
-            inner = basis[lang].T @ image[lang]
-            square, vectors = np.linalg.eigh((inner + inner.T) / 2)
-            top = np.argsort(square)[::-1][:k]
-            found = np.sqrt(np.maximum(square[top], 0.0))
-            directions = basis[lang] @ vectors[:, top]
-            sign = np.sign(directions[np.abs(directions).argmax(axis=0), np.arange(len(top))])
-            result[lang] = found, directions * np.where(sign == 0, 1.0, sign)
+            side = basis[lang].T @ z
+            known = len(side) - z.shape[1]
+            side[known:] = (side[known:] + side[known:].T) / 2
+            inner[lang] = np.block([[inner[lang], side[:known]], [side[:known].T, side[known:]]]) if known else side
+            found = np.sqrt(np.maximum(np.linalg.eigvalsh(inner[lang])[::-1][:k], 0.0))
             steady = lang in values and len(values[lang]) == len(found) and np.all(
                 np.abs(values[lang] - found) <= tolerance * max(found[0], 1e-300)
             )
@@ -147,8 +188,14 @@ def truncated_svd(
             if not steady and fresh.shape[1]:
                 following[lang] = fresh
                 if basis[lang].shape[1] >= _MOST_BLOCKS * (k + _OVERSAMPLE):
-                    best = vectors[:, np.argsort(square)[::-1][: k + _OVERSAMPLE]]
-                    basis[lang], image[lang] = basis[lang] @ best, image[lang] @ best
+                    square, vectors = np.linalg.eigh(inner[lang])
+                    best = np.argsort(square)[::-1][: k + _OVERSAMPLE]
+                    basis[lang], inner[lang] = basis[lang] @ vectors[:, best], np.diag(square[best])
+            else:
+                square, vectors = np.linalg.eigh(inner.pop(lang))
+                directions = basis.pop(lang) @ vectors[:, np.argsort(square)[::-1][:k]]
+                sign = np.sign(directions[np.abs(directions).argmax(axis=0), np.arange(directions.shape[1])])
+                result[lang] = found, directions * np.where(sign == 0, 1.0, sign)
         block = following
     return result
 
@@ -177,8 +224,8 @@ def document_vectors(rows: DataFrame, svd: dict[str, tuple[np.ndarray, np.ndarra
 def l2_normalize(column):
     """Vector of unit length; a zero vector stays as it is."""
     column = F.col(column) if isinstance(column, str) else column
-    square = F.aggregate(column, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return F.transform(column, lambda x: F.when(square > 0, x.cast("double") / F.sqrt(square)).otherwise(x.cast("double")))
+    scaled = lambda square: F.transform(column, lambda x: F.when(square > 0, x.cast("double") / F.sqrt(square)).otherwise(x.cast("double")))
+    return F.aggregate(column, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"), scaled)
 
 
 def vectorize(docs: DataFrame, vocab: DataFrame, weights: DataFrame, k: int = 50) -> DataFrame:

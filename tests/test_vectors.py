@@ -89,6 +89,46 @@ def test_svd_and_vectors_against_numpy(spark):
         assert ours @ ours.T == pytest.approx(scores @ scores.T, abs=1e-8)
 
 
+@pytest.mark.parametrize("kept, recounted", [(3, True), (400, False)])
+def test_vocabulary_without_the_rare_terms_of_a_slice_is_exact(spark, monkeypatch, kept, recounted):
+    """Rare terms do not leave their task, and documents are weighed where they are cut up: no join, nothing gathered."""
+    monkeypatch.setattr(tfidf, "WORDS", 200)
+    monkeypatch.setattr(tfidf, "RARE", 40)
+    asked = []
+    known = tfidf._counted_known
+    monkeypatch.setattr(tfidf, "_counted_known", lambda *a: asked.append(1) or known(*a))
+    rng = np.random.default_rng(6)
+    common, odd = ["red", "blue", "green"], [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(common if rng.random() < 0.7 else odd) for _ in range(30)) for _ in range(60)]
+    rows = [(lang, i, t) for lang in "xy" for i, t in enumerate(texts)]
+    rows += [("x", 7, "green green"), ("x", None, "blue red"), ("x", None, "red"), ("x", 900, None), (None, 1, "red red"), ("y", 901, "")]
+    df = spark.createDataFrame(rows, "language string, doc_id long, text string").repartition(3)
+    vocab, weights = tfidf.fit(df, min_df=3, max_features=kept)
+    expected = tfidf.vocabulary(tfidf.term_counts(df), df, 3, kept)
+    assert sorted(vocab.collect()) == sorted(expected.collect())
+    assert bool(asked) == recounted
+    whole = {(r.language, r.doc_id, r.term): r for r in tfidf.transform(tfidf.term_counts(df), expected).collect()}
+    got = {(r.language, r.doc_id, r.term): r for r in weights.collect()}
+    assert got.keys() == whole.keys() and all(got[k].tf == whole[k].tf and got[k].weight == pytest.approx(whole[k].weight, rel=1e-12) for k in whole)
+    alone = tfidf.fit(df.where("doc_id < 7 and language is not null"), min_df=3, max_features=kept)[1]
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_sums_of_a_pass_do_not_grow_with_the_rows(spark):
+    """Rows travel as packs of bytes, read by one task per core, and each pass sends one sum per task."""
+    rng = np.random.default_rng(3)
+    matrix = np.where(rng.random((700, 40)) < 0.2, rng.random((700, 40)), 0.0)
+    rows = [("xy"[i % 2], i, [int(j) for j in np.flatnonzero(r)], [float(v) for v in r[r != 0]]) for i, r in enumerate(matrix)]
+    df = spark.createDataFrame(rows, "language string, doc_id long, positions array<int>, values array<double>")
+    packs = write_through(vectors._packed(df.repartition(30)).repartition(30))
+    assert packs.count() <= 60
+    model = rng.standard_normal((40, 5))
+    got = vectors._gram_times(packs, {"x": model, "y": model})
+    for k, part in (("x", matrix[::2]), ("y", matrix[1::2])):
+        assert got[k] == pytest.approx(part.T @ (part @ model))
+
+
 def test_normalize_keeps_zero(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<double>")
     assert [r[0] for r in df.select(vectors.l2_normalize("v")).collect()] == [[0.6, 0.8], [0.0, 0.0]]
