@@ -18,6 +18,8 @@ from qaspark.session import measured_write, write_through
 
 MIN_CLUSTER_SIZE = 25
 MIN_SAMPLES = 3
+#: So many neighbours of a point are listed. With more than core distances need, few points have to look for their component's next edge among all others.
+LISTED = 16
 
 # A task of the hierarchy holds at most this many edges.
 EDGES_PER_STEP = 500_000
@@ -287,8 +289,9 @@ def density_clusters(
     vectors = vectors.select("language", "doc_id", F.col("vector").cast("array<double>").alias("vector"))
     points = write_through(distinct_points(vectors), "points")
     layout = lay_out(points)
-    near = nearest_neighbors(layout, min_samples)
-    cores = write_through(core_distances(points, near, min_samples), "cores")
+    listed = max(min_samples, LISTED)
+    near = nearest_neighbors(layout, listed)
+    cores = write_through(core_distances(points, near, min_samples, listed), "cores")
     labels = label_points(points, cores, spanning_tree(layout, near, cores), min_cluster_size)
     labelled = write_through(points.join(labels, ["language", "pid"]).select("language", "vector", "cluster_id"), "labelled")
     return vectors.join(labelled, ["language", "vector"]).select("language", "doc_id", "cluster_id")

@@ -344,6 +344,11 @@ def _squares(q: _Leaves, asks: np.ndarray, o: _Leaves, places: np.ndarray) -> tu
     return left @ o.lifted[places].T, slack
 
 
+def _true_cells(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the cells that are true, as ``nonzero`` gives them: few are, and a flat array is searched faster."""
+    return np.divmod(np.flatnonzero(cells), cells.shape[1])
+
+
 def _keep_best(best: np.ndarray, who: np.ndarray, row: np.ndarray, d: np.ndarray, place: np.ndarray, ids: np.ndarray) -> None:
     """Take what was found into the lists of the ``k`` nearest, ties by id."""
     k = best.shape[1]
@@ -378,7 +383,7 @@ def _nearest_in(q: _Leaves, block: int, q_ids: np.ndarray, bound: np.ndarray, o:
                 # The point itself may be among them: one more than k are surely as near as this.
                 kth = np.partition(square[free], k, axis=1)[:, k]
                 most[free] = np.where(np.isfinite(kth), kth + 2 * slack[free], np.inf)
-            row, column = np.nonzero(square <= np.where(np.isnan(most), np.inf, most)[:, None])
+            row, column = _true_cells(square <= np.where(np.isnan(most), np.inf, most)[:, None])
             other = q_ids[asks[row]] != o_ids[places[column]]
             row, place = row[other], places[column[other]]
             d = _paired(q.vectors[asks[row]], o.vectors[place])
@@ -439,12 +444,12 @@ def nearest_neighbors(layout: Layout, k: int) -> DataFrame:
     return write_through(top_per_group(first.unionByName(second), _ID, order, k), "neighbors")
 
 
-def core_distances(points: DataFrame, neighbors: DataFrame, min_samples: int) -> DataFrame:
+def core_distances(points: DataFrame, neighbors: DataFrame, min_samples: int, listed: int | None = None) -> DataFrame:
     """``(language, pid, core, reach)``: distance to the ``min_samples``-th other point, where
-    copies of a point count; ``reach`` is the distance to the last listed neighbour."""
-    listed = neighbors.groupBy(*_ID).agg(F.sort_array(F.collect_list(F.struct("d", "nbr", "nbr_mult"))).alias("_n"))
-    joined = points.select(*_ID, "mult").join(listed, _ID, "left")
-    # At most min_samples neighbours are listed; walk along them until enough points are met.
+    copies of a point count; ``reach`` is the distance to the last of ``listed`` (``min_samples``, if not given) neighbours."""
+    lists = neighbors.groupBy(*_ID).agg(F.sort_array(F.collect_list(F.struct("d", "nbr", "nbr_mult"))).alias("_n"))
+    joined = points.select(*_ID, "mult").join(lists, _ID, "left")
+    # Few neighbours are listed; walk along them until enough points are met.
     walk = F.aggregate(
         F.coalesce("_n", F.array().cast("array<struct<d:double,nbr:bigint,nbr_mult:bigint>>")),
         F.struct((F.col("mult") - 1).alias("met"), F.lit(0.0).alias("core")),
@@ -453,7 +458,7 @@ def core_distances(points: DataFrame, neighbors: DataFrame, min_samples: int) ->
             F.when(s["met"] >= min_samples, s["core"]).otherwise(x["d"]).alias("core"),
         ),
     )
-    complete = F.size("_n") == min_samples
+    complete = F.size("_n") == (listed or min_samples)
     return joined.select(
         *_ID, walk["core"].alias("core"),
         F.when(complete, F.element_at("_n", -1)["d"]).otherwise(F.lit(float("inf"))).alias("reach"),
@@ -493,7 +498,7 @@ def _lightest_in(q: _Leaves, block: int, o: _Leaves, mine: dict[str, np.ndarray]
             near = square <= np.where(np.isnan(most), np.inf, most)[:, None]
             if near.sum() > 8 * len(asks):
                 near &= comp[:, None] != theirs["comp"][places][None, :]
-            row, column = np.nonzero(near)
+            row, column = _true_cells(near)
             place = places[column]
             other = (comp[row] != theirs["comp"][place]) & (theirs["core"][place] <= limit[code[row]])
             row, place = row[other], place[other]

@@ -280,6 +280,21 @@ def test_neighbors_and_tree_across_many_cells(built):
     assert n == len(x) - 1 and weight == pytest.approx(total)
 
 
+def test_more_listed_neighbours_give_the_same_tree_and_leave_few_points_to_ask(built, monkeypatch):
+    data, points, layout, _, cores, tree = built
+    seen = []
+    monkeypatch.setattr(density, "nearest_neighbors", lambda _, k: seen.append(k) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        density.density_clusters(points.select("language", F.col("pid").alias("doc_id"), "vector"))
+    near = neighbors.nearest_neighbors(layout, seen[0])
+    wide = write_through(neighbors.core_distances(points, near, 3, seen[0]))
+    core = lambda table: {(r.language, r.pid): r.core for r in table.collect()}
+    assert core(wide) == core(cores)
+    assert sorted(neighbors.spanning_tree(layout, near, wide).collect()) == sorted(tree.collect())
+    found = wide.where("language = 'cells'").agg(F.count_if(F.col("reach") <= F.col("core") * 1.1), F.count("*")).first()
+    assert found[0] < found[1] / 4  # with as many as core distances need, all of them
+
+
 def test_blocks_of_a_shelf_are_searched_together_and_exactly(spark):
     rng = np.random.default_rng(11)
     data = rng.standard_normal((1500, 24))
